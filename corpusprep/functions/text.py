@@ -58,7 +58,7 @@ def is_falsy(v: Column) -> Column:
 
 def or_empty(v: Column) -> Column:
     """Falsy becomes ''; a string stays; anything else is null, which callers read as malformed."""
-    return F.when(is_falsy(v), "").when(is_string(v), F.try_variant_get(v, "$", "string"))
+    return F.when(is_string(v), F.try_variant_get(v, "$", "string")).when(is_falsy(v), "")
 
 
 def or_empty_any(v: Column) -> Column:

@@ -27,7 +27,7 @@ def first_wins(df: DataFrame, key: Column, order: Sequence[str]) -> DataFrame:
     return df.join(first_rows(df, key, order), list(order), "left_semi")
 
 
-def mark_first(df: DataFrame, key: Column, order: Sequence[str], name: str = "is_first") -> DataFrame:
-    """Add whether a row is the first of its key; rows with a null key are never first."""
-    firsts = first_rows(df.filter(key.isNotNull()), key, order).withColumn(name, F.lit(True))
-    return df.join(firsts, list(order), "left").withColumn(name, F.coalesce(F.col(name), F.lit(False)))
+def mark_first(df: DataFrame, firsts: DataFrame, order: Sequence[str], name: str = "is_first") -> DataFrame:
+    """Add whether a row is among ``firsts``, the result of :func:`first_rows`."""
+    marked = df.join(firsts.withColumn(name, F.lit(True)), list(order), "left")
+    return marked.withColumn(name, F.coalesce(F.col(name), F.lit(False)))

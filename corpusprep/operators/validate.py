@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from corpusprep.functions.hashing import pair_digest
 from corpusprep.functions.text import n_chars, strip, text_or_empty
 from corpusprep.functions.tokenizers import NativeTokenizer, Tokenizer
-from corpusprep.operators.dedup import mark_first
+from corpusprep.operators.dedup import first_rows, mark_first
 
 # Fixed values.
 CHARS_PER_TOKEN_LOW = 2.0
@@ -31,10 +31,9 @@ def prompt_text(instruction: Column, input_: Column, output: Column | None = Non
 
 
 def length_class(
-    text: Column, max_tokens: int, low: float = CHARS_PER_TOKEN_LOW, high: float = CHARS_PER_TOKEN_HIGH
+    n: Column, max_tokens: int, low: float = CHARS_PER_TOKEN_LOW, high: float = CHARS_PER_TOKEN_HIGH
 ) -> Column:
-    """Judge a text by its characters: ``valid``, ``too_long``, or ``borderline`` (needs tokens)."""
-    n = n_chars(text)
+    """Judge a text by its length in characters: ``valid``, ``too_long``, or ``borderline`` (needs tokens)."""
     return F.when(n <= max_tokens * low, "valid").when(n > max_tokens * high, "too_long").otherwise(BORDERLINE)
 
 
@@ -84,19 +83,24 @@ def classify(
     counts tokens for every record instead of trusting the character limits.
     """
     tokenizer = tokenizer or NativeTokenizer()
+    keyed = df.withColumn("_early", early_status(df))
+    passed = F.col("_early").isNull()
+    # Rejected rows take no part in the grouping.
+    firsts = first_rows(keyed.filter(passed), pair_digest(F.col("instruction"), F.col("output")), order)
+    # Lengths are settled before the join, so that no text has to go through it for the statuses.
     prompt = prompt_text(F.col("instruction"), F.col("input"), F.col("output") if include_output else None)
-    early = df.withColumn("_early", early_status(df))
-    # Rejected rows carry no key: they take no part in the grouping behind mark_first.
-    digest = F.when(F.col("_early").isNull(), pair_digest(F.col("instruction"), F.col("output")))
-    marked = mark_first(early, digest, order, "_first")
-    length_state = F.lit(BORDERLINE) if exact else length_class(prompt, max_tokens, low, high)
-    staged = marked.withColumn(
-        "status",
-        F.when(F.col("_early").isNotNull(), F.col("_early"))
-        .when(~F.col("_first"), "duplicates")
-        .otherwise(length_state),
+    sized = keyed.withColumn("_prompt", prompt).withColumn("_chars", n_chars(F.col("_prompt")))
+    length_state = F.lit(BORDERLINE) if exact else length_class(F.col("_chars"), max_tokens, low, high)
+    judged = token_limit(
+        sized.withColumn("status", F.coalesce("_early", length_state)), F.col("_prompt"), "status", max_tokens, tokenizer
+    ).drop("_prompt", "_chars")
+    repeat = passed & ~F.col("_first")
+    return (
+        mark_first(judged, firsts, order, "_first")
+        .withColumn("status", F.when(repeat, "duplicates").otherwise(F.col("status")))
+        .withColumn("n_tokens", F.when(~repeat, F.col("n_tokens")))
+        .drop("_early", "_first")
     )
-    return token_limit(staged, prompt, "status", max_tokens, tokenizer).drop("_early", "_first")
 
 
 def valid_records(classified: DataFrame) -> DataFrame:
@@ -111,6 +115,6 @@ def lcpt_lines(
     min_chars: int = MIN_LINE_CHARS,
 ) -> DataFrame:
     """Status ``valid`` or ``too_long`` for text lines; lines under ``min_chars`` are dropped uncounted."""
-    stripped = lines.withColumn(text, strip(F.col(text))).filter(F.length(text) >= min_chars)
-    staged = stripped.withColumn("status", length_class(F.col(text), max_tokens))
-    return token_limit(staged, F.col(text), "status", max_tokens, tokenizer or NativeTokenizer())
+    stripped = lines.withColumn(text, strip(F.col(text))).withColumn("_chars", n_chars(F.col(text)))
+    staged = stripped.filter(F.col("_chars") >= min_chars).withColumn("status", length_class(F.col("_chars"), max_tokens))
+    return token_limit(staged, F.col(text), "status", max_tokens, tokenizer or NativeTokenizer()).drop("_chars")

@@ -11,8 +11,8 @@ from corpusprep.functions import text as tx
 from corpusprep.functions.hashing import pair_digest, short_key
 from corpusprep.functions.tokenizers import NativeTokenizer
 from corpusprep.operators import chat, chunk, dedup, pairs, ranks, report, sample, scoring, split, validate
-from corpusprep.plans.views import document_lines, sft_view, table, turn_view
-from corpusprep.session import materialize, prepare, scratch_path
+from corpusprep.plans.views import document_lines, documents, sft_view, table, turn_view
+from corpusprep.session import materialize, scratch_path
 from corpusprep.sources import ingest, records, templates
 from corpusprep.streaming import validation
 
@@ -62,17 +62,15 @@ def running_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def length_class(spark: SparkSession, sf_dir: str) -> DataFrame:
     prompt = validate.prompt_text(F.col("instruction"), F.col("input"))
-    return sft_view(spark, sf_dir).select(
-        "doc_id",
-        tx.n_chars(prompt).alias("n_chars"),
-        validate.length_class(prompt, validate.MAX_RECORD_TOKENS).alias("length_class"),
+    return sft_view(spark, sf_dir).select("doc_id", tx.n_chars(prompt).alias("n_chars")).withColumn(
+        "length_class", validate.length_class(F.col("n_chars"), validate.MAX_RECORD_TOKENS)
     )
 
 
 def token_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
     prompt = validate.prompt_text(F.col("instruction"), F.col("input"))
     staged = sft_view(spark, sf_dir).select("doc_id", prompt.alias("prompt")).withColumn(
-        "status", validate.length_class(F.col("prompt"), validate.MAX_RECORD_TOKENS)
+        "status", validate.length_class(F.length("prompt"), validate.MAX_RECORD_TOKENS)
     )
     borderline = staged.filter(F.col("status") == validate.BORDERLINE)
     settled = validate.token_limit(borderline, F.col("prompt"), "status", validate.MAX_RECORD_TOKENS, NativeTokenizer())
@@ -123,7 +121,7 @@ def validation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ingest_props(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fields = table(spark, sf_dir, "events").select("event_type", ingest.parse_record(F.col("props")).alias("fields"))
+    fields = ingest.parse_records(table(spark, sf_dir, "events").select("event_type", "props"), "props")
     k = F.try_variant_get(F.col("fields")["k"], "$", "bigint")
     return fields.groupBy("event_type").agg(
         F.count(F.lit(1)).alias("n_rows"),
@@ -135,7 +133,6 @@ def ingest_props(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ingest_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Record lines, other JSON objects and plain text lines through the permissive reader."""
-    prepare(spark)
     as_records = sft_view(spark, sf_dir).select(
         F.lit("records").alias("origin"),
         F.to_json(F.struct("doc_id", "instruction", "input", "output", "language")).alias("line"),
@@ -143,9 +140,9 @@ def ingest_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
     props = table(spark, sf_dir, "events").select(F.lit("props").alias("origin"), F.col("props").alias("line"))
     plain = document_lines(spark, sf_dir).select(F.lit("text").alias("origin"), tx.strip(F.col("text")).alias("line"))
     lines = as_records.unionByName(props).unionByName(plain).filter(F.col("line") != "")
-    typed = ingest.sft_records(lines.select("origin", ingest.parse_record(F.col("line")).alias("fields")))
-    early = validate.early_status(typed)
-    return typed.groupBy("origin").agg(
+    typed = ingest.sft_records(ingest.parse_records(lines, "line"))
+    early = F.col("early")
+    return typed.withColumn("early", validate.early_status(typed)).groupBy("origin").agg(
         F.count(F.lit(1)).alias("total"),
         F.count_if(early == "malformed").alias("malformed"),
         F.count_if(early == "empty_fields").alias("empty_fields"),
@@ -155,9 +152,9 @@ def ingest_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def as_str(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as JSON lists of lines, coerced back to one string."""
-    listed = table(spark, sf_dir, "documents").select("doc_id", F.to_json(F.struct(F.split("text", "\n").alias("output"))).alias("line"))
-    record = ingest.parse_record(F.col("line"))
-    return listed.select("doc_id", tx.as_str(record["output"]).alias("text"))
+    listed = documents(spark, sf_dir).select("doc_id", F.to_json(F.struct(F.split("text", "\n").alias("output"))).alias("line"))
+    parsed = ingest.parse_records(listed, "line")
+    return parsed.select("doc_id", tx.as_str(F.col("fields")["output"]).alias("text"))
 
 
 def triples(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -173,7 +170,7 @@ def qa_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def doc_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = records.from_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    kept = records.from_documents(documents(spark, sf_dir).select("doc_id", "text"))
     return kept.select("doc_id", tx.n_chars(F.col("text")).alias("n_chars"))
 
 
@@ -183,7 +180,7 @@ def _all_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
             records.Source("documents", lambda: triples(spark, sf_dir)),
             records.Source("turns", lambda: first_turns(spark, sf_dir)),
             records.Source("answers", lambda: qa_records(spark, sf_dir)),
-            records.Source("corpus", lambda: records.from_documents(table(spark, sf_dir, "documents").select("doc_id", "text")), corpus=True),
+            records.Source("corpus", lambda: records.from_documents(documents(spark, sf_dir).select("doc_id", "text")), corpus=True),
         ]
     )
     return loaded
@@ -210,11 +207,11 @@ def lcpt_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chunk.windows(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return chunk.windows(documents(spark, sf_dir).select("doc_id", "text"))
 
 
 def truncated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cut = chunk.truncate(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    cut = chunk.truncate(documents(spark, sf_dir).select("doc_id", "text"))
     return cut.select(
         "doc_id", F.size("tokens").cast("bigint").alias("n_tokens"), NativeTokenizer().decode(F.col("tokens")).alias("text")
     )

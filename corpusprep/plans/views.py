@@ -5,16 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusprep.session import spread_small
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``documents`` for queries that work on its whole texts."""
+    return spread_small(table(spark, sf_dir, "documents"))
+
+
 def sft_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``documents`` as instruction records: first line, the text after it, last line."""
     text = F.col("text")
     newline = F.instr(text, F.lit("\n"))
-    return table(spark, sf_dir, "documents").select(
+    return documents(spark, sf_dir).select(
         "doc_id",
         F.col("lang").alias("language"),
         "source",
@@ -50,6 +57,6 @@ def turn_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``documents`` as text lines with their place in the document."""
-    return table(spark, sf_dir, "documents").select(
+    return documents(spark, sf_dir).select(
         "doc_id", "lang", F.posexplode(F.split("text", "\n")).alias("line_no", "text")
     )

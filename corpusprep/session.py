@@ -16,6 +16,9 @@ SQL_SETTINGS = {
     "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
+# Spark's default cost of opening a file, and its default size of a file split.
+SPREAD_BYTES = (4 << 20, 128 << 20)
+
 
 def local_session(cores: str | int = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
     """A single-machine session for tests and benchmarks."""
@@ -64,3 +67,15 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def spread_small(df: DataFrame) -> DataFrame:
+    """Deal the rows of a table that fits in one file split out to all cores.
+
+    One split is one task, however costly the work on its rows. Larger tables have splits enough
+    and are left alone, so at most one split's worth of bytes is ever moved.
+    """
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    if SPREAD_BYTES[0] < size <= SPREAD_BYTES[1]:
+        return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+    return df

@@ -34,22 +34,27 @@ def lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     return _ordered_text(spark, paths).withColumn("text", strip(F.col("text"))).filter(F.col("text") != "")
 
 
-def parse_record(line: Column) -> Column:
-    """One JSON object as MAP<STRING, VARIANT>; null for bad JSON and for any other JSON value.
+def parse_records(df: DataFrame, line: str, fields: str = "fields") -> DataFrame:
+    """Replace JSON text by ``fields``, MAP<STRING, VARIANT>; null for anything but one JSON object.
 
     The line is parsed as the only item of a list, because Spark's parser stops after one value
     and would not see what follows it. Values keep their JSON types, which a fixed schema would
     silently turn into strings.
     """
+    df.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     options = {"singleVariantColumn": "v", "allowSingleQuotes": "false"}
 
     def wrapped(start: str, end: str) -> Column:
-        return F.from_json(F.concat(F.lit(start), line, F.lit(end)), "v variant", options)["v"]
+        return F.from_json(F.concat(F.lit(start), F.col(line), F.lit(end)), "v variant", options)["v"]
 
-    items = wrapped("[", "]")
-    only = F.when(F.try_variant_get(items, "$[1]", "variant").isNull(), F.try_variant_get(items, "$[0]", "map<string,variant>"))
     # A stray "]" after the object would close the list early; as an object member it cannot.
-    return F.when(~line.rlike("}\\s*\\]"), only).when(wrapped('{"v":', "}").isNotNull(), only)
+    sound = F.when(F.col(line).rlike("}\\s*\\]"), wrapped('{"v":', "}").isNotNull()).otherwise(True)
+    alone = F.try_variant_get("_items", "$[1]", "variant").isNull()
+    return (
+        df.withColumn("_items", wrapped("[", "]"))
+        .withColumn(fields, F.when(alone & sound, F.try_variant_get("_items", "$[0]", "map<string,variant>")))
+        .drop("_items", line)
+    )
 
 
 def jsonl(spark: SparkSession, paths: str | Sequence[str], strict: bool = False) -> DataFrame:
@@ -58,13 +63,11 @@ def jsonl(spark: SparkSession, paths: str | Sequence[str], strict: bool = False)
     Blank lines are skipped and a bad line has null ``fields``. With ``strict`` any blank or bad
     line fails the job.
     """
-    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     raw = _ordered_text(spark, paths).withColumn("text", strip(F.col("text")))
-    fields = parse_record(F.col("text"))
-    if strict:
-        place = F.concat(F.lit("bad JSON line in "), F.col("src_file"), F.lit(": "), F.col("text"))
-        return raw.select(*ORDER, F.coalesce(fields, F.raise_error(place).cast("map<string,variant>")).alias("fields"))
-    return raw.filter(F.col("text") != "").select(*ORDER, fields.alias("fields"))
+    if not strict:
+        return parse_records(raw.filter(F.col("text") != ""), "text")
+    failed = F.raise_error(F.concat(F.lit("bad JSON line in "), F.col("src_file"))).cast("map<string,variant>")
+    return parse_records(raw, "text").withColumn("fields", F.coalesce("fields", failed))
 
 
 def sft_records(parsed: DataFrame, fields: str = "fields") -> DataFrame:
@@ -73,14 +76,13 @@ def sft_records(parsed: DataFrame, fields: str = "fields") -> DataFrame:
     Falsy values count as empty. An instruction or output that is neither is malformed.
     """
     record = F.col(fields)
-    instruction, output = or_empty(record["instruction"]), or_empty(record["output"])
-    malformed = record.isNull() | instruction.isNull() | output.isNull()
     language = F.when(is_string(record["language"]), F.try_variant_get(record["language"], "$", "string"))
-    return parsed.select(
+    typed = parsed.select(
         *[c for c in parsed.columns if c not in SFT_FIELDS],
-        F.when(~malformed, instruction).alias("instruction"),
-        F.when(~malformed, or_empty_any(record["input"])).alias("input"),
-        F.when(~malformed, output).alias("output"),
+        or_empty(record["instruction"]).alias("instruction"),
+        or_empty_any(record["input"]).alias("input"),
+        or_empty(record["output"]).alias("output"),
         language.alias("language"),
-        malformed.alias("malformed"),
     )
+    usable = record.isNotNull() & F.col("instruction").isNotNull() & F.col("output").isNotNull()
+    return typed.withColumn("malformed", ~usable)

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from corpusprep.functions.hashing import pair_digest
-from corpusprep.functions.text import strip
+from corpusprep.functions.text import n_chars, strip
 from corpusprep.functions.tokenizers import NativeTokenizer, Tokenizer
 from corpusprep.operators.dedup import first_rows
 from corpusprep.operators.validate import (
@@ -19,7 +19,7 @@ from corpusprep.operators.validate import (
     prompt_text,
     token_limit,
 )
-from corpusprep.sources.ingest import parse_record, sft_records
+from corpusprep.sources.ingest import parse_records, sft_records
 
 INGEST_TIME = "ingest_time"
 # A stream cannot number its rows; run_first_wins does it per micro-batch.
@@ -28,20 +28,30 @@ ROW = "src_row"
 
 def stream_jsonl(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
     """JSONL files as they arrive, parsed and typed; blank lines are skipped."""
-    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     reader = spark.readStream.schema("value string")
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     line = strip(F.col("value"))
-    parsed = (
+    lines = (
         reader.text(path)
         .withColumn("src_file", F.col("_metadata.file_path"))
         .withColumn("src_block", F.col("_metadata.file_block_start"))
         .withColumn("_line", line)
         .filter(F.col("_line") != "")
-        .select("src_file", "src_block", parse_record(F.col("_line")).alias("fields"))
+        .select("src_file", "src_block", "_line")
     )
-    return sft_records(parsed)
+    return sft_records(parse_records(lines, "_line"))
+
+
+def _length_status(df: DataFrame, max_tokens: int, tokenizer: Tokenizer | None, settled: Column | None = None) -> DataFrame:
+    """Add ``status``: the settled one where there is one, else by length."""
+    sized = df.withColumn("_prompt", prompt_text(F.col("instruction"), F.col("input"))).withColumn(
+        "_chars", n_chars(F.col("_prompt"))
+    )
+    by_length = length_class(F.col("_chars"), max_tokens)
+    staged = sized.withColumn("status", by_length if settled is None else F.coalesce(settled, by_length))
+    judged = token_limit(staged, F.col("_prompt"), "status", max_tokens, tokenizer or NativeTokenizer())
+    return judged.drop("_prompt", "_chars")
 
 
 def validate_stream(
@@ -69,9 +79,7 @@ def validate_stream(
             .dropDuplicatesWithinWatermark(["digest"])
             .drop(INGEST_TIME)
         )
-    prompt = prompt_text(F.col("instruction"), F.col("input"))
-    staged = unique.withColumn("status", length_class(prompt, max_tokens))
-    return token_limit(staged, prompt, "status", max_tokens, tokenizer or NativeTokenizer())
+    return _length_status(unique, max_tokens, tokenizer)
 
 
 def early_status_counts(records: DataFrame) -> DataFrame:
@@ -98,7 +106,6 @@ def run_first_wins(
     batch that is run again overwrites its own directories and ignores its own digests, so a
     restart changes nothing.
     """
-    tokenizer = tokenizer or NativeTokenizer()
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -121,14 +128,9 @@ def run_first_wins(
         new_path = f"{keys}/batch_id={batch_id}"
         new.write.mode("overwrite").parquet(new_path)
         winners = spark.read.parquet(new_path).select(*order, F.lit(True).alias("_new"))
-        prompt = prompt_text(F.col("instruction"), F.col("input"))
-        judged = staged.join(winners, list(order), "left").withColumn(
-            "status",
-            F.when(F.col("_early").isNotNull(), F.col("_early"))
-            .when(F.col("_new").isNull(), "duplicates")
-            .otherwise(length_class(prompt, max_tokens)),
-        )
-        token_limit(judged, prompt, "status", max_tokens, tokenizer).select(
+        marked = staged.join(winners, list(order), "left")
+        repeat = F.when(F.col("_new").isNull(), "duplicates")
+        _length_status(marked, max_tokens, tokenizer, F.coalesce("_early", repeat)).select(
             *order, *[c for c in keep if c not in order], "status", "n_tokens"
         ).write.mode("overwrite").parquet(f"{out}/status/batch_id={batch_id}")
 
