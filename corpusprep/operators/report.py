@@ -75,7 +75,7 @@ def build(
     tokenizer_vocab_size: int | None = None,
     wall_time_seconds: float | None = None,
 ) -> DataFrame:
-    """The validation report as one row; only counted values meet here."""
+    """The validation report as one row, from records, split records and judged text lines."""
     counts = status_counts(classified)
     splits = split_counts(split).select(
         F.create_map(*[x for n in (*THREE_WAY, "total") for x in (F.lit(n), F.col(n))])
