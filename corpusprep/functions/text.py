@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -24,6 +27,16 @@ def strip(c: Column) -> Column:
     return F.btrim(c, F.lit(WHITESPACE))
 
 
+def strip_long(c: Column) -> Column:
+    """As :func:`strip`, for a plain column of long texts.
+
+    Trimming on the right walks the whole text; looking at its end does not, and most texts end
+    without white space. The column is named many times, so it must not be a costly expression.
+    """
+    ends_blank = reduce(or_, [c.endswith(w) for w in WHITESPACE])
+    return F.when(ends_blank, strip(c)).otherwise(F.ltrim(c, F.lit(WHITESPACE)))
+
+
 def n_chars(c: Column) -> Column:
     """Length in code points, as BIGINT."""
     return F.length(c).cast("bigint")

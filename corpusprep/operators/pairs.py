@@ -4,14 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from corpusprep.functions.hashing import hash_choice, seeded_hash
-from corpusprep.functions.text import strip
+from corpusprep.functions.text import WHITESPACE, strip_long
 from corpusprep.operators.sample import first_k, fixed_size
 from corpusprep.operators.split import DEFAULT_SEED
+from corpusprep.sources.ingest import ORDER, ordered_text
+
+# Source order of pairs read from files: the record's, then the place in the record.
+FILE_ORDER = (*ORDER, "src_pos")
 
 # Markers, character limits, default sizes and instruction wordings.
 EN_MARKER = "EN:"
@@ -29,61 +33,177 @@ TRANSLATE_INSTRUCTIONS = (
 
 
 def markers(lines: DataFrame, text: str = "text") -> DataFrame:
-    """Keep marker lines; add ``kind`` (EN or HI) and ``body`` (rest of the line, stripped)."""
-    line = strip(F.col(text))
-    kind = F.when(line.startswith(EN_MARKER), "EN").when(line.startswith(HI_MARKER), "HI")
+    """Keep marker lines; add ``kind`` (EN or HI) and ``body`` (rest of the line, stripped).
+
+    Lines are taken as stripped, as :func:`corpusprep.sources.ingest.lines` gives them.
+    """
+    line = F.col(text)
+    body = F.substring(line, len(EN_MARKER) + 1, 2**31 - 1)
     return (
-        lines.withColumn("kind", kind)
-        .filter(F.col("kind").isNotNull())
-        .withColumn("body", strip(F.substring(line, len(EN_MARKER) + 1, 2**31 - 1)))
+        lines.filter(line.startswith(EN_MARKER) | line.startswith(HI_MARKER))
+        .withColumn("kind", F.when(line.startswith(EN_MARKER), "EN").otherwise("HI"))
+        .withColumn("body", F.ltrim(body, F.lit(WHITESPACE)))
         .drop(text)
     )
 
 
+def candidates(
+    marked: DataFrame, source: Sequence[str], bucket: str, order: str, within: Sequence[str] | None = None
+) -> DataFrame:
+    """Pairs inside one bucket, and the first and last marker of every bucket.
+
+    Rows are sorted per (source, bucket), so that one long source is spread over many tasks.
+    ``within`` may name cheaper columns to sort by, if along (``within``, ``order``) the rows of a
+    bucket stand together in order.
+    """
+    along = Window.partitionBy(*(within or [*source, bucket])).orderBy(order)
+    place = F.struct(*source, bucket)
+    is_hi = F.col("kind") == "HI"
+    seen = (
+        marked.withColumn("_before", F.lag(F.struct(place.alias("place"), "kind", "body")).over(along))
+        .withColumn("_after", F.lead(place).over(along))
+        .withColumn("_starts", ~F.col("_before.place").eqNullSafe(place))
+        .withColumn("is_first", F.col("_starts") & is_hi)
+        .withColumn("is_last", ~F.col("_after").eqNullSafe(place))
+    )
+    before = F.col("_before")
+    paired = ~F.col("_starts") & is_hi & (F.col("body") != "") & (before["kind"] == "EN") & (before["body"] != "")
+    seen = seen.withColumn("is_pair", F.coalesce(paired, F.lit(False)))
+    # Only an EN that ends its bucket, or a HI that starts one, needs its text beyond this point.
+    edge_text = F.when(F.col("is_first") | (F.col("is_last") & ~is_hi), F.col("body"))
+    found = seen.filter(F.col("is_pair") | F.col("is_first") | F.col("is_last")).select(
+        *source, bucket, order, "is_pair", "is_first", "is_last", "kind",
+        F.when(F.col("is_pair"), before["body"]).alias("en"),
+        F.when(F.col("is_pair"), F.col("body")).otherwise(edge_text).alias("hi"),
+    )
+    # Lengths in characters, so that later steps can choose pairs without reading texts.
+    return found.withColumn("en_chars", F.length("en")).withColumn("hi_chars", F.length("hi"))
+
+
+def join_edges(found: DataFrame, source: Sequence[str], bucket: str, order: str) -> DataFrame:
+    """All pairs: those found inside buckets, and those whose EN ends the bucket before.
+
+    The window here sees two rows per bucket at most.
+    """
+    pair = [*source, bucket, order, "en", "hi", "en_chars", "hi_chars"]
+    in_source = Window.partitionBy(*source).orderBy(bucket, order)
+
+    def before(c: str) -> Column:
+        return F.lag(c).over(in_source)
+
+    # One lag per column: a step that needs no texts then reads none.
+    across = (
+        found.filter(F.col("is_first") | F.col("is_last"))
+        .withColumns({"_kind": before("kind"), "en_chars": before("hi_chars"), "en": before("hi")})
+        .filter(F.col("is_first") & (F.col("hi_chars") > 0) & (F.col("_kind") == "EN") & (F.col("en_chars") > 0))
+    )
+    return found.filter("is_pair").select(*pair).unionByName(across.select(*pair))
+
+
 def pair_markers(marked: DataFrame, source: Sequence[str], bucket: str, order: str) -> DataFrame:
     """Pair each HI marker with the EN marker right before it in the same source.
 
     A HI marker pairs if the marker before it is EN and both bodies have text; so a later EN
-    replaces an earlier one and an empty HI uses up its EN. Source order is (``bucket``, ``order``). Rows are sorted per (source, bucket), so that one long
-    source is spread over many tasks; only the first and last marker of every bucket meet again to
-    carry an EN over a bucket edge. Both halves read the same shuffle.
+    replaces an earlier one and an empty HI uses up its EN. Source order is (``bucket``, ``order``).
     """
-    rows = marked.select(*source, bucket, order, "kind", "body")
-    inside = Window.partitionBy(*source, bucket).orderBy(order)
-    marker = F.struct("kind", "body")
-    seen = rows.withColumn("_before", F.lag(marker).over(inside)).withColumn("_after", F.lead("kind").over(inside))
-
-    def paired(df: DataFrame) -> DataFrame:
-        return df.filter(
-            (F.col("kind") == "HI") & (F.col("body") != "") & (F.col("_before.kind") == "EN") & (F.col("_before.body") != "")
-        ).select(*source, bucket, order, F.col("_before.body").alias("en"), F.col("body").alias("hi"))
-
-    first = F.col("_before").isNull()
-    last = F.col("_after").isNull()
-    edges = seen.filter((first & (F.col("kind") == "HI")) | last)
-    # Only an EN that ends its bucket, or a HI that starts one, needs its text here.
-    needed = first | (F.col("kind") == "EN")
-    across = (
-        edges.withColumn("_first", first)
-        .withColumn("body", F.when(needed, F.col("body")))
-        .withColumn("_before", F.lag(marker).over(Window.partitionBy(*source).orderBy(bucket, order)))
-        .filter("_first")
+    return join_edges(candidates(marked, source, bucket, order), source, bucket, order)
+
+
+def pair_lines(lines: DataFrame) -> DataFrame:
+    """(en, hi) pairs of marker lines read by :func:`corpusprep.sources.ingest.lines`.
+
+    A scan task reads its file splits one after the other and numbers rows as it goes, with its own
+    number in the bits above the lowest 33: sorting by those two numbers needs no file names.
+    """
+    numbered = markers(lines).withColumn("_task", F.shiftright("src_row", 33))
+    place = (["src_file"], "src_block", "src_row")
+    return join_edges(candidates(numbered, *place, within=["_task"]), *place)
+
+
+def read_chunks(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """Pairs of marker files, found without a shuffle; :func:`settle_first` completes them.
+
+    Files are read in records that end before each line starting with EN:. Such a line forgets all
+    that came before it, so a record pairs up on its own, wherever the file was cut. Only the first
+    record of a file has no EN: cut off in front of it. Which record that is shows when all are
+    read, so records of first splits are read both ways, and kept if they have no pair.
+    """
+    records = ordered_text(spark, paths, line_sep="\n" + EN_MARKER)
+    cut = F.struct(F.lit(False).alias("as_first"), F.concat(F.lit(EN_MARKER), "text").alias("text"))
+    whole = F.struct(F.lit(True).alias("as_first"), F.col("text").alias("text"))
+    # Without an EN: inside, the whole reading finds no pair.
+    two_ways = (F.col("src_block") == 0) & F.col("text").contains(EN_MARKER)
+    both = F.when(two_ways, F.array(cut, whole)).otherwise(F.array(cut))
+    text = F.col("_way.text")
+    lines = F.when(text.contains("\r"), F.split(text, "\r\n|\r|\n")).otherwise(F.split(text, "\n"))
+    trimmed = F.transform(lines, lambda x: F.ltrim(x, F.lit(WHITESPACE)))
+    marks = F.transform(
+        F.filter(trimmed, lambda x: x.startswith(EN_MARKER) | x.startswith(HI_MARKER)),
+        lambda x: F.struct(x.startswith(EN_MARKER).alias("is_en"), F.substring(x, len(EN_MARKER) + 1, 2**31 - 1).alias("body")),
+    )
+    stripped = F.transform("_marks", lambda m: F.struct(m["is_en"].alias("is_en"), strip_long(m["body"]).alias("body")))
+    neighbours = F.when(
+        F.size("_marks") >= 2,
+        F.transform(
+            F.sequence(F.lit(1), F.size("_marks") - 1),
+            lambda i: F.struct(F.get("_marks", i - 1).alias("a"), F.get("_marks", i).alias("b")),
+        ),
     )
-    return paired(seen).unionByName(paired(across))
+    paired = F.filter(
+        neighbours,
+        lambda n: n["a"]["is_en"] & ~n["b"]["is_en"] & (n["a"]["body"] != "") & (n["b"]["body"] != ""),
+    )
+    return (
+        records.withColumn("_way", F.explode(both))
+        .select(*FILE_ORDER[:-1], F.col("_way.as_first").alias("as_first"), marks.alias("_marks"))
+        .withColumn("_marks", stripped)
+        .select(*FILE_ORDER[:-1], "as_first", F.posexplode_outer(paired).alias("src_pos", "_pair"))
+        .filter(F.col("_pair").isNotNull() | ((F.col("src_block") == 0) & ~F.col("as_first")))
+        .select(*FILE_ORDER, "as_first", F.col("_pair.a.body").alias("en"), F.col("_pair.b.body").alias("hi"))
+        .withColumn("en_chars", F.length("en"))
+        .withColumn("hi_chars", F.length("hi"))
+    )
+
+
+def settle_first(found: DataFrame) -> DataFrame:
+    """All pairs of the files behind :func:`read_chunks`, which should be materialized before."""
+    pair = [*FILE_ORDER, "en", "hi", "en_chars", "hi_chars"]
+    in_first_split = F.col("src_block") == 0
+    # The join is on unique record numbers, and takes rows of first splits only.
+    heads = found.filter(in_first_split).groupBy("src_file").agg(F.min("src_row").alias("src_row")).select("src_row", F.lit(True).alias("_head"))
+    first_splits = (
+        found.filter(in_first_split & F.col("hi_chars").isNotNull())
+        .join(heads, "src_row", "left")
+        .filter(F.col("as_first") == F.coalesce("_head", F.lit(False)))
+    )
+    return found.filter(~in_first_split).select(*pair).unionByName(first_splits.select(*pair))
+
 
+def is_story() -> Column:
+    return F.col("hi_chars").between(*STORY_CHARS)
 
-def pair_lines(lines: DataFrame, source: Sequence[str], bucket: str, order: str, text: str = "text") -> DataFrame:
-    """(en, hi) pairs of a marker file; lines without a marker are skipped and change nothing."""
-    return pair_markers(markers(lines, text), source, bucket, order)
+
+def is_eligible() -> Column:
+    return F.col("en_chars").between(*PAIR_CHARS) & F.col("hi_chars").between(*PAIR_CHARS)
 
 
 def stories(pairs: DataFrame, limit: int | None, order: Sequence[str], buckets: Sequence[Column] | None = None) -> DataFrame:
     """HI texts of story length, the first ``limit`` in source order, as text lines."""
-    return first_k(pairs.filter(F.length("hi").between(*STORY_CHARS)), limit, order, buckets).withColumnRenamed("hi", "text").drop("en")
+    return first_k(pairs.filter(is_story()), limit, order, buckets).select(*order, F.col("hi").alias("text"))
 
 
 def eligible(pairs: DataFrame) -> DataFrame:
-    return pairs.filter(F.length("en").between(*PAIR_CHARS) & F.length("hi").between(*PAIR_CHARS))
+    return pairs.filter(is_eligible())
+
+
+def counts(pairs: DataFrame, story_limit: int | None) -> DataFrame:
+    """One row: pairs seen, pairs that qualify for the sample, and stories kept."""
+    n_stories = F.count_if(is_story())
+    return pairs.agg(
+        F.count(F.lit(1)).alias("pairs"),
+        F.count_if(is_eligible()).alias("eligible"),
+        (n_stories if story_limit is None else F.least(n_stories, F.lit(story_limit).cast("bigint"))).alias("stories"),
+    )
 
 
 def to_triples(pairs: DataFrame, ids: Sequence[str], seed: int = DEFAULT_SEED) -> DataFrame:

@@ -61,13 +61,6 @@ def lcpt_counts(lines: DataFrame) -> DataFrame:
     )
 
 
-def pair_counts(pairs: DataFrame, eligible: DataFrame, stories: DataFrame) -> DataFrame:
-    """One row: pairs seen, pairs that qualify for the sample, and stories kept."""
-    counted = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(k).alias("k"), "n") for k, df in (("pairs", pairs), ("eligible", eligible), ("stories", stories))]
-    merged = counted[0].unionByName(counted[1]).unionByName(counted[2])
-    return merged.agg(*[F.max(F.when(F.col("k") == k, F.col("n"))).alias(k) for k in ("pairs", "eligible", "stories")])
-
-
 def build(
     classified: DataFrame,
     split: DataFrame,

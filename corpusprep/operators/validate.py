@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusprep.functions.hashing import pair_digest
-from corpusprep.functions.text import n_chars, strip, text_or_empty
+from corpusprep.functions.text import n_chars, strip, strip_long, text_or_empty
 from corpusprep.functions.tokenizers import NativeTokenizer, Tokenizer
 from corpusprep.operators.dedup import first_rows, mark_first
 
@@ -115,6 +115,6 @@ def lcpt_lines(
     min_chars: int = MIN_LINE_CHARS,
 ) -> DataFrame:
     """Status ``valid`` or ``too_long`` for text lines; lines under ``min_chars`` are dropped uncounted."""
-    stripped = lines.withColumn(text, strip(F.col(text))).withColumn("_chars", n_chars(F.col(text)))
+    stripped = lines.withColumn(text, strip_long(F.col(text))).withColumn("_chars", n_chars(F.col(text)))
     staged = stripped.filter(F.col("_chars") >= min_chars).withColumn("status", length_class(F.col("_chars"), max_tokens))
     return token_limit(staged, F.col(text), "status", max_tokens, tokenizer or NativeTokenizer()).drop("_chars")

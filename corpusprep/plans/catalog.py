@@ -290,7 +290,7 @@ def _conversation_buckets(df: DataFrame) -> list[Column]:
 
 
 def pair_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _pairs(spark, sf_dir)
+    return _pairs(spark, sf_dir).withColumns({c: F.col(c).cast("bigint") for c in ("en_chars", "hi_chars")})
 
 
 def stories(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -304,9 +304,7 @@ def translation_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pair_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    paired = materialize(_pairs(spark, sf_dir), "pairs")
-    kept = pairs.stories(paired, STORY_LIMIT, ["conv_id", "turn"], _conversation_buckets(paired))
-    return report.pair_counts(paired, pairs.eligible(paired), kept)
+    return pairs.counts(_pairs(spark, sf_dir), STORY_LIMIT)
 
 
 # --- scoring -----------------------------------------------------------------------------------

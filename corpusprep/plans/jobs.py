@@ -74,12 +74,12 @@ def parse_parallel(
     seed: int = split.DEFAULT_SEED,
 ) -> DataFrame:
     """Stories and translation records from an EN:/HI: file; returns the counts."""
-    lines = ingest.lines(spark, path)
-    paired = materialize(pairs.pair_lines(lines, ["src_file"], "src_block", "src_row"), "pairs")
-    kept = pairs.stories(paired, max_stories, ingest.ORDER, [ingest.split()])
-    sinks.text(kept, stories_out)
-    sinks.jsonl(pairs.translation_sample(paired, ingest.ORDER, max_pairs, seed).drop(*ingest.ORDER), records_out)
-    return report.pair_counts(paired, pairs.eligible(paired), kept)
+    paired = pairs.settle_first(materialize(pairs.read_chunks(spark, path), "pairs"))
+    sinks.text(pairs.stories(paired, max_stories, pairs.FILE_ORDER, [ingest.split()]), stories_out)
+    # Record numbers are unique across files.
+    ids = ["src_row", "src_pos"]
+    sinks.jsonl(pairs.translation_sample(paired, ids, max_pairs, seed).drop(*ids), records_out)
+    return pairs.counts(paired, max_stories)
 
 
 def convert_messages(spark: SparkSession, jsonl: Paths, out: str) -> DataFrame:
@@ -98,7 +98,7 @@ def lcpt_training(
     seed: int = split.DEFAULT_SEED,
 ) -> DataFrame:
     """Corpus lines, sampled, cut into token windows and tokenized: one row per training example."""
-    lines = sample.fixed_size(ingest.lines(spark, text), max_stories, ingest.ORDER, seed)
+    lines = sample.fixed_size(ingest.lines(spark, text), max_stories, ["src_row"], seed)
     return chunk.truncate(chunk.windows(lines, "text", tokenizer, max_len), "text", tokenizer, max_len).select("tokens")
 
 

@@ -231,7 +231,7 @@ ORACLE: dict[str, str] = {
                count(*) FILTER (NOT ({USER} <> '' AND {ANSWER} <> '')) AS dropped FROM sft""",
     "q_chat_render": f"WITH {SFT} SELECT doc_id, {chat_text(('user', PROMPT), ('assistant', 'output'))} AS text FROM sft",
     "q_prompt_chat": f"SELECT item_id, concat({chat_text(('user', 'text'))}, '<|im_start|>assistant', {NL}) AS text FROM benchmark",
-    "q_pair_lines": f"WITH {PAIRS} SELECT conv_id, turn, en, hi FROM pairs",
+    "q_pair_lines": f"WITH {PAIRS} SELECT conv_id, turn, en, hi, length(en) AS en_chars, length(hi) AS hi_chars FROM pairs",
     "q_stories": f"WITH {PAIRS}, s AS ({STORIES}) SELECT conv_id, turn, hi AS text FROM s",
     "q_translation_sample": f"""WITH {PAIRS}, e AS ({ELIGIBLE} ORDER BY {hash_of('conv_id', 'turn')} LIMIT {catalog.PAIR_SAMPLE})
         SELECT conv_id, turn, {WORDINGS}[{hash_index(hash_of("'instruction'", 'conv_id', 'turn'), '3')} + 1] AS instruction,

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusprep.functions.text import is_string, or_empty, or_empty_any, strip
+from corpusprep.functions.text import is_string, or_empty, or_empty_any, strip_long
 
 # Source order of a line: file, then file split, then row. A split is read in one piece by one
 # task, so the generated row number grows along it; across splits and files it need not.
@@ -20,8 +20,10 @@ def split() -> Column:
     return F.struct("src_file", "src_block")
 
 
-def _ordered_text(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    return spark.read.text(paths if isinstance(paths, str) else list(paths)).select(
+def ordered_text(spark: SparkSession, paths: str | Sequence[str], line_sep: str | None = None) -> DataFrame:
+    """Raw text records, lines by default, with their source order."""
+    reader = spark.read if line_sep is None else spark.read.option("lineSep", line_sep)
+    return reader.text(paths if isinstance(paths, str) else list(paths)).select(
         F.col("value").alias("text"),
         F.col("_metadata.file_path").alias("src_file"),
         F.col("_metadata.file_block_start").alias("src_block"),
@@ -31,7 +33,7 @@ def _ordered_text(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
 
 def lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Stripped, non-empty text lines with their source order."""
-    return _ordered_text(spark, paths).withColumn("text", strip(F.col("text"))).filter(F.col("text") != "")
+    return ordered_text(spark, paths).withColumn("text", strip_long(F.col("text"))).filter(F.col("text") != "")
 
 
 def parse_records(df: DataFrame, line: str, fields: str = "fields") -> DataFrame:
@@ -63,7 +65,7 @@ def jsonl(spark: SparkSession, paths: str | Sequence[str], strict: bool = False)
     Blank lines are skipped and a bad line has null ``fields``. With ``strict`` any blank or bad
     line fails the job.
     """
-    raw = _ordered_text(spark, paths).withColumn("text", strip(F.col("text")))
+    raw = ordered_text(spark, paths).withColumn("text", strip_long(F.col("text")))
     if not strict:
         return parse_records(raw.filter(F.col("text") != ""), "text")
     failed = F.raise_error(F.concat(F.lit("bad JSON line in "), F.col("src_file"))).cast("map<string,variant>")

@@ -23,21 +23,26 @@ def walk(lines):
     return found
 
 
-def read(spark, *paths):
-    return pairs.pair_lines(ingest.lines(spark, list(paths)), ["src_file"], "src_block", "src_row")
+def by_lines(spark, *paths):
+    return [(r.en, r.hi) for r in pairs.pair_lines(ingest.lines(spark, list(paths))).orderBy(*ingest.ORDER).collect()]
 
 
-def in_order(df):
-    return [(r.en, r.hi) for r in df.orderBy(*ingest.ORDER).collect()]
+def by_chunks(spark, *paths):
+    found = pairs.settle_first(pairs.read_chunks(spark, list(paths)))
+    return [(r.en, r.hi) for r in found.orderBy(*pairs.FILE_ORDER).collect()]
 
 
-def test_rules(spark, tmp_path, lines_file):
+READERS = pytest.mark.parametrize("read", [by_lines, by_chunks])
+
+
+@READERS
+def test_rules(spark, tmp_path, lines_file, read):
     lines = [
         "HI: no partner", "EN: one", "HI: ek", "EN: dropped", "EN: two", "HI: do", "HI: extra", "EN: three", "HI:", "HI: late",
         "EN:", "HI: empty partner", "  EN:  four  ", "junk", "", "\tHI:　चार  ", "EN: five", "EN:", "HI: none", "en: x", "EN: end",
     ]
     path = lines_file(tmp_path / "p.txt", lines)
-    assert in_order(read(spark, path)) == walk(lines) == [("one", "ek"), ("two", "do"), ("four", "चार")]
+    assert read(spark, path) == walk(lines) == [("one", "ek"), ("two", "do"), ("four", "चार")]
 
 
 def random_lines(rng, n):
@@ -46,17 +51,45 @@ def random_lines(rng, n):
 
 
 @pytest.mark.parametrize("seed", range(3))
-def test_random_files_cut_into_many_splits(spark, tmp_path, lines_file, small_splits, seed):
+@READERS
+def test_random_files_cut_into_many_splits(spark, tmp_path, lines_file, small_splits, seed, read):
     rng = random.Random(seed)
     files = [random_lines(rng, n) for n in (400, 3, 250)]
     paths = [lines_file(tmp_path / f"{i}.txt", lines) for i, lines in enumerate(files)]
     assert ingest.lines(spark, paths).select("src_block").distinct().count() > 5
-    assert in_order(read(spark, *paths)) == [p for lines in files for p in walk(lines)]
+    assert read(spark, *paths) == [p for lines in files for p in walk(lines)]
 
 
-def test_stretches_without_markers_span_splits(spark, tmp_path, lines_file, small_splits):
+@READERS
+def test_stretches_without_markers_span_splits(spark, tmp_path, lines_file, small_splits, read):
     lines = ["EN: far"] + ["junk " + "j" * 100] * 100 + ["HI: दूर", "HI: extra"] + ["x" * 90] * 60 + ["EN: a", "EN: b"] + ["y" * 50] * 80 + ["HI: ख"]
-    assert in_order(read(spark, lines_file(tmp_path / "far.txt", lines))) == walk(lines) == [("far", "दूर"), ("b", "ख")]
+    assert read(spark, lines_file(tmp_path / "far.txt", lines)) == walk(lines) == [("far", "दूर"), ("b", "ख")]
+
+
+HEADS = [
+    ["EN: a", "HI: क"],
+    ["EN:EN: a", "HI: क", "EN:EN: b", "HI: ख"],
+    ["title", "HI: no", "EN: a", "HI: क"],
+    ["", "EN: a", "HI: क"],
+    ["HI: no", "EN:title", "HI: क"],
+    ["  EN: indented", "HI: क", " EN: b", "EN: c", "HI: ग"],
+    ["junk"],
+    ["EN: only"],
+    ["EN:", "HI: none"],
+    ["EN: mac\rHI: ends\rEN: and\rHI: more", "EN: dos\r", "HI: lines\r", "\r"],
+]
+
+
+@READERS
+def test_how_files_begin(spark, tmp_path, lines_file, read):
+    paths = [lines_file(tmp_path / f"{i}.txt", lines) for i, lines in enumerate(HEADS)]
+    want = [p for lines in HEADS for p in walk("\n".join(lines).replace("\r\n", "\n").replace("\r", "\n").split("\n"))]
+    assert read(spark, *paths) == want
+
+
+def test_reading_chunks_shuffles_nothing(spark, tmp_path, lines_file):
+    path = lines_file(tmp_path / "p.txt", ["EN: a", "HI: क"])
+    assert "Exchange" not in pairs.read_chunks(spark, path)._jdf.queryExecution().executedPlan().toString()
 
 
 def test_one_source_with_most_rows(spark):
@@ -82,9 +115,13 @@ def test_both_halves_read_one_shuffle(spark):
     assert "SinglePartition" not in plan
 
 
+def with_lengths(df):
+    return df.withColumn("en_chars", F.length("en")).withColumn("hi_chars", F.length("hi"))
+
+
 @pytest.mark.parametrize("n, kept", [(99, False), (100, True), (8000, True), (8001, False)])
 def test_story_lengths(spark, n, kept):
-    df = spark.createDataFrame([(1, "en", "क" * n)], "id bigint, en string, hi string")
+    df = with_lengths(spark.createDataFrame([(1, "en", "क" * n)], "id bigint, en string, hi string"))
     assert pairs.stories(df, 5, ["id"]).count() == kept
 
 
@@ -92,18 +129,20 @@ def test_story_lengths(spark, n, kept):
 def test_pair_lengths(spark, n, kept):
     ok = "x" * 60
     df = spark.createDataFrame([(1, ok, "क" * n), (2, "e" * n, ok)], "id bigint, en string, hi string")
+    df = with_lengths(df)
     assert pairs.eligible(df).count() == 2 * kept
 
 
 def test_stories_keep_file_order(spark, tmp_path, lines_file, small_splits):
     lines = [x for i in range(60) for x in (f"EN: {i}", "HI: " + f"{i} " * 60)]
-    paired = read(spark, lines_file(tmp_path / "s.txt", lines))
-    got = pairs.stories(paired, 17, ingest.ORDER, [ingest.split()])
-    assert [r.text.split()[0] for r in got.orderBy(*ingest.ORDER).collect()] == [str(i) for i in range(60) if len(f"{i} " * 60) >= 100][:17]
+    paired = pairs.settle_first(pairs.read_chunks(spark, lines_file(tmp_path / "s.txt", lines)))
+    got = pairs.stories(paired, 17, pairs.FILE_ORDER, [ingest.split()])
+    assert [r.text.split()[0] for r in got.orderBy(*pairs.FILE_ORDER).collect()] == [str(i) for i in range(60) if len(f"{i} " * 60) >= 100][:17]
 
 
 def test_translation_sample(spark):
     df = spark.createDataFrame([(i, f"{i} " * 40, f"{i}क" * 40) for i in range(200)], "id bigint, en string, hi string")
+    df = with_lengths(df)
     rows = pairs.translation_sample(df, ["id"], 50).collect()
     assert len(rows) == 50 and len({r.id for r in rows}) == 50
     assert {r.language for r in rows} == {"hindi_translation"}
