@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusprep.functions.hashing import seeded_hash
-from corpusprep.functions.text import as_str, strip, text_or_empty
+from corpusprep.functions.text import as_str, is_falsy, strip, text_or_empty
 from corpusprep.operators.split import DEFAULT_SEED
 
 # Separators and chat marks.
@@ -26,7 +26,7 @@ def _messages(user: Column, assistant: Column) -> Column:
 def fields_as_text(df: DataFrame, fields: str = "fields") -> DataFrame:
     """Instruction, input and output of JSON records, coerced to text, plus ``id``."""
     record = F.col(fields)
-    id_ = F.try_variant_get(record["id"], "$", "string")
+    id_ = F.when(~is_falsy(record["id"]), F.try_variant_get(record["id"], "$", "string"))
     return df.select(
         *[c for c in df.columns if c not in ("instruction", "input", "output", "id")],
         *[as_str(record[c]).alias(c) for c in ("instruction", "input", "output")],

@@ -46,3 +46,10 @@ def first_k_per_group(df: DataFrame, k: int, group: Sequence[str], order: Sequen
     """The first ``k`` rows of every group. Spark cuts each group to ``k`` before the shuffle."""
     at = Window.partitionBy(*group).orderBy(*order)
     return df.withColumn("_at", F.row_number().over(at)).filter(F.col("_at") <= k).drop("_at")
+
+
+def sizes(df: DataFrame, k: int | None) -> DataFrame:
+    """One row: rows seen, and rows that a sample or cut of ``k`` keeps."""
+    seen = F.count(F.lit(1))
+    kept = seen if k is None else F.least(seen, F.lit(k).cast("bigint"))
+    return df.agg(seen.alias("seen"), kept.alias("kept"))

@@ -78,7 +78,8 @@ def classify(
     """Give every record exactly one status, and ``n_tokens`` where tokens had to be counted.
 
     ``df`` has instruction, input and output, and optionally a boolean ``malformed``; ``order``
-    names columns that are unique and sort in source order. The tests run in the order malformed,
+    names columns that are unique and sort in source order; generated row numbers should be
+    materialized before, because the records are read twice. The tests run in the order malformed,
     empty_fields, duplicates, length, so a repeat of an over-long record is a duplicate. ``exact``
     counts tokens for every record instead of trusting the character limits.
     """

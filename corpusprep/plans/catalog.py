@@ -230,6 +230,11 @@ def sample_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sample.fixed_size(lines, BIG_SAMPLE_ROWS, ["l_orderkey", "l_linenumber"])
 
 
+def sample_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = document_lines(spark, sf_dir).filter(tx.strip(F.col("text")) != "")
+    return sample.sizes(lines, BIG_SAMPLE_ROWS)
+
+
 def first_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sample.first_k(table(spark, sf_dir, "documents").select("doc_id", "text"), SAMPLE_ROWS, ["doc_id"])
 
@@ -446,6 +451,7 @@ QUERIES: dict[str, Query] = {
     "q_truncate": truncated,
     "q_sample_k": sample_k,
     "q_sample_lines": sample_lines,
+    "q_sample_sizes": sample_sizes,
     "q_first_k": first_k,
     "q_train_subset": train_subset,
     "q_to_messages": to_messages,

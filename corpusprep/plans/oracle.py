@@ -221,6 +221,7 @@ ORACLE: dict[str, str] = {
     "q_sample_k": f"SELECT doc_id, text FROM documents ORDER BY {hash_of('doc_id')} LIMIT {catalog.SAMPLE_ROWS}",
     "q_sample_lines": f"""SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem
         ORDER BY {hash_of('l_orderkey', 'l_linenumber')} LIMIT {catalog.BIG_SAMPLE_ROWS}""",
+    "q_sample_sizes": f"WITH {LINES} SELECT count(*) AS seen, least(count(*), {catalog.BIG_SAMPLE_ROWS}) AS kept FROM lines WHERE line <> ''",
     "q_first_k": f"SELECT doc_id, text FROM documents ORDER BY doc_id LIMIT {catalog.SAMPLE_ROWS}",
     "q_train_subset": "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem ORDER BY l_orderkey, l_linenumber LIMIT 15000",
     "q_to_messages": f"""WITH {SFT}, m AS (SELECT doc_id, {CONTENT} AS user_content, {ANSWER} AS assistant_content, {USER} AS u FROM sft)

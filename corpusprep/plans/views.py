@@ -14,7 +14,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``documents`` for queries that work on its whole texts."""
-    return spread_small(table(spark, sf_dir, "documents"))
+    return spread_small(table(spark, sf_dir, "documents"), "doc_id")
 
 
 def sft_view(spark: SparkSession, sf_dir: str) -> DataFrame:

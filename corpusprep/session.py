@@ -69,13 +69,13 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def spread_small(df: DataFrame) -> DataFrame:
-    """Deal the rows of a table that fits in one file split out to all cores.
+def spread_small(df: DataFrame, key: str) -> DataFrame:
+    """Spread a table that fits in one file split over all cores, by a unique key.
 
     One split is one task, however costly the work on its rows. Larger tables have splits enough
     and are left alone, so at most one split's worth of bytes is ever moved.
     """
     size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     if SPREAD_BYTES[0] < size <= SPREAD_BYTES[1]:
-        return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+        return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
     return df

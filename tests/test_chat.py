@@ -7,7 +7,7 @@ from corpusprep.sources import ingest
 
 ROWS = [
     {"id": "given", "instruction": " Ask ", "input": "", "output": " Answer "},
-    {"id": "", "instruction": "Ask", "input": " More ", "output": "Answer"},
+    {"id": 0, "instruction": "Ask", "input": " More ", "output": "Answer"},
     {"instruction": ["Translate", " this "], "input": None, "output": ["a", 5, "b"]},
     {"instruction": [5, "x"], "output": "Answer"},
     {"instruction": "Ask", "output": "  "},
