@@ -6,6 +6,7 @@ import argparse
 
 from pyspark.sql import SparkSession
 
+from corpusprep.functions.tokenizers import tokenizer_file, vocab_size
 from corpusprep.operators import pairs, sample, split
 from corpusprep.plans import jobs
 from corpusprep.sources import sinks
@@ -19,6 +20,7 @@ def _parser() -> argparse.ArgumentParser:
     validate.add_argument("--jsonl", nargs="+", required=True)
     validate.add_argument("--text", nargs="*")
     validate.add_argument("--out", required=True)
+    validate.add_argument("--tokenizer", help="a tokenizer.json on shared storage; pieces of text by default")
     validate.add_argument("--seed", type=int, default=split.DEFAULT_SEED)
 
     parallel = commands.add_parser("pairs", help="stories and translation records from an EN:/HI: file")
@@ -36,6 +38,7 @@ def _parser() -> argparse.ArgumentParser:
     lcpt = commands.add_parser("lcpt-examples", help="sampled token windows of a text corpus, as JSONL")
     lcpt.add_argument("--text", nargs="+", required=True)
     lcpt.add_argument("--out", required=True)
+    lcpt.add_argument("--tokenizer", help="a tokenizer.json on shared storage; pieces of text by default")
     lcpt.add_argument("--max-stories", type=int)
     lcpt.add_argument("--max-len", type=int, default=1024)
     lcpt.add_argument("--seed", type=int, default=split.DEFAULT_SEED)
@@ -49,9 +52,13 @@ def _parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None) -> None:
     args = _parser().parse_args(argv)
+    path = getattr(args, "tokenizer", None)
+    tokenizer = tokenizer_file(path) if path else None
     spark = SparkSession.builder.appName(f"corpusprep-{args.job}").getOrCreate()
     if args.job == "validate":
-        jobs.validate_files(spark, args.jsonl, args.text or None, args.out, seed=args.seed).show(vertical=True, truncate=False)
+        size = vocab_size(path) if path else None
+        report = jobs.validate_files(spark, args.jsonl, args.text or None, args.out, tokenizer, size, args.seed)
+        report.show(vertical=True, truncate=False)
     elif args.job == "pairs":
         counts = jobs.parse_parallel(
             spark, args.input, args.stories_out, args.records_out, args.max_pairs, args.max_stories, args.seed
@@ -60,7 +67,7 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "messages":
         jobs.convert_messages(spark, args.jsonl, args.out).show()
     elif args.job == "lcpt-examples":
-        sinks.jsonl(jobs.lcpt_training(spark, args.text, args.max_stories, args.max_len, seed=args.seed), args.out)
+        sinks.jsonl(jobs.lcpt_training(spark, args.text, args.max_stories, args.max_len, tokenizer, args.seed), args.out)
     else:
         sinks.jsonl(jobs.sft_training(spark, args.jsonl, args.max_rows), args.out)
 

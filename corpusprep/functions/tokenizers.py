@@ -106,3 +106,26 @@ class ArrowTokenizer:
             )
 
         return decode_tokens.asNondeterministic()(tokens)
+
+
+def tokenizer_file(path: str) -> ArrowTokenizer:
+    """The tokenizer saved in a ``tokenizer.json``; ``path`` must be readable on every worker.
+
+    Tasks already use all cores, so the library's own threads are switched off.
+    """
+
+    def load() -> Any:
+        import os
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer as Saved
+
+        return Saved.from_file(path)
+
+    return ArrowTokenizer(load)
+
+
+def vocab_size(path: str) -> int:
+    from tokenizers import Tokenizer as Saved
+
+    return Saved.from_file(path).get_vocab_size()

@@ -11,6 +11,8 @@ from pyspark.sql.window import Window
 from corpusprep.functions.hashing import hash_index, seeded_hash
 from corpusprep.operators.split import DEFAULT_SEED
 
+SALTS = 256
+
 # Fixed values.
 DEFAULT_PER_CATEGORY = 200
 NO_RESPONSE = "Yeh abhi available nahi hai."
@@ -43,10 +45,13 @@ def from_templates(
         .withColumn("_cap", F.lit(num_samples) * F.count(F.lit(1)).over(whole))
         .drop("category_pos")
     )
+    # One category may hold most templates: each meets its category's row in one of many copies.
+    salt = F.pmod(F.xxhash64("template_pos"), F.lit(SALTS)).alias("_salt")
+    salted_plan = plan.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))))
     choices = responses.groupBy("category").agg(F.count(F.lit(1)).alias("_choices"))
     rows = (
-        templates.join(plan, "category")
-        .join(choices, "category", "left")
+        templates.select("category", "template_pos", "template", salt)
+        .join(salted_plan.join(choices, "category", "left"), ["category", "_salt"])
         .withColumn("_repeat", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_repeats") - 1)))
         .withColumn("idx", F.col("_repeat") * F.col("_size") + F.col("template_pos"))
         .filter(F.col("_start") + F.col("idx") < F.col("_cap"))

@@ -98,3 +98,19 @@ def test_command_line(spark, tmp_path, raw):
     main(["messages", "--jsonl", f"{tmp_path}/cli/sft/split=val", "--out", f"{tmp_path}/messages"])
     main(["sft-examples", "--jsonl", f"{tmp_path}/cli/sft/split=val", "--out", f"{tmp_path}/sft"])
     assert spark.read.json(f"{tmp_path}/messages").count() == spark.read.json(f"{tmp_path}/sft").count() == 20
+
+
+def test_command_line_with_a_tokenizer_file(spark, tmp_path, lines_file):
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    words = Tokenizer(models.WordLevel({"[UNK]": 0, "w": 1, "end": 2}, unk_token="[UNK]"))
+    words.pre_tokenizer = pre_tokenizers.Whitespace()
+    words.save(str(tmp_path / "tokenizer.json"))
+    rows = [json.dumps({"instruction": "w " * n, "output": f"end {n}"}) for n in (10, 1030, 1024, 2000)]
+    jsonl = lines_file(tmp_path / "r.jsonl", rows)
+    text = lines_file(tmp_path / "t.txt", ["w " * 2040, "w " * 2100, "w " * 3000])
+    main(["validate", "--jsonl", jsonl, "--text", text, "--out", f"{tmp_path}/out", "--tokenizer", f"{tmp_path}/tokenizer.json"])
+    report = spark.read.json(f"{tmp_path}/out/validation_report").first()
+    assert (report.valid, report.too_long, report.lcpt_kept, report.tokenizer_vocab_size) == (2, 2, 1, 3)
+    main(["lcpt-examples", "--text", f"{tmp_path}/out/lcpt_corpus", "--out", f"{tmp_path}/lcpt", "--max-len", "512", "--tokenizer", f"{tmp_path}/tokenizer.json"])
+    assert sorted(len(r.tokens) for r in spark.read.json(f"{tmp_path}/lcpt").collect()) == [504, 512, 512, 512]
