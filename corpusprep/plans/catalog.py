@@ -12,7 +12,7 @@ from corpusprep.functions.hashing import pair_digest, short_key
 from corpusprep.functions.tokenizers import NativeTokenizer
 from corpusprep.operators import chat, chunk, dedup, pairs, ranks, report, sample, scoring, split, validate
 from corpusprep.plans.views import document_lines, documents, sft_view, table, turn_view
-from corpusprep.session import materialize, scratch_path
+from corpusprep.session import materialize, prepare, scratch_path
 from corpusprep.sources import ingest, records, templates
 from corpusprep.streaming import validation
 
@@ -368,6 +368,7 @@ def synth_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _record_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
     schema = table(spark, sf_dir, "documents").schema
     raw = spark.readStream.schema(schema).parquet(f"{sf_dir}/documents*.parquet")
     newline = F.instr("text", F.lit("\n"))

@@ -14,6 +14,8 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # A repeated JSON key keeps its last value instead of failing the row.
     "spark.sql.variant.allowDuplicateKeys": "true",
+    # Keyed stream state beyond executor memory goes to local disk, and to the checkpoint folder.
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 # Spark's default cost of opening a file, and its default size of a file split.
