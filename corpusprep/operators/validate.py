@@ -26,8 +26,22 @@ BORDERLINE = "borderline"
 
 def prompt_text(instruction: Column, input_: Column, output: Column | None = None) -> Column:
     """The text whose length is limited: instruction and input, and output only on request."""
-    parts = [text_or_empty(c) for c in (instruction, input_, output) if c is not None]
-    return strip(F.concat_ws(" ", *parts))
+    return strip(_joined(instruction, input_, output))
+
+
+def _joined(*parts: Column | None) -> Column:
+    return F.concat_ws(" ", *[text_or_empty(c) for c in parts if c is not None])
+
+
+def with_prompt(df: DataFrame, include_output: bool = False) -> DataFrame:
+    """Add ``_prompt`` as :func:`prompt_text`, and its length ``_chars``."""
+    joined = _joined(F.col("instruction"), F.col("input"), F.col("output") if include_output else None)
+    # The join of the parts is a column of its own, because strip_long names its column many times.
+    return (
+        df.withColumn("_prompt", joined)
+        .withColumn("_prompt", strip_long(F.col("_prompt")))
+        .withColumn("_chars", n_chars(F.col("_prompt")))
+    )
 
 
 def length_class(
@@ -58,11 +72,13 @@ def token_limit(
 def early_status(df: DataFrame) -> Column:
     """``malformed`` and ``empty_fields``; null for rows that go on."""
     malformed = F.col("malformed") if "malformed" in df.columns else F.lit(False)
-    return F.when(malformed, "malformed").when(
-        (F.length(strip(text_or_empty(F.col("instruction")))) < MIN_INSTRUCTION_CHARS)
-        | (F.length(strip(text_or_empty(F.col("output")))) < MIN_OUTPUT_CHARS),
-        "empty_fields",
+
+    # strip() and not strip_long(): this test is pushed down as a filter, where the columns may
+    # stand for costly expressions.
+    short = (F.length(strip(text_or_empty(F.col("instruction")))) < MIN_INSTRUCTION_CHARS) | (
+        F.length(strip(text_or_empty(F.col("output")))) < MIN_OUTPUT_CHARS
     )
+    return F.when(malformed, "malformed").when(short, "empty_fields")
 
 
 def classify(
@@ -70,6 +86,7 @@ def classify(
     order: Sequence[str],
     tokenizer: Tokenizer | None = None,
     max_tokens: int = MAX_RECORD_TOKENS,
+    row_id: Sequence[str] | None = None,
     low: float = CHARS_PER_TOKEN_LOW,
     high: float = CHARS_PER_TOKEN_HIGH,
     exact: bool = False,
@@ -79,7 +96,8 @@ def classify(
 
     ``df`` has instruction, input and output, and optionally a boolean ``malformed``; ``order``
     names columns that are unique and sort in source order; generated row numbers should be
-    materialized before, because the records are read twice. The tests run in the order malformed,
+    materialized before, because the records are read twice. ``row_id`` may name fewer of them that
+    are unique by themselves. The tests run in the order malformed,
     empty_fields, duplicates, length, so a repeat of an over-long record is a duplicate. ``exact``
     counts tokens for every record instead of trusting the character limits.
     """
@@ -89,15 +107,14 @@ def classify(
     # Rejected rows take no part in the grouping.
     firsts = first_rows(keyed.filter(passed), pair_digest(F.col("instruction"), F.col("output")), order)
     # Lengths are settled before the join, so that no text has to go through it for the statuses.
-    prompt = prompt_text(F.col("instruction"), F.col("input"), F.col("output") if include_output else None)
-    sized = keyed.withColumn("_prompt", prompt).withColumn("_chars", n_chars(F.col("_prompt")))
+    sized = with_prompt(keyed, include_output)
     length_state = F.lit(BORDERLINE) if exact else length_class(F.col("_chars"), max_tokens, low, high)
     judged = token_limit(
         sized.withColumn("status", F.coalesce("_early", length_state)), F.col("_prompt"), "status", max_tokens, tokenizer
     ).drop("_prompt", "_chars")
     repeat = passed & ~F.col("_first")
     return (
-        mark_first(judged, firsts, order, "_first")
+        mark_first(judged, firsts.select(*(row_id or order)), row_id or order, "_first")
         .withColumn("status", F.when(repeat, "duplicates").otherwise(F.col("status")))
         .withColumn("n_tokens", F.when(~repeat, F.col("n_tokens")))
         .drop("_early", "_first")

@@ -49,7 +49,7 @@ def validate_files(
     started = time.time()
     prepare(spark)
     typed = materialize(ingest.sft_records(ingest.jsonl(spark, jsonl)), "records")
-    judged = materialize(validate.classify(typed, ingest.ORDER, tokenizer), "judged")
+    judged = materialize(validate.classify(typed, ingest.ORDER, tokenizer, row_id=["src_row"]), "judged")
     # Digests are unique among valid records, and do not depend on how files were cut into splits.
     digest = pair_digest(F.col("instruction"), F.col("output"))
     parts = split.exact(validate.valid_records(judged).withColumn("digest", digest), ["digest"], seed)

@@ -9,15 +9,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from corpusprep.functions.hashing import pair_digest
-from corpusprep.functions.text import n_chars, strip
+from corpusprep.functions.text import strip
 from corpusprep.functions.tokenizers import NativeTokenizer, Tokenizer
 from corpusprep.operators.dedup import first_rows
 from corpusprep.operators.validate import (
     MAX_RECORD_TOKENS,
     early_status,
     length_class,
-    prompt_text,
     token_limit,
+    with_prompt,
 )
 from corpusprep.sources.ingest import parse_records, sft_records
 
@@ -45,9 +45,7 @@ def stream_jsonl(spark: SparkSession, path: str, max_files: int | None = None) -
 
 def _length_status(df: DataFrame, max_tokens: int, tokenizer: Tokenizer | None, settled: Column | None = None) -> DataFrame:
     """Add ``status``: the settled one where there is one, else by length."""
-    sized = df.withColumn("_prompt", prompt_text(F.col("instruction"), F.col("input"))).withColumn(
-        "_chars", n_chars(F.col("_prompt"))
-    )
+    sized = with_prompt(df)
     by_length = length_class(F.col("_chars"), max_tokens)
     staged = sized.withColumn("status", by_length if settled is None else F.coalesce(settled, by_length))
     judged = token_limit(staged, F.col("_prompt"), "status", max_tokens, tokenizer or NativeTokenizer())
