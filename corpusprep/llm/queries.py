@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusprep.llm import exact_index, hash_tree
+from corpusprep.llm import bpe_transducer, exact_index, hash_tree, langid, packing
 from corpusprep.llm.common import table
 
 
@@ -15,6 +16,29 @@ def op2_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select(F.col("id").alias("doc_id"), "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+def op4_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), with_ids=False)
+    return pieces.withColumnRenamed("id", "doc_id")
+
+
+def op8_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    coded = bpe_transducer.round_trip(documents, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return coded.withColumnRenamed("id", "doc_id")
+
+
+def held_out(id_column: str = "doc_id") -> Column:
+    """Rows that the language classifier never learns from."""
+    return F.coalesce(F.pmod(F.crc32(F.col(id_column).cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
+
+
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    model = langid.fit(documents, ~held_out())
+    found = langid.predict(documents, model)
+    return found.select(F.col("id").alias("doc_id"), held_out("id").alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = exact_index.dedup(table(spark, sf_dir, "documents"))
     return rows.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
@@ -22,5 +46,8 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_hash_tree": op2_hash_tree,
+    "op4_best_fit": op4_best_fit,
+    "op8_transducer": op8_transducer,
+    "op9_language": op9_language,
     "op10_exact_dedup": op10_exact_dedup,
 }
