@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusprep.llm import bpe_transducer, exact_index, hash_tree, langid, packing
+from corpusprep.llm import bpe_transducer, embed_dedup, exact_index, hash_tree, langid, packing, url_filter
 from corpusprep.llm.common import table
 
 
@@ -16,11 +16,19 @@ def op2_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select(F.col("id").alias("doc_id"), "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+def op3_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.link(table(spark, sf_dir, "embeddings"), 0.95).withColumnRenamed("id", "vec_id")
+
+
 def op4_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), with_ids=False)
     return pieces.withColumnRenamed("id", "doc_id")
 
 
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id")
+
+
 def op8_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     coded = bpe_transducer.round_trip(documents, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
@@ -46,7 +54,9 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_hash_tree": op2_hash_tree,
+    "op3_embeddings": op3_embeddings,
     "op4_best_fit": op4_best_fit,
+    "op5_url_filter": op5_url_filter,
     "op8_transducer": op8_transducer,
     "op9_language": op9_language,
     "op10_exact_dedup": op10_exact_dedup,
