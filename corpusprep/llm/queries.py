@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusprep.llm import bpe_transducer, embed_dedup, exact_index, hash_tree, html_main, langid, packing, url_filter
+from corpusprep.llm import bpe_transducer, embed_dedup, exact_index, hash_tree, html_main, langid, minhash_forest, packing, url_filter
 from corpusprep.llm.common import table
 
 
@@ -33,6 +33,10 @@ def op6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_main.extract(table(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id")
 
 
+def op7_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_forest.near(table(spark, sf_dir, "documents"), width=2, percent=80).withColumnRenamed("id", "doc_id")
+
+
 def op8_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     coded = bpe_transducer.round_trip(documents, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
@@ -62,6 +66,7 @@ QUERIES = {
     "op4_best_fit": op4_best_fit,
     "op5_url_filter": op5_url_filter,
     "op6_main_text": op6_main_text,
+    "op7_minhash_forest": op7_minhash_forest,
     "op8_transducer": op8_transducer,
     "op9_language": op9_language,
     "op10_exact_dedup": op10_exact_dedup,
