@@ -13,13 +13,13 @@ def _group_starts(keys: np.ndarray) -> np.ndarray:
 
 
 def suffix_array(codes: np.ndarray, depth: int, known: int = 1) -> tuple[np.ndarray, np.ndarray]:
-    """(suffix array, rank) of a text of whole numbers, ordered by the first ``depth`` symbols at least.
+    """(suffix array, rank) of a text of whole numbers, ordered by the first ``depth`` symbols.
 
     ``codes[i]`` stands for the ``known`` symbols from place i on; equal codes mean equal symbols.
     Sorting by codes gives a first order. Each round then orders the suffixes inside every group that
     is still equal by the rank of the suffix ``known`` symbols on, which doubles what is known;
-    groups of one are never touched again. Suffixes that agree in ``depth`` symbols may be left in one
-    group, and have the same rank. The end of the text sorts first.
+    groups of one are never touched again. Suffixes that agree in exactly ``depth`` symbols stay in one
+    group, have the same rank and keep their order. The end of the text sorts first.
     """
     n = len(codes)
     order = np.argsort(codes, kind="stable")
@@ -38,7 +38,8 @@ def suffix_array(codes: np.ndarray, depth: int, known: int = 1) -> tuple[np.ndar
         if not len(open_at):
             break
         suffix = order[open_at]
-        ahead = suffix + known
+        step = min(known, depth - known)
+        ahead = suffix + step
         key = np.zeros(len(suffix), np.int64)
         inside = ahead < n
         key[inside] = rank[ahead[inside]] + 1
@@ -49,7 +50,7 @@ def suffix_array(codes: np.ndarray, depth: int, known: int = 1) -> tuple[np.ndar
         start = open_at[_group_starts(key)]
         order[open_at] = suffix
         rank[suffix] = start
-        known *= 2
+        known += step
     return order, rank
 
 
@@ -57,9 +58,12 @@ def common_prefixes(text: np.ndarray, order: np.ndarray, limit: int, lanes: int
     """Length of the common prefix of each suffix and the one before it in ``order``, up to ``limit``.
 
     By Kasai's argument the common prefix of the suffix at i + 1 with its neighbour is at most one
-    shorter than that of the suffix at i. The text is cut into lanes that are walked side by side.
+    shorter than that of the suffix at i; this asks for an order of whole suffixes. The text is cut into
+    lanes that are walked side by side.
     """
     n = len(text)
+    if not n:
+        return np.zeros(0, np.int64)
     before = np.full(n, -1, np.int64)
     before[order[1:]] = order[:-1]
     length = np.zeros(n, np.int64)
