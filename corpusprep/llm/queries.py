@@ -6,10 +6,22 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusprep.llm import bpe_transducer, embed_dedup, exact_index, hash_tree, html_main, langid, minhash_forest, packing, url_filter
+from corpusprep.llm import bpe_transducer, embed_dedup, exact_index, hash_tree, html_main, langid, minhash_forest, packing, suffix_dedup, url_filter
 from corpusprep.llm.common import table
 
 
+def op1_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = suffix_dedup.clean(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda total, span: total + span["end"] - span["start"])
+    return cleaned.select(
+        F.col("id").alias("doc_id"),
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op2_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     shards = hash_tree.balanced(8)
     placed = hash_tree.shard(table(spark, sf_dir, "documents"), shards, hash_tree.joined(shards, 8))
@@ -61,6 +73,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_suffix_array": op1_suffix_array,
     "op2_hash_tree": op2_hash_tree,
     "op3_embeddings": op3_embeddings,
     "op4_best_fit": op4_best_fit,
