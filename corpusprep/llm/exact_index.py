@@ -117,3 +117,19 @@ def dedup(
         F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
         F.col("id").eqNullSafe(keep_id).alias("kept"),
     )
+
+
+def keep(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", index: DigestIndex | None = None) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, that stay; of rows alike in id and text one stays."""
+    id_name, digest_name = f"{id_col}_of_dropped", f"{id_col}_digest_of_dropped"
+    rows = dedup(docs, id_col, text_col, index)
+    dropped = rows.filter(~F.col("kept")).select(F.col("id").alias(id_name), F.col("digest").alias(digest_name)).distinct()
+    own = F.unhex(F.sha2(normalised(text_col), 256))
+    stay = docs.join(materialize(dropped, "dropped"), (docs[id_col] == F.col(id_name)) & (own == F.col(digest_name)), "left_anti")
+    # Repeated rows are told apart by nothing; only where there are any, their texts are brought together.
+    several = rows.filter("kept").groupBy("id", "digest").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+    several = materialize(several.select(F.col("id").alias(id_name), F.col("digest").alias(digest_name)), "repeated")
+    if several.isEmpty():
+        return stay
+    alike = docs[id_col].eqNullSafe(F.col(id_name)) & (own == F.col(digest_name))
+    return stay.join(several, alike, "left_anti").union(stay.join(several, alike, "left_semi").dropDuplicates([id_col]))

@@ -164,6 +164,14 @@ class WordScores:
         best = int(p.argmax())
         return self.model.languages[best], float(p[best])
 
+    def predict_all(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        found = []
+        for start in range(0, len(texts), 256):
+            part = texts[start : start + 256]
+            self.learn({w for text in part if text for w in text.split()})
+            found.extend(self.predict(text) for text in part)
+        return found
+
 
 def sample(docs: DataFrame, learn_from: Column, id_col: str, text_col: str, lang_col: str, rows: int = SAMPLE_ROWS) -> DataFrame:
     """(text, lang) of at most ``rows`` labelled rows, about as many of each label, chosen by a hash of the id."""
@@ -259,12 +267,7 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
         words = WordScores(shared.value)
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            found = []
-            for start in range(0, len(texts), 256):
-                part = texts[start : start + 256]
-                words.learn({w for text in part if text for w in text.split()})
-                found.extend(words.predict(text) for text in part)
+            found = words.predict_all(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],
                 names=["id", "lang_pred", "score"],
@@ -272,3 +275,19 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
     found = read.mapInArrow(run, "id long, lang_pred string, score double")
     return found.withColumn("rejected", (F.col("lang_pred") == UNKNOWN) | (F.col("score") < model.least_score))
+
+
+def keep(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns as they are, whose text is not rejected."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text_col)
+
+    def run(batches):
+        import pyarrow as pa
+
+        words = WordScores(shared.value)
+        for batch in batches:
+            found = words.predict_all(batch.column(at).to_pylist())
+            yield batch.filter(pa.array([lang != UNKNOWN and score >= shared.value.least_score for lang, score in found], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -513,3 +513,10 @@ def near(
         F.when(F.col("id").isNotNull(), own).alias("component_id"),
         (F.col("id").isNull() | (F.col("id") == own)).alias("kept"),
     )
+
+
+def keep(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns as they are, without those whose class has a smaller id."""
+    dropped = f"{id_col}_of_dropped"
+    found = near(docs, width, percent, id_col, text_col).groupBy("id").agg(F.max("kept").alias("kept")).filter(~F.col("kept"))
+    return docs.join(materialize(found.select(F.col("id").alias(dropped)), "dropped"), docs[id_col] == F.col(dropped), "left_anti")
