@@ -238,12 +238,15 @@ class Codec:
         def part(text: str) -> bytes:
             return array("I", [i for match in split(text) for i in encode(match.encode())]).tobytes()
 
-        self._parts = PartEncoder(part)
+        self._parts = PartEncoder(part, lambda parts: [part(" " + p) for p in parts])
         self._table = [self.transducer.token.get(i, b"") for i in range(max(self.transducer.token) + 1)]
 
+    def encode_all(self, texts: list[str]) -> Iterator[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit integers."""
+        return self._parts.all(texts)
+
     def encode(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers."""
-        return self._parts(text)
+        return next(self.encode_all([text]))
 
     def decode(self, ids: bytes) -> Iterator[str]:
         return decode_stream(memoryview(ids).cast("I"), self._table)
@@ -269,7 +272,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
 
         own = codec(ranks_path, pattern)
         for batch in batches:
-            ids = [own.encode(t) for t in batch.column("text").to_pylist()]
+            ids = list(own.encode_all(batch.column("text").to_pylist()))
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(ids, pa.large_binary()).cast(pa.binary())], names=["id", "ids"])
 
     return read.mapInArrow(run, "id long, ids binary")
@@ -303,8 +306,7 @@ def round_trip(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "do
         own = codec(ranks_path, pattern)
         for batch in batches:
             counts, coded, decoded = [], [], []
-            for text in batch.column("text").to_pylist():
-                ids = own.encode(text)
+            for ids in own.encode_all(batch.column("text").to_pylist()):
                 counts.append(len(ids) // 4)
                 coded.append(hashlib.sha256(ids).hexdigest())
                 digest = hashlib.sha256()
