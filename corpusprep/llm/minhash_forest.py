@@ -6,7 +6,8 @@
    first values are a region; a region with too many nodes is cut by more values, as often as needed, so
    that depth follows density. Inside a region the nodes with a long common prefix are compared by
    one bit of each signature value; what may be similar is joined, and only one row per node goes on.
-   Regions that stay large at full depth are cut into blocks, and every two blocks meet.
+   A region that stays large at full depth is joined as a whole. What deeper orders may have parted is
+   made good: in a region that was cut, the nodes outside the largest family are compared with all.
 3. Nodes joined in any tree are a family. Families get their full sets, and links are confirmed exactly:
    one node is compared with all others, then every node outside the largest class that has formed.
    A link between two classes has an end outside the largest one, so that no link is lost. Families
@@ -35,7 +36,7 @@ from corpusprep.session import materialize
 
 VALUES = 128
 TREES = 24
-DEPTHS = (3, 6, 12, 24, 48)
+DEPTHS = (3, 6, 12)
 REGION = 4096
 #: Agreement in one bit per value that a pair of similarity 0.8 reaches but for one in ten million.
 LEAST_BITS = 97
@@ -266,36 +267,50 @@ def _region_links(rows: DataFrame, percent: int) -> DataFrame:
     return rows.select("region", "node", "n", "bits").mapInArrow(run, "node long, root long")
 
 
-def _block_links(rows: DataFrame, percent: int, region: int) -> DataFrame:
-    """(node, root) of regions that stay large at full depth: every two of their blocks meet in one task."""
-    sizes = rows.groupBy("region").agg(F.ceil(F.count(F.lit(1)) / (region // 2)).cast("int").alias("count"))
-    met = (
-        rows.join(sizes, "region")
-        .withColumn("block", F.pmod(F.xxhash64("node"), F.col("count")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("count") - 1)))
-        .select("region", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "n", "bits")
+def _across_links(rows: DataFrame, links: DataFrame, percent: int, region: int) -> DataFrame:
+    """(node, root) of what deeper orders may have parted in large regions.
+
+    Two nodes that are in no common family yet, of which one is outside the region's largest family,
+    are compared: every part of the nodes outside meets every block of the region in one task.
+    """
+    labelled = rows.join(components(links), "node", "left").select(
+        "region", "node", "n", "bits", F.coalesce("component", "node").alias("family")
     )
+    labelled = materialize(labelled, "large-regions")
+    sizes = labelled.groupBy("region", "family").agg(F.count(F.lit(1)).alias("size"))
+    most = sizes.groupBy("region").agg(F.max_by("family", F.struct("size", "family")).alias("family"), F.sum("size").alias("size"))
+    half = max(1, region // 2)
+    outside = labelled.join(materialize(most.select("region", "family"), "largest"), ["region", "family"], "left_anti")
+    counts = outside.groupBy("region").agg(F.ceil(F.count(F.lit(1)) / half).cast("int").alias("parts"))
+    counts = materialize(counts.join(most, "region").select("region", "parts", F.ceil(F.col("size") / half).cast("int").alias("blocks")), "counts")
+
+    def place(count: str):
+        return F.pmod(F.xxhash64(F.lit(count), "node"), F.col(count)).cast("int")
+
+    def every(count: str):
+        return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+
+    asked = outside.join(counts, "region").withColumn("part", place("parts")).withColumn("block", every("blocks")).withColumn("asked", F.lit(1))
+    others = labelled.join(counts, "region").withColumn("block", place("blocks")).withColumn("part", every("parts")).withColumn("asked", F.lit(0))
+    columns = ["region", "block", "part", "asked", "node", "n", "bits"]
 
     def run(group):
         import pyarrow as pa
 
-        block = np.asarray(group.column("block"))
-        order = np.argsort(block, kind="stable")
+        asked = np.asarray(group.column("asked"))
+        order = np.argsort(-asked, kind="stable")
         node, n = np.asarray(group.column("node"))[order], np.asarray(group.column("n"))[order]
         bits = np.frombuffer(b"".join(group.column("bits").to_pylist()), np.uint8).reshape(len(node), -1)[order]
-        same = group.column("low")[0].as_py() == group.column("high")[0].as_py()
-        split = None if same else int((block == block.min()).sum())
-        node, root = _joined(node, _alike(bits, n, np.arange(len(node)), percent, split))
+        node, root = _joined(node, _alike(bits, n, np.arange(len(node)), percent, int(asked.sum())))
         return pa.table({"node": node, "root": root})
 
-    return met.groupBy("region", "low", "high").applyInArrow(run, "node long, root long")
+    return asked.select(columns).union(others.select(columns)).groupBy("region", "block", "part").applyInArrow(run, "node long, root long")
 
 
 def forest_links(nodes: DataFrame, percent: int, region: int = REGION) -> DataFrame:
     """(node, root) over all trees; ``nodes`` has (node, n, signature) and is read once per depth."""
     spark = nodes.sparkSession
-    found = []
-    rest = nodes
+    found, parted, rest = [], None, nodes
     for depth in DEPTHS:
         rows = _tree_rows(rest, depth)
         # Regions over the bound: at most one for every ``region`` rows.
@@ -307,12 +322,20 @@ def forest_links(nodes: DataFrame, percent: int, region: int = REGION) -> DataFr
         found.append(_region_links(_in_order(spark, small), percent))
         deeper = materialize(rows.join(large, "region", "left_semi"), "deeper")
         if depth == DEPTHS[-1]:
-            found.append(_block_links(deeper, percent, region))
+            # Alike in so many values: one family, which is confirmed as any other.
+            roots = materialize(deeper.groupBy("region").agg(F.min("node").alias("root")), "roots")
+            found.append(deeper.join(roots, "region").select("node", "root"))
             break
+        parted = deeper if parted is None else parted
         rest = materialize(deeper.select("tree", "node").join(nodes, "node"), "descend")
-    out = found[0]
-    for more in found[1:]:
-        out = out.union(more)
+    links = materialize(_all(found), "forest")
+    return links if parted is None else links.union(_across_links(parted, links, percent, region))
+
+
+def _all(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.union(part)
     return out
 
 
