@@ -9,13 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from corpusprep.functions.hashing import hash_choice, seeded_hash
-from corpusprep.functions.text import WHITESPACE, strip_long
+from corpusprep.functions.text import WHITESPACE
 from corpusprep.operators.sample import first_k, fixed_size
 from corpusprep.operators.split import DEFAULT_SEED
-from corpusprep.sources.ingest import ORDER, ordered_text
-
-# Source order of pairs read from files: the record's, then the place in the record.
-FILE_ORDER = (*ORDER, "src_pos")
+from corpusprep.sources.ingest import ordered_text
 
 # Markers, character limits, default sizes and instruction wordings.
 EN_MARKER = "EN:"
@@ -120,63 +117,87 @@ def pair_lines(lines: DataFrame) -> DataFrame:
     return join_edges(candidates(numbered, *place, within=["_task"]), *place)
 
 
-def read_chunks(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Pairs of marker files, found without a shuffle; :func:`settle_first` completes them.
+def split_candidates(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """As :func:`candidates`, for the lines of marker files; buckets are file splits.
 
-    Files are read in records that end before each line starting with EN:. Such a line forgets all
-    that came before it, so a record pairs up on its own, wherever the file was cut. Only the first
-    record of a file has no EN: cut off in front of it. Which record that is shows when all are
-    read, so records of first splits are read both ways, and kept if they have no pair.
+    A scan task reads a split's lines in order. They are walked in Arrow batches, and no more than the
+    last marker is carried from one batch to the next: nothing is shuffled or sorted, and it does not
+    matter how far apart markers are.
     """
-    records = ordered_text(spark, paths, line_sep="\n" + EN_MARKER)
-    cut = F.struct(F.lit(False).alias("as_first"), F.concat(F.lit(EN_MARKER), "text").alias("text"))
-    whole = F.struct(F.lit(True).alias("as_first"), F.col("text").alias("text"))
-    # Without an EN: inside, the whole reading finds no pair.
-    two_ways = (F.col("src_block") == 0) & F.col("text").contains(EN_MARKER)
-    both = F.when(two_ways, F.array(cut, whole)).otherwise(F.array(cut))
-    text = F.col("_way.text")
-    lines = F.when(text.contains("\r"), F.split(text, "\r\n|\r|\n")).otherwise(F.split(text, "\n"))
-    trimmed = F.transform(lines, lambda x: F.ltrim(x, F.lit(WHITESPACE)))
-    marks = F.transform(
-        F.filter(trimmed, lambda x: x.startswith(EN_MARKER) | x.startswith(HI_MARKER)),
-        lambda x: F.struct(x.startswith(EN_MARKER).alias("is_en"), F.substring(x, len(EN_MARKER) + 1, 2**31 - 1).alias("body")),
-    )
-    stripped = F.transform("_marks", lambda m: F.struct(m["is_en"].alias("is_en"), strip_long(m["body"]).alias("body")))
-    neighbours = F.when(
-        F.size("_marks") >= 2,
-        F.transform(
-            F.sequence(F.lit(1), F.size("_marks") - 1),
-            lambda i: F.struct(F.get("_marks", i - 1).alias("a"), F.get("_marks", i).alias("b")),
-        ),
+    schema = (
+        "src_file string, src_block long, src_row long, is_pair boolean, is_first boolean, is_last boolean, "
+        "kind string, en string, hi string, en_chars int, hi_chars int"
     )
-    paired = F.filter(
-        neighbours,
-        lambda n: n["a"]["is_en"] & ~n["b"]["is_en"] & (n["a"]["body"] != "") & (n["b"]["body"] != ""),
-    )
-    return (
-        records.withColumn("_way", F.explode(both))
-        .select(*FILE_ORDER[:-1], F.col("_way.as_first").alias("as_first"), marks.alias("_marks"))
-        .withColumn("_marks", stripped)
-        .select(*FILE_ORDER[:-1], "as_first", F.posexplode_outer(paired).alias("src_pos", "_pair"))
-        .filter(F.col("_pair").isNotNull() | ((F.col("src_block") == 0) & ~F.col("as_first")))
-        .select(*FILE_ORDER, "as_first", F.col("_pair.a.body").alias("en"), F.col("_pair.b.body").alias("hi"))
-        .withColumn("en_chars", F.length("en"))
-        .withColumn("hi_chars", F.length("hi"))
-    )
-
 
-def settle_first(found: DataFrame) -> DataFrame:
-    """All pairs of the files behind :func:`read_chunks`, which should be materialized before."""
-    pair = [*FILE_ORDER, "en", "hi", "en_chars", "hi_chars"]
-    in_first_split = F.col("src_block") == 0
-    # The join is on unique record numbers, and takes rows of first splits only.
-    heads = found.filter(in_first_split).groupBy("src_file").agg(F.min("src_row").alias("src_row")).select("src_row", F.lit(True).alias("_head"))
-    first_splits = (
-        found.filter(in_first_split & F.col("hi_chars").isNotNull())
-        .join(heads, "src_row", "left")
-        .filter(F.col("as_first") == F.coalesce("_head", F.lit(False)))
-    )
-    return found.filter(~in_first_split).select(*pair).unionByName(first_splits.select(*pair))
+    def run(batches):
+        import pyarrow as pa
+
+        held = None  # the last marker, of which it is not known yet whether it ends its split
+        for batch in batches:
+            found = _judged_markers(batch, held)
+            if found.num_rows:
+                found = found if held is None else pa.concat_tables([held, found])
+                yield from _known_edges(found, False)
+                held = found.slice(found.num_rows - 1)
+        if held is not None:
+            yield from _known_edges(held, True)
+
+    return ordered_text(spark, paths).mapInArrow(run, schema)
+
+
+def _judged_markers(batch, held):
+    """The marker lines of a batch, with what the marker before each of them decides."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    text = pc.utf8_ltrim(batch.column("text"), characters=WHITESPACE)
+    is_en = pc.starts_with(text, EN_MARKER)
+    own = pa.table({"src_file": batch.column("src_file"), "src_block": batch.column("src_block"), "src_row": batch.column("src_row"), "is_en": is_en, "text": text})
+    own = own.filter(pc.or_(is_en, pc.starts_with(text, HI_MARKER)))
+    body = pc.utf8_trim(pc.utf8_slice_codeunits(own.column("text"), len(EN_MARKER)), characters=WHITESPACE)
+    own = own.drop_columns("text").append_column("body", body).combine_chunks()
+    first = held.select(own.column_names) if held is not None else own.slice(0, 0)
+    before = pa.concat_tables([first, own]).slice(0, max(0, first.num_rows + own.num_rows - 1)).combine_chunks()
+    after = own.slice(own.num_rows - before.num_rows)  # without the very first marker of a task, which has none before it
+    same = pc.and_(pc.equal(after["src_block"], before["src_block"]), pc.equal(after["src_file"], before["src_file"]))
+    filled = pc.and_(pc.not_equal(after["body"], ""), pc.not_equal(before["body"], ""))
+    pair = pc.and_(pc.and_(same, filled), pc.and_(before["is_en"], pc.invert(after["is_en"])))
+    en = pc.if_else(pair, before["body"], None)
+    starts = pc.invert(same)
+    if after.num_rows < own.num_rows:
+        pair = pa.chunked_array([pa.array([False]), *_chunks(pair)], pa.bool_())
+        starts = pa.chunked_array([pa.array([True]), *_chunks(starts)], pa.bool_())
+        en = pa.chunked_array([pa.nulls(1, pa.string()), *_chunks(en)], pa.string())
+    return own.append_column("is_pair", pair).append_column("is_first", pc.and_(starts, pc.invert(own["is_en"]))).append_column("en", en)
+
+
+def _chunks(array) -> list:
+    return array.chunks if hasattr(array, "chunks") else [array]
+
+
+def _known_edges(found, at_end: bool):
+    """The rows that go on, of all markers but the last one, or at the end of a task of that one."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    if at_end:
+        own, last = found, pa.array([True])
+    else:
+        own, after = found.slice(0, found.num_rows - 1), found.slice(1)
+        last = pc.or_(pc.not_equal(own["src_block"], after["src_block"]), pc.not_equal(own["src_file"], after["src_file"]))
+    own = own.append_column("is_last", last)
+    own = own.filter(pc.or_(pc.or_(own["is_pair"], own["is_first"]), own["is_last"])).combine_chunks()
+    needed = pc.or_(pc.or_(own["is_pair"], own["is_first"]), pc.and_(own["is_last"], own["is_en"]))
+    hi = pc.if_else(needed, own["body"], None)
+    out = {name: own[name] for name in ("src_file", "src_block", "src_row", "is_pair", "is_first", "is_last")}
+    out |= {"kind": pc.if_else(own["is_en"], "EN", "HI"), "en": own["en"], "hi": hi}
+    out |= {"en_chars": pc.utf8_length(own["en"]), "hi_chars": pc.utf8_length(hi)}
+    yield from pa.table(out).combine_chunks().to_batches()
+
+
+def read_pairs(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """(en, hi) pairs of marker files with their source order; only the edges of file splits are shuffled."""
+    return join_edges(split_candidates(spark, paths), ["src_file"], "src_block", "src_row")
 
 
 def is_story() -> Column:

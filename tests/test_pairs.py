@@ -8,31 +8,15 @@ from corpusprep.plans.catalog import TURN_BLOCK_BITS
 from corpusprep.sources import ingest
 
 
-def walk(lines):
-    """Pairs by walking the lines once."""
-    found, waiting = [], ""
-    for line in lines:
-        line = line.strip()
-        tag, rest = line[:3], line[3:].strip()
-        if tag == "EN:":
-            waiting = rest
-        elif tag == "HI:" and waiting:
-            if rest:
-                found.append((waiting, rest))
-            waiting = ""
-    return found
-
-
 def by_lines(spark, *paths):
     return [(r.en, r.hi) for r in pairs.pair_lines(ingest.lines(spark, list(paths))).orderBy(*ingest.ORDER).collect()]
 
 
-def by_chunks(spark, *paths):
-    found = pairs.settle_first(pairs.read_chunks(spark, list(paths)))
-    return [(r.en, r.hi) for r in found.orderBy(*pairs.FILE_ORDER).collect()]
+def by_splits(spark, *paths):
+    return [(r.en, r.hi) for r in pairs.read_pairs(spark, list(paths)).orderBy(*ingest.ORDER).collect()]
 
 
-READERS = pytest.mark.parametrize("read", [by_lines, by_chunks])
+READERS = pytest.mark.parametrize("read", [by_lines, by_splits])
 
 
 @READERS
@@ -42,54 +26,77 @@ def test_rules(spark, tmp_path, lines_file, read):
         "EN:", "HI: empty partner", "  EN:  four  ", "junk", "", "\tHI:　चार  ", "EN: five", "EN:", "HI: none", "en: x", "EN: end",
     ]
     path = lines_file(tmp_path / "p.txt", lines)
-    assert read(spark, path) == walk(lines) == [("one", "ek"), ("two", "do"), ("four", "चार")]
-
-
-def random_lines(rng, n):
-    kinds = ["EN: ", "HI: ", "EN:", "HI:", "junk ", ""]
-    return [k + (f"text {i} " + "क" * rng.randint(0, 60) if k.endswith(" ") else "") for i in range(n) for k in rng.choices(kinds, [9, 9, 1, 1, 3, 1])]
+    assert read(spark, path) == [("one", "ek"), ("two", "do"), ("four", "चार")]
+
+
+def scripted(rng, n):
+    """Lines made of stretches whose pairs are known, and those pairs; no stretch leaves an EN waiting."""
+    lines, found = [], []
+    for i in range(n):
+        en, hi = f"text {i}", f"पाठ {i} " + "क" * rng.randint(1, 60)
+        stretch, pairs_in_it = rng.choice(
+            [
+                ([f"EN: {en}", f"HI: {hi}"], [(en, hi)]),
+                ([f"EN: {en}", "junk", "", f"  HI:{hi}"], [(en, hi)]),
+                (["EN: replaced", f"EN: {en}", f"HI: {hi}"], [(en, hi)]),
+                ([f"EN: {en}", f"HI: {hi}", "HI: extra"], [(en, hi)]),
+                ([f"EN: {en}", "HI:", "HI: too late"], []),
+                (["EN:", f"HI: {hi}"], []),
+                (["EN: forgotten", "EN:", "HI: alone"], []),
+                (["HI: alone"], []),
+                (["junk " * 20], []),
+            ]
+        )
+        lines += stretch
+        found += pairs_in_it
+    return [*lines, "EN: at the end"], found
 
 
 @pytest.mark.parametrize("seed", range(3))
 @READERS
 def test_random_files_cut_into_many_splits(spark, tmp_path, lines_file, small_splits, seed, read):
     rng = random.Random(seed)
-    files = [random_lines(rng, n) for n in (400, 3, 250)]
-    paths = [lines_file(tmp_path / f"{i}.txt", lines) for i, lines in enumerate(files)]
+    files = [scripted(rng, n) for n in (300, 3, 200)]
+    paths = [lines_file(tmp_path / f"{i}.txt", lines) for i, (lines, _) in enumerate(files)]
     assert ingest.lines(spark, paths).select("src_block").distinct().count() > 5
-    assert read(spark, *paths) == [p for lines in files for p in walk(lines)]
+    assert read(spark, *paths) == [p for _, found in files for p in found]
 
 
 @READERS
 def test_stretches_without_markers_span_splits(spark, tmp_path, lines_file, small_splits, read):
     lines = ["EN: far"] + ["junk " + "j" * 100] * 100 + ["HI: दूर", "HI: extra"] + ["x" * 90] * 60 + ["EN: a", "EN: b"] + ["y" * 50] * 80 + ["HI: ख"]
-    assert read(spark, lines_file(tmp_path / "far.txt", lines)) == walk(lines) == [("far", "दूर"), ("b", "ख")]
+    assert read(spark, lines_file(tmp_path / "far.txt", lines)) == [("far", "दूर"), ("b", "ख")]
 
 
 HEADS = [
-    ["EN: a", "HI: क"],
-    ["EN:EN: a", "HI: क", "EN:EN: b", "HI: ख"],
-    ["title", "HI: no", "EN: a", "HI: क"],
-    ["", "EN: a", "HI: क"],
-    ["HI: no", "EN:title", "HI: क"],
-    ["  EN: indented", "HI: क", " EN: b", "EN: c", "HI: ग"],
-    ["junk"],
-    ["EN: only"],
-    ["EN:", "HI: none"],
-    ["EN: mac\rHI: ends\rEN: and\rHI: more", "EN: dos\r", "HI: lines\r", "\r"],
+    (["EN: a", "HI: क"], [("a", "क")]),
+    (["EN:EN: a", "HI: क", "EN:EN: b", "HI: ख"], [("EN: a", "क"), ("EN: b", "ख")]),
+    (["title", "HI: no", "EN: a", "HI: क"], [("a", "क")]),
+    (["", "EN: a", "HI: क"], [("a", "क")]),
+    (["HI: no", "EN:title", "HI: क"], [("title", "क")]),
+    (["  EN: indented", "HI: क", " EN: b", "EN: c", "HI: ग"], [("indented", "क"), ("c", "ग")]),
+    (["junk"], []),
+    (["EN: only"], []),
+    (["EN:", "HI: none"], []),
+    (["EN: mac\rHI: ends\rEN: and\rHI: more", "EN: dos\r", "HI: lines\r", "\r"], [("mac", "ends"), ("and", "more"), ("dos", "lines")]),
 ]
 
 
 @READERS
 def test_how_files_begin(spark, tmp_path, lines_file, read):
-    paths = [lines_file(tmp_path / f"{i}.txt", lines) for i, lines in enumerate(HEADS)]
-    want = [p for lines in HEADS for p in walk("\n".join(lines).replace("\r\n", "\n").replace("\r", "\n").split("\n"))]
-    assert read(spark, *paths) == want
+    paths = [lines_file(tmp_path / f"{i}.txt", lines) for i, (lines, _) in enumerate(HEADS)]
+    assert read(spark, *paths) == [p for _, found in HEADS for p in found]
+
+
+@READERS
+def test_file_without_markers_at_line_starts(spark, tmp_path, lines_file, small_splits, read):
+    path = lines_file(tmp_path / "none.txt", ["en: lower case", "x EN: inside"] * 3000)
+    assert read(spark, path) == []
 
 
-def test_reading_chunks_shuffles_nothing(spark, tmp_path, lines_file):
+def test_pairs_of_a_split_need_no_shuffle(spark, tmp_path, lines_file):
     path = lines_file(tmp_path / "p.txt", ["EN: a", "HI: क"])
-    assert "Exchange" not in pairs.read_chunks(spark, path)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in pairs.split_candidates(spark, path)._jdf.queryExecution().executedPlan().toString()
 
 
 def test_one_source_with_most_rows(spark):
@@ -98,8 +105,9 @@ def test_one_source_with_most_rows(spark):
     df = spark.createDataFrame(rows, "s string, at bigint, kind string, body string").withColumn("b", F.shiftright("at", 8))
     got = {(r.s, r.en, r.hi) for r in pairs.pair_markers(df, ["s"], "b", "at").collect()}
     want = set()
-    for s in {r[0] for r in rows}:
-        want |= {(s, *p) for p in walk([f"{k}: {t}" for x, _, k, t in rows if x == s])}
+    for source in {r[0] for r in rows}:
+        own = [(kind, text) for s, _, kind, text in rows if s == source]
+        want |= {(source, en, hi) for (a, en), (b, hi) in zip(own, own[1:]) if (a, b) == ("EN", "HI")}
     assert got == want
 
 
@@ -135,9 +143,9 @@ def test_pair_lengths(spark, n, kept):
 
 def test_stories_keep_file_order(spark, tmp_path, lines_file, small_splits):
     lines = [x for i in range(60) for x in (f"EN: {i}", "HI: " + f"{i} " * 60)]
-    paired = pairs.settle_first(pairs.read_chunks(spark, lines_file(tmp_path / "s.txt", lines)))
-    got = pairs.stories(paired, 17, pairs.FILE_ORDER, [ingest.split()])
-    assert [r.text.split()[0] for r in got.orderBy(*pairs.FILE_ORDER).collect()] == [str(i) for i in range(60) if len(f"{i} " * 60) >= 100][:17]
+    paired = pairs.read_pairs(spark, lines_file(tmp_path / "s.txt", lines))
+    got = pairs.stories(paired, 17, ingest.ORDER, [ingest.split()])
+    assert [r.text.split()[0] for r in got.orderBy(*ingest.ORDER).collect()] == [str(i) for i in range(60) if len(f"{i} " * 60) >= 100][:17]
 
 
 def test_translation_sample(spark):
