@@ -30,6 +30,8 @@ class NativeTokenizer:
 
     PATTERN = "[ \\t\\n\\r\\f\\x0B]*[^ \\t\\n\\r\\f\\x0B]{1,3}"
 
+    name = "pieces by pattern"
+
     def __init__(self, pattern: str = PATTERN):
         self.pattern = pattern
 
@@ -101,31 +103,14 @@ class ArrowTokenizer:
     def decode(self, tokens: Column) -> Column:
         @F.pandas_udf("string")
         def decode_tokens(lists: pd.Series) -> pd.Series:
-            return lists.map(
-                lambda ids: None if ids is None else _loaded(self.name, self.loader).decode([int(i) for i in ids])
-            )
+            given = lists[lists.notna()]
+            out = pd.Series(None, index=lists.index, dtype="object")
+            if len(given):
+                tokenizer = _loaded(self.name, self.loader)
+                ids = [list(map(int, x)) for x in given]
+                # Many at once where the tokenizer can.
+                many = getattr(tokenizer, "decode_batch", None)
+                out.loc[given.index] = many(ids) if many else [tokenizer.decode(x) for x in ids]
+            return out
 
         return decode_tokens.asNondeterministic()(tokens)
-
-
-def tokenizer_file(path: str) -> ArrowTokenizer:
-    """The tokenizer saved in a ``tokenizer.json``; ``path`` must be readable on every worker.
-
-    Tasks already use all cores, so the library's own threads are switched off.
-    """
-
-    def load() -> Any:
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer as Saved
-
-        return Saved.from_file(path)
-
-    return ArrowTokenizer(load)
-
-
-def vocab_size(path: str) -> int:
-    from tokenizers import Tokenizer as Saved
-
-    return Saved.from_file(path).get_vocab_size()

@@ -7,9 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusprep.functions.text import WHITESPACE_CLASS, strip
 from corpusprep.operators.ranks import sort_key
 
 
+def normalized(text: Column) -> Column:
+    """Text for keys that ignore case and white space: lower case, each run of white space one space, stripped."""
+    return F.lower(strip(F.regexp_replace(text, f"[{WHITESPACE_CLASS}]+", " ")))
+
+
 def first_rows(df: DataFrame, key: Column, order: Sequence[str]) -> DataFrame:
     """The ``order`` columns of the first row of every key.
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from corpusprep.operators.split import THREE_WAY
-from corpusprep.operators.validate import STATUSES
+from corpusprep.operators.validate import STATUSES, UNREADABLE
 
 UNKNOWN_LANGUAGE = "unknown"
 
@@ -27,7 +27,7 @@ def status_counts(classified: DataFrame) -> DataFrame:
 def running_by_file(classified: DataFrame, file: str) -> DataFrame:
     """Status counts per file, added up along the sorted file names.
 
-    The window runs over one row per file, after the counting.
+    The window runs over one small row per file, after the counting: the one place where all files meet.
     """
     per_file = classified.groupBy(file).agg(
         F.count(F.lit(1)).alias("total"), *[F.count_if(F.col("status") == s).alias(s) for s in STATUSES]
@@ -67,9 +67,14 @@ def build(
     lcpt: DataFrame,
     tokenizer_vocab_size: int | None = None,
     wall_time_seconds: float | None = None,
+    tokenizer: str | None = None,
 ) -> DataFrame:
-    """The validation report as one row, from records, split records and judged text lines."""
+    """The validation report as one row, from records, split records and judged text lines.
+
+    ``tokenizer`` names what counted the tokens of borderline texts.
+    """
     counts = status_counts(classified)
+    unreadable = classified.agg(F.count_if(F.col("status") == UNREADABLE).alias("n"))
     splits = split_counts(split).select(
         F.create_map(*[x for n in (*THREE_WAY, "total") for x in (F.lit(n), F.col(n))])
     )
@@ -77,6 +82,7 @@ def build(
     return counts.select(
         F.col("total").alias("total_rows_read"),
         "malformed",
+        unreadable.scalar().alias("unreadable"),
         "empty_fields",
         F.col("duplicates").alias("duplicates_removed"),
         "valid",
@@ -84,6 +90,7 @@ def build(
         splits.scalar().alias("splits"),
         lcpt_counts(lcpt).select("kept").scalar().alias("lcpt_kept"),
         languages.scalar().alias("language_distribution"),
+        F.lit(tokenizer).cast("string").alias("tokenizer"),
         F.lit(tokenizer_vocab_size).cast("int").alias("tokenizer_vocab_size"),
         F.bround(F.lit(wall_time_seconds).cast("double"), 1).alias("wall_time_seconds"),
     )

@@ -36,12 +36,21 @@ def exact(
     sizes are exact. Only the hashes at those ranks are looked up; the rows themselves are compared
     with them where they are, without a shuffle.
     """
-    if len(names) != len(cuts) + 1:
-        raise ValueError("one more name than cuts is needed")
     order = seeded_hash(seed, *[F.col(c) for c in ids])
-    ends = thresholds(df, [order], hash_buckets(order), {f"cut{i}": _cut_rank(c) for i, c in enumerate(cuts)})
+    ends = cut_hashes(df, order, cuts)
+    return df.withColumn(column, label(order, [ends[f"cut{i}"] for i in range(len(cuts))], names))
+
+
+def cut_hashes(df: DataFrame, order: Column, cuts: Sequence[float] = THREE_WAY_CUTS) -> Column:
+    """The hashes that end each part but the last, as a scalar struct of ``cut0``, ``cut1``, ..."""
+    return thresholds(df, [order], hash_buckets(order), {f"cut{i}": _cut_rank(c) for i, c in enumerate(cuts)})
+
+
+def label(order: Column, ends: Sequence[Column], names: Sequence[str] = THREE_WAY) -> Column:
+    """The part of a row, from its hash and the hashes that end the parts."""
+    if len(names) != len(ends) + 1:
+        raise ValueError("one more name than cuts is needed")
     part: Column | None = None
-    for i, name in enumerate(names[:-1]):
-        inside = order <= ends[f"cut{i}"]
-        part = F.when(inside, name) if part is None else part.when(inside, name)
-    return df.withColumn(column, part.otherwise(names[-1]))
+    for name, end in zip(names, ends):
+        part = F.when(order <= end, name) if part is None else part.when(order <= end, name)
+    return part.otherwise(names[-1])

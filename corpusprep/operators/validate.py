@@ -22,6 +22,8 @@ MIN_OUTPUT_CHARS = 2
 MIN_LINE_CHARS = 10
 STATUSES = ("malformed", "empty_fields", "duplicates", "valid", "too_long")
 BORDERLINE = "borderline"
+# Not a fixed value: lines that Spark's parser cannot hold, counted apart from those that are no JSON.
+UNREADABLE = "unreadable"
 
 
 def prompt_text(instruction: Column, input_: Column, output: Column | None = None) -> Column:
@@ -70,15 +72,16 @@ def token_limit(
 
 
 def early_status(df: DataFrame) -> Column:
-    """``malformed`` and ``empty_fields``; null for rows that go on."""
+    """``unreadable``, ``malformed`` and ``empty_fields``; null for rows that go on."""
     malformed = F.col("malformed") if "malformed" in df.columns else F.lit(False)
+    unreadable = F.col(UNREADABLE) if UNREADABLE in df.columns else F.lit(False)
 
     # strip() and not strip_long(): this test is pushed down as a filter, where the columns may
     # stand for costly expressions.
     short = (F.length(strip(text_or_empty(F.col("instruction")))) < MIN_INSTRUCTION_CHARS) | (
         F.length(strip(text_or_empty(F.col("output")))) < MIN_OUTPUT_CHARS
     )
-    return F.when(malformed, "malformed").when(short, "empty_fields")
+    return F.when(unreadable, UNREADABLE).when(malformed, "malformed").when(short, "empty_fields")
 
 
 def classify(
@@ -122,7 +125,7 @@ def classify(
 
 
 def valid_records(classified: DataFrame) -> DataFrame:
-    return classified.filter(F.col("status") == "valid").drop("status", "malformed")
+    return classified.filter(F.col("status") == "valid").drop("status", "malformed", UNREADABLE)
 
 
 def lcpt_lines(

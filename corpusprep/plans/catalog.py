@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusprep.functions import text as tx
 from corpusprep.functions.hashing import pair_digest, short_key
 from corpusprep.functions.tokenizers import NativeTokenizer
 from corpusprep.operators import chat, chunk, dedup, pairs, ranks, report, sample, scoring, split, validate
-from corpusprep.plans.views import document_lines, documents, sft_view, table, turn_view
+from corpusprep.plans.views import TURN_BLOCK_BITS, document_lines, documents, sft_view, table, turn_view
 from corpusprep.session import materialize, prepare, scratch_path
 from corpusprep.sources import ingest, records, templates
 from corpusprep.streaming import validation
@@ -29,7 +29,6 @@ SYNTH_PER_CATEGORY = 400
 STAND_IN_CLASS = "\\x{C0}-\\x{FF}"
 # The tables' languages as response categories.
 CATEGORY_OF_LANGUAGE = {"fr": scoring.HINDI, "de": scoring.HINDI, "es": scoring.HINGLISH, "en": scoring.ENGLISH}
-TURN_BLOCK_BITS = 12
 
 
 def _big(c: str) -> Column:
@@ -78,10 +77,28 @@ def token_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dedup_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    keyed = sft_view(spark, sf_dir).select("doc_id", pair_digest(F.col("instruction"), F.col("output")).alias("digest"))
+    # The first row of each key is all that is asked for: one grouped minimum, no join back.
+    digest = pair_digest(F.col("instruction"), F.col("output")).alias("digest")
+    return sft_view(spark, sf_dir).groupBy(digest).agg(F.min("doc_id").alias("doc_id")).select(
+        "doc_id", short_key(F.col("digest")).alias("dedup_key")
+    )
+
+
+def dedup_normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First documents by text without regard to case and white space."""
+    keyed = documents(spark, sf_dir).select("doc_id", F.sha2(dedup.normalized(F.col("text")), 256).alias("digest"))
     return dedup.first_wins(keyed, F.col("digest"), ["doc_id"]).select("doc_id", short_key(F.col("digest")).alias("dedup_key"))
 
 
+def dedup_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct corpus lines, with their first place and how often they occur."""
+    lines = validate.lcpt_lines(document_lines(spark, sf_dir))
+    key = F.sha2(F.col("text"), 256).alias("digest")
+    place = F.struct("doc_id", F.col("line_no").cast("bigint").alias("line_no"))
+    return lines.groupBy(key).agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n_lines")).select(
+        "first.doc_id", "first.line_no", "n_lines", short_key(F.col("digest")).alias("dedup_key")
+    )
+
 def valid_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Valid records, written once: the split reads them three times."""
     return materialize(validate.valid_records(classified(spark, sf_dir)).select("doc_id", "language"), "valid")
@@ -109,11 +126,11 @@ def validation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = split.exact(validate.valid_records(judged), ["doc_id"])
     lcpt = validate.lcpt_lines(document_lines(spark, sf_dir))
     built = report.build(judged, parts, lcpt)
-    language = F.col("language_distribution")
+    languages = F.transform(F.map_entries("language_distribution"), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string")))
     return built.select(
         *["total_rows_read", "malformed", "empty_fields", "duplicates_removed", "valid", "too_long", "lcpt_kept"],
         *[F.col("splits")[n].alias(f"split_{n}") for n in (*split.THREE_WAY, "total")],
-        *[language[code].alias(f"train_{code}") for code in CATEGORY_OF_LANGUAGE],
+        F.array_join(F.array_sort(languages), ",").alias("languages"),
     )
 
 
@@ -180,7 +197,7 @@ def _all_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
             records.Source("documents", lambda: triples(spark, sf_dir)),
             records.Source("turns", lambda: first_turns(spark, sf_dir)),
             records.Source("answers", lambda: qa_records(spark, sf_dir)),
-            records.Source("corpus", lambda: records.from_documents(documents(spark, sf_dir).select("doc_id", "text")), corpus=True),
+            records.Source("corpus", lambda: documents(spark, sf_dir).select("doc_id", "text"), corpus=True),
         ]
     )
     return loaded
@@ -328,7 +345,8 @@ def script_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    category = F.create_map(*[F.lit(x) for kv in CATEGORY_OF_LANGUAGE.items() for x in kv])[F.col("language")]
+    known = F.create_map(*[F.lit(x) for kv in CATEGORY_OF_LANGUAGE.items() for x in kv])[F.col("language")]
+    category = F.coalesce(known, F.lit(scoring.ENGLISH))
     view = sft_view(spark, sf_dir).withColumn("category", category).withColumn("pos", F.col("doc_id"))
     prompts = view.select("category", "pos", F.col("instruction").alias("prompt"))
     responses = view.select("category", "pos", F.col("output").alias("response"))
@@ -337,7 +355,7 @@ def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def eval_results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scoring.results(_scored(spark, sf_dir)).withColumn("response", tx.preview(F.col("response")))
+    return scoring.results(_scored(spark, sf_dir)).withColumn("preview", tx.preview(F.col("response")))
 
 
 def script_pass_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -349,12 +367,16 @@ def script_pass_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def synthesized(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First lines of documents as templates and last lines as responses, by language."""
-    view = sft_view(spark, sf_dir).select("doc_id", F.col("language").alias("category"), "instruction", "output")
-    placed = ranks.with_position(view, ["category"], [F.col("doc_id")], ranks.id_range(view, "doc_id"))
-    category_pos = F.array_position(F.array(*[F.lit(c) for c in sorted(CATEGORY_OF_LANGUAGE)]), F.col("category")) - 1
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("lang").alias("category"))
+    # Numbers are given to (category, id) alone and written once; texts are joined last.
+    buckets = F.struct(*ranks.id_buckets(docs, "doc_id"))
+    placed = materialize(ranks.with_position(docs, ["category"], [F.col("doc_id")], buckets), "placed")
+    order = placed.select("category").distinct().withColumn("category_pos", F.row_number().over(Window.orderBy("category")) - 1)
+    view = sft_view(spark, sf_dir).select("doc_id", "instruction", "output")
+    texts = placed.join(view, "doc_id").join(order, "category")
     return templates.from_templates(
-        placed.select("category", category_pos.alias("category_pos"), F.col("position").alias("template_pos"), F.col("instruction").alias("template")),
-        placed.select("category", F.col("position").alias("response_pos"), F.col("output").alias("response")),
+        texts.select("category", "category_pos", F.col("position").alias("template_pos"), F.col("instruction").alias("template")),
+        texts.select("category", F.col("position").alias("response_pos"), F.col("output").alias("response")),
         SYNTH_PER_CATEGORY,
         hinglish=("es",),
     )
@@ -432,6 +454,8 @@ QUERIES: dict[str, Query] = {
     "q_length_class": length_class,
     "q_token_limit": token_limit,
     "q_dedup_exact": dedup_exact,
+    "q_dedup_normalized": dedup_normalized,
+    "q_dedup_lines": dedup_lines,
     "q_split_exact": split_exact,
     "q_split_counts": split_counts,
     "q_language_dist": language_dist,

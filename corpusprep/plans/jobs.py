@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from corpusprep.functions.hashing import pair_digest
-from corpusprep.functions.tokenizers import Tokenizer
-from corpusprep.operators import chat, chunk, pairs, report, sample, split, validate
-from corpusprep.session import materialize, prepare
-from corpusprep.sources import ingest, records, sinks
+from corpusprep.functions.hashing import pair_digest, seeded_hash
+from corpusprep.functions.tokenizers import NativeTokenizer, Tokenizer
+from corpusprep.operators import chat, chunk, dedup, pairs, report, sample, scoring, split, validate
+from corpusprep.session import materialize, prepare, remove
+from corpusprep.sources import ingest, records, sinks, templates
 
 Paths = str | Sequence[str]
 
@@ -20,16 +22,45 @@ Paths = str | Sequence[str]
 def collect_sources(sources: Sequence[records.Source], records_out: str, corpus_out: str, skip_corpus: bool = False):
     """Load all sources, write records as JSONL by source and documents as text.
 
-    Returns the counts per source and the sources that failed, which are left out whole.
+    Returns the counts per source and the sources that failed, which are left out whole: each source is
+    written on its own first, so that one that breaks off half-way leaves nothing behind.
     """
-    loaded, failures = records.load_all(sources, skip_corpus)
+    work = f"{records_out}_work"
+    spark = SparkSession.getActiveSession()
+
+    def stage(name: str, df: DataFrame) -> DataFrame:
+        return materialize(df, f"source-{uuid.uuid5(uuid.NAMESPACE_URL, name).hex}", work)
+
+    loaded, failures = records.load_all(sources, skip_corpus, stage)
     if loaded is None:
         raise ValueError(f"no source could be loaded: {failures}")
-    loaded = materialize(loaded, "sources")
+    counts = records.source_counts(loaded).collect()  # one row per source
     sinks.splits(loaded.filter(~F.col("is_corpus")).select(*records.CANONICAL, "source"), records_out, "source")
     if "text" in loaded.columns:
-        sinks.text(loaded.filter("is_corpus"), corpus_out)
-    return records.source_counts(loaded), failures
+        sinks.text(records.from_documents(loaded.filter("is_corpus")), corpus_out)
+    remove(spark, work)
+    return spark.createDataFrame(counts, "source string, is_corpus boolean, n_rows long"), failures
+
+
+def synthesize_files(spark: SparkSession, templates_in: str, responses_in: str, out: str, num_samples: int, seed: int = split.DEFAULT_SEED) -> DataFrame:
+    """Records from template and response tables in JSONL; returns the counts per category."""
+    rows = templates.from_templates(
+        spark.read.schema("category string, category_pos int, template_pos long, template string").json(templates_in),
+        spark.read.schema("category string, response_pos long, response string").json(responses_in),
+        num_samples,
+        seed,
+    )
+    sinks.jsonl(rows.select(*records.CANONICAL), out)
+    return templates.category_counts(rows)
+
+
+def score_files(spark: SparkSession, prompts_in: str, responses_in: str, out: str, num_tests: int = scoring.DEFAULT_NUM_TESTS) -> DataFrame:
+    """The result file of responses to the first prompts of each category; returns the pass rates."""
+    prompts = spark.read.schema("category string, pos long, prompt string").json(prompts_in)
+    responses = spark.read.schema("category string, prompt string, response string").json(responses_in)
+    scored = scoring.score(scoring.attach(prompts, responses, num_tests))
+    sinks.by_category(scoring.results(scored), out)
+    return scoring.pass_rates(scored, num_tests)
 
 
 def validate_files(
@@ -41,29 +72,80 @@ def validate_files(
     vocab_size: int | None = None,
     seed: int = split.DEFAULT_SEED,
 ) -> DataFrame:
-    """Validate records, split them 80/10/10 and write ``sft/split=...``, ``lcpt_corpus`` and
-    ``validation_report`` under ``out``; returns the report.
+    """Validate records, split them 80/10/10 and write ``sft/split=...``, ``lcpt_corpus``, ``running`` (totals
+    up to each file) and ``validation_report`` under ``out``; returns the report.
 
-    Each costly stage is written once to shared storage, because several later steps read it.
+    Texts are read twice. The first time, one narrow row per record is written, with its place, digest
+    and what its length says; repeats, split and report come from those rows. The second time, lines
+    meet only the rows of records that are not plainly valid, and go to their splits in source order.
     """
     started = time.time()
     prepare(spark)
-    typed = materialize(ingest.sft_records(ingest.jsonl(spark, jsonl)), "records")
-    judged = materialize(validate.classify(typed, ingest.ORDER, tokenizer, row_id=["src_row"]), "judged")
+    work = f"{out}/_work"
+    tokenizer = tokenizer or NativeTokenizer()
+    parsed = ingest.sft_records(ingest.jsonl(spark, jsonl, keep_line=True))
+    judged = materialize(_judged(parsed, tokenizer, work), "judged", work)
+    valid = validate.valid_records(judged)
     # Digests are unique among valid records, and do not depend on how files were cut into splits.
+    order = seeded_hash(seed, F.col("digest"))
+    ends = materialize(spark.range(1).select(split.cut_hashes(valid, order).alias("ends")), "ends", work).first()["ends"]
+    parts = valid.withColumn("split", split.label(order, [F.lit(end) for end in ends]))
+
+    noted = judged.filter((F.col("status") != "valid") | F.col("n_tokens").isNotNull()).select("src_row", "status", "n_tokens")
     digest = pair_digest(F.col("instruction"), F.col("output"))
-    parts = split.exact(validate.valid_records(judged).withColumn("digest", digest), ["digest"], seed)
-    sinks.record_splits(parts, f"{out}/sft")
+    lines_out = (
+        parsed.select(*ingest.ORDER, "text", "fields", digest.alias("digest"))
+        .join(noted, "src_row", "left")
+        .filter(F.col("status").isNull() | (F.col("status") == "valid"))
+        .withColumn("split", split.label(order, [F.lit(end) for end in ends]))
+    )
+    sinks.record_splits(lines_out, f"{out}/sft", ingest.ORDER)
     if text is None:
         lines = spark.createDataFrame([], "text string, status string")
     else:
-        lines = materialize(validate.lcpt_lines(ingest.lines(spark, text), tokenizer=tokenizer), "lines")
+        lines = materialize(validate.lcpt_lines(ingest.lines(spark, text), tokenizer=tokenizer), "lines", work)
         sinks.text(lines.filter("status = 'valid'"), f"{out}/lcpt_corpus")
-    built = report.build(judged, parts, lines, vocab_size, time.time() - started)
+    sinks.jsonl(report.running_by_file(judged, "src_file"), f"{out}/running")
+    built = report.build(judged, parts, lines, vocab_size, time.time() - started, getattr(tokenizer, "name", type(tokenizer).__name__))
     sinks.jsonl(built, f"{out}/validation_report")
+    remove(spark, work)
     return spark.read.schema(built.schema).json(f"{out}/validation_report")
 
 
+def _judged(parsed: DataFrame, tokenizer: Tokenizer, work: str) -> DataFrame:
+    """One narrow row per record: its place, digest, language, status and tokens."""
+    sized = validate.with_prompt(parsed.withColumn("early", validate.early_status(parsed)))
+    state = F.coalesce("early", validate.length_class(F.col("_chars"), validate.MAX_RECORD_TOKENS))
+    counted = validate.token_limit(sized.withColumn("status", state), F.col("_prompt"), "status", validate.MAX_RECORD_TOKENS, tokenizer)
+    narrow = materialize(
+        counted.select(
+            *ingest.ORDER,
+            "language",
+            F.when(F.col("early").isNull(), pair_digest(F.col("instruction"), F.col("output"))).alias("digest"),
+            "status",
+            "n_tokens",
+        ),
+        "narrow",
+        work,
+    )
+    # A number in source order, one for each record: file splits are few, and numbered on their own.
+    upto = Window.orderBy("src_file", "src_block").rowsBetween(Window.unboundedPreceding, -1)
+    cuts = narrow.groupBy("src_file", "src_block").agg(F.min("src_row").alias("_least"), (F.max("src_row") - F.min("src_row") + 1).alias("_rows"))
+    starts = cuts.select("src_file", "src_block", "_least", F.coalesce(F.sum("_rows").over(upto), F.lit(0)).alias("_start"))
+    placed = narrow.join(materialize(starts, "starts", work), ["src_file", "src_block"]).withColumn(
+        "pos", F.col("_start") + F.col("src_row") - F.col("_least")
+    )
+    passed = F.col("digest").isNotNull()
+    firsts = dedup.first_rows(placed.filter(passed), F.col("digest"), ["pos"])
+    repeat = passed & ~F.col("_is_first")
+    return (
+        dedup.mark_first(placed, firsts, ["pos"], "_is_first")
+        .withColumn("status", F.when(repeat, "duplicates").otherwise(F.col("status")))
+        .withColumn("n_tokens", F.when(~repeat, F.col("n_tokens")))
+        .select(*ingest.ORDER, "language", "digest", "status", "n_tokens")
+    )
+
+
 def parse_parallel(
     spark: SparkSession,
     path: str,
@@ -74,12 +156,14 @@ def parse_parallel(
     seed: int = split.DEFAULT_SEED,
 ) -> DataFrame:
     """Stories and translation records from an EN:/HI: file; returns the counts."""
-    paired = pairs.settle_first(materialize(pairs.read_chunks(spark, path), "pairs"))
-    sinks.text(pairs.stories(paired, max_stories, pairs.FILE_ORDER, [ingest.split()]), stories_out)
-    # Record numbers are unique across files.
-    ids = ["src_row", "src_pos"]
-    sinks.jsonl(pairs.translation_sample(paired, ids, max_pairs, seed).drop(*ids), records_out)
-    return pairs.counts(paired, max_stories)
+    work = f"{records_out}_work"
+    paired = materialize(pairs.read_pairs(spark, path), "pairs", work)
+    sinks.text(pairs.stories(paired, max_stories, ingest.ORDER, [ingest.split()]), stories_out)
+    # Line numbers are unique across files.
+    sinks.jsonl(pairs.translation_sample(paired, ["src_row"], max_pairs, seed).drop("src_row"), records_out)
+    counts = pairs.counts(paired, max_stories).collect()  # one row
+    remove(spark, work)
+    return spark.createDataFrame(counts)
 
 
 def convert_messages(spark: SparkSession, jsonl: Paths, out: str) -> DataFrame:

@@ -13,7 +13,7 @@ PIECE = NativeTokenizer.PATTERN
 NL = "chr(10)"
 SCRIPT = "[À-ÿ]"
 CATEGORY = (
-    "CASE language " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in catalog.CATEGORY_OF_LANGUAGE.items()) + " END"
+    "CASE language " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in catalog.CATEGORY_OF_LANGUAGE.items()) + " ELSE 'english_retention' END"
 )
 
 
@@ -107,7 +107,8 @@ PAIRS = f"""pairs AS (
   WHERE role = 'assistant' AND role_before = 'user' AND hi <> '' AND en <> '')"""
 STORIES = f"SELECT * FROM pairs WHERE length(hi) BETWEEN 100 AND 8000 ORDER BY conv_id, turn LIMIT {catalog.STORY_LIMIT}"
 ELIGIBLE = "SELECT * FROM pairs WHERE length(en) BETWEEN 60 AND 1500 AND length(hi) BETWEEN 60 AND 1500"
-WORDS = f"string_split_regex(text, '[{''.join(chr(92) + f'x{{{c:X}}}' for c in WHITESPACE_CODES)}]+')"
+WS_RUN = f"[{''.join(chr(92) + f'x{{{c:X}}}' for c in WHITESPACE_CODES)}]+"
+WORDS = f"string_split_regex(text, '{WS_RUN}')"
 
 
 def script_flags(text: str = "text") -> dict[str, str]:
@@ -162,7 +163,7 @@ SOURCE_ROWS = f"""WITH {SFT}, {TURNS}, {FIRST_TURNS}, loaded AS (
   SELECT 'documents' AS source, false AS is_corpus FROM sft
   UNION ALL SELECT 'turns', false FROM first_turns
   UNION ALL SELECT 'answers', false FROM turns
-  UNION ALL SELECT 'corpus', true FROM documents WHERE length({strip('text')}) > 100)"""
+  UNION ALL SELECT 'corpus', true FROM documents)"""
 
 ORACLE: dict[str, str] = {
     "q_sft_status": f"{JUDGED} SELECT doc_id, status, n_tokens FROM judged",
@@ -178,6 +179,11 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, n_tokens, CASE WHEN n_tokens <= 1024 THEN 'valid' ELSE 'too_long' END AS status FROM b""",
     "q_dedup_exact": f"""WITH {SFT} SELECT min(doc_id) AS doc_id, substr(digest, 1, 16) AS dedup_key
         FROM (SELECT doc_id, {DIGEST} AS digest FROM sft) GROUP BY digest""",
+    "q_dedup_normalized": f"""SELECT min(doc_id) AS doc_id, substr(digest, 1, 16) AS dedup_key
+        FROM (SELECT doc_id, sha256(lower({strip(f"regexp_replace(text, '{WS_RUN}', ' ', 'g')")})) AS digest FROM documents) GROUP BY digest""",
+    "q_dedup_lines": f"""WITH {LINES}, l AS (SELECT doc_id, line_no, sha256(line) AS digest FROM lines WHERE length(line) >= 10)
+        SELECT min({{'d': doc_id, 'l': line_no}})['d'] AS doc_id, min({{'d': doc_id, 'l': line_no}})['l'] AS line_no,
+               count(*) AS n_lines, substr(digest, 1, 16) AS dedup_key FROM l GROUP BY digest""",
     "q_split_exact": f"{SPLIT} SELECT doc_id, split FROM parts",
     "q_split_counts": f"""{SPLIT} SELECT {", ".join(f"count(*) FILTER (split = '{s}') AS {s}" for s in ("train", "val", "test"))}, count(*) AS total FROM parts""",
     "q_language_dist": f"{SPLIT} SELECT language, count(*) AS n_rows FROM parts WHERE split = 'train' GROUP BY language",
@@ -190,7 +196,8 @@ ORACLE: dict[str, str] = {
                (SELECT count(*) FROM lcpt WHERE status = 'valid') AS lcpt_kept,
                {", ".join(f"(SELECT count(*) FROM parts WHERE split = '{s}') AS split_{s}" for s in ("train", "val", "test"))},
                (SELECT count(*) FROM parts) AS split_total,
-               {", ".join(f"(SELECT nullif(count(*), 0) FROM parts WHERE split = 'train' AND language = '{c}') AS train_{c}" for c in catalog.CATEGORY_OF_LANGUAGE)}""",
+               (SELECT string_agg(entry, ',' ORDER BY entry) FROM (
+                  SELECT coalesce(language, 'unknown') || '=' || count(*) AS entry FROM parts WHERE split = 'train' GROUP BY coalesce(language, 'unknown'))) AS languages""",
     "q_ingest_props": """SELECT event_type, count(*) AS n_rows, count(*) FILTER (NOT json_valid(props)) AS malformed,
                count(*) FILTER (coalesce(CAST(props ->> 'k' AS BIGINT), 0) = 0) AS falsy_k,
                CAST(sum(CAST(props ->> 'k' AS BIGINT)) AS BIGINT) AS sum_k FROM events GROUP BY event_type""",
@@ -241,8 +248,8 @@ ORACLE: dict[str, str] = {
         SELECT (SELECT count(*) FROM pairs) AS pairs, (SELECT count(*) FROM e) AS eligible, (SELECT count(*) FROM s) AS stories""",
     "q_script_flags": f"""SELECT conv_id, turn, regexp_matches(text, '[ऀ-ॿ]') AS has_devanagari, {FLAGS['script']} AS has_script,
                {FLAGS['mixed']} AS is_code_mixed, {FLAGS['latin']} AS has_latin_word FROM conversations""",
-    "q_eval_results": f"""{SCORED} SELECT category, pos, prompt,
-               CASE WHEN length(output) > 300 THEN concat(substr(output, 1, 300), '...') ELSE output END AS response, flag FROM scored""",
+    "q_eval_results": f"""{SCORED} SELECT category, pos, prompt, output AS response,
+               CASE WHEN length(output) > 300 THEN concat(substr(output, 1, 300), '...') ELSE output END AS preview, flag FROM scored""",
     "q_script_pass_rates": f"""{SCORED} SELECT category, count(*) FILTER (flag) AS passed, count(*) AS n_rows,
                CAST({catalog.NUM_TESTS} AS BIGINT) AS num_tests,
                round(count(*) FILTER (flag) / {catalog.NUM_TESTS}::DOUBLE, 6) AS pass_rate FROM scored GROUP BY category""",

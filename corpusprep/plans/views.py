@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from corpusprep.session import spread_small
+TURN_BLOCK_BITS = 12
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -13,8 +13,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``documents`` for queries that work on its whole texts."""
-    return spread_small(table(spark, sf_dir, "documents"), "doc_id")
+    return table(spark, sf_dir, "documents")
 
 
 def sft_view(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,24 +33,22 @@ def sft_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 def turn_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``conversations`` as (user turn, next assistant turn); the turn before the user one, if it is
     a system turn, is the input."""
-    # Neighbouring turns meet by an equi-join on (conversation, turn), so that one very long
-    # conversation is not sorted in one task.
     turns = table(spark, sf_dir, "conversations")
+    # Turns stand side by side within blocks of a conversation, so that one very long conversation is
+    # spread over many tasks; the turns at either end of a block belong to the next block, too.
+    at, bits = F.col("turn"), TURN_BLOCK_BITS
+    places = F.array_distinct(F.array(*(F.shiftright(at + by, bits) for by in (-1, 0, 1))))
+    side_by_side = Window.partitionBy("conv_id", "block").orderBy("turn")
 
-    def shifted(role: str, by: int, name: str) -> DataFrame:
-        return turns.filter(F.col("role") == role).select("conv_id", (F.col("turn") + by).alias("turn"), F.col("text").alias(name))
+    def beside(move, by: int, role: str) -> Column:
+        near = (move("role").over(side_by_side) == role) & (move("turn").over(side_by_side) == at + by)
+        return F.when(near, move("text").over(side_by_side))
 
     return (
-        turns.filter(F.col("role") == "user")
-        .join(shifted("assistant", -1, "answer"), ["conv_id", "turn"], "left")
-        .join(shifted("system", 1, "system"), ["conv_id", "turn"], "left")
-        .select(
-            "conv_id",
-            "turn",
-            F.col("text").alias("question"),
-            F.coalesce("system", F.lit("")).alias("system"),
-            "answer",
-        )
+        turns.withColumn("block", F.explode(places))
+        .withColumns({"answer": beside(F.lead, 1, "assistant"), "system": beside(F.lag, -1, "system")})
+        .filter((F.col("role") == "user") & (F.col("block") == F.shiftright(at, bits)))
+        .select("conv_id", "turn", F.col("text").alias("question"), F.coalesce("system", F.lit("")).alias("system"), "answer")
     )
 
 

@@ -18,9 +18,6 @@ SQL_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
-# Spark's default cost of opening a file, and its default size of a file split.
-SPREAD_BYTES = (4 << 20, 128 << 20)
-
 
 def local_session(cores: str | int = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
     """A single-machine session for tests and benchmarks."""
@@ -60,24 +57,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/corpusprep/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once to shared storage and go on from the written table.
+def materialize(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
+    """Write ``df`` once to shared storage, or under ``folder``, and go on from the written table.
 
     Used where several consumers read one costly result, and where generated row ids must be
     frozen before they serve as keys. Losing executors later costs a re-read, not a re-run.
     """
-    path = scratch_path(df.sparkSession, name)
+    path = f"{folder}/{name}" if folder else scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
-def spread_small(df: DataFrame, key: str) -> DataFrame:
-    """Spread a table that fits in one file split over all cores, by a unique key.
 
-    One split is one task, however costly the work on its rows. Larger tables have splits enough
-    and are left alone, so at most one split's worth of bytes is ever moved.
-    """
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    if SPREAD_BYTES[0] < size <= SPREAD_BYTES[1]:
-        return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
-    return df
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that a job has written for itself, on whatever storage it lies."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)

@@ -13,6 +13,9 @@ from corpusprep.functions.text import is_string, or_empty, or_empty_any, strip_l
 # task, so the generated row number grows along it; across splits and files it need not.
 ORDER = ("src_file", "src_block", "src_row")
 SFT_FIELDS = ("instruction", "input", "output", "language")
+# Spark's parser takes no more than this for one value, whatever its options say.
+VARIANT_BYTES = 128 << 20
+NO_LIMIT = str((1 << 31) - 1)
 
 
 def split() -> Column:
@@ -20,12 +23,17 @@ def split() -> Column:
     return F.struct("src_file", "src_block")
 
 
+def file_path() -> Column:
+    """The path of a line's file as it is named on storage. Spark gives it as a URI, which sorts otherwise."""
+    return F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B")))
+
+
 def ordered_text(spark: SparkSession, paths: str | Sequence[str], line_sep: str | None = None) -> DataFrame:
     """Raw text records, lines by default, with their source order."""
     reader = spark.read if line_sep is None else spark.read.option("lineSep", line_sep)
     return reader.text(paths if isinstance(paths, str) else list(paths)).select(
         F.col("value").alias("text"),
-        F.col("_metadata.file_path").alias("src_file"),
+        file_path().alias("src_file"),
         F.col("_metadata.file_block_start").alias("src_block"),
         F.monotonically_increasing_id().alias("src_row"),
     )
@@ -36,15 +44,25 @@ def lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     return ordered_text(spark, paths).withColumn("text", strip_long(F.col("text"))).filter(F.col("text") != "")
 
 
-def parse_records(df: DataFrame, line: str, fields: str = "fields") -> DataFrame:
+def parse_records(df: DataFrame, line: str, fields: str = "fields", keep_line: bool = False) -> DataFrame:
     """Replace JSON text by ``fields``, MAP<STRING, VARIANT>; null for anything but one JSON object.
 
+    ``unreadable`` marks objects beyond the size that Spark can hold as a VARIANT, of which it cannot be
+    said whether they are sound. A repeated key keeps its last value if the session allows repeats,
+    as :func:`corpusprep.session.prepare` sets it.
+
     The line is parsed as the only item of a list, because Spark's parser stops after one value
     and would not see what follows it. Values keep their JSON types, which a fixed schema would
     silently turn into strings.
     """
-    df.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
-    options = {"singleVariantColumn": "v", "allowSingleQuotes": "false"}
+    options = {
+        "singleVariantColumn": "v",
+        "allowSingleQuotes": "false",
+        # The parser's own limits would turn deep or long values into malformed lines.
+        "maxNestingDepth": NO_LIMIT,
+        "maxNumLen": NO_LIMIT,
+        "maxStringLen": NO_LIMIT,
+    }
 
     def wrapped(start: str, end: str) -> Column:
         return F.from_json(F.concat(F.lit(start), F.col(line), F.lit(end)), "v variant", options)["v"]
@@ -55,21 +73,22 @@ def parse_records(df: DataFrame, line: str, fields: str = "fields") -> DataFrame
     return (
         df.withColumn("_items", wrapped("[", "]"))
         .withColumn(fields, F.when(alone & sound, F.try_variant_get("_items", "$[0]", "map<string,variant>")))
-        .drop("_items", line)
+        .withColumn("unreadable", F.col(fields).isNull() & (F.octet_length(line) >= VARIANT_BYTES) & F.col(line).startswith("{"))
+        .drop("_items", *([] if keep_line else [line]))
     )
 
 
-def jsonl(spark: SparkSession, paths: str | Sequence[str], strict: bool = False) -> DataFrame:
-    """JSONL records as ``fields`` with their source order.
+def jsonl(spark: SparkSession, paths: str | Sequence[str], strict: bool = False, keep_line: bool = False) -> DataFrame:
+    """JSONL records as ``fields`` with their source order, and the line as ``text`` if it is to be kept.
 
     Blank lines are skipped and a bad line has null ``fields``. With ``strict`` any blank or bad
     line fails the job.
     """
     raw = ordered_text(spark, paths).withColumn("text", strip_long(F.col("text")))
     if not strict:
-        return parse_records(raw.filter(F.col("text") != ""), "text")
+        return parse_records(raw.filter(F.col("text") != ""), "text", keep_line=keep_line)
     failed = F.raise_error(F.concat(F.lit("bad JSON line in "), F.col("src_file"))).cast("map<string,variant>")
-    return parse_records(raw, "text").withColumn("fields", F.coalesce("fields", failed))
+    return parse_records(raw, "text", keep_line=keep_line).withColumn("fields", F.coalesce("fields", failed))
 
 
 def sft_records(parsed: DataFrame, fields: str = "fields") -> DataFrame:

@@ -62,18 +62,22 @@ def from_documents(df: DataFrame, text: str = "text", min_chars: int = MIN_DOCUM
 
 @dataclass(frozen=True)
 class Source:
-    """A named loader; ``corpus`` sources hold plain documents and are not instruction records."""
+    """A named loader; ``corpus`` sources hold plain documents, unfiltered, and are not instruction records."""
 
     name: str
     load: Callable[[], DataFrame]
     corpus: bool = False
 
 
-def load_all(sources: Sequence[Source], skip_corpus: bool = False) -> tuple[DataFrame | None, dict[str, str]]:
+def load_all(
+    sources: Sequence[Source], skip_corpus: bool = False, stage: Callable[[str, DataFrame], DataFrame] | None = None
+) -> tuple[DataFrame | None, dict[str, str]]:
     """Union of all instruction and corpus sources, with a ``source`` column, and what failed.
 
-    A source that cannot be read or analysed is left out whole and reported by name; the rest goes
-    on. Differing columns are kept and filled with null.
+    A source that fails is left out whole and reported by name; the rest goes on. Without ``stage``
+    only failures of opening and analysing are noticed. ``stage`` is called with a source's name and
+    rows, writes them somewhere and returns what it wrote, so that files that cannot be read show, too.
+    Differing columns are kept and filled with null.
     """
     loaded: list[DataFrame] = []
     failures: dict[str, str] = {}
@@ -83,6 +87,7 @@ def load_all(sources: Sequence[Source], skip_corpus: bool = False) -> tuple[Data
         try:
             df = source.load()
             df.schema  # analysis errors surface here, not in the job that reads the union
+            df = df if stage is None else stage(source.name, df)
         except Exception as error:  # any failure of one source must not stop the others
             failures[source.name] = str(error)
             continue
@@ -96,7 +101,7 @@ def load_all(sources: Sequence[Source], skip_corpus: bool = False) -> tuple[Data
 
 
 def source_counts(loaded: DataFrame) -> DataFrame:
-    """Rows per source."""
+    """Rows per source; documents count as read, before their length is judged."""
     return loaded.groupBy("source", "is_corpus").agg(F.count(F.lit(1)).alias("n_rows"))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,16 +23,29 @@ def splits(df: DataFrame, path: str, column: str = "split", mode: str = "errorif
     df.write.mode(mode).partitionBy(column).option("ignoreNullFields", "false").json(path)
 
 
-def record_json(fields: Column, n_tokens: Column) -> Column:
-    """The JSON text of a whole source record, unknown fields included, with its ``n_tokens``."""
+def record_json(line: Column, fields: Column, n_tokens: Column) -> Column:
+    """The line of a source record as it came, with its ``n_tokens``.
+
+    Numbers, escapes and the order of fields stay as they are. Only a record that brings a field
+    ``n_tokens`` of its own is written anew, with that field replaced.
+    """
+    value = F.coalesce(n_tokens.cast("string"), F.lit("null"))
+    comma = F.when(F.size(fields) > 0, ", ").otherwise("")
+    extended = F.concat(F.substr(line, F.lit(1), F.length(line) - 1), comma, F.lit('"n_tokens": '), value, F.lit("}"))
     others = F.map_filter(fields, lambda k, _: k != "n_tokens")
-    return F.to_json(F.map_concat(others, F.create_map(F.lit("n_tokens"), n_tokens.cast("variant"))))
+    anew = F.to_json(F.map_concat(others, F.create_map(F.lit("n_tokens"), n_tokens.cast("variant"))))
+    return F.when(F.map_contains_key(fields, F.lit("n_tokens")), anew).otherwise(extended)
+
 
+def record_splits(df: DataFrame, path: str, order: Sequence[str], fields: str = "fields", line: str = "text", mode: str = "errorifexists") -> None:
+    """As :func:`splits` for records that came from JSONL: every field they came with goes out.
 
-def record_splits(df: DataFrame, path: str, fields: str = "fields", mode: str = "errorifexists") -> None:
-    """As :func:`splits` for records that came from JSONL: every field they came with goes out."""
-    line = record_json(F.col(fields), F.col("n_tokens")).alias("value")
-    df.select("split", line).write.mode(mode).partitionBy("split").text(path)
+    Files are numbered, and lines written, in source order, so that readers of a split find it again.
+    """
+    value = record_json(F.col(line), F.col(fields), F.col("n_tokens")).alias("value")
+    # The writer asks for rows grouped by split; in this order it has nothing to sort.
+    placed = df.select("split", value, *order).repartitionByRange(*order).sortWithinPartitions("split", *order)
+    placed.select("split", "value").write.mode(mode).partitionBy("split").text(path)
 
 
 def by_category(df: DataFrame, path: str, mode: str = "errorifexists") -> None:

@@ -12,6 +12,7 @@ from corpusprep.functions.hashing import hash_index, seeded_hash
 from corpusprep.operators.split import DEFAULT_SEED
 
 SALTS = 256
+REPEATS_AT_ONCE = 4096
 
 # Fixed values.
 DEFAULT_PER_CATEGORY = 200
@@ -52,7 +53,9 @@ def from_templates(
     rows = (
         templates.select("category", "template_pos", "template", salt)
         .join(salted_plan.join(choices, "category", "left"), ["category", "_salt"])
-        .withColumn("_repeat", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_repeats") - 1)))
+        # In two steps, so that a template with many repeats is never one long array.
+        .withColumn("_first", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_repeats") - 1, F.lit(REPEATS_AT_ONCE))))
+        .withColumn("_repeat", F.explode(F.sequence("_first", F.least(F.col("_first") + (REPEATS_AT_ONCE - 1), F.col("_repeats") - 1))))
         .withColumn("idx", F.col("_repeat") * F.col("_size") + F.col("template_pos"))
         .filter(F.col("_start") + F.col("idx") < F.col("_cap"))
     )

@@ -19,7 +19,8 @@ from corpusprep.operators.validate import (
     token_limit,
     with_prompt,
 )
-from corpusprep.sources.ingest import parse_records, sft_records
+from corpusprep.session import remove
+from corpusprep.sources.ingest import file_path, parse_records, sft_records
 
 INGEST_TIME = "ingest_time"
 # A stream cannot number its rows; run_first_wins does it per micro-batch.
@@ -34,7 +35,7 @@ def stream_jsonl(spark: SparkSession, path: str, max_files: int | None = None) -
     line = strip(F.col("value"))
     lines = (
         reader.text(path)
-        .withColumn("src_file", F.col("_metadata.file_path"))
+        .withColumn("src_file", file_path())
         .withColumn("src_block", F.col("_metadata.file_block_start"))
         .withColumn("_line", line)
         .filter(F.col("_line") != "")
@@ -131,6 +132,7 @@ def run_first_wins(
         _length_status(marked, max_tokens, tokenizer, F.coalesce("_early", repeat)).select(
             *order, *[c for c in keep if c not in order], "status", "n_tokens"
         ).write.mode("overwrite").parquet(f"{out}/status/batch_id={batch_id}")
+        remove(spark, staged_path)
 
     # The first batch reads the key table before it has written one.
     records.sparkSession.createDataFrame([], "digest string").write.mode("ignore").parquet(f"{keys}/batch_id=-1")

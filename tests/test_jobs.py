@@ -26,7 +26,7 @@ def test_validate_split_report_convert(spark, tmp_path, raw, small_splits):
     assert row.pop("wall_time_seconds") > 0
     languages = row.pop("language_distribution")
     assert row == {
-        "total_rows_read": 208, "malformed": 1, "empty_fields": 1, "duplicates_removed": 1, "valid": 204, "too_long": 1,
+        "total_rows_read": 208, "malformed": 1, "unreadable": 0, "tokenizer": "pieces by pattern", "empty_fields": 1, "duplicates_removed": 1, "valid": 204, "too_long": 1,
         "splits": {"train": 163, "val": 20, "test": 21, "total": 204}, "lcpt_kept": 2, "tokenizer_vocab_size": 64000,
     }
     train = [json.loads(r.value) for r in spark.read.text(f"{out}/sft/split=train").collect()]
@@ -83,12 +83,12 @@ def test_sources_to_files(spark, tmp_path):
         [
             records.Source("qa", lambda: records.from_qa(qa, "hindi")),
             records.Source("gone", lambda: spark.read.json("/nonexistent")),
-            records.Source("wiki", lambda: records.from_documents(wiki), corpus=True),
+            records.Source("wiki", lambda: wiki, corpus=True),
         ],
         str(tmp_path / "sft"),
         str(tmp_path / "corpus"),
     )
-    assert {r.source: r.n_rows for r in counts.collect()} == {"qa": 2, "wiki": 1} and list(failures) == ["gone"]
+    assert {r.source: r.n_rows for r in counts.collect()} == {"qa": 2, "wiki": 2} and list(failures) == ["gone"]
     assert spark.read.json(f"{tmp_path}/sft/source=qa").count() == 2
     assert spark.read.text(f"{tmp_path}/corpus").count() == 1
 
@@ -100,17 +100,97 @@ def test_command_line(spark, tmp_path, raw):
     assert spark.read.json(f"{tmp_path}/messages").count() == spark.read.json(f"{tmp_path}/sft").count() == 20
 
 
-def test_command_line_with_a_tokenizer_file(spark, tmp_path, lines_file):
-    from tokenizers import Tokenizer, models, pre_tokenizers
-
-    words = Tokenizer(models.WordLevel({"[UNK]": 0, "w": 1, "end": 2}, unk_token="[UNK]"))
-    words.pre_tokenizer = pre_tokenizers.Whitespace()
-    words.save(str(tmp_path / "tokenizer.json"))
-    rows = [json.dumps({"instruction": "w " * n, "output": f"end {n}"}) for n in (10, 1030, 1024, 2000)]
-    jsonl = lines_file(tmp_path / "r.jsonl", rows)
-    text = lines_file(tmp_path / "t.txt", ["w " * 2040, "w " * 2100, "w " * 3000])
-    main(["validate", "--jsonl", jsonl, "--text", text, "--out", f"{tmp_path}/out", "--tokenizer", f"{tmp_path}/tokenizer.json"])
-    report = spark.read.json(f"{tmp_path}/out/validation_report").first()
-    assert (report.valid, report.too_long, report.lcpt_kept, report.tokenizer_vocab_size) == (2, 2, 1, 3)
-    main(["lcpt-examples", "--text", f"{tmp_path}/out/lcpt_corpus", "--out", f"{tmp_path}/lcpt", "--max-len", "512", "--tokenizer", f"{tmp_path}/tokenizer.json"])
-    assert sorted(len(r.tokens) for r in spark.read.json(f"{tmp_path}/lcpt").collect()) == [504, 512, 512, 512]
+def test_command_lines_of_the_other_jobs(spark, tmp_path, lines_file):
+    triples = lines_file(tmp_path / "t.json", [json.dumps({"instruction": f"i{n}", "output": f"o{n}"}) for n in range(4)])
+    wiki = lines_file(tmp_path / "w.json", [json.dumps({"text": "w" * n}) for n in (50, 150)])
+    broken = lines_file(tmp_path / "b.parquet", ["no Parquet at all"])
+    given = [("t", "triples", "hindi", triples), ("w", "documents", "-", wiki), ("b", "triples", "hindi", broken)]
+    main(["sources", *[x for g in given for x in ("--source", *g)], "--records-out", f"{tmp_path}/sft", "--corpus-out", f"{tmp_path}/corpus"])
+    assert spark.read.json(f"{tmp_path}/sft").count() == 4 and spark.read.text(f"{tmp_path}/corpus").count() == 1
+    assert not (tmp_path / "sft_work").exists()
+
+    t = lines_file(tmp_path / "templates.json", [json.dumps({"category": "qa", "category_pos": 0, "template_pos": i, "template": f"t{i}"}) for i in range(3)])
+    r = lines_file(tmp_path / "responses.json", [json.dumps({"category": "qa", "response_pos": 0, "response": "r"})])
+    main(["synthesize", "--templates", t, "--responses", r, "--out", f"{tmp_path}/synth", "--per-category", "7"])
+    assert spark.read.json(f"{tmp_path}/synth").count() == 7
+
+    p = lines_file(tmp_path / "prompts.json", [json.dumps({"category": "english_retention", "pos": i, "prompt": f"p{i}"}) for i in range(5)])
+    a = lines_file(tmp_path / "answers.json", [json.dumps({"category": "english_retention", "prompt": f"p{i}", "response": "yes" if i else "1"}) for i in range(5)])
+    main(["score", "--prompts", p, "--responses", a, "--out", f"{tmp_path}/scored", "--num-tests", "4"])
+    assert sorted(x.flag for x in spark.read.json(f"{tmp_path}/scored").collect()) == [False, True, True, True]
+
+    (tmp_path / "in").mkdir()
+    lines_file(tmp_path / "in" / "a.jsonl", [json.dumps({"instruction": f"question {n % 3}", "output": "answer"}) for n in range(5)])
+    main(["stream", "--input", f"{tmp_path}/in", "--out", f"{tmp_path}/live", "--checkpoint", f"{tmp_path}/check"])
+    assert sorted(x.status for x in spark.read.parquet(f"{tmp_path}/live/status").collect()) == ["duplicates"] * 2 + ["valid"] * 3
+    assert not list((tmp_path / "live" / "staged").glob("batch_id=*"))
+
+
+def test_all_rows_on_the_command_line(spark, tmp_path, lines_file):
+    lines = [x for i in range(40) for x in (f"EN: story {i} " + "word " * 20, f"HI: कहानी {i} " + "शब्द " * 40)]
+    path = lines_file(tmp_path / "p.txt", lines)
+    main(["pairs", "--input", path, "--stories-out", f"{tmp_path}/s", "--records-out", f"{tmp_path}/r", "--max-pairs", "all", "--max-stories", "all"])
+    assert spark.read.text(f"{tmp_path}/s").count() == spark.read.json(f"{tmp_path}/r").count() == 40
+    main(["sft-examples", "--jsonl", f"{tmp_path}/r", "--out", f"{tmp_path}/x", "--max-rows", "all"])
+    assert spark.read.json(f"{tmp_path}/x").count() == 40
+
+
+@pytest.fixture
+def unmerged(spark):
+    """Partitions are not merged and many, so that order is not kept by chance."""
+    new = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "13"}
+    old = {k: spark.conf.get(k) for k in new}
+    for k, v in new.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        spark.conf.set(k, v)
+
+
+def test_training_subset_keeps_source_order(spark, tmp_path, lines_file, small_splits, unmerged):
+    (tmp_path / "raw").mkdir()
+    for f in "ab":
+        rows = [{"instruction": f"question {f}{i:04d} " + "x" * 40, "output": "an answer"} for i in range(700)]
+        lines_file(tmp_path / "raw" / f"{f}.jsonl", [json.dumps(r) for r in rows])
+    jobs.validate_files(spark, f"{tmp_path}/raw/*.jsonl", None, str(tmp_path / "out"))
+    train = {json.loads(r.value)["instruction"].split()[1] for r in spark.read.text(f"{tmp_path}/out/sft/split=train").collect()}
+    assert len(train) == 1120
+    got = [r.text.split()[2] for r in jobs.sft_training(spark, f"{tmp_path}/out/sft/split=train", 60).collect()]
+    assert sorted(got) == sorted(train)[:60]
+    assert not (tmp_path / "out" / "_work").exists()
+    running = [(r.src_file[-7:], r.total) for r in spark.read.json(f"{tmp_path}/out/running").orderBy("total").collect()]
+    assert running == [("a.jsonl", 700), ("b.jsonl", 1400)]
+
+
+def test_first_file_by_its_name_on_storage_wins(spark, tmp_path, lines_file):
+    (tmp_path / "raw").mkdir()
+    for name in ("a!b", "a b", "a%20b", "a#b", "a+b"):
+        lines_file(tmp_path / "raw" / f"{name}.jsonl", [json.dumps({"instruction": "the same", "output": "answer", "from": name})])
+    jobs.validate_files(spark, f"{tmp_path}/raw", None, str(tmp_path / "out"))
+    kept = [json.loads(r.value) for r in spark.read.text(f"{tmp_path}/out/sft").collect()]
+    assert [r["from"] for r in kept] == ["a b"]
+
+
+def test_records_leave_as_they_came(spark, tmp_path, lines_file):
+    line = '{"instruction": "keep this", "output": "as it is", "z": 1.0, "a": 1.50, "n": ' + "9" * 60 + ', "s": "\\ud800", "x": NaN}'
+    own = '{"instruction": "own count", "output": "replaced", "n_tokens": 7}'
+    jobs.validate_files(spark, lines_file(tmp_path / "r.jsonl", [line, own, "{}"]), None, str(tmp_path / "out"))
+    written = sorted(r.value for r in spark.read.text(f"{tmp_path}/out/sft").collect())
+    assert written[0] == line[:-1] + ', "n_tokens": null}' and json.loads(written[1]) == {**json.loads(own), "n_tokens": None}
+
+
+def test_texts_are_not_sorted_for_repeats(spark, tmp_path, lines_file):
+    path = lines_file(tmp_path / "r.jsonl", [json.dumps({"instruction": "some text", "output": "answer"})])
+    parsed = jobs.ingest.sft_records(jobs.ingest.jsonl(spark, path, keep_line=True))
+    judged = jobs._judged(parsed, jobs.NativeTokenizer(), str(tmp_path / "work"))
+    judged.collect()
+    plan = judged._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "instruction" not in plan
+
+
+def test_deep_and_long_values(spark, tmp_path, lines_file):
+    deep = "[" * 1100 + "]" * 1100
+    rows = ['{"instruction": "deep value", "output": "fine", "v": ' + deep + "}", '{"instruction": "long number", "output": "fine", "v": ' + "1" * 1100 + "}"]
+    rows.append(json.dumps({"instruction": "long text", "output": "fine", "v": "x" * 25_000_000}))
+    report = jobs.validate_files(spark, lines_file(tmp_path / "r.jsonl", rows), None, str(tmp_path / "out")).first()
+    assert (report.valid, report.malformed, report.unreadable, report.tokenizer) == (3, 0, 0, "pieces by pattern")

@@ -66,9 +66,9 @@ def test_unknown_fields_survive_and_nulls_are_written(spark, tmp_path, lines_fil
         {"instruction": "हिंदी में", "output": "लिखें", "language": "hindi"},
     ]
     path = lines_file(tmp_path / "in.jsonl", [json.dumps(r, ensure_ascii=False) for r in rows])
-    judged = validate.classify(ingest.sft_records(ingest.jsonl(spark, path)), ingest.ORDER)
+    judged = validate.classify(ingest.sft_records(ingest.jsonl(spark, path, keep_line=True)), ingest.ORDER)
     out = str(tmp_path / "out")
-    sinks.record_splits(judged.withColumn("split", F.lit("train")), out)
+    sinks.record_splits(judged.withColumn("split", F.lit("train")), out, ingest.ORDER)
     written = [r.value for r in spark.read.text(out + "/split=train").collect()]
     assert sorted(map(json.loads, written), key=str) == sorted([{**r, "n_tokens": None} for r in rows], key=str)
     assert any("हिंदी" in line for line in written)
