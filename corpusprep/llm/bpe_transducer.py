@@ -32,19 +32,23 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in lines if line.strip())}
 
 
+_NOWHERE: dict = {}
+
+
 class _State:
     __slots__ = ("final", "key", "next")
 
     def __init__(self, key):
         self.key = key
-        self.next: dict[int, tuple[_State, tuple[int, ...]]] = {}
+        # Most states end a word and are never left: they share one empty table.
+        self.next: dict[int, tuple[_State, tuple[int, ...]]] = _NOWHERE
         self.final: tuple[int, ...] = key[1][-1]
 
 
 class Transducer:
     """Encodes byte strings, each on its own."""
 
-    def __init__(self, ranks: dict[bytes, int], max_states: int = 100_000):
+    def __init__(self, ranks: dict[bytes, int], max_states: int = 200_000):
         missing = [b for b in range(256) if bytes([b]) not in ranks]
         if missing:
             raise ValueError(f"the vocabulary lacks {len(missing)} single bytes")
@@ -58,6 +62,7 @@ class Transducer:
 
     def _reset(self) -> None:
         self.states: dict = {}
+        self._ends: dict[bytes, tuple[tuple[tuple[int, int], ...], int]] = {}
         self.start = self._state((b"", ((),), None))
 
     def _state(self, key) -> _State:
@@ -131,18 +136,13 @@ class Transducer:
     def _step(self, state: _State, byte: int) -> tuple[_State, tuple[int, ...]]:
         seen, pending, before = state.key
         seen += bytes([byte])
-        ranks = self.ranks
-        for k in range(len(seen)):  # the token that ends here started k bytes after the first place
-            token = ranks.get(seen[k:])
-            if token is not None:
-                chain = pending[k]
-                if self._holds(chain[-1] if chain else before, token):
-                    break
+        ends, keep = self._ends.get(seen) or self._window(seen)
+        for k, token in ends:
+            chain = pending[k]
+            if self._holds(chain[-1] if chain else before, token):
+                break
         else:
             raise AssertionError("no token fits: the vocabulary's ranks are no order of merges")
-        keep = 0
-        while keep < len(seen) and seen[keep:] not in self.prefixes:
-            keep += 1
         chains = [*pending[keep:], (*chain, token)]
         agreed = self._common(chains)
         out = chains[0][:agreed]
@@ -153,9 +153,21 @@ class Transducer:
         if chains[0]:
             before = None
         made = (self._state((seen[keep:], tuple(chains), before)), out)
+        if state.next is _NOWHERE:
+            state.next = {}
         state.next[byte] = made
         return made
 
+    def _window(self, seen: bytes) -> tuple[tuple[tuple[int, int], ...], int]:
+        """The tokens that end these bytes, with their first places, and how many bytes no token can still need."""
+        ranks, prefixes = self.ranks, self.prefixes
+        ends = tuple((k, ranks[seen[k:]]) for k in range(len(seen)) if seen[k:] in ranks)
+        keep = 0
+        while keep < len(seen) and seen[keep:] not in prefixes:
+            keep += 1
+        self._ends[seen] = ends, keep
+        return ends, keep
+
     def stream(self, data: bytes, block: int = 4096) -> Iterator[list[int]]:
         """Tokens as soon as they are certain, in lists of those that one block of bytes settles."""
         state = self.start
@@ -174,7 +186,18 @@ class Transducer:
         yield list(state.final)
 
     def encode(self, data: bytes) -> list[int]:
-        return [token for tokens in self.stream(data) for token in tokens]
+        if len(data) > 4096:
+            return [token for tokens in self.stream(data) for token in tokens]
+        state, emitted = self.start, []
+        for byte in data:
+            hop = state.next.get(byte) or self._step(state, byte)
+            state = hop[0]
+            if hop[1]:
+                emitted += hop[1]
+        emitted += state.final
+        if len(self.states) >= self.max_states:
+            self._reset()
+        return emitted
 
 
 # Bytes that follow a lead byte, and how many of them it asks for.
@@ -229,16 +252,31 @@ def decode_stream(ids: Sequence[int], tokens: Sequence[bytes], block: int = 16_3
 class Codec:
     """Whole texts to ids and back, with the pattern that splits a text before the merges."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, entries: int = 300_000):
         import regex
 
         self.transducer = Transducer(ranks)
         split, encode = regex.compile(pattern).findall, self.transducer.encode
+        matches: dict[str, bytes] = {}
+
+        def coded(match: str) -> bytes:
+            ids = matches.get(match)
+            if ids is None:
+                ids = array("I", encode(match.encode())).tobytes()
+                if len(match) <= 32:
+                    if len(matches) >= entries:
+                        matches.clear()
+                    matches[match] = ids
+            return ids
 
         def part(text: str) -> bytes:
-            return array("I", [i for match in split(text) for i in encode(match.encode())]).tobytes()
+            return b"".join(map(coded, split(text)))
+
+        def rest(parts: list[str]) -> list[bytes]:
+            # Letters alone, as most parts are, are one match with the space in front.
+            return [coded(" " + p) if p.isascii() and p.isalpha() else part(" " + p) for p in parts]
 
-        self._parts = PartEncoder(part, lambda parts: [part(" " + p) for p in parts])
+        self._parts = PartEncoder(part, rest)
         self._table = [self.transducer.token.get(i, b"") for i in range(max(self.transducer.token) + 1)]
 
     def encode_all(self, texts: list[str]) -> Iterator[bytes]:
