@@ -8,10 +8,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from corpusprep.functions.text import WHITESPACE_CLASS
+from corpusprep.functions.tokenizers import NativeTokenizer, Tokenizer
 from corpusprep.operators.split import THREE_WAY
 from corpusprep.operators.validate import STATUSES, UNREADABLE
 
 UNKNOWN_LANGUAGE = "unknown"
+# Fixed value: a corpus below this is not worth continued training.
+LEAST_CORPUS_TOKENS = 200_000
 
 
 def status_counts(classified: DataFrame) -> DataFrame:
@@ -61,6 +65,29 @@ def lcpt_counts(lines: DataFrame) -> DataFrame:
     )
 
 
+def fertility(df: DataFrame, text: str, group: str, tokenizer: Tokenizer | None = None) -> DataFrame:
+    """Characters per token and tokens per word of each group, from sums over all its texts."""
+    counted = df.select(
+        group,
+        F.length(text).cast("bigint").alias("_chars"),
+        (tokenizer or NativeTokenizer()).count(F.col(text)).cast("bigint").alias("_tokens"),
+        F.regexp_count(F.col(text), F.lit(f"[^{WHITESPACE_CLASS}]+")).cast("bigint").alias("_words"),
+    )
+    sums = counted.groupBy(group).agg(*[F.coalesce(F.sum(f"_{c}"), F.lit(0)).alias(f"n_{c}") for c in ("chars", "tokens", "words")])
+    return sums.withColumns(
+        {
+            "chars_per_token": F.round(F.try_divide("n_chars", "n_tokens"), 6),
+            "tokens_per_word": F.round(F.try_divide("n_tokens", "n_words"), 6),
+        }
+    )
+
+
+def token_budget(df: DataFrame, text: str, least: int = LEAST_CORPUS_TOKENS, tokenizer: Tokenizer | None = None) -> DataFrame:
+    """One row: the tokens of a corpus, and whether they are enough for continued training."""
+    tokens = F.coalesce(F.sum((tokenizer or NativeTokenizer()).count(F.col(text)).cast("bigint")), F.lit(0))
+    return df.agg(tokens.alias("n_tokens")).withColumn("enough", F.col("n_tokens") >= least)
+
+
 def build(
     classified: DataFrame,
     split: DataFrame,

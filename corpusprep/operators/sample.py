@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,6 +26,30 @@ def fixed_size(df: DataFrame, k: int | None, ids: Sequence[str], seed: int = DEF
     return df.filter(order <= thresholds(df, [order], hash_buckets(order), {"last": k})["last"])
 
 
+def mix(
+    df: DataFrame, weights: Mapping[str, int], column: str, ids: Sequence[str], total: int | None = None, seed: int = DEFAULT_SEED
+) -> DataFrame:
+    """A uniform sample whose classes have the given shares, in percent: the largest there is, or of ``total`` rows.
+
+    Of a class with weight ``w``, ``total * w // 100`` rows are kept, those with the smallest seeded hashes.
+    Each class is cut at the hash of that rank; rows are compared where they are. Rows of other classes
+    are left out.
+    """
+    if sum(weights.values()) != 100 or min(weights.values()) <= 0:
+        raise ValueError("weights are positive and add up to 100")
+    rows = df.filter(F.col(column).isin(*weights)).groupBy(column).agg(F.count(F.lit(1)).alias("n")).collect()  # one per class
+    counts = {r[column]: r["n"] for r in rows}
+    largest = min(counts.get(name, 0) * 100 // w for name, w in weights.items())
+    total = largest if total is None else min(total, largest)
+    order = seeded_hash(seed, *[F.col(c) for c in ids])
+    kept = F.lit(False)
+    for name, w in weights.items():
+        own = F.col(column) == name
+        ends = thresholds(df.filter(own), [order], hash_buckets(order), {"last": total * w // 100})
+        kept = kept | (own & (order <= ends["last"]))
+    return df.filter(kept)
+
+
 def first_k(df: DataFrame, k: int | None, order: Sequence[str], buckets: Sequence[Column] | None = None) -> DataFrame:
     """The first ``min(k, n)`` rows in the given unique order; null keeps all.
 

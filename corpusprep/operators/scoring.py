@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusprep.functions.text import DEVANAGARI_CLASS, has_latin_word, has_script, is_code_mixed
+from corpusprep.functions.text import DEVANAGARI_CLASS, WHITESPACE_CLASS, has_latin_word, has_script, is_code_mixed
 from corpusprep.operators.sample import first_k_per_group
 
 # Prompt categories.
@@ -15,6 +15,10 @@ HINDI = "hindi"
 HINGLISH = "hinglish"
 ENGLISH = "english_retention"
 DEFAULT_NUM_TESTS = 3
+# Rows of the evaluation job, gain that continued training must bring, loss that is accepted.
+EVALUATION_ROWS = 20
+LEAST_GAIN = 0.05
+MOST_LOSS = 0.02
 
 
 def script_flag(category: Column, response: Column, char_class: str = DEVANAGARI_CLASS) -> Column:
@@ -60,3 +64,76 @@ def pass_rates(scored: DataFrame, num_tests: int = DEFAULT_NUM_TESTS) -> DataFra
         .withColumn("num_tests", F.lit(num_tests).cast("bigint"))
         .withColumn("pass_rate", F.round(F.col("passed") / F.col("num_tests"), 6))
     )
+
+
+def words(text: Column) -> Column:
+    """Lower-cased words of a text, as an array; punctuation stays with its word."""
+    return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), f"[{WHITESPACE_CLASS}]+"), lambda w: w != "")
+
+
+def short_answer(df: DataFrame, prediction: str, gold: str, order: Sequence[str], limit: int | None = EVALUATION_ROWS) -> DataFrame:
+    """Whether each prediction equals its gold answer, and whether it contains it, word by word.
+
+    Our own definition: case and white space do not count; an empty gold answer is contained in
+    nothing but an empty prediction. ``limit`` takes the first rows in the given order; null takes all.
+    """
+    rows = df if limit is None else df.orderBy(*order).limit(limit)
+    # A space at either end, so that only whole words match.
+    said, wanted = (F.concat(F.lit(" "), F.array_join(words(F.col(c)), " "), F.lit(" ")) for c in (prediction, gold))
+    return rows.select(*order, (said == wanted).alias("exact"), F.when(wanted == "  ", said == wanted).otherwise(said.contains(wanted)).alias("contained"))
+
+
+def ngrams(text: Column, n: int) -> Column:
+    """All ``n`` successive words of a text, as an array of strings."""
+    w = words(text)
+    return F.when(
+        F.size(w) >= n, F.transform(F.sequence(F.lit(0), F.size(w) - n), lambda i: F.array_join(F.slice(w, i + 1, n), " "))
+    ).otherwise(F.array().cast("array<string>"))
+
+
+def ngram_overlap(df: DataFrame, candidate: str, reference: str, ids: Sequence[str], n: int = 1) -> DataFrame:
+    """Per row: n-grams of candidate and reference, those in common (each as often as both have it), and
+    the recall, precision and F1 that are known as ROUGE-N.
+
+    Both sides are counted in one grouping by (row, n-gram), which combines before it is shuffled.
+    """
+    sides = [df.select(*ids, F.explode_outer(ngrams(F.col(c), n)).alias("_gram"), F.lit(c == candidate).alias("_said")) for c in (candidate, reference)]
+    there = F.col("_gram").isNotNull()
+    counts = sides[0].union(sides[1]).groupBy(*ids, "_gram").agg(
+        F.count_if(there & F.col("_said")).alias("_said"), F.count_if(there & ~F.col("_said")).alias("_wanted")
+    )
+    sums = counts.groupBy(*ids).agg(
+        F.sum("_said").alias("n_candidate"), F.sum("_wanted").alias("n_reference"), F.sum(F.least("_said", "_wanted")).alias("n_common")
+    )
+    recall, precision = (F.coalesce(F.try_divide("n_common", c), F.lit(0.0)) for c in ("n_reference", "n_candidate"))
+    f1 = F.coalesce(F.try_divide(2 * F.col("n_common"), F.col("n_candidate") + F.col("n_reference")), F.lit(0.0))
+    return sums.withColumns({"recall": F.round(recall, 6), "precision": F.round(precision, 6), "f1": F.round(f1, 6)})
+
+
+def corpus_bleu(df: DataFrame, candidate: str, reference: str, ids: Sequence[str], longest: int = 4) -> DataFrame:
+    """One row: BLEU of a corpus of one reference each, without smoothing."""
+    parts = None
+    for n in range(1, longest + 1):
+        own = ngram_overlap(df, candidate, reference, ids, n).agg(
+            F.lit(n).alias("n"), *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n_common", "n_candidate", "n_reference")]
+        )
+        parts = own if parts is None else parts.union(own)
+    one = F.col("n") == 1
+    said, wanted = F.max(F.when(one, F.col("n_candidate"))), F.max(F.when(one, F.col("n_reference")))
+    fit = F.exp(F.avg(F.log(F.try_divide("n_common", "n_candidate"))))
+    short = F.when(said >= wanted, 1.0).otherwise(F.exp(1 - F.try_divide(wanted, said)))
+    found = F.min("n_common") > 0
+    return parts.agg(F.round(F.when(found, fit * short).otherwise(0.0), 6).alias("bleu"))
+
+
+def compare_runs(base: DataFrame, tuned: DataFrame, column: str = "pass_rate", least_gain: float = LEAST_GAIN, most_loss: float = MOST_LOSS) -> DataFrame:
+    """Per category: the rates of two runs, the gain relative to the first, whether that is enough to go on,
+    and whether a loss is small enough to accept. A rate of 0 is improved by anything above."""
+    joined = base.select("category", F.col(column).alias("base")).join(tuned.select("category", F.col(column).alias("tuned")), "category", "full")
+    gain = F.round(F.try_divide(F.col("tuned") - F.col("base"), F.col("base")), 6)
+    return joined.withColumn("gain", gain).withColumns(
+        {
+            "improves": F.coalesce(F.col("gain") > least_gain, (F.col("base") == 0) & (F.col("tuned") > 0)),
+            "keeps": F.coalesce(F.col("gain") >= -most_loss, F.col("base") == 0),
+        }
+    )

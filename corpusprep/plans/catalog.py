@@ -344,12 +344,12 @@ def script_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _scored(spark: SparkSession, sf_dir: str, response: str = "output") -> DataFrame:
     known = F.create_map(*[F.lit(x) for kv in CATEGORY_OF_LANGUAGE.items() for x in kv])[F.col("language")]
     category = F.coalesce(known, F.lit(scoring.ENGLISH))
     view = sft_view(spark, sf_dir).withColumn("category", category).withColumn("pos", F.col("doc_id"))
     prompts = view.select("category", "pos", F.col("instruction").alias("prompt"))
-    responses = view.select("category", "pos", F.col("output").alias("response"))
+    responses = view.select("category", "pos", F.col(response).alias("response"))
     attached = scoring.attach(prompts, responses, NUM_TESTS, on=("category", "pos"))
     return scoring.score(attached, STAND_IN_CLASS)
 
@@ -362,6 +362,60 @@ def script_pass_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.pass_rates(_scored(spark, sf_dir), NUM_TESTS)
 
 
+MIX = {"en": 50, "fr": 35, "de": 15}
+
+
+def mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("lang").alias("language"))
+    return sample.mix(docs, MIX, "language", ["doc_id"])
+
+
+def fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report.fertility(documents(spark, sf_dir), "text", "lang")
+
+
+def token_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report.token_budget(documents(spark, sf_dir), "text")
+
+
+def short_answer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first line of a document as the answer to its last line."""
+    return scoring.short_answer(sft_view(spark, sf_dir), "instruction", "output", ["doc_id"])
+
+
+def short_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As q_short_answer without its limit, summed up by language."""
+    view = sft_view(spark, sf_dir)
+    judged = scoring.short_answer(view, "instruction", "output", ["language", "doc_id"], None)
+    return judged.groupBy("language").agg(F.count(F.lit(1)).alias("n_rows"), F.count_if("exact").alias("exact"), F.count_if("contained").alias("contained"))
+
+
+def rouge1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scoring.ngram_overlap(sft_view(spark, sf_dir), "instruction", "output", ["doc_id"], 1)
+
+
+def rouge2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scoring.ngram_overlap(sft_view(spark, sf_dir), "instruction", "output", ["doc_id"], 2)
+
+
+def bleu(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Last lines against the text before them, in which most repeat nothing: unigrams and pairs only."""
+    return scoring.corpus_bleu(sft_view(spark, sf_dir), "instruction", "output", ["doc_id"], 2)
+
+
+def run_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Last lines as the responses of one run, first lines as those of the other."""
+    base, tuned = (scoring.pass_rates(_scored(spark, sf_dir, c), NUM_TESTS) for c in ("output", "instruction"))
+    return scoring.compare_runs(base, tuned)
+
+
+def marker_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns written as marker lines, and read again."""
+    tag = F.when(F.col("role") == "user", "EN: ").when(F.col("role") == "assistant", "HI: ").otherwise("")
+    lines = table(spark, sf_dir, "conversations").select("conv_id", "turn", tx.strip(F.concat(tag, F.translate("text", "\n", " "))).alias("text"))
+    return pairs.markers(lines)
+
+
 # --- synthesis ---------------------------------------------------------------------------------
 
 
@@ -427,6 +481,20 @@ def stream_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema("dedup_key string").parquet(f"{base}/out")
 
 
+def stream_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As q_stream_unique, with keys that are forgotten after a week; the stream is shorter than that."""
+    base = scratch_path(spark, "stream")
+    unique = validation.validate_stream(_record_stream(spark, sf_dir), keep_keys_for="7 days").select(short_key(F.col("digest")).alias("dedup_key"))
+    (
+        unique.writeStream.format("parquet")
+        .option("checkpointLocation", f"{base}/checkpoint")
+        .trigger(availableNow=True)
+        .start(f"{base}/out")
+        .awaitTermination()
+    )
+    return spark.read.schema("dedup_key string").parquet(f"{base}/out")
+
+
 def stream_early_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Running early-status totals of a stream; the last total of each status."""
     base = scratch_path(spark, "stream")
@@ -490,9 +558,20 @@ QUERIES: dict[str, Query] = {
     "q_script_flags": script_flags,
     "q_eval_results": eval_results,
     "q_script_pass_rates": script_pass_rates,
+    "q_mix": mixed,
+    "q_fertility": fertility,
+    "q_token_budget": token_budget,
+    "q_short_answer": short_answer,
+    "q_short_answers": short_answers,
+    "q_rouge1": rouge1,
+    "q_rouge2": rouge2,
+    "q_bleu": bleu,
+    "q_run_gate": run_gate,
+    "q_marker_lines": marker_lines,
     "q_synthesize": synthesized,
     "q_synth_counts": synth_counts,
     "q_stream_status": stream_status,
     "q_stream_unique": stream_unique,
+    "q_stream_bounded": stream_bounded,
     "q_stream_early_counts": stream_early_counts,
 }

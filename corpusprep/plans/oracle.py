@@ -165,6 +165,52 @@ SOURCE_ROWS = f"""WITH {SFT}, {TURNS}, {FIRST_TURNS}, loaded AS (
   UNION ALL SELECT 'answers', false FROM turns
   UNION ALL SELECT 'corpus', true FROM documents)"""
 
+def word_list(text: str) -> str:
+    return f"list_filter(string_split_regex(lower(coalesce({text}, '')), '{WS_RUN}'), lambda w: w <> '')"
+
+
+def answers(rows: str) -> str:
+    return f"""judged AS (
+  SELECT *, said = wanted AS exact, CASE WHEN wanted = '  ' THEN said = wanted ELSE contains(said, wanted) END AS contained
+  FROM (SELECT doc_id, language, ' ' || array_to_string({word_list('instruction')}, ' ') || ' ' AS said,
+               ' ' || array_to_string({word_list('output')}, ' ') || ' ' AS wanted FROM {rows}))"""
+
+
+def overlap(n: int, name: str = "overlap") -> str:
+    gram = f"CASE WHEN len(w) >= {n} THEN list_transform(range(1, len(w) - {n} + 2), lambda i: array_to_string(w[i : i + {n - 1}], ' ')) ELSE [] END"
+    return f"""{name}_grams AS (
+  SELECT doc_id, said, unnest({gram}) AS gram FROM (
+    SELECT doc_id, true AS said, {word_list('instruction')} AS w FROM sft UNION ALL SELECT doc_id, false, {word_list('output')} FROM sft)),
+{name}_counts AS (
+  SELECT doc_id, gram, count(*) FILTER (said) AS s, count(*) FILTER (NOT said) AS t FROM {name}_grams GROUP BY doc_id, gram),
+{name} AS (
+  SELECT doc_id, CAST(coalesce(sum(s), 0) AS BIGINT) AS n_candidate, CAST(coalesce(sum(t), 0) AS BIGINT) AS n_reference,
+         CAST(coalesce(sum(least(s, t)), 0) AS BIGINT) AS n_common FROM sft LEFT JOIN {name}_counts USING (doc_id) GROUP BY doc_id)"""
+
+
+def rouge(n: int) -> str:
+    return f"""WITH {SFT}, {overlap(n)} SELECT *, round(coalesce(n_common / nullif(n_reference, 0)::DOUBLE, 0), 6) AS recall,
+        round(coalesce(n_common / nullif(n_candidate, 0)::DOUBLE, 0), 6) AS precision,
+        round(coalesce(2 * n_common / nullif(n_candidate + n_reference, 0)::DOUBLE, 0), 6) AS f1 FROM overlap"""
+
+
+MIX_TOTAL = "(SELECT min(coalesce(n, 0) * 100 // w) FROM shares)"
+MIX = f"""WITH weights(language, w) AS (VALUES {", ".join(f"('{k}', {w})" for k, w in catalog.MIX.items())}),
+ranked AS (SELECT doc_id, lang AS language, row_number() OVER (PARTITION BY lang ORDER BY {hash_of('doc_id')}) AS r FROM documents),
+shares AS (SELECT weights.language, w, n FROM weights LEFT JOIN (SELECT language, count(*) AS n FROM ranked GROUP BY language) USING (language))
+SELECT doc_id, language FROM ranked JOIN weights USING (language) WHERE r <= {MIX_TOTAL} * w // 100"""
+PASSED_LINE = script_flags("instruction")
+GATE = f"""{SCORED}, tuned AS (
+  SELECT category, CASE category WHEN 'hindi' THEN {PASSED_LINE['script']} WHEN 'hinglish' THEN {PASSED_LINE['mixed']}
+                                 ELSE {PASSED_LINE['latin']} END AS flag
+  FROM (SELECT category, prompt AS instruction FROM scored)),
+rates AS (
+  SELECT category, round(a.n / {catalog.NUM_TESTS}::DOUBLE, 6) AS base, round(b.n / {catalog.NUM_TESTS}::DOUBLE, 6) AS tuned
+  FROM (SELECT category, count(*) FILTER (flag) AS n FROM scored GROUP BY category) a
+  JOIN (SELECT category, count(*) FILTER (flag) AS n FROM tuned GROUP BY category) b USING (category)),
+gains AS (SELECT *, CASE WHEN base <> 0 THEN round((tuned - base) / base, 6) END AS gain FROM rates)
+SELECT *, coalesce(gain > 0.05, base = 0 AND tuned > 0) AS improves, coalesce(gain >= -0.02, base = 0) AS keeps FROM gains"""
+
 ORACLE: dict[str, str] = {
     "q_sft_status": f"{JUDGED} SELECT doc_id, status, n_tokens FROM judged",
     "q_sft_status_exact": classified("'borderline'", strip("concat(instruction, ' ', input, ' ', output)"))
@@ -253,9 +299,32 @@ ORACLE: dict[str, str] = {
     "q_script_pass_rates": f"""{SCORED} SELECT category, count(*) FILTER (flag) AS passed, count(*) AS n_rows,
                CAST({catalog.NUM_TESTS} AS BIGINT) AS num_tests,
                round(count(*) FILTER (flag) / {catalog.NUM_TESTS}::DOUBLE, 6) AS pass_rate FROM scored GROUP BY category""",
+    "q_mix": MIX,
+    "q_fertility": f"""SELECT lang, CAST(sum(length(text)) AS BIGINT) AS n_chars, CAST(sum(len({tokens('text')})) AS BIGINT) AS n_tokens,
+               CAST(sum(len({word_list('text')})) AS BIGINT) AS n_words,
+               round(sum(length(text)) / sum(len({tokens('text')}))::DOUBLE, 6) AS chars_per_token,
+               round(sum(len({tokens('text')})) / sum(len({word_list('text')}))::DOUBLE, 6) AS tokens_per_word FROM documents GROUP BY lang""",
+    "q_token_budget": f"""SELECT CAST(sum(len({tokens('text')})) AS BIGINT) AS n_tokens, sum(len({tokens('text')})) >= 200000 AS enough FROM documents""",
+    "q_short_answer": f"WITH {SFT}, firsts AS (SELECT * FROM sft ORDER BY doc_id LIMIT 20), {answers('firsts')} SELECT doc_id, exact, contained FROM judged",
+    "q_short_answers": f"""WITH {SFT}, {answers('sft')} SELECT language, count(*) AS n_rows, count(*) FILTER (exact) AS exact,
+               count(*) FILTER (contained) AS contained FROM judged GROUP BY language""",
+    "q_rouge1": rouge(1),
+    "q_rouge2": rouge(2),
+    "q_bleu": f"""WITH {SFT}, {overlap(1, 'one')}, {overlap(2, 'two')}, sums AS (
+          SELECT 1 AS n, sum(n_common) AS c, sum(n_candidate) AS s, sum(n_reference) AS t FROM one
+          UNION ALL SELECT 2, sum(n_common), sum(n_candidate), sum(n_reference) FROM two)
+        SELECT round(CASE WHEN min(c) > 0 THEN exp(avg(ln(CASE WHEN c > 0 THEN c / s::DOUBLE ELSE 1 END)))
+                 * CASE WHEN max(s) FILTER (n = 1) >= max(t) FILTER (n = 1) THEN 1.0::DOUBLE
+                        ELSE exp(1 - max(t) FILTER (n = 1) / (max(s) FILTER (n = 1))::DOUBLE) END ELSE 0.0::DOUBLE END, 6) AS bleu FROM sums""",
+    "q_run_gate": GATE,
+    "q_marker_lines": f"""WITH l AS (SELECT conv_id, turn, {strip("concat(CASE role WHEN 'user' THEN 'EN: ' WHEN 'assistant' THEN 'HI: ' ELSE '' END, translate(text, chr(10), ' '))")} AS line
+          FROM conversations)
+        SELECT conv_id, turn, CASE WHEN line LIKE 'EN:%' THEN 'EN' ELSE 'HI' END AS kind, {strip('substr(line, 4)')} AS body
+        FROM l WHERE line LIKE 'EN:%' OR line LIKE 'HI:%'""",
     "q_synthesize": f"{SYNTH} SELECT * FROM synth",
     "q_synth_counts": f"{SYNTH} SELECT category, count(*) AS n_rows FROM synth GROUP BY category",
     "q_stream_status": f"{JUDGED} SELECT doc_id, status, n_tokens FROM judged",
     "q_stream_unique": f"""WITH {SFT} SELECT DISTINCT substr({DIGEST}, 1, 16) AS dedup_key FROM sft WHERE {EARLY} IS NULL""",
+    "q_stream_bounded": f"""WITH {SFT} SELECT DISTINCT substr({DIGEST}, 1, 16) AS dedup_key FROM sft WHERE {EARLY} IS NULL""",
     "q_stream_early_counts": f"""WITH {SFT} SELECT coalesce({EARLY}, 'checked') AS status, count(*) AS n_rows FROM sft GROUP BY 1""",
 }
