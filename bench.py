@@ -8,14 +8,14 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from corpusprep.operators import pairs, report, validate  # noqa: E402
-from corpusprep.plans import views  # noqa: E402
+from corpusprep.plans import jobs, views  # noqa: E402
 from corpusprep.plans.catalog import QUERIES  # noqa: E402
 from corpusprep.session import local_session  # noqa: E402
 
@@ -43,6 +43,9 @@ HEADLINE = (
     "q_translation_sample",
     "q_script_pass_rates",
     "q_synthesize",
+    "q_mix",
+    "q_fertility",
+    "q_rouge1",
 )
 
 
@@ -51,22 +54,32 @@ def copies(df, n: int, key: str):
     return df.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(n - 1)))).withColumn(key, F.col(key) * n + F.col("copy"))
 
 
+def size(folder: str) -> int:
+    return sum(os.path.getsize(os.path.join(at, f)) for at, _, files in os.walk(folder) for f in files)
+
+
 def throughput(spark, sf_dir: str) -> dict[str, float]:
-    """Rows per second of the two steps the baseline has figures for, on many copies of the tables."""
+    """Rows and megabytes per second of the two jobs the baseline has figures for, from files to files."""
     rates = {}
-    # Every third copy repeats the records of the first; the others differ by their number.
-    docs = copies(views.sft_view(spark, sf_dir), 30, "doc_id").withColumn(
-        "instruction", F.when(F.col("copy") % 3 > 0, F.concat("instruction", F.lit(" "), "copy")).otherwise(F.col("instruction"))
-    )
-    start = time.perf_counter()
-    total = report.status_counts(validate.classify(docs, ["doc_id"])).first()["total"]
-    rates["validated_rows_per_sec"] = round(total / (time.perf_counter() - start), 1)
-    turns = copies(views.table(spark, sf_dir, "conversations"), 300, "conv_id").repartition("conv_id").select(
-        "conv_id", "turn", F.lit(0).alias("block"), F.when(F.col("role") == "user", "EN").otherwise("HI").alias("kind"), F.col("text").alias("body")
-    )
-    start = time.perf_counter()
-    n_pairs = pairs.counts(pairs.pair_markers(turns, ["conv_id"], "block", "turn"), None).first()["pairs"]
-    rates["pairs_per_sec"] = round(n_pairs / (time.perf_counter() - start), 1)
+    with tempfile.TemporaryDirectory(prefix="bench-") as work:
+        # Every third copy repeats the records of the first; the others differ by their number.
+        docs = copies(views.sft_view(spark, sf_dir), 30, "doc_id").withColumn(
+            "instruction", F.when(F.col("copy") % 3 > 0, F.concat("instruction", F.lit(" "), "copy")).otherwise(F.col("instruction"))
+        )
+        docs.select("instruction", "input", "output", "language").repartition(8).write.json(f"{work}/records")
+        user = F.col("role") == "user"
+        line = F.concat(F.when(user, "EN: ").otherwise("HI: "), F.translate("text", "\n", " "))
+        turns = copies(views.table(spark, sf_dir, "conversations"), 300, "conv_id")
+        turns.repartition(8, "conv_id").sortWithinPartitions("conv_id", "turn").select(line).write.text(f"{work}/turns")
+        for name, bytes_in, run in (
+            ("validate", size(f"{work}/records"), lambda out: jobs.validate_files(spark, f"{work}/records", None, out).first()["total_rows_read"]),
+            ("pairs", size(f"{work}/turns"), lambda out: jobs.parse_parallel(spark, f"{work}/turns", f"{out}-s", f"{out}-r").first()["pairs"]),
+        ):
+            run(f"{work}/{name}-warm")
+            start = time.perf_counter()
+            rows = run(f"{work}/{name}-timed")
+            took = time.perf_counter() - start
+            rates |= {f"{name}_rows_per_sec": round(rows / took, 1), f"{name}_mb_per_sec": round(bytes_in / 1e6 / took, 1), f"{name}_sec": round(took, 1)}
     return rates
 
 
