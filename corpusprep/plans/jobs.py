@@ -167,9 +167,13 @@ def parse_parallel(
 
 
 def convert_messages(spark: SparkSession, jsonl: Paths, out: str) -> DataFrame:
-    """JSONL records to ``{id, messages}`` JSONL; returns the kept and dropped counts."""
+    """JSONL records to ``{id, messages}`` JSONL; returns the kept and dropped counts.
+
+    A record without an id gets one with the number of its line in its file.
+    """
     text = chat.fields_as_text(ingest.jsonl(spark, jsonl))
-    sinks.jsonl(chat.to_messages(text, F.col("src_row")), out)
+    placed = text.join(ingest.line_starts(spark, jsonl), ["src_file", "src_block"])
+    sinks.jsonl(chat.to_messages(placed, F.col("first_line") + F.col("src_row") - F.col("first_row")), out)
     return chat.conversion_counts(text)
 
 

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from corpusprep.functions.text import is_string, or_empty, or_empty_any, strip_long
 
@@ -39,6 +40,16 @@ def ordered_text(spark: SparkSession, paths: str | Sequence[str], line_sep: str
     )
 
 
+def line_starts(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """(src_file, src_block, first_row, first_line): of each file split, the row number of its first line, and
+    that line's number in its file, from 0 and counting blank lines."""
+    cuts = ordered_text(spark, paths).groupBy("src_file", "src_block").agg(
+        F.min("src_row").alias("first_row"), F.count(F.lit(1)).alias("_lines")
+    )
+    before = Window.partitionBy("src_file").orderBy("src_block").rowsBetween(Window.unboundedPreceding, -1)
+    return cuts.select("src_file", "src_block", "first_row", F.coalesce(F.sum("_lines").over(before), F.lit(0)).alias("first_line"))
+
+
 def lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Stripped, non-empty text lines with their source order."""
     return ordered_text(spark, paths).withColumn("text", strip_long(F.col("text"))).filter(F.col("text") != "")

@@ -194,3 +194,14 @@ def test_deep_and_long_values(spark, tmp_path, lines_file):
     rows.append(json.dumps({"instruction": "long text", "output": "fine", "v": "x" * 25_000_000}))
     report = jobs.validate_files(spark, lines_file(tmp_path / "r.jsonl", rows), None, str(tmp_path / "out")).first()
     assert (report.valid, report.malformed, report.unreadable, report.tokenizer) == (3, 0, 0, "pieces by pattern")
+
+
+def test_generated_ids_carry_the_line_of_the_file(spark, tmp_path, lines_file, small_splits):
+    (tmp_path / "raw").mkdir()
+    for f in "ab":
+        rows = [json.dumps({"instruction": f"{f}-{i}", "output": "answer " + "x" * 60}) if i % 7 else "" for i in range(120)]
+        lines_file(tmp_path / "raw" / f"{f}.jsonl", [*rows, json.dumps({"id": "own", "instruction": f, "output": "o"})])
+    jobs.convert_messages(spark, f"{tmp_path}/raw", f"{tmp_path}/out")
+    rows = spark.read.json(f"{tmp_path}/out").collect()
+    assert len(rows) == 206 and sum(r.id == "own" for r in rows) == 2
+    assert all(r.id.split("-")[1] == r.messages[0].content.split("-")[1] for r in rows if r.id != "own")
