@@ -1,6 +1,44 @@
 """DuckDB SQL for the queries that SQL can express."""
 
+
+def _classes(links: str, nodes: str, key: str) -> str:
+    """Smallest node reachable by ``links`` (x, y), both directions given, for each of ``nodes``."""
+    return f"""reached AS (
+          SELECT {key} AS x, {key} AS y FROM {nodes}
+          UNION SELECT r.x, l.y FROM reached r JOIN {links} l ON l.x = r.y),
+        classes AS (SELECT x AS {key}, min(y) AS component_id FROM reached GROUP BY x)"""
+
+
 ORACLE = {
+    "op3_embeddings": f"""
+        WITH RECURSIVE v AS (
+          SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+          WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+            AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+        links AS (
+          SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+          WHERE list_cosine_similarity(a.e, b.e) >= 0.95),
+        {_classes('links', 'embeddings', 'vec_id')}
+        SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+        FROM classes LEFT JOIN (SELECT x AS vec_id, count(*) AS n FROM links GROUP BY x) USING (vec_id)
+    """,
+    "op7_minhash_forest": rf"""
+        WITH RECURSIVE words AS (
+          SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[ 	-
+]+'), lambda w: w <> '') AS w FROM documents),
+        sets AS (
+          SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) < 2 THEN w ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS s
+          FROM words),
+        sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+        common AS (
+          SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM sets a JOIN sets b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+        pairs AS (
+          SELECT x, y FROM common JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * c >= 80 * (p.n + q.n - c)),
+        links AS (SELECT x, y FROM pairs UNION ALL SELECT y, x FROM pairs),
+        {_classes('links', 'documents', 'doc_id')}
+        SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept FROM classes LEFT JOIN sizes USING (doc_id)
+    """,
     "op10_exact_dedup": r"""
         SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
                doc_id = min(doc_id) OVER g AS kept, sha256(norm) AS text_sha256
