@@ -1,7 +1,7 @@
 """URL filter: rules by host and path, and logistic regression on hashed character n-grams.
 
 The model is trained in numpy from a small labelled table of URLs, given as a parameter; the package
-brings one of its own. N-grams of host and path are hashed with different seeds, so that a word
+brings one of its own, made by a rule from invented hosts and paths. N-grams of host and path are hashed with different seeds, so that a word
 means one thing in a host and another in a path. Rules are applied first, the longest that fits; all
 other URLs get the model's verdict.
 
@@ -23,57 +23,47 @@ from pyspark.sql import functions as F
 BUCKETS = 1 << 14
 NGRAMS = (3, 4, 5)
 
-#: Labelled URLs (host, path, block). Invented hosts; the words are what such URLs are made of.
-LABELLED: tuple[tuple[str, str, bool], ...] = (
-    ("news.example", "/world/2024/03/article-17.html", False),
-    ("www.dailypaper.example", "/politics/elections", False),
-    ("en.encyclopedia.example", "/wiki/Photosynthesis", False),
-    ("docs.software.example", "/guide/install.html", False),
-    ("blog.gardening.example", "/2021/05/growing-tomatoes", False),
-    ("www.university.edu.example", "/departments/physics/courses", False),
-    ("forum.cooking.example", "/threads/bread-recipes.1234", False),
-    ("museum.example", "/exhibitions/ancient-rome", False),
-    ("library.example", "/catalog/books/98311", False),
-    ("shop.bicycles.example", "/parts/wheels?page=2", False),
-    ("travel.example", "/de/berlin/sehenswuerdigkeiten", False),
-    ("recettes.example", "/fr/desserts/tarte-aux-pommes", False),
-    ("noticias.example", "/es/deportes/futbol", False),
-    ("health.example", "/conditions/asthma/treatment", False),
-    ("gov.example", "/services/passport-renewal", False),
-    ("weather.example", "/forecast/en/45521", False),
-    ("science.example", "/articles/dark-matter", False),
-    ("history.example", "/essays/industrial-revolution", False),
-    ("music.example", "/albums/1998/review", False),
-    ("m.stories.example", "/en/30115.html", False),
-    ("blog.travelnotes.example", "/fr/2231?utm_source=feed", False),
-    ("www.school.example", "/lessons/algebra#top", False),
-    ("code.example", "/projects/parser/readme", False),
-    ("archive.example", "/papers/1907", False),
-    ("xxx-adult-videos.example", "/porn/free-sex-clips", True),
-    ("hotgirls-cam.example", "/live/nude-webcam", True),
-    ("casino-bonus.example", "/online-poker/free-spins", True),
-    ("best-casino-slots.example", "/jackpot/play-now", True),
-    ("cheap-viagra-pills.example", "/buy-cialis-online", True),
-    ("pharmacy-discount-meds.example", "/order/viagra-no-prescription", True),
-    ("free-crack-warez.example", "/keygen/serial-download", True),
-    ("torrent-pirate.example", "/movies/full-download-torrent", True),
-    ("payday-loans-fast.example", "/instant-cash-loan/apply", True),
-    ("click-track-ads.example", "/banner/adserver/click?id=77", True),
-    ("adult-dating-sex.example", "/hookup/tonight", True),
-    ("win-free-iphone.example", "/prize/claim-now", True),
-    ("crypto-doubler.example", "/invest/guaranteed-profit", True),
-    ("replica-watches-cheap.example", "/rolex/buy-cheap", True),
-    ("malware-update.example", "/flash-player/update.exe", True),
-    ("phishing-login.example", "/verify-account/password-login.php", True),
-    ("betting-odds-casino.example", "/sportsbook/bet-now", True),
-    ("xxx-tube.example", "/category/hardcore-porn", True),
-    ("spam-links-farm.example", "/seo/backlinks/cheap", True),
-    ("essay-writers-cheap.example", "/buy-essay-online", True),
-    ("escort-girls.example", "/sex/city-escorts", True),
-    ("nulled-scripts.example", "/download/cracked-software", True),
-    ("gambling-roulette.example", "/live-casino/bonus-code", True),
-    ("weight-loss-miracle.example", "/diet-pills/free-trial", True),
-)
+#: Words that hosts to be blocked are made of, and hosts that are fine; both invented, as are the labels.
+BLOCKED_WORDS = (
+    "casino poker slots roulette betting bets gambling jackpot lottery win porn xxx sex adult nude cams escort hookup viagra cialis pills "
+    "meds pharmacy cheap replica warez crack keygen torrent nulled pirate malware phishing spam ads adserver track tracker banner click "
+    "popup loans payday doubler prize backlinks farm essay miracle free bonus links"
+).split()
+FINE_HOSTS = (
+    "news daily-paper encyclopedia software gardening university cooking museum library bicycles travel recipes weather health science "
+    "history music stories school archive forum government council theatre therapy neighbours weather-north orchestra photos maps kitchen "
+    "mountains rivers teachers mathematics astronomy medicine parenthood furniture letters translation grammar writing painting "
+    "architecture tennis football hiking fishing farming adventure windows cheese freedom seasons additions"
+).split()
+#: Frequent pairs of English letters: names made of them, as many hosts are, say nothing by themselves.
+PAIRS = "th he in er an re on at en nd ti es or te of ed is it al ar st to nt ng se ha as ou io le ve co me de hi ri ro ic ne ea ra ce li ch ll be ma si om ur".split()
+BLOCKED_PATHS = (
+    "/porn/free-sex-clips /online-poker/free-spins /buy-cialis-online /keygen/serial-download /instant-cash-loan/apply /adserver/click "
+    "/prize/claim-now /rolex/buy-cheap /verify-account/password-login.php /live/nude-webcam /casino/bonus-code /diet-pills/free-trial"
+).split()
+FINE_PATHS = ("/en/30115.html", "/fr/2231", "/de/77/", "/es/8090", "/2024/03/article-17.html", "/wiki/History", "/products/books", "/")
+
+
+def labelled_urls() -> list[tuple[str, str, bool]]:
+    """A small table (host, path, block): blocked and fine hosts with the same paths, so that it is the host
+    that tells them apart, and paths that tell by themselves."""
+    before, after = ("", "www.", "m.", "blog."), ("example.com", "example.net", "example.org")
+    rows = []
+    for i, word in enumerate(BLOCKED_WORDS):
+        other = BLOCKED_WORDS[(7 * i + 3) % len(BLOCKED_WORDS)]
+        for k, name in enumerate((f"{word}-{other}", f"{other}{word}", f"{word}-x")):
+            rows.append((f"{before[(i + k) % 4]}{name}.{after[(i + k) % 3]}", FINE_PATHS[(i + 3 * k) % len(FINE_PATHS)], True))
+    for i, word in enumerate(FINE_HOSTS):
+        other = FINE_HOSTS[(11 * i + 5) % len(FINE_HOSTS)]
+        for k, name in enumerate((word, f"{word}-{other}", f"the{word}on", f"{other}er")):
+            rows.append((f"{before[(i + k) % 4]}{name}.{after[(i + k) % 3]}", FINE_PATHS[(i + 3 * k) % len(FINE_PATHS)], False))
+    for i in range(4 * len(PAIRS)):
+        name = "".join(PAIRS[(i * step + i // len(PAIRS)) % len(PAIRS)] for step in (1, 7, 13, 29)[: 2 + i % 3])
+        rows.append((f"{before[i % 4]}{name}.{after[i % 3]}", FINE_PATHS[i % len(FINE_PATHS)], False))
+    for i, path in enumerate(BLOCKED_PATHS):
+        for k in range(4):
+            rows.append((f"{before[k]}{FINE_HOSTS[(5 * i + 13 * k) % len(FINE_HOSTS)]}.{after[(i + k) % 3]}", path, True))
+    return rows
 
 
 @dataclass(frozen=True)
@@ -118,42 +108,49 @@ def fitting_rule(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
     return out
 
 
-def ngrams(host: str, path: str, buckets: int = BUCKETS) -> np.ndarray:
-    """Distinct hashed n-grams of host and path, each with marks at its ends."""
-    found = set()
-    for part, seed in ((host, 1), (path, 2)):
-        if part:
-            marked = f"^{part.lower()}$".encode("utf-8", "replace")
-            for n in NGRAMS:
-                found.update(zlib.crc32(marked[i : i + n], seed) % buckets for i in range(len(marked) - n + 1))
+def ngrams(part: str, seed: int, buckets: int = BUCKETS) -> np.ndarray:
+    """Distinct hashed n-grams of a host (seed 1) or path (seed 2), with marks at its ends."""
+    if not part:
+        return np.zeros(0, np.int64)
+    marked = f"^{part.lower()}$".encode("utf-8", "replace")
+    found = {zlib.crc32(marked[i : i + n], seed) % buckets for n in NGRAMS for i in range(len(marked) - n + 1)}
     return np.fromiter(sorted(found), np.int64, len(found))
 
 
 @dataclass
 class Model:
+    """A weight for each bucket. Host and path are each scaled to their own number of n-grams, so that a long
+    path does not drown what the host says."""
+
     weights: np.ndarray
     bias: float
 
+    def parts(self, host: str, path: str) -> list[np.ndarray]:
+        return [at for at in (ngrams(host, 1, len(self.weights)), ngrams(path, 2, len(self.weights))) if len(at)]
+
+    def probability(self, parts: list[np.ndarray]) -> float:
+        z = self.bias + sum(self.weights[at].sum() / np.sqrt(len(at)) for at in parts)
+        return float(1 / (1 + np.exp(-z)))
+
     def score(self, host: str, path: str) -> float:
         """Probability that a URL is to be blocked."""
-        at = ngrams(host, path, len(self.weights))
-        z = self.bias + (self.weights[at].sum() / np.sqrt(len(at)) if len(at) else 0.0)
-        return float(1 / (1 + np.exp(-z)))
+        return self.probability(self.parts(host, path))
 
 
-def train(labelled: Sequence[tuple[str, str, bool]] = LABELLED, buckets: int = BUCKETS, epochs: int = 60, rate: float = 0.5, decay: float = 1e-3) -> Model:
-    """Logistic regression by gradient descent over the labelled table, in its order."""
-    rows = [(ngrams(host, path, buckets), float(block)) for host, path, block in labelled]
-    model = Model(np.zeros(buckets), 0.0)
+def train(
+    labelled: Sequence[tuple[str, str, bool]] | None = None, buckets: int = BUCKETS, epochs: int = 40, rate: float = 0.5, decay: float = 1e-3, seed: int = 5
+) -> Model:
+    """Logistic regression by stochastic gradient descent over a labelled table (host, path, block)."""
     # Without evidence the verdict is that of the rarer mistake: allowed.
-    model.bias = -1.0
+    model = Model(np.zeros(buckets), -1.0)
+    rows = [(model.parts(host, path), float(block)) for host, path, block in (labelled_urls() if labelled is None else labelled)]
+    rng = np.random.default_rng(seed)
     for _ in range(epochs):
-        for at, truth in rows:
-            if len(at):
-                size = np.sqrt(len(at))
-                z = model.bias + model.weights[at].sum() / size
-                gap = 1 / (1 + np.exp(-z)) - truth
-                model.weights[at] -= rate * (gap / size + decay * model.weights[at])
+        for i in rng.permutation(len(rows)):
+            parts, truth = rows[i]
+            gap = model.probability(parts) - truth
+            for at in parts:
+                model.weights[at] -= rate * (gap / np.sqrt(len(at)) + decay * model.weights[at])
     return model
 
 

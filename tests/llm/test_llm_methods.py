@@ -276,14 +276,14 @@ def test_url_rules(spark, url, host, path, rule):
 
 def test_url_model():
     model = url_filter.train()
-    blocked = [("free-casino.example", "/poker/bonus"), ("porn-tube.example", "/xxx/videos"), ("warez-crack.example", "/keygen")]
-    allowed = [("news.city.example", "/2023/08/council-meeting"), ("wiki.example", "/en/History"), ("m.shop.example", "/books/17.html")]
+    blocked = [("free-casino.example", "/poker/bonus"), ("adult-cams.example", "/en/17.html"), ("www.warez-keygen.example", "/"), ("tools.example", "/porn/free-sex-clips")]
+    allowed = [("news.city.example", "/2023/08/council-meeting"), ("wiki.example", "/en/History"), ("m.thereon.example", "/books/17.html"), ("", "")]
     assert all(model.score(*u) > 0.5 for u in blocked) and all(model.score(*u) < 0.5 for u in allowed)
-    # Left out one by one, labelled URLs are mostly judged right.
-    right = 0
-    for i, (host, path, block) in enumerate(url_filter.LABELLED):
-        right += (url_filter.train(url_filter.LABELLED[:i] + url_filter.LABELLED[i + 1 :], epochs=15).score(host, path) > 0.5) == block
-    assert right >= 0.75 * len(url_filter.LABELLED)
+    # A fifth of the labelled URLs, judged by a model of the others.
+    rows = url_filter.labelled_urls()
+    own = url_filter.train([r for i, r in enumerate(rows) if i % 5])
+    held = rows[::5]
+    assert sum((own.score(host, path) > 0.5) == block for host, path, block in held) >= 0.9 * len(held)
 
 
 # Pages
