@@ -4,11 +4,16 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusprep.session import materialize
+
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+#: Words of the filters that keep rows from being moved for a join that they cannot match: 8 million bits.
+FILTER_WORDS = 1 << 17
+
 
 def on_workers(spark: SparkSession) -> None:
     """Let Python workers on this machine import the package; a cluster gets it by ``--py-files``."""
@@ -24,3 +29,38 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def text_or_empty(column: str = "text"):
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
+
+
+def _hashed(column: Column, words: int) -> tuple[Column, Column]:
+    h = F.xxhash64(F.lit("filter"), column)
+    return F.pmod(h, F.lit(words)), F.pmod(F.shiftrightunsigned(h, 32), F.lit(64)).cast("int")
+
+
+def _marked(rows: DataFrame, id_col: str, ids: DataFrame, of: str, words: int) -> DataFrame:
+    """``rows`` with ``_maybe``: whether their id may be among ``ids``.
+
+    The ids are hashed into ``words`` words of 64 bits. That table has no more rows than that, whatever the
+    data, so it is broadcast. With more ids than bits all rows are marked, which costs time only.
+    """
+    word, bit = _hashed(F.col(of), words)
+    bits = ids.groupBy(word.alias("_word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("_mask"))
+    word, bit = _hashed(F.col(id_col), words)
+    marked = rows.withColumn("_word", word).join(F.broadcast(materialize(bits, "filter")), "_word", "left")
+    return marked.withColumn("_maybe", F.coalesce(F.getbit("_mask", bit) == 1, F.lit(False))).drop("_word", "_mask")
+
+
+def maybe_in(rows: DataFrame, ids: DataFrame, name: str, words: int = FILTER_WORDS) -> DataFrame:
+    """The ``rows`` whose ``name`` may be among those of ``ids``: all that are, and few others."""
+    return _marked(rows, name, ids, name, words).filter("_maybe").drop("_maybe")
+
+
+def drop_rows(rows: DataFrame, dropped: DataFrame, id_col: str, of: str, also: Column | None = None, words: int = FILTER_WORDS) -> DataFrame:
+    """The ``rows`` without those whose ``id_col`` is among ``dropped``'s ``of`` (and for which ``also`` holds).
+
+    Only rows that may be dropped are moved. Sorted on both sides at every size, so that what is moved
+    follows the input.
+    """
+    marked = _marked(rows, id_col, dropped, of, words)
+    alike = F.col(id_col) == F.col(of)
+    checked = marked.filter("_maybe").join(dropped.hint("merge"), alike if also is None else alike & also, "left_anti")
+    return marked.filter(~F.col("_maybe")).union(checked).drop("_maybe")

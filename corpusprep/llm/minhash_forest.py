@@ -30,6 +30,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusprep.llm.common import drop_rows, maybe_in
 from corpusprep.llm.embed_dedup import join_labels
 from corpusprep.llm.graph import components
 from corpusprep.session import materialize
@@ -390,7 +391,9 @@ def _sets_of(table) -> Sets:
 
 def _member_sets(docs: DataFrame, members: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
     """(family, total, node, set) of the nodes in ``members`` (family, total, node, least)."""
-    read = docs.select(docs[id_col].cast("long").alias("least"), docs[text_col].cast("string").alias("text")).join(members, "least")
+    texts = docs.select(docs[id_col].cast("long").alias("least"), docs[text_col].cast("string").alias("text"))
+    # Sorted on both sides at every size, so that what is moved follows the input.
+    read = maybe_in(texts, members, "least").join(members.hint("merge"), "least")
 
     def run(batches):
         import pyarrow as pa
@@ -542,4 +545,4 @@ def keep(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_
     """The rows of ``docs``, all columns as they are, without those whose class has a smaller id."""
     dropped = f"{id_col}_of_dropped"
     found = near(docs, width, percent, id_col, text_col).groupBy("id").agg(F.max("kept").alias("kept")).filter(~F.col("kept"))
-    return docs.join(materialize(found.select(F.col("id").alias(dropped)), "dropped"), docs[id_col] == F.col(dropped), "left_anti")
+    return drop_rows(docs, materialize(found.select(F.col("id").alias(dropped)), "dropped"), id_col, dropped)
