@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusprep.session import materialize
 
+#: Odd numbers whose powers make polynomial hashes.
+BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
+_LEAST_POWERS, _MOST_POWERS = 1 << 16, 1 << 22
+_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 #: Words of the filters that keep rows from being moved for a join that they cannot match: 8 million bits.
@@ -64,3 +71,34 @@ def drop_rows(rows: DataFrame, dropped: DataFrame, id_col: str, of: str, also: C
     alike = F.col(id_col) == F.col(of)
     checked = marked.filter("_maybe").join(dropped.hint("merge"), alike if also is None else alike & also, "left_anti")
     return marked.filter(~F.col("_maybe")).union(checked).drop("_maybe")
+
+
+def powers(which: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``size`` powers, or more, of a base and of its inverse modulo 2**64.
+
+    A worker keeps one table for each base, of bounded size; longer ones are made when asked for.
+    """
+    found = _POWERS.get(which)
+    if found is None or len(found[0]) < size:
+        full = max(_LEAST_POWERS, 1 << (size - 1).bit_length())
+        tables = []
+        for base in (BASES[which], pow(BASES[which], -1, 1 << 64)):
+            table = np.full(full, base, np.uint64)
+            table[0] = 1
+            tables.append(np.multiply.accumulate(table, out=table))
+        found = (tables[0], tables[1])
+        if full <= _MOST_POWERS:
+            _POWERS[which] = found
+    return found
+
+
+def give_back() -> None:
+    """Return freed memory to the system. A worker process serves many tasks, and memory that allocators
+    hold on to would add up beside the executor's."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass

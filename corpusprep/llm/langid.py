@@ -24,6 +24,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusprep.llm.common import BASES, give_back, powers
+
 BUCKETS = 1 << 16
 DIMENSION = 8
 NGRAMS = (2, 3, 4)
@@ -33,7 +35,7 @@ SAMPLE_ROWS = 1200
 #: Share of the kept-out rows that may score below the limit of rejection.
 REJECTED_SHARE = 0.001
 
-_BASE = np.uint64(0x9E3779B97F4A7C15)
+_BASE = np.uint64(BASES[0])
 
 
 @cache
@@ -42,13 +44,6 @@ def _letters() -> np.ndarray:
     return np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000)
 
 
-@cache
-def _powers(size: int) -> np.ndarray:
-    out = np.full(size, _BASE, np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
-
-
 def _bucket(h: np.ndarray, buckets: int) -> np.ndarray:
     h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
     return ((h ^ (h >> np.uint64(32))) % np.uint64(buckets)).astype(np.int64)
@@ -81,22 +76,14 @@ def features(words: list[str], buckets: int = BUCKETS) -> tuple[np.ndarray, np.n
     edge = np.flatnonzero(letter[1:] != letter[:-1]) + 1
     starts, ends = edge[::2], edge[1::2]
     if len(starts):
-        # Lengths differ, so each run is brought to the powers that its end would have at a fixed place.
-        powers = _powers(1 << (len(code) + 1).bit_length())
-        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(code * powers[: len(code)], dtype=np.uint64)])
-        h = (total[ends] - total[starts]) * powers[len(code) - starts]
-        # The same run in another call has another factor: undo the length of this one.
-        h = h * _inverse_power(len(code))
+        power, inverse = powers(0, len(code) + 1)
+        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(code * power[: len(code)], dtype=np.uint64)])
+        h = (total[ends] - total[starts]) * inverse[starts]
         found.append(_bucket(h, buckets))
         owner.append(word[starts])
     return np.concatenate(found), np.concatenate(owner)
 
 
-@cache
-def _inverse_power(n: int) -> np.uint64:
-    return np.uint64(pow(int(_BASE), -n, 1 << 64))
-
-
 @dataclass
 class Model:
     """``scores``: what one subword adds to each language, by bucket; ``bias``; temperature and limit."""
@@ -133,10 +120,10 @@ class WordScores:
         if len(self.place) + len(new) > len(self.sums):
             self.place.clear()
             new = [w for w in words if len(w) <= self.longest][: len(self.sums)]
-        if new:
-            at = len(self.place)
-            self.sums[at : at + len(new)] = self._sums(new)
-            self.place.update(zip(new, range(at, at + len(new))))
+        for start in range(0, len(new), 16_384):
+            part, at = new[start : start + 16_384], len(self.place)
+            self.sums[at : at + len(part)] = self._sums(part)
+            self.place.update(zip(part, range(at, at + len(part))))
 
     def total(self, text: str) -> np.ndarray:
         """Sums over all words of the text: one per language, and the number of subwords."""
@@ -272,6 +259,7 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
                 [batch.column("id"), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],
                 names=["id", "lang_pred", "score"],
             )
+        give_back()
 
     found = read.mapInArrow(run, "id long, lang_pred string, score double")
     return found.withColumn("rejected", (F.col("lang_pred") == UNKNOWN) | (F.col("score") < model.least_score))
@@ -289,5 +277,6 @@ def keep(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
         for batch in batches:
             found = words.predict_all(batch.column(at).to_pylist())
             yield batch.filter(pa.array([lang != UNKNOWN and score >= shared.value.least_score for lang, score in found], pa.bool_()))
+        give_back()
 
     return docs.mapInArrow(run, docs.schema)

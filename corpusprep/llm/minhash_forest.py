@@ -30,7 +30,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusprep.llm.common import drop_rows, maybe_in
+from corpusprep.llm.common import drop_rows, give_back, maybe_in, powers
 from corpusprep.llm.embed_dedup import join_labels
 from corpusprep.llm.graph import components
 from corpusprep.session import materialize
@@ -41,11 +41,10 @@ DEPTHS = (3, 6, 12)
 REGION = 4096
 #: Agreement in one bit per value that a pair of similarity 0.8 reaches but for one in ten million.
 LEAST_BITS = 97
-BLOCK_BYTES = 1 << 21
+BLOCK_BYTES = 1 << 20
 FAMILY_SHINGLES = 1 << 21
 LEADERS = 16
 
-_BASE = 0x9E3779B97F4A7C15
 _HASH_BITS = 52  # the rest of a word holds the number of the text within its block
 
 
@@ -55,17 +54,6 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
-@cache
-def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2**64."""
-    out = []
-    for base in (_BASE, pow(_BASE, -1, 1 << 64)):
-        a = np.full(size, base, np.uint64)
-        a[0] = 1
-        out.append(np.multiply.accumulate(a))
-    return out[0], out[1]
-
-
 @cache
 def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Random value of each byte with A-Z lower-cased, which bytes separate words, signature factors."""
@@ -82,7 +70,7 @@ def shingle_sets(texts: list[str | None], width: int) -> tuple[np.ndarray, np.nd
     value, space, _ = _tables()
     encoded = [(t or "").encode("utf-8", "replace") for t in texts]
     data = np.frombuffer(b" ".join(encoded) + b" ", np.uint8)
-    power, inverse = _powers(1 << max(16, len(data).bit_length()))
+    power, inverse = powers(0, len(data) + 1)
     gap = space[data]
     edge = np.flatnonzero(gap[1:] != gap[:-1]) + 1
     if not gap[0]:
@@ -159,6 +147,7 @@ def signed(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame
                 [batch.column("id"), pa.array(node, pa.int64()), pa.array(n, pa.int64()), pa.array(signature, pa.binary())],
                 names=["id", "node", "n", "signature"],
             )
+        give_back()
 
     return read.mapInArrow(run, "id long, node long, n long, signature binary")
 
@@ -412,6 +401,7 @@ def _member_sets(docs: DataFrame, members: DataFrame, width: int, id_col: str, t
                 [batch.column("family"), batch.column("total"), batch.column("node"), pa.array(found, pa.binary())],
                 names=["family", "total", "node", "set"],
             )
+        give_back()
 
     found = read.select("family", "total", "node", "text").mapInArrow(run, "family long, total long, node long, set binary")
     return found.filter(F.col("set").isNotNull())

@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
 
-from corpusprep.llm.common import text_or_empty
+from corpusprep.llm.common import give_back, text_or_empty
 from corpusprep.llm.tokens import PartEncoder
 
 END_ID = 2
@@ -169,5 +169,6 @@ def pack(
                 arrays.append(pa.array(columns[5], pa.binary()))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(arrays, names=names)
+        give_back()
 
     return read.mapInArrow(run, schema + (", ids binary" if with_ids else ""))
