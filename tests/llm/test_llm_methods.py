@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from corpusprep.llm import bpe_transducer, embed_dedup, exact_index, graph, hash_tree, html_main, langid, minhash_forest, packing, queries, suffix, suffix_dedup, url_filter
-from corpusprep.llm.common import on_workers
+from corpusprep.llm.common import drop_rows, maybe_in, on_workers
 from corpusprep.llm.oracle import ORACLE
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -446,3 +446,21 @@ def test_index_is_read_by_bucket(spark):
         spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
     )
     assert "SortMergeJoin LeftAnti" in plan and "Bucketed: true" in plan
+
+
+# Filters in front of joins
+
+
+@pytest.mark.parametrize("words", [1, 64, 1 << 10])
+def test_drop_rows(spark, words):
+    rows = spark.createDataFrame([(i if i % 50 else None, i % 7) for i in range(500)], "doc_id long, kind int")
+    dropped = spark.createDataFrame([(3 * i, i % 2) for i in range(100)] + [(None, 0)], "gone long, parity int")
+    ids = {3 * i for i in range(100)}
+    kept = drop_rows(rows, dropped, "doc_id", "gone", words=words)
+    assert kept.columns == rows.columns
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted((tuple(r) for r in rows.collect() if r.doc_id not in ids), key=str)
+    odd = drop_rows(rows, dropped, "doc_id", "gone", F.col("kind") == F.col("parity"), words)
+    gone = {(3 * i, i % 2) for i in range(100)}
+    assert sorted(map(tuple, odd.collect()), key=str) == sorted((tuple(r) for r in rows.collect() if tuple(r) not in gone), key=str)
+    maybe = {r.doc_id for r in maybe_in(rows, dropped.select(F.col("gone").alias("doc_id")), "doc_id", words).collect()}
+    assert {i for i in ids if i % 50 and i < 500} <= maybe
