@@ -22,7 +22,7 @@ from collections.abc import Iterator, Sequence
 
 from pyspark.sql import DataFrame
 
-from corpusprep.llm.common import text_or_empty
+from corpusprep.llm.common import cached_by, slices, text_or_empty
 from corpusprep.llm.tokens import PartEncoder
 
 
@@ -291,6 +291,7 @@ class Codec:
 
 
 _CODECS: dict[tuple[str, str], Codec] = {}
+cached_by("bpe", _CODECS.clear)
 
 
 def codec(ranks_path: str, pattern: str) -> Codec:
@@ -309,7 +310,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
         import pyarrow as pa
 
         own = codec(ranks_path, pattern)
-        for batch in batches:
+        for batch in slices(batches, "bpe"):
             ids = list(own.encode_all(batch.column("text").to_pylist()))
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(ids, pa.large_binary()).cast(pa.binary())], names=["id", "ids"])
 
@@ -323,7 +324,7 @@ def decode(encoded: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
         import pyarrow as pa
 
         own = codec(ranks_path, pattern)
-        for batch in batches:
+        for batch in slices(batches, "bpe"):
             texts = ["".join(own.decode(ids)) for ids in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(texts, pa.string())], names=["id", "text"])
 
@@ -342,7 +343,7 @@ def round_trip(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "do
         import pyarrow as pa
 
         own = codec(ranks_path, pattern)
-        for batch in batches:
+        for batch in slices(batches, "bpe"):
             counts, coded, decoded = [], [], []
             for ids in own.encode_all(batch.column("text").to_pylist()):
                 counts.append(len(ids) // 4)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import os
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -92,6 +93,34 @@ def powers(which: int, size: int) -> tuple[np.ndarray, np.ndarray]:
     return found
 
 
+_CACHES: dict[str, Callable[[], None]] = {"powers": _POWERS.clear}
+_OWNER = ""
+
+
+def cached_by(owner: str, clear: Callable[[], None]) -> None:
+    """Register how the caches that an operator keeps in a worker process are emptied."""
+    _CACHES[owner] = clear
+
+
+def slices(batches: Iterable, owner: str, rows: int = 1024) -> Iterator:
+    """The Arrow batches of a task in slices, so that few texts at once are Python's.
+
+    A worker process serves tasks of several operators. What others have left in caches goes when the
+    first task of ``owner`` begins.
+    """
+    global _OWNER
+    if owner != _OWNER:
+        for other, clear in _CACHES.items():
+            if other != owner:
+                clear()
+        _OWNER = owner
+        give_back()
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+    give_back()
+
+
 def give_back() -> None:
     """Return freed memory to the system. A worker process serves many tasks, and memory that allocators
     hold on to would add up beside the executor's."""

@@ -24,7 +24,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusprep.llm.common import BASES, give_back, powers
+from corpusprep.llm.common import BASES, powers, slices
 
 BUCKETS = 1 << 16
 DIMENSION = 8
@@ -253,13 +253,12 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
         import pyarrow as pa
 
         words = WordScores(shared.value)
-        for batch in batches:
+        for batch in slices(batches, "langid"):
             found = words.predict_all(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],
                 names=["id", "lang_pred", "score"],
             )
-        give_back()
 
     found = read.mapInArrow(run, "id long, lang_pred string, score double")
     return found.withColumn("rejected", (F.col("lang_pred") == UNKNOWN) | (F.col("score") < model.least_score))
@@ -274,9 +273,8 @@ def keep(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
         import pyarrow as pa
 
         words = WordScores(shared.value)
-        for batch in batches:
+        for batch in slices(batches, "langid"):
             found = words.predict_all(batch.column(at).to_pylist())
             yield batch.filter(pa.array([lang != UNKNOWN and score >= shared.value.least_score for lang, score in found], pa.bool_()))
-        give_back()
 
     return docs.mapInArrow(run, docs.schema)

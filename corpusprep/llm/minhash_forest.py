@@ -30,7 +30,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusprep.llm.common import drop_rows, give_back, maybe_in, powers
+from corpusprep.llm.common import drop_rows, maybe_in, powers, slices
 from corpusprep.llm.embed_dedup import join_labels
 from corpusprep.llm.graph import components
 from corpusprep.session import materialize
@@ -132,7 +132,7 @@ def signed(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame
     def run(batches):
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in slices(batches, "minhash"):
             texts = batch.column("text").to_pylist()
             node, n, signature = [], [], []
             for a, b in blocks(texts):
@@ -147,7 +147,6 @@ def signed(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame
                 [batch.column("id"), pa.array(node, pa.int64()), pa.array(n, pa.int64()), pa.array(signature, pa.binary())],
                 names=["id", "node", "n", "signature"],
             )
-        give_back()
 
     return read.mapInArrow(run, "id long, node long, n long, signature binary")
 
@@ -387,7 +386,7 @@ def _member_sets(docs: DataFrame, members: DataFrame, width: int, id_col: str, t
     def run(batches):
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in slices(batches, "minhash"):
             texts, nodes = batch.column("text").to_pylist(), batch.column("node").to_pylist()
             found = []
             for a, b in blocks(texts):
@@ -401,7 +400,6 @@ def _member_sets(docs: DataFrame, members: DataFrame, width: int, id_col: str, t
                 [batch.column("family"), batch.column("total"), batch.column("node"), pa.array(found, pa.binary())],
                 names=["family", "total", "node", "set"],
             )
-        give_back()
 
     found = read.select("family", "total", "node", "text").mapInArrow(run, "family long, total long, node long, set binary")
     return found.filter(F.col("set").isNotNull())

@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
 
-from corpusprep.llm.common import give_back, text_or_empty
+from corpusprep.llm.common import cached_by, slices, text_or_empty
 from corpusprep.llm.tokens import PartEncoder
 
 END_ID = 2
@@ -69,6 +69,7 @@ class BestFit:
 
 
 _ENCODERS: dict[str, PartEncoder] = {}
+cached_by("packing", _ENCODERS.clear)
 _JOINED = 1 << 15
 
 
@@ -147,7 +148,7 @@ def pack(
         end = end_id.to_bytes(4, "little")
         # Each partition has a range of sequence ids of its own.
         bins = BestFit(size, open_bins, TaskContext.get().partitionId() << 33)
-        for batch in batches:
+        for batch in slices(batches, "packing", 2048):
             rows = []
             for doc, ids in zip(batch.column("id").to_pylist(), encode.all(batch.column("text").to_pylist())):
                 ids += end
@@ -169,6 +170,5 @@ def pack(
                 arrays.append(pa.array(columns[5], pa.binary()))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(arrays, names=names)
-        give_back()
 
     return read.mapInArrow(run, schema + (", ids binary" if with_ids else ""))
