@@ -24,7 +24,11 @@ FILTER_WORDS = 1 << 17
 
 
 def on_workers(spark: SparkSession) -> None:
-    """Let Python workers on this machine import the package; a cluster gets it by ``--py-files``."""
+    """Let Python workers on this machine import the package; a cluster gets it by ``--py-files``.
+
+    Rows hold whole texts, so that Arrow batches of Spark's usual number of rows would be large.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1024")
     paths = spark.sparkContext.environment.get("PYTHONPATH", "")
     if ROOT not in paths.split(os.pathsep):
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(p for p in (ROOT, paths) if p)
