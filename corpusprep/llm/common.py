@@ -66,14 +66,17 @@ def maybe_in(rows: DataFrame, ids: DataFrame, name: str, words: int = FILTER_WOR
     return _marked(rows, name, ids, name, words).filter("_maybe").drop("_maybe")
 
 
-def drop_rows(rows: DataFrame, dropped: DataFrame, id_col: str, of: str, also: Column | None = None, words: int = FILTER_WORDS) -> DataFrame:
+def drop_rows(
+    rows: DataFrame, dropped: DataFrame, id_col: str, of: str, also: Column | None = None, words: int = FILTER_WORDS, nulls: bool = False
+) -> DataFrame:
     """The ``rows`` without those whose ``id_col`` is among ``dropped``'s ``of`` (and for which ``also`` holds).
 
+    A null is among them only with ``nulls``.
     Only rows that may be dropped are moved. Sorted on both sides at every size, so that what is moved
     follows the input.
     """
     marked = _marked(rows, id_col, dropped, of, words)
-    alike = F.col(id_col) == F.col(of)
+    alike = F.col(id_col).eqNullSafe(F.col(of)) if nulls else F.col(id_col) == F.col(of)
     checked = marked.filter("_maybe").join(dropped.hint("merge"), alike if also is None else alike & also, "left_anti")
     return marked.filter(~F.col("_maybe")).union(checked).drop("_maybe")
 

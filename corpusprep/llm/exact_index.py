@@ -125,11 +125,12 @@ def keep(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", index:
     rows = dedup(docs, id_col, text_col, index)
     dropped = rows.filter(~F.col("kept")).select(F.col("id").alias(id_name), F.col("digest").alias(digest_name)).distinct()
     own = F.unhex(F.sha2(normalised(text_col), 256))
-    stay = drop_rows(docs, materialize(dropped, "dropped"), id_col, id_name, own == F.col(digest_name))
+    stay = drop_rows(docs, materialize(dropped, "dropped"), id_col, id_name, own == F.col(digest_name), nulls=True)
     # Repeated rows are told apart by nothing; only where there are any, their texts are brought together.
     several = rows.filter("kept").groupBy("id", "digest").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
     several = materialize(several.select(F.col("id").alias(id_name), F.col("digest").alias(digest_name)), "repeated")
     if several.isEmpty():
         return stay
     alike = F.col(id_col).eqNullSafe(F.col(id_name)) & (own == F.col(digest_name))
-    return stay.join(several, alike, "left_anti").union(stay.join(several, alike, "left_semi").dropDuplicates([id_col]))
+    repeated = stay.join(several, alike, "left_semi").withColumn(digest_name, own).dropDuplicates([id_col, digest_name])
+    return stay.join(several, alike, "left_anti").union(repeated.drop(digest_name))

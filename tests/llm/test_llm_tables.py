@@ -119,6 +119,14 @@ def test_exact_index_keeps_one_of_repeated_rows(spark):
     assert sorted(map(tuple, exact_index.keep(rows).collect())) == [(5, "only here"), (6, "else"), (6, "other")]
 
 
+def test_exact_index_keeps_each_of_several_repeated_texts(spark):
+    rows = [(5, "a"), (5, "a"), (5, "b"), (5, "b"), (None, "c"), (None, "c"), (None, "d"), (None, "d"), (None, "e"), (None, "a")]
+    rows = spark.createDataFrame(rows, "doc_id long, text string")
+    # The copy without id of a text that 5 has goes; all other texts stay once.
+    stay = sorted(map(tuple, exact_index.keep(rows).collect()), key=str)
+    assert stay == [(5, "a"), (5, "b"), (None, "c"), (None, "d"), (None, "e")]
+
+
 def test_pipeline_stages(spark, docs, tmp_path):
     named = docs.select("doc_id", "text", "lang", "source", "n_chars")
     for name, stage in corpus_pipeline.STAGES:
