@@ -310,6 +310,15 @@ def test_main_text_by_repeats():
     assert html_main.main_texts([f"<div>{top}</div><article>{body[0]}</article>"] * 6) == [body[0]] * 6
 
 
+def test_main_text_beside_an_article():
+    words = [" ".join(f"w{i}x{j}" for j in range(20)) for i in range(12)]
+    top = "Welcome to our site of many fine things"
+    pages = [f"<div>{top}</div><div>{words[i]}</div><article>{words[i + 6]}</article>" for i in range(6)]
+    assert html_main.main_texts(pages) == [f"{words[i]}\n\n{words[i + 6]}" for i in range(6)]
+    pages = [f"<div>{top}</div><main><p>{words[i]}</p><article>{words[i + 6]}</article></main>" for i in range(6)]
+    assert html_main.main_texts(pages) == [f"{words[i]}\n\n{words[i + 6]}" for i in range(6)]
+
+
 def test_main_text_of_the_table(spark):
     on_workers(spark)
     rows = {r.page_id: r.html for r in spark.read.parquet(f"{SF_DIR}/pages.parquet").collect()}
