@@ -319,6 +319,22 @@ def test_main_text_beside_an_article():
     assert html_main.main_texts(pages) == [f"{words[i]}\n\n{words[i + 6]}" for i in range(6)]
 
 
+@pytest.mark.parametrize("around", ["div class='layout has-sidebar'", "div class=no-comments", "div class='page search-results'", "section id=toc-wrapper", "form", "div role=form", "div class=related"])
+@pytest.mark.parametrize("name", ["article", "main"])
+def test_main_text_in_named_elements(around, name):
+    page = f"<{around}><div class=ad>Buy</div><{name}><p>The text<div class=share>Share</div></{name}><nav>Menu</nav></{around.split()[0]}>"
+    assert html_main.main_texts([page]) == ["The text"]
+    page = f"<{around}><h1>Head</h1><p>One <span class=ad>buy</span>two</p><{name}>The text</{name}></{around.split()[0]}>"
+    assert html_main.main_texts([page]) == ["Head\n\nOne two\n\nThe text"]
+
+
+def test_main_text_with_other_articles():
+    others = "<div class=related><article>Another page</article></div>"
+    page = f"<article>The text<section class=comments><article>First!</article></section></article>{others}<aside><article>Hint</article></aside>"
+    assert html_main.main_texts([page]) == ["The text"]
+    assert html_main.main_texts([f"<div class='page search-results'><article>The text</article></div>{others}"]) == ["The text"]
+
+
 def test_main_text_of_the_table(spark):
     on_workers(spark)
     rows = {r.page_id: r.html for r in spark.read.parquet(f"{SF_DIR}/pages.parquet").collect()}
