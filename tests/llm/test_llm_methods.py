@@ -335,6 +335,23 @@ def test_main_text_with_other_articles():
     assert html_main.main_texts([f"<div class='page search-results'><article>The text</article></div>{others}"]) == ["The text"]
 
 
+@pytest.mark.parametrize("chunk", [1 << 20, 2000, 300])
+def test_main_text_counts_repeats_over_the_whole_host(spark, chunk):
+    on_workers(spark)
+    body = [" ".join(f"w{i}x{j}" for j in range(40)) for i in range(120)]
+    # Ten of 120 pages share a line, which is over the limit of six; five share another.
+    shared, rare = "A line that many pages of this host share", "Some words that too few pages here have in common"
+    page = lambda i: f"<div>{shared if i % 12 == 0 else ''}</div><div>{rare if i % 24 == 1 else ''}</div><div>{body[i]}</div>"
+    rows = [(i, f"http://{host}/{i}", page(i)) for host in ("a.org", "b.org") for i in range(120)]
+    rows += [(i, f"http://c.org/{i}", f"<article>{shared}</article>") for i in range(120)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    found = {(r.url): r.text for r in html_main.extract(pages, chunk_bytes=chunk).collect()}
+    assert len(found) == len(rows)
+    for i, url, _ in rows:
+        expected = shared if "c.org" in url else f"{rare}\n\n{body[i]}" if i % 24 == 1 else body[i]
+        assert found[url] == expected
+
+
 def test_main_text_of_the_table(spark):
     on_workers(spark)
     rows = {r.page_id: r.html for r in spark.read.parquet(f"{SF_DIR}/pages.parquet").collect()}
