@@ -57,6 +57,28 @@ def test_suffix_array(size, kinds):
         assert a[:n] == b[:n] and (n == len(a) or n == len(b) or a[n] != b[n])
 
 
+def test_documents_without_id_are_dealt_out():
+    rng = np.random.default_rng(1)
+    groups = suffix_dedup.group_of(np.full(7000, suffix_dedup.LAST_ID), rng.integers(0, 1 << 60, 7000), 7)
+    assert (np.bincount(groups, minlength=7) > 800).all()
+
+
+def test_groups_of_documents_agree(spark):
+    rows = [(i, t) for i in (-5, 0, 3, suffix_dedup.LAST_ID) for t in (0, 12345678901234567, (1 << 60) - 1)]
+    found = spark.createDataFrame(rows, "id long, tag long").withColumn("group", suffix_dedup._group_column(7)).collect()
+    assert all(r.group == suffix_dedup.group_of(np.array([r.id]), np.array([r.tag]), 7)[0] for r in found)
+
+
+def test_frequent_stretches_leave_a_task_once(spark):
+    on_workers(spark)
+    passage = "".join(random.Random(7).choice("abcdefgh ") for _ in range(400))
+    rows = [(i if i % 3 else None, i, passage if i % 2 else "x" * 500) for i in range(200)]
+    runs = suffix_dedup._runs(spark.createDataFrame(rows, "id long, tag long, text string").fillna(suffix_dedup.LAST_ID, ["id"]).coalesce(1), 3).collect()
+    sent = [d for r in runs if not r.known for d in np.frombuffer(r.digest, np.uint64).tolist()]
+    assert sent and len(sent) == len(set(sent))
+    assert sum(len(r.n) for r in runs if r.known) > 100 * len(sent)
+
+
 def test_suffix_array_of_bounded_depth():
     text = np.random.default_rng(1).integers(0, 2, 200)
     _, rank = suffix.suffix_array(text, 5)
