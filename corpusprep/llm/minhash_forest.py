@@ -14,7 +14,7 @@
    too large for one task are cut into blocks, with the nodes to compare sent to each block.
 
 Nothing emits all pairs of a group. The only chance is in step 2: a pair of similarity 0.8 agrees in
-none of 24 trees of depth 3 with probability 3e-8, and fails the comparison by bits with about 1e-7.
+none of 24 trees of depth 3 with probability 3e-8, and fails the comparison by bits with 9e-7.
 
 Defined results: a text without words, or null, has an empty set and links with nothing. With fewer
 words than a shingle has, the whole text is its only shingle. Rows with equal sets are always in one
@@ -41,6 +41,8 @@ DEPTHS = (3, 6, 12)
 REGION = 4096
 #: Agreement in one bit per value that a pair of similarity 0.8 reaches but for one in ten million.
 LEAST_BITS = 97
+#: The least similarity that trees, depths and bits are set for.
+LEAST_PERCENT = 80
 BLOCK_BYTES = 1 << 20
 FAMILY_SHINGLES = 1 << 21
 LEADERS = 16
@@ -493,6 +495,8 @@ def near(
     ``width`` words make a shingle; texts link when ``100 * intersection >= percent * union``. ``region``
     bounds the nodes that are compared in one task, ``weight`` the shingles.
     """
+    if percent < LEAST_PERCENT:
+        raise ValueError(f"pairs below {LEAST_PERCENT} % would be lost without a word: the forest is set for that, not {percent} %")
     rows = materialize(signed(docs, width, id_col, text_col), "signed")
     groups = materialize(
         rows.filter(F.col("node").isNotNull() & F.col("id").isNotNull())

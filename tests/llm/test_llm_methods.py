@@ -387,6 +387,13 @@ def test_main_text_of_the_table(spark):
 # Near duplicates
 
 
+def test_near_duplicates_refuse_what_the_forest_would_lose(documents):
+    with pytest.raises(ValueError):
+        minhash_forest.near(documents, 5, 70)
+    with pytest.raises(ValueError):
+        minhash_forest.keep(documents, 5, 79)
+
+
 def shingles(text, width):
     words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     return {tuple(words[i : i + width]) for i in range(max(1, len(words) - width + 1))} if words else set()
