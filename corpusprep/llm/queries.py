@@ -6,7 +6,21 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusprep.llm import bpe_transducer, embed_dedup, exact_index, hash_tree, html_main, langid, minhash_forest, packing, suffix_dedup, url_filter
+from corpusprep.llm import (
+    bpe_transducer,
+    embed_dedup,
+    exact_index,
+    fim,
+    hash_tree,
+    html_main,
+    langid,
+    minhash_forest,
+    packing,
+    suffix_dedup,
+    token_count,
+    turn_repair,
+    url_filter,
+)
 from corpusprep.llm.common import table
 
 
@@ -72,6 +86,30 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = turn_repair.damaged(table(spark, sf_dir, "conversations"))
+    return turn_repair.audit(turns).withColumnRenamed("conv", "conv_id")
+
+
+def op12_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = token_count.count(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return counted.withColumnRenamed("id", "doc_id")
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fim.transform(table(spark, sf_dir, "documents"))
+    output, form = F.col("fim")["output"], F.col("fim")["form"]
+    return made.select(
+        "doc_id",
+        F.col("fim")["n"].alias("n"),
+        form.alias("form"),
+        F.col("fim")["prefix_chars"].alias("prefix_chars"),
+        F.col("fim")["middle_chars"].alias("middle_chars"),
+        F.sha2(output, 256).alias("output_sha256"),
+        F.sha2(fim.restored(output, form), 256).alias("restored_sha256"),
+    )
+
+
 QUERIES = {
     "op1_suffix_array": op1_suffix_array,
     "op2_hash_tree": op2_hash_tree,
@@ -83,4 +121,7 @@ QUERIES = {
     "op8_transducer": op8_transducer,
     "op9_language": op9_language,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_turn_repair": op11_turn_repair,
+    "op12_token_count": op12_token_count,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }

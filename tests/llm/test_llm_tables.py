@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from corpusprep.llm import bpe_transducer, embed_dedup, exact_index, hash_tree, html_main, langid, minhash_forest, packing, suffix_dedup, url_filter
+from corpusprep.llm import bpe_transducer, embed_dedup, exact_index, hash_tree, html_main, langid, minhash_forest, packing, suffix_dedup, token_count, url_filter
 from corpusprep.llm.common import on_workers
 
 JSON = public_tokenizers.path("byte_bpe_50k.json")
@@ -77,6 +77,13 @@ def test_transducer(docs):
     assert all(r.n_tokens == 0 for r in rows if r.id in (3, 4))
 
 
+def test_token_counts(docs):
+    rows = token_count.count(docs, JSON).collect()
+    assert len(rows) == expected(docs)
+    assert all((r.n_bytes, r.n_tokens, r.over_limit) == (0, 0, False) for r in rows if r.id in (3, 4))
+    assert all(r.over_limit for r in rows if r.id in (6, 7))
+
+
 def test_language(docs):
     model = langid.fit(docs, F.lit(True))
     rows = langid.predict(docs, model).collect()
