@@ -17,10 +17,12 @@ never learned from. Repeated rows count as often as they occur; extra columns ar
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -250,8 +252,6 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     read = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].cast("string").alias("text"))
 
     def run(batches):
-        import pyarrow as pa
-
         words = WordScores(shared.value)
         for batch in slices(batches, "langid"):
             found = words.predict_all(batch.column("text").to_pylist())
@@ -265,16 +265,17 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
 
 def keep(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns as they are, whose text is not rejected."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    at = docs.columns.index(text_col)
+    """The rows of ``docs``, all columns as they are, whose text is not rejected.
 
-    def run(batches):
-        import pyarrow as pa
+    Only the text goes to Python, and one boolean comes back.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
+    @F.arrow_udf("boolean")
+    def known(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         words = WordScores(shared.value)
-        for batch in slices(batches, "langid"):
-            found = words.predict_all(batch.column(at).to_pylist())
-            yield batch.filter(pa.array([lang != UNKNOWN and score >= shared.value.least_score for lang, score in found], pa.bool_()))
+        for batch in slices((pa.RecordBatch.from_arrays([t], names=["text"]) for t in texts), "langid"):
+            found = words.predict_all(batch.column("text").to_pylist())
+            yield pa.array([lang != UNKNOWN and score >= shared.value.least_score for lang, score in found], pa.bool_())
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.filter(known(F.col(text_col).cast("string")))

@@ -43,7 +43,7 @@ REGION = 4096
 LEAST_BITS = 97
 #: The least similarity that trees, depths and bits are set for.
 LEAST_PERCENT = 80
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 17
 FAMILY_SHINGLES = 1 << 21
 LEADERS = 16
 
