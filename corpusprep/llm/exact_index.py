@@ -22,6 +22,10 @@ from pyspark.sql import functions as F
 from corpusprep.llm.common import drop_rows, text_or_empty
 from corpusprep.session import materialize, scratch_path
 
+#: Digests of a bucket, about: some 80 MB, so that a bucket is sorted in memory.
+BUCKET_ROWS = 1 << 21
+LEAST_BUCKETS = 8
+
 WHITE_SPACE = r"[\x20\x09-\x0D]+"
 
 
@@ -44,7 +48,7 @@ class DigestIndex:
     An index that already lies at ``path`` is taken up again.
     """
 
-    def __init__(self, spark: SparkSession, path: str | None = None, buckets: int = 64):
+    def __init__(self, spark: SparkSession, path: str | None = None, buckets: int = LEAST_BUCKETS):
         self.spark, self.buckets = spark, buckets
         self.path = path or scratch_path(spark, "digest-index")
         self.name = f"digest_index_{uuid.uuid5(uuid.NAMESPACE_URL, self.path).hex}"
@@ -95,8 +99,8 @@ def dedup(
     met first. With an index that already holds rows, ``keep_id`` may be one of those; the group's
     size counts the rows of ``docs``.
     """
-    index = index or DigestIndex(docs.sparkSession)
     rows = materialize(digests(docs, id_col, text_col), "digests")
+    index = index or DigestIndex(docs.sparkSession, buckets=max(LEAST_BUCKETS, -(-rows.count() // BUCKET_ROWS)))
     for batch in batches(rows, n_batches):
         index.add(batch)
     # One row per digest on either side: no skew here. Only groups of several rows, and rows that an
