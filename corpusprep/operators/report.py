@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -65,13 +67,30 @@ def lcpt_counts(lines: DataFrame) -> DataFrame:
     )
 
 
+# Bytes that texts with other white space than the native tokenizer's have among theirs.
+_RARE_SPACE = ("1C", "1D", "1E", "1F", "C285", "C2A0", "E19A80", "E280", "E281", "E38080")
+
+
+def _n_words(text: Column) -> Column:
+    """Runs of characters that are no white space; a null text has none to speak of.
+
+    Most texts are cut as the native tokenizer cuts them, which is then done once for both.
+    """
+
+    def count(cut: Column) -> Column:
+        return F.aggregate(cut, F.lit(0).cast("bigint"), lambda n, word: n + (word != "").cast("bigint"))
+
+    rare = reduce(or_, [F.contains(text.cast("binary"), F.unhex(F.lit(b))) for b in _RARE_SPACE])
+    return F.when(rare, count(F.split(text, f"[{WHITESPACE_CLASS}]+"))).otherwise(count(F.split(text, f"[{NativeTokenizer.SPACES}]+")))
+
+
 def fertility(df: DataFrame, text: str, group: str, tokenizer: Tokenizer | None = None) -> DataFrame:
     """Characters per token and tokens per word of each group, from sums over all its texts."""
     counted = df.select(
         group,
         F.length(text).cast("bigint").alias("_chars"),
         (tokenizer or NativeTokenizer()).count(F.col(text)).cast("bigint").alias("_tokens"),
-        F.regexp_count(F.col(text), F.lit(f"[^{WHITESPACE_CLASS}]+")).cast("bigint").alias("_words"),
+        _n_words(F.col(text)).alias("_words"),
     )
     sums = counted.groupBy(group).agg(*[F.coalesce(F.sum(f"_{c}"), F.lit(0)).alias(f"n_{c}") for c in ("chars", "tokens", "words")])
     return sums.withColumns(

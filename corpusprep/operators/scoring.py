@@ -83,28 +83,41 @@ def short_answer(df: DataFrame, prediction: str, gold: str, order: Sequence[str]
     return rows.select(*order, (said == wanted).alias("exact"), F.when(wanted == "  ", said == wanted).otherwise(said.contains(wanted)).alias("contained"))
 
 
-def ngrams(text: Column, n: int) -> Column:
-    """All ``n`` successive words of a text, as an array of strings."""
-    w = words(text)
-    return F.when(
-        F.size(w) >= n, F.transform(F.sequence(F.lit(0), F.size(w) - n), lambda i: F.array_join(F.slice(w, i + 1, n), " "))
-    ).otherwise(F.array().cast("array<string>"))
+def ngrams(w: Column, n: int) -> Column:
+    """All ``n`` successive words of an array of words, as an array of strings. ``w`` is a plain column: it
+    is looked at for every place."""
+    if n == 1:
+        return w
+    places = F.when(F.size(w) >= n, F.sequence(F.lit(1), F.size(w) - (n - 1))).otherwise(F.array().cast("array<int>"))
+    return F.transform(places, lambda i: F.array_join(F.slice(w, i, n), " "))
 
 
-def ngram_overlap(df: DataFrame, candidate: str, reference: str, ids: Sequence[str], n: int = 1) -> DataFrame:
-    """Per row: n-grams of candidate and reference, those in common (each as often as both have it), and
-    the recall, precision and F1 that are known as ROUGE-N.
+def gram_counts(df: DataFrame, candidate: str, reference: str, ids: Sequence[str], lengths: Sequence[int]) -> DataFrame:
+    """Per row and length ``n``: n-grams of candidate and reference, and those in common (each as often as both have it).
 
-    Both sides are counted in one grouping by (row, n-gram), which combines before it is shuffled.
+    Each text is cut into words once, whatever the lengths: a generator stands between the words and the n-grams,
+    through which Spark does not move the cutting. Both sides are counted in one grouping by (row, length,
+    n-gram), which combines before it is shuffled. A row without n-grams of a length has zeros.
     """
-    sides = [df.select(*ids, F.explode_outer(ngrams(F.col(c), n)).alias("_gram"), F.lit(c == candidate).alias("_said")) for c in (candidate, reference)]
+    sides = []
+    for column in (candidate, reference):
+        cut = df.select(*ids, F.explode(F.array(words(F.col(column)))).alias("_words"))
+        grams = F.array(*(F.struct(F.lit(n).alias("n"), ngrams(F.col("_words"), n).alias("grams")) for n in lengths))
+        by_length = cut.select(*ids, F.inline(grams)).select(*ids, "n", F.explode_outer("grams").alias("_gram"))
+        sides.append(by_length.withColumn("_said", F.lit(column == candidate)))
     there = F.col("_gram").isNotNull()
-    counts = sides[0].union(sides[1]).groupBy(*ids, "_gram").agg(
+    counts = sides[0].union(sides[1]).groupBy(*ids, "n", "_gram").agg(
         F.count_if(there & F.col("_said")).alias("_said"), F.count_if(there & ~F.col("_said")).alias("_wanted")
     )
-    sums = counts.groupBy(*ids).agg(
+    return counts.groupBy(*ids, "n").agg(
         F.sum("_said").alias("n_candidate"), F.sum("_wanted").alias("n_reference"), F.sum(F.least("_said", "_wanted")).alias("n_common")
     )
+
+
+def ngram_overlap(df: DataFrame, candidate: str, reference: str, ids: Sequence[str], n: int = 1) -> DataFrame:
+    """Per row: n-grams of candidate and reference, those in common, and the recall, precision and F1 that are
+    known as ROUGE-N."""
+    sums = gram_counts(df, candidate, reference, ids, [n]).drop("n")
     recall, precision = (F.coalesce(F.try_divide("n_common", c), F.lit(0.0)) for c in ("n_reference", "n_candidate"))
     f1 = F.coalesce(F.try_divide(2 * F.col("n_common"), F.col("n_candidate") + F.col("n_reference")), F.lit(0.0))
     return sums.withColumns({"recall": F.round(recall, 6), "precision": F.round(precision, 6), "f1": F.round(f1, 6)})
@@ -112,18 +125,17 @@ def ngram_overlap(df: DataFrame, candidate: str, reference: str, ids: Sequence[s
 
 def corpus_bleu(df: DataFrame, candidate: str, reference: str, ids: Sequence[str], longest: int = 4) -> DataFrame:
     """One row: BLEU of a corpus of one reference each, without smoothing."""
-    parts = None
-    for n in range(1, longest + 1):
-        own = ngram_overlap(df, candidate, reference, ids, n).agg(
-            F.lit(n).alias("n"), *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n_common", "n_candidate", "n_reference")]
-        )
-        parts = own if parts is None else parts.union(own)
+    lengths = list(range(1, longest + 1))
+    counted = gram_counts(df, candidate, reference, ids, lengths).groupBy("n").agg(
+        *[F.sum(c).alias(c) for c in ("n_common", "n_candidate", "n_reference")]
+    )
+    # One row per length; an empty corpus has none.
     one = F.col("n") == 1
     said, wanted = F.max(F.when(one, F.col("n_candidate"))), F.max(F.when(one, F.col("n_reference")))
     fit = F.exp(F.avg(F.log(F.try_divide("n_common", "n_candidate"))))
     short = F.when(said >= wanted, 1.0).otherwise(F.exp(1 - F.try_divide(wanted, said)))
-    found = F.min("n_common") > 0
-    return parts.agg(F.round(F.when(found, fit * short).otherwise(0.0), 6).alias("bleu"))
+    found = F.coalesce(F.min("n_common") > 0, F.lit(False))
+    return counted.agg(F.round(F.when(found, fit * short).otherwise(0.0), 6).alias("bleu"))
 
 
 def compare_runs(base: DataFrame, tuned: DataFrame, column: str = "pass_rate", least_gain: float = LEAST_GAIN, most_loss: float = MOST_LOSS) -> DataFrame:

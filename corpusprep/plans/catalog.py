@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from corpusprep.functions import text as tx
 from corpusprep.functions.hashing import pair_digest, short_key
 from corpusprep.functions.tokenizers import NativeTokenizer
-from corpusprep.operators import chat, chunk, dedup, pairs, ranks, report, sample, scoring, split, validate
+from corpusprep.operators import chat, chunk, containment, dedup, pairs, ranks, report, sample, scoring, split, validate
 from corpusprep.plans.views import TURN_BLOCK_BITS, document_lines, documents, sft_view, table, turn_view
 from corpusprep.session import materialize, prepare, scratch_path
 from corpusprep.sources import ingest, records, templates
@@ -398,9 +398,23 @@ def rouge2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.ngram_overlap(sft_view(spark, sf_dir), "instruction", "output", ["doc_id"], 2)
 
 
+def first_line_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and the first document that begins with the same line: copies and near copies for the most part."""
+    keyed = documents(spark, sf_dir).select("doc_id", "text", F.sha2(F.split_part("text", F.lit("\n"), F.lit(1)), 256).alias("line"))
+    firsts = keyed.groupBy("line").agg(F.min("doc_id").alias("first"))
+    later = keyed.join(firsts, "line").filter(F.col("doc_id") > F.col("first"))
+    texts = documents(spark, sf_dir).select(F.col("doc_id").alias("first"), F.col("text").alias("reference"))
+    return later.join(texts, "first").select("doc_id", F.col("text").alias("candidate"), "reference")
+
+
 def bleu(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Last lines against the text before them, in which most repeat nothing: unigrams and pairs only."""
-    return scoring.corpus_bleu(sft_view(spark, sf_dir), "instruction", "output", ["doc_id"], 2)
+    """Documents against the first with the same first line, with n-grams of one to four words."""
+    return scoring.corpus_bleu(first_line_pairs(spark, sf_dir), "candidate", "reference", ["doc_id"])
+
+
+def contained(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which items of the benchmark stand in which documents."""
+    return containment.contained(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"), "doc_id", "item_id")
 
 
 def run_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -566,6 +580,7 @@ QUERIES: dict[str, Query] = {
     "q_rouge1": rouge1,
     "q_rouge2": rouge2,
     "q_bleu": bleu,
+    "q_contained": contained,
     "q_run_gate": run_gate,
     "q_marker_lines": marker_lines,
     "q_synthesize": synthesized,

@@ -176,16 +176,16 @@ def answers(rows: str) -> str:
                ' ' || array_to_string({word_list('output')}, ' ') || ' ' AS wanted FROM {rows}))"""
 
 
-def overlap(n: int, name: str = "overlap") -> str:
+def overlap(n: int, name: str = "overlap", rows: str = "sft", said: str = "instruction", wanted: str = "output") -> str:
     gram = f"CASE WHEN len(w) >= {n} THEN list_transform(range(1, len(w) - {n} + 2), lambda i: array_to_string(w[i : i + {n - 1}], ' ')) ELSE [] END"
     return f"""{name}_grams AS (
   SELECT doc_id, said, unnest({gram}) AS gram FROM (
-    SELECT doc_id, true AS said, {word_list('instruction')} AS w FROM sft UNION ALL SELECT doc_id, false, {word_list('output')} FROM sft)),
+    SELECT doc_id, true AS said, {word_list(said)} AS w FROM {rows} UNION ALL SELECT doc_id, false, {word_list(wanted)} FROM {rows})),
 {name}_counts AS (
   SELECT doc_id, gram, count(*) FILTER (said) AS s, count(*) FILTER (NOT said) AS t FROM {name}_grams GROUP BY doc_id, gram),
 {name} AS (
   SELECT doc_id, CAST(coalesce(sum(s), 0) AS BIGINT) AS n_candidate, CAST(coalesce(sum(t), 0) AS BIGINT) AS n_reference,
-         CAST(coalesce(sum(least(s, t)), 0) AS BIGINT) AS n_common FROM sft LEFT JOIN {name}_counts USING (doc_id) GROUP BY doc_id)"""
+         CAST(coalesce(sum(least(s, t)), 0) AS BIGINT) AS n_common FROM {rows} LEFT JOIN {name}_counts USING (doc_id) GROUP BY doc_id)"""
 
 
 def rouge(n: int) -> str:
@@ -310,12 +310,17 @@ ORACLE: dict[str, str] = {
                count(*) FILTER (contained) AS contained FROM judged GROUP BY language""",
     "q_rouge1": rouge(1),
     "q_rouge2": rouge(2),
-    "q_bleu": f"""WITH {SFT}, {overlap(1, 'one')}, {overlap(2, 'two')}, sums AS (
-          SELECT 1 AS n, sum(n_common) AS c, sum(n_candidate) AS s, sum(n_reference) AS t FROM one
-          UNION ALL SELECT 2, sum(n_common), sum(n_candidate), sum(n_reference) FROM two)
+    "q_bleu": f"""WITH lines AS (SELECT doc_id, text, split_part(text, {NL}, 1) AS line FROM documents),
+        firsts AS (SELECT line, min(doc_id) AS first FROM lines GROUP BY line),
+        pairs AS (SELECT l.doc_id, l.text AS candidate, d.text AS reference FROM lines l JOIN firsts USING (line) JOIN documents d ON d.doc_id = first WHERE l.doc_id > first),
+        {", ".join(overlap(n, f"n{n}", "pairs", "candidate", "reference") for n in range(1, 5))}, sums AS (
+          {" UNION ALL ".join(f"SELECT {n} AS n, sum(n_common) AS c, sum(n_candidate) AS s, sum(n_reference) AS t FROM n{n}" for n in range(1, 5))})
         SELECT round(CASE WHEN min(c) > 0 THEN exp(avg(ln(CASE WHEN c > 0 THEN c / s::DOUBLE ELSE 1 END)))
                  * CASE WHEN max(s) FILTER (n = 1) >= max(t) FILTER (n = 1) THEN 1.0::DOUBLE
                         ELSE exp(1 - max(t) FILTER (n = 1) / (max(s) FILTER (n = 1))::DOUBLE) END ELSE 0.0::DOUBLE END, 6) AS bleu FROM sums""",
+    "q_contained": f"""WITH d AS (SELECT doc_id, ' ' || array_to_string({word_list('text')}, ' ') || ' ' AS said FROM documents),
+        b AS (SELECT item_id, ' ' || array_to_string({word_list('text')}, ' ') || ' ' AS wanted FROM benchmark)
+        SELECT DISTINCT item_id, doc_id FROM b JOIN d ON contains(said, wanted) WHERE wanted <> '  '""",
     "q_run_gate": GATE,
     "q_marker_lines": f"""WITH l AS (SELECT conv_id, turn, {strip("concat(CASE role WHEN 'user' THEN 'EN: ' WHEN 'assistant' THEN 'HI: ' ELSE '' END, translate(text, chr(10), ' '))")} AS line
           FROM conversations)

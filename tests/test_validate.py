@@ -99,47 +99,47 @@ def test_prompt_ignores_output_and_null_input(spark, tmp_path, lines_file):
     assert [r.status for r in whole.orderBy(*ingest.ORDER).collect()] == ["too_long", "valid", "valid", "too_long"]
 
 
-def brute_force(rows, max_tokens=1024):
-    """The waterfall in plain Python, with pieces of three characters as tokens."""
-    seen, out = set(), []
-    for instruction, input_, output in rows:
-        if len(instruction.strip()) < 3 or len(output.strip()) < 2:
-            out.append("empty_fields")
-            continue
-        key = (instruction, output)
-        if key in seen:
-            out.append("duplicates")
-            continue
-        seen.add(key)
-        text = f"{instruction} {input_}".strip()
-        n = len(text)
-        if n <= 2 * max_tokens:
-            out.append("valid")
-        elif n > 5 * max_tokens:
-            out.append("too_long")
+# Parts of records by what is to become of them. Pieces of the tokenizer have three characters, and a
+# record may have 1,024 of them: eight words of 300 letters are 800 pieces, 1,100 single letters as many pieces.
+SHORT_FIELDS = [("", "fine"), (" a ", "fine"), ("\t\n", "fine"), ("good enough", ""), ("good enough", " x ")]
+INPUTS = {
+    "valid": ["", "some input", "w" * 300 + " " + "v" * 300, " ".join(["w" * 300] * 8)],
+    "too_long": [" ".join("b" * 1100), "c" * 6000, " ".join(["word"] * 1200)],
+}
+
+
+def scripted(rng, n):
+    """(instruction, input, output, status) of ``n`` records, each made for the status; a third repeat one record."""
+    rows, passed = [], []
+    for i in range(n):
+        status = rng.choice(["empty_fields", "valid", "valid", "too_long", "duplicates", "hot"])
+        if status == "empty_fields":
+            instruction, output = rng.choice(SHORT_FIELDS)
+            rows.append((instruction, rng.choice(INPUTS["valid"]), output, status))
+        elif status == "duplicates" and passed:
+            instruction, output = rng.choice(passed)
+            # Whatever the input: neither it nor the length is looked at any more.
+            rows.append((instruction, rng.choice(INPUTS["valid"] + INPUTS["too_long"]), output, status))
+        elif status == "hot" or status == "duplicates":
+            rows.append(("the hot record", "", "same answer", "duplicates" if ("the hot record", "same answer") in passed else "valid"))
+            passed.append(("the hot record", "same answer"))
         else:
-            out.append("valid" if sum(-(-len(w) // 3) for w in text.split()) <= max_tokens else "too_long")
-    return out
+            rows.append((f"record {i}", rng.choice(INPUTS[status]), rng.choice(["ok", f"answer {i}"]), status))
+            passed.append((rows[-1][0], rows[-1][2]))
+    return rows
 
 
 @pytest.mark.parametrize("partitions", [1, 4, 13])
-def test_waterfall_against_brute_force(spark, partitions):
-    rng = random.Random(5)
-    # A third of the rows are copies of one record.
-    rows = []
-    for _ in range(600):
-        if rng.random() < 0.34:
-            rows.append(("the hot record", "", "same answer"))
-        else:
-            word = "ab" * rng.randint(1, 5)
-            rows.append((rng.choice(["", " a ", word]), f"{word} " * rng.choice([0, 20, 260, 300, 700, 2600]), rng.choice(["x", "ok", word])))
+def test_every_record_gets_the_status_it_was_made_for(spark, partitions):
+    rows = scripted(random.Random(partitions), 600)
+    assert {r[3] for r in rows} == {"empty_fields", "valid", "too_long", "duplicates"}
     spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
     try:
-        df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "id bigint, instruction string, input string, output string")
+        df = spark.createDataFrame([(i, *r[:3]) for i, r in enumerate(rows)], "id bigint, instruction string, input string, output string")
         got = validate.classify(df.repartition(partitions), ["id"]).orderBy("id").collect()
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
-    assert [r.status for r in got] == brute_force(rows)
+    assert [r.status for r in got] == [r[3] for r in rows]
 
 
 def test_counts_add_up(spark, tmp_path, lines_file):
