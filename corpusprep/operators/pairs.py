@@ -10,8 +10,10 @@ from pyspark.sql.window import Window
 
 from corpusprep.functions.hashing import hash_choice, seeded_hash
 from corpusprep.functions.text import WHITESPACE
+from corpusprep.operators import scan
 from corpusprep.operators.sample import first_k, fixed_size
 from corpusprep.operators.split import DEFAULT_SEED
+from corpusprep.session import materialize
 from corpusprep.sources.ingest import ordered_text
 
 # Markers, character limits, default sizes and instruction wordings.
@@ -77,23 +79,24 @@ def candidates(
     return found.withColumn("en_chars", F.length("en")).withColumn("hi_chars", F.length("hi"))
 
 
-def join_edges(found: DataFrame, source: Sequence[str], bucket: str, order: str) -> DataFrame:
+def join_edges(found: DataFrame, source: Sequence[str], bucket: str, order: str, folder: str | None = None) -> DataFrame:
     """All pairs: those found inside buckets, and those whose EN ends the bucket before.
 
-    The window here sees two rows per bucket at most.
+    ``found`` is written once. Of each bucket its last marker is a summary without text; a prefix scan tells every
+    bucket the last marker before it, however many buckets a source has. Only texts of pairs across buckets meet.
     """
+    found = materialize(found, "markers", folder)
     pair = [*source, bucket, order, "en", "hi", "en_chars", "hi_chars"]
-    in_source = Window.partitionBy(*source).orderBy(bucket, order)
-
-    def before(c: str) -> Column:
-        return F.lag(c).over(in_source)
-
-    # One lag per column: a step that needs no texts then reads none.
-    across = (
-        found.filter(F.col("is_first") | F.col("is_last"))
-        .withColumns({"_kind": before("kind"), "en_chars": before("hi_chars"), "en": before("hi")})
-        .filter(F.col("is_first") & (F.col("hi_chars") > 0) & (F.col("_kind") == "EN") & (F.col("en_chars") > 0))
+    last = F.struct(F.col(bucket).alias("place"), "kind", F.col("hi_chars").alias("chars"))
+    ends = found.filter("is_last").select(*source, bucket, last.alias("last"))
+    known = scan.before(ends, source, [bucket], {"last": scan.LAST}, folder=folder and f"{folder}/edges")
+    ended = F.col("last_before")
+    waiting = known.filter((ended["kind"] == "EN") & (ended["chars"] > 0)).select(*source, bucket, ended["place"].alias("_place"))
+    begun = found.filter(F.col("is_first") & (F.col("hi_chars") > 0)).select(*source, bucket, order, "hi", "hi_chars")
+    texts = found.filter(F.col("is_last") & (F.col("kind") == "EN")).select(
+        *source, F.col(bucket).alias("_place"), F.col("hi").alias("en"), F.col("hi_chars").alias("en_chars")
     )
+    across = begun.join(waiting, [*source, bucket]).join(texts, [*source, "_place"])
     return found.filter("is_pair").select(*pair).unionByName(across.select(*pair))
 
 
@@ -195,9 +198,9 @@ def _known_edges(found, at_end: bool):
     yield from pa.table(out).combine_chunks().to_batches()
 
 
-def read_pairs(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+def read_pairs(spark: SparkSession, paths: str | Sequence[str], folder: str | None = None) -> DataFrame:
     """(en, hi) pairs of marker files with their source order; only the edges of file splits are shuffled."""
-    return join_edges(split_candidates(spark, paths), ["src_file"], "src_block", "src_row")
+    return join_edges(split_candidates(spark, paths), ["src_file"], "src_block", "src_row", folder)
 
 
 def is_story() -> Column:

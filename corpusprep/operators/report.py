@@ -8,10 +8,10 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from corpusprep.functions.text import WHITESPACE_CLASS
 from corpusprep.functions.tokenizers import NativeTokenizer, Tokenizer
+from corpusprep.operators import scan
 from corpusprep.operators.split import THREE_WAY
 from corpusprep.operators.validate import STATUSES, UNREADABLE
 
@@ -31,15 +31,13 @@ def status_counts(classified: DataFrame) -> DataFrame:
 
 
 def running_by_file(classified: DataFrame, file: str) -> DataFrame:
-    """Status counts per file, added up along the sorted file names.
-
-    The window runs over one small row per file, after the counting: the one place where all files meet.
-    """
+    """Status counts per file, added up along the sorted file names."""
+    names = ("total", *STATUSES)
     per_file = classified.groupBy(file).agg(
         F.count(F.lit(1)).alias("total"), *[F.count_if(F.col("status") == s).alias(s) for s in STATUSES]
     )
-    upto = Window.orderBy(file).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return per_file.select(file, *[F.sum(c).over(upto).alias(c) for c in ("total", *STATUSES)])
+    known = scan.before(per_file, [], [file], dict.fromkeys(names, scan.SUM))
+    return known.select(file, *[(F.col(c) + F.coalesce(F.col(f"{c}_before"), F.lit(0))).alias(c) for c in names])
 
 
 def split_counts(split: DataFrame, names: Sequence[str] = THREE_WAY) -> DataFrame:

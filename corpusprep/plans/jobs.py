@@ -8,11 +8,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from corpusprep.functions.hashing import pair_digest, seeded_hash
 from corpusprep.functions.tokenizers import NativeTokenizer, Tokenizer
-from corpusprep.operators import chat, chunk, dedup, pairs, report, sample, scoring, split, validate
+from corpusprep.operators import chat, chunk, dedup, pairs, report, sample, scan, scoring, split, validate
 from corpusprep.session import materialize, prepare, remove
 from corpusprep.sources import ingest, records, sinks, templates
 
@@ -129,10 +128,10 @@ def _judged(parsed: DataFrame, tokenizer: Tokenizer, work: str) -> DataFrame:
         work,
     )
     # A number in source order, one for each record: file splits are few, and numbered on their own.
-    upto = Window.orderBy("src_file", "src_block").rowsBetween(Window.unboundedPreceding, -1)
     cuts = narrow.groupBy("src_file", "src_block").agg(F.min("src_row").alias("_least"), (F.max("src_row") - F.min("src_row") + 1).alias("_rows"))
-    starts = cuts.select("src_file", "src_block", "_least", F.coalesce(F.sum("_rows").over(upto), F.lit(0)).alias("_start"))
-    placed = narrow.join(materialize(starts, "starts", work), ["src_file", "src_block"]).withColumn(
+    starts = scan.before(cuts, [], ["src_file", "src_block"], {"_rows": scan.SUM}, folder=f"{work}/starts")
+    starts = starts.select("src_file", "src_block", "_least", F.coalesce("_rows_before", F.lit(0)).alias("_start"))
+    placed = narrow.join(starts, ["src_file", "src_block"]).withColumn(
         "pos", F.col("_start") + F.col("src_row") - F.col("_least")
     )
     passed = F.col("digest").isNotNull()
@@ -157,7 +156,7 @@ def parse_parallel(
 ) -> DataFrame:
     """Stories and translation records from an EN:/HI: file; returns the counts."""
     work = f"{records_out}_work"
-    paired = materialize(pairs.read_pairs(spark, path), "pairs", work)
+    paired = pairs.read_pairs(spark, path, work)
     sinks.text(pairs.stories(paired, max_stories, ingest.ORDER, [ingest.split()]), stories_out)
     # Line numbers are unique across files.
     sinks.jsonl(pairs.translation_sample(paired, ["src_row"], max_pairs, seed).drop("src_row"), records_out)

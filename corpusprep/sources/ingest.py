@@ -6,9 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from corpusprep.functions.text import is_string, or_empty, or_empty_any, strip_long
+from corpusprep.operators import scan
 
 # Source order of a line: file, then file split, then row. A split is read in one piece by one
 # task, so the generated row number grows along it; across splits and files it need not.
@@ -46,8 +46,8 @@ def line_starts(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     cuts = ordered_text(spark, paths).groupBy("src_file", "src_block").agg(
         F.min("src_row").alias("first_row"), F.count(F.lit(1)).alias("_lines")
     )
-    before = Window.partitionBy("src_file").orderBy("src_block").rowsBetween(Window.unboundedPreceding, -1)
-    return cuts.select("src_file", "src_block", "first_row", F.coalesce(F.sum("_lines").over(before), F.lit(0)).alias("first_line"))
+    known = scan.before(cuts, ["src_file"], ["src_block"], {"_lines": scan.SUM})
+    return known.select("src_file", "src_block", "first_row", F.coalesce("_lines_before", F.lit(0)).alias("first_line"))
 
 
 def lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
