@@ -11,6 +11,7 @@ from corpusprep.plans import jobs
 from corpusprep.session import prepare
 from corpusprep.sources import records, sinks, templates
 from corpusprep.streaming import validation
+from corpusprep.streaming.lines import PLACE
 
 
 def count(value: str) -> int | None:
@@ -122,9 +123,8 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "stream":
         prepare(spark)
         arriving = validation.stream_jsonl(spark, args.input)
-        order = ["src_file", "src_block", validation.ROW]
-        validation.run_first_wins(arriving, order, args.out, f"{args.out}/keys", args.checkpoint).awaitTermination()
-        validation.status_table(spark, args.out).groupBy("status").count().show()
+        validation.run_first_wins(arriving, PLACE, args.out, args.checkpoint).awaitTermination()
+        validation.totals(spark, args.out).show()
     else:
         sinks.jsonl(jobs.sft_training(spark, args.jsonl, args.max_rows), args.out)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -13,8 +14,9 @@ from corpusprep.functions.tokenizers import NativeTokenizer
 from corpusprep.operators import chat, chunk, containment, dedup, pairs, ranks, report, sample, scoring, split, validate
 from corpusprep.plans.views import TURN_BLOCK_BITS, document_lines, documents, sft_view, table, turn_view
 from corpusprep.session import materialize, prepare, scratch_path
-from corpusprep.sources import ingest, records, templates
+from corpusprep.sources import ingest, records, sinks, templates
 from corpusprep.streaming import validation
+from corpusprep.streaming.lines import PLACE
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -471,14 +473,51 @@ def _record_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _first_wins(records: DataFrame, order: list[str], keep: tuple[str, ...] = ()) -> str:
+    """The folder with the statuses of a stream that was drained once."""
+    base = scratch_path(records.sparkSession, "stream")
+    validation.run_first_wins(records, order, f"{base}/out", f"{base}/checkpoint", keep).awaitTermination()
+    return f"{base}/out"
+
+
 def stream_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole waterfall as a stream, drained once."""
-    base = scratch_path(spark, "stream")
-    query = validation.run_first_wins(
-        _record_stream(spark, sf_dir), ["doc_id"], f"{base}/out", f"{base}/keys", f"{base}/checkpoint"
-    )
-    query.awaitTermination()
-    return validation.status_table(spark, f"{base}/out").select("doc_id", "status", _big("n_tokens"))
+    out = _first_wins(_record_stream(spark, sf_dir), ["doc_id"])
+    return validation.status_table(spark, out).select("doc_id", "status", _big("n_tokens"))
+
+
+def stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals of all statuses of a stream, from what its batches add."""
+    return validation.totals(spark, _first_wins(_record_stream(spark, sf_dir), ["doc_id"]))
+
+
+def stream_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records written to JSONL files in order and read as a stream of numbered lines: place decides among repeats."""
+    prepare(spark)
+    folder = scratch_path(spark, "lines")
+    fields = ("doc_id", "instruction", "input", "output", "language")
+    placed = sft_view(spark, sf_dir).select(*fields).repartitionByRange(3, "doc_id").sortWithinPartitions("doc_id")
+    sinks.jsonl(placed, folder)
+    fields_of = validation.stream_jsonl(spark, folder.removeprefix("file://"), ".json")
+    numbered = fields_of.withColumn("doc_id", F.try_variant_get(F.col("fields")["doc_id"], "$", "bigint"))
+    out = _first_wins(numbered, list(PLACE), ("doc_id",))
+    return validation.status_table(spark, out).select("doc_id", "status", _big("n_tokens"))
+
+
+def stream_expiry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events that repeat one of the same user and kind within six hours; three parts arrive one after the other."""
+    prepare(spark)
+    base = scratch_path(spark, "events")
+    events = table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type")
+    ends = events.agg(F.unix_millis(F.min("ts")).alias("low"), F.unix_millis(F.max("ts")).alias("high")).first()
+    part = F.width_bucket(F.unix_millis("ts").cast("double"), F.lit(float(ends["low"] or 0)), F.lit(float((ends["high"] or 0) + 1)), F.lit(3))
+    for number in (1, 2, 3):
+        events.filter(part == number).coalesce(1).write.mode("append").parquet(f"{base}/in")
+    arriving = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+    marked = validation.mark_repeats(arriving, ["user_id", "event_type"], "ts", ["event_id"], timedelta(hours=6), "1 hour")
+    writer = marked.writeStream.format("parquet").option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True)
+    writer.start(f"{base}/out").awaitTermination()
+    return spark.read.schema("event_id bigint, repeat boolean").parquet(f"{base}/out")
 
 
 def stream_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -586,6 +625,9 @@ QUERIES: dict[str, Query] = {
     "q_synthesize": synthesized,
     "q_synth_counts": synth_counts,
     "q_stream_status": stream_status,
+    "q_stream_counts": stream_counts,
+    "q_stream_lines": stream_lines,
+    "q_stream_expiry": stream_expiry,
     "q_stream_unique": stream_unique,
     "q_stream_bounded": stream_bounded,
     "q_stream_early_counts": stream_early_counts,

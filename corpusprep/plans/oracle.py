@@ -329,6 +329,11 @@ ORACLE: dict[str, str] = {
     "q_synthesize": f"{SYNTH} SELECT * FROM synth",
     "q_synth_counts": f"{SYNTH} SELECT category, count(*) AS n_rows FROM synth GROUP BY category",
     "q_stream_status": f"{JUDGED} SELECT doc_id, status, n_tokens FROM judged",
+    "q_stream_counts": f"""{JUDGED} SELECT count(*) AS total, {STATUS_SUMS},
+        CAST(coalesce(sum(n_tokens) FILTER (status = 'too_long'), 0) AS BIGINT) AS too_long_tokens_sum FROM judged""",
+    "q_stream_lines": f"{JUDGED} SELECT doc_id, status, n_tokens FROM judged",
+    "q_stream_expiry": """SELECT event_id, coalesce(epoch_ms(ts) - lag(epoch_ms(ts)) OVER (PARTITION BY user_id, event_type ORDER BY epoch_ms(ts), event_id) < 6 * 3600 * 1000, false) AS repeat
+        FROM events""",
     "q_stream_unique": f"""WITH {SFT} SELECT DISTINCT substr({DIGEST}, 1, 16) AS dedup_key FROM sft WHERE {EARLY} IS NULL""",
     "q_stream_bounded": f"""WITH {SFT} SELECT DISTINCT substr({DIGEST}, 1, 16) AS dedup_key FROM sft WHERE {EARLY} IS NULL""",
     "q_stream_early_counts": f"""WITH {SFT} SELECT coalesce({EARLY}, 'checked') AS status, count(*) AS n_rows FROM sft GROUP BY 1""",

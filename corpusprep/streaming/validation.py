@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +12,8 @@ from pyspark.sql.streaming import StreamingQuery
 from corpusprep.functions.hashing import pair_digest
 from corpusprep.functions.text import strip
 from corpusprep.functions.tokenizers import NativeTokenizer, Tokenizer
-from corpusprep.operators.dedup import first_rows
+from corpusprep.operators import scan
+from corpusprep.operators.report import status_counts
 from corpusprep.operators.validate import (
     MAX_RECORD_TOKENS,
     early_status,
@@ -19,29 +21,18 @@ from corpusprep.operators.validate import (
     token_limit,
     with_prompt,
 )
-from corpusprep.session import remove
-from corpusprep.sources.ingest import file_path, parse_records, sft_records
+from corpusprep.sources.ingest import parse_records, sft_records
+from corpusprep.streaming.lines import numbered_lines
 
 INGEST_TIME = "ingest_time"
-# A stream cannot number its rows; run_first_wins does it per micro-batch.
-ROW = "src_row"
-
-
-def stream_jsonl(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """JSONL files as they arrive, parsed and typed; blank lines are skipped."""
-    reader = spark.readStream.schema("value string")
-    if max_files is not None:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    line = strip(F.col("value"))
-    lines = (
-        reader.text(path)
-        .withColumn("src_file", file_path())
-        .withColumn("src_block", F.col("_metadata.file_block_start"))
-        .withColumn("_line", line)
-        .filter(F.col("_line") != "")
-        .select("src_file", "src_block", "_line")
-    )
-    return sft_records(parse_records(lines, "_line"))
+# Rows that need no state are dealt over so many keys.
+SPREAD = 4096
+
+
+def stream_jsonl(spark: SparkSession, path: str, suffix: str = "") -> DataFrame:
+    """JSONL files as they arrive, parsed and typed, with the place of each line; blank lines are skipped."""
+    lines = numbered_lines(spark, path, suffix).withColumn("value", strip(F.col("value"))).filter(F.col("value") != "")
+    return sft_records(parse_records(lines, "value"))
 
 
 def _length_status(df: DataFrame, max_tokens: int, tokenizer: Tokenizer | None, settled: Column | None = None) -> DataFrame:
@@ -64,7 +55,8 @@ def validate_stream(
     The state holds one digest per distinct record and lets the first that arrives pass; which of
     two repeats in one micro-batch that is, Spark does not say. The state grows with the stream
     unless ``keep_keys_for`` (such as "7 days") bounds it: a repeat that comes later than that
-    passes again. Use :func:`run_first_wins` where source order must decide.
+    passes again. The clock decides there; :func:`mark_repeats` goes by a time of the data. Use
+    :func:`run_first_wins` where source order must decide.
     """
     survivors = records.filter(early_status(records).isNull()).withColumn(
         "digest", pair_digest(F.col("instruction"), F.col("output"))
@@ -81,6 +73,61 @@ def validate_stream(
     return _length_status(unique, max_tokens, tokenizer)
 
 
+def _repeats(place: Sequence[str], keep_ms: int):
+    """The processor of :func:`mark_repeats`; made here, so that workers get it by value."""
+    from pyspark.sql import Row
+    from pyspark.sql.streaming import StatefulProcessor
+
+    class Repeats(StatefulProcessor):
+        def init(self, handle) -> None:
+            self.handle = handle
+            self.last = handle.getValueState("last", "ms long")
+
+        def handleInputRows(self, key, rows, timerValues):
+            seen = self.last.get()[0] if self.last.exists() else None
+            before = seen
+            # A key's rows of one batch; they are few, or else one key is most of the stream.
+            for row in sorted(rows, key=lambda r: (r["_ms"], *(r[c] for c in place))):
+                repeat = seen is not None and row["_ms"] - seen < keep_ms
+                seen = row["_ms"] if seen is None else max(seen, row["_ms"])
+                yield Row(**{c: row[c] for c in place}, repeat=repeat)
+            if seen != before:
+                if before is not None:
+                    self.handle.deleteTimer(before + keep_ms)
+                self.handle.registerTimer(seen + keep_ms)
+                self.last.update((seen,))
+
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+            if self.last.exists() and self.last.get()[0] + keep_ms <= expiredTimerInfo.getExpiryTimeInMs():
+                self.last.clear()
+            return iter(())
+
+        def close(self) -> None:
+            pass
+
+    return Repeats()
+
+
+def mark_repeats(stream: DataFrame, key: Sequence[str], event_time: str, place: Sequence[str], keep_keys_for: timedelta, delay: str) -> DataFrame:
+    """(place, repeat): whether the same key came less than ``keep_keys_for`` before, by the time in the data.
+
+    A key is forgotten when the watermark, ``delay`` behind the latest time seen, has passed its last time by that
+    much: the state holds one number per key that may still matter. Rows that come behind the watermark are
+    not judged; :func:`late_rows` counts them. ``place`` names columns that are unique per row and decide
+    between equal times.
+    """
+    timed = stream.withWatermark(event_time, delay).withColumn("_ms", F.unix_millis(event_time))
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in stream.select(*place).schema)
+    narrow = timed.select(*dict.fromkeys([*key, *place]), event_time, "_ms")
+    processor = _repeats(list(place), int(keep_keys_for.total_seconds() * 1000))
+    return narrow.groupBy(*key).transformWithState(processor, f"{kinds}, repeat boolean", "append", "eventTime")
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that came behind the watermark in the batches of a query that are still remembered."""
+    return sum(op["numRowsDroppedByWatermark"] for progress in query.recentProgress for op in progress["stateOperators"])
+
+
 def early_status_counts(records: DataFrame) -> DataFrame:
     """Running counts of the statuses that need no other record; ``checked`` rows go on to dedup."""
     return records.groupBy(F.coalesce(early_status(records), F.lit("checked")).alias("status")).agg(
@@ -88,56 +135,88 @@ def early_status_counts(records: DataFrame) -> DataFrame:
     )
 
 
+def _least_place(order: Sequence[str], columns: Sequence[str]):
+    """The processor of :func:`run_first_wins`; made here, so that workers get it by value."""
+    from pyspark.sql import Row
+    from pyspark.sql.streaming import StatefulProcessor
+
+    class LeastPlace(StatefulProcessor):
+        def init(self, handle) -> None:
+            self.won = handle.getValueState("won", "here boolean")
+
+        def judged(self, row, repeat: bool):
+            settled = {"status": "duplicates", "n_tokens": None} if repeat else {}
+            return Row(**({c: row[c] for c in columns} | settled))
+
+        def handleInputRows(self, key, rows, timerValues):
+            if key[0].startswith("early"):
+                yield from (self.judged(row, False) for row in rows)
+                return
+            known = self.won.exists()
+            first = None
+            # The least place so far is held back: no more than one row of a key is, however many there are.
+            for row in rows:
+                if known:
+                    yield self.judged(row, True)
+                elif first is None:
+                    first = row
+                else:
+                    before = [row[c] for c in order] < [first[c] for c in order]
+                    yield self.judged(first if before else row, True)
+                    first = row if before else first
+            if first is not None:
+                self.won.update((True,))
+                yield self.judged(first, False)
+
+        def close(self) -> None:
+            pass
+
+    return LeastPlace()
+
+
+def first_wins(
+    records: DataFrame, order: Sequence[str], keep: Sequence[str] = (), tokenizer: Tokenizer | None = None, max_tokens: int = MAX_RECORD_TOKENS
+) -> DataFrame:
+    """(order, keep, status, n_tokens) of a stream: every record gets one status, a repeat ``duplicates``.
+
+    State keyed by digest says whether an earlier batch has the record; of the records of one batch the one with
+    the least place in ``order`` wins. A batch is compared with state alone, and no row of an earlier one is
+    read again. Lengths are judged before, so that no text is shuffled unless ``keep`` names it.
+    """
+    early = early_status(records)
+    digest = F.when(F.col("_early").isNull(), pair_digest(F.col("instruction"), F.col("output")))
+    alone = F.concat(F.lit("early"), F.pmod(F.xxhash64(*order), F.lit(SPREAD)).cast("string"))
+    judged = _length_status(records.withColumn("_early", early), max_tokens, tokenizer, F.col("_early"))
+    columns = [*order, *[c for c in keep if c not in order], "status", "n_tokens"]
+    narrow = judged.withColumn("_key", F.coalesce(digest, alone)).select("_key", *columns)
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in narrow.select(*columns).schema)
+    return narrow.groupBy("_key").transformWithState(_least_place(list(order), columns), kinds, "append", "none")
+
+
 def run_first_wins(
     records: DataFrame,
     order: Sequence[str],
     out: str,
-    keys: str,
     checkpoint: str,
     keep: Sequence[str] = (),
     tokenizer: Tokenizer | None = None,
     max_tokens: int = MAX_RECORD_TOKENS,
 ) -> StreamingQuery:
-    """Give every arriving record its status, with the first in source order winning.
+    """Write the statuses of :func:`first_wins` to ``out/status`` and what each batch adds to the totals to ``out/totals``.
 
-    Each micro-batch keeps its first rows per digest, drops those whose digest an earlier batch
-    saw, and writes statuses to ``out`` and new digests to ``keys``, in one directory per batch. A
-    batch that is run again overwrites its own directories and ignores its own digests, so a
-    restart changes nothing.
+    Both have one folder per batch. A batch that is run again meets the state of its first run and overwrites its
+    own folders, so that a restart changes nothing and a repeated batch adds nothing.
     """
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        if ROW in order and ROW not in batch.columns:
-            batch = batch.withColumn(ROW, F.monotonically_increasing_id())
-        early = batch.withColumn("_early", early_status(batch)).withColumn(
-            "digest", F.when(F.col("_early").isNull(), pair_digest(F.col("instruction"), F.col("output")))
-        )
-        # Generated row numbers are order columns here: freeze the batch before it is read twice.
-        staged_path = f"{out}/staged/batch_id={batch_id}"
-        early.write.mode("overwrite").parquet(staged_path)
-        staged = spark.read.parquet(staged_path)
-        survivors = staged.filter(F.col("digest").isNotNull())
-        seen = spark.read.schema("digest string, batch_id bigint").parquet(keys).filter(F.col("batch_id") < batch_id)
-        new = (
-            survivors.join(first_rows(survivors, F.col("digest"), order), list(order), "left_semi")
-            .select(*order, "digest")
-            .join(seen, "digest", "left_anti")
-        )
-        new_path = f"{keys}/batch_id={batch_id}"
-        new.write.mode("overwrite").parquet(new_path)
-        winners = spark.read.parquet(new_path).select(*order, F.lit(True).alias("_new"))
-        marked = staged.join(winners, list(order), "left")
-        repeat = F.when(F.col("_new").isNull(), "duplicates")
-        _length_status(marked, max_tokens, tokenizer, F.coalesce("_early", repeat)).select(
-            *order, *[c for c in keep if c not in order], "status", "n_tokens"
-        ).write.mode("overwrite").parquet(f"{out}/status/batch_id={batch_id}")
-        remove(spark, staged_path)
-
-    # The first batch reads the key table before it has written one.
-    records.sparkSession.createDataFrame([], "digest string").write.mode("ignore").parquet(f"{keys}/batch_id=-1")
+        statuses = f"{out}/status/batch_id={batch_id}"
+        batch.write.mode("overwrite").parquet(statuses)
+        added = status_counts(batch.sparkSession.read.schema(batch.schema).parquet(statuses))
+        added.write.mode("overwrite").parquet(f"{out}/totals/batch_id={batch_id}")
+
     return (
-        records.writeStream.foreachBatch(write_batch)
+        first_wins(records, order, keep, tokenizer, max_tokens)
+        .writeStream.foreachBatch(write_batch)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -147,3 +226,17 @@ def run_first_wins(
 def status_table(spark: SparkSession, out: str) -> DataFrame:
     """All statuses that :func:`run_first_wins` has written so far."""
     return spark.read.parquet(f"{out}/status")
+
+
+def running_totals(spark: SparkSession, out: str) -> DataFrame:
+    """(batch_id, counts of all statuses): the totals after each batch, in the columns of ``report.status_counts``."""
+    added = spark.read.parquet(f"{out}/totals")
+    names = [c for c in added.columns if c != "batch_id"]
+    known = scan.before(added, [], ["batch_id"], dict.fromkeys(names, scan.SUM))
+    return known.select("batch_id", *[(F.col(c) + F.coalesce(F.col(f"{c}_before"), F.lit(0))).alias(c) for c in names])
+
+
+def totals(spark: SparkSession, out: str) -> DataFrame:
+    """One row: the counts of all statuses over all batches so far."""
+    added = spark.read.parquet(f"{out}/totals")
+    return added.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in added.columns if c != "batch_id"])
