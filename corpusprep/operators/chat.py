@@ -53,10 +53,14 @@ def to_messages(df: DataFrame, line_no: Column, seed: int = DEFAULT_SEED) -> Dat
     )
 
 
-def conversion_counts(df: DataFrame) -> DataFrame:
-    """How many records :func:`to_messages` keeps and drops."""
+def conversion_metrics() -> list[Column]:
+    """How many records :func:`to_messages` keeps and drops, as aggregates."""
     keeps = (strip(text_or_empty(F.col("instruction"))) != "") & (strip(text_or_empty(F.col("output"))) != "")
-    return df.agg(F.count_if(keeps).alias("kept"), F.count_if(~keeps).alias("dropped"))
+    return [F.count_if(keeps).alias("kept"), F.count_if(~keeps).alias("dropped")]
+
+
+def conversion_counts(df: DataFrame) -> DataFrame:
+    return df.agg(*conversion_metrics())
 
 
 def render(messages: Column, add_generation_prompt: bool = False) -> Column:

@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 from corpusprep.functions.hashing import seeded_hash
 from corpusprep.operators.ranks import hash_buckets, id_buckets, sort_key, thresholds
 from corpusprep.operators.split import DEFAULT_SEED
+from corpusprep.session import materialize
 
 DEFAULT_TRAIN_ROWS = 15_000
 
@@ -50,6 +51,43 @@ def mix(
     return df.filter(kept)
 
 
+def mix_tokens(
+    df: DataFrame, weights: Mapping[str, int], column: str, tokens: str, ids: Sequence[str], total: int | None = None, seed: int = DEFAULT_SEED
+) -> DataFrame:
+    """As :func:`mix`, with shares of the tokens: the largest sample there is, or one of ``total`` tokens.
+
+    Rows of a class are taken in the order of their seeded hashes as long as their tokens add up to no more than the
+    class's share, so that it falls short by less than one row. Tokens are added up by class and bucket of the
+    hash; only rows of the one bucket per class in which the share is reached are sorted.
+    """
+    if sum(weights.values()) != 100 or min(weights.values()) <= 0:
+        raise ValueError("weights are positive and add up to 100")
+    order = seeded_hash(seed, *[F.col(c) for c in ids])
+    own = df.filter(F.col(column).isin(*weights)).select(F.col(column).alias("_class"), order.alias("_order"), F.coalesce(F.col(tokens), F.lit(0)).alias("_n"))
+    own = own.withColumn("_bucket", hash_buckets(F.col("_order"))[0])
+    sums = materialize(own.groupBy("_class", "_bucket").agg(F.sum("_n").alias("_n")), "buckets")
+    held = {r["_class"]: r["n"] for r in sums.groupBy("_class").agg(F.sum("_n").alias("n")).collect()}  # one per class
+    largest = min(held.get(name, 0) * 100 // w for name, w in weights.items())
+    total = largest if total is None else min(total, largest)
+    share = F.create_map(*[F.lit(x) for name, w in weights.items() for x in (name, total * w // 100)])
+    share = F.element_at(share, F.col("_class"))
+    upto = Window.partitionBy("_class").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = sums.withColumn("_upto", F.sum("_n").over(upto))
+    cuts = running.filter(F.col("_upto") > share).groupBy("_class").agg(F.min(F.struct("_bucket", (F.col("_upto") - F.col("_n")).alias("_before"))).alias("_cut"))
+    cuts = cuts.select("_class", "_cut.*")
+    along = Window.partitionBy("_class").orderBy("_order").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = own.join(F.broadcast(cuts), ["_class", "_bucket"]).withColumn("_upto", F.col("_before") + F.sum("_n").over(along))
+    last = inside.filter(F.col("_upto") <= share).groupBy("_class").agg(F.max("_order").alias("_last"))
+    # One row per class; a class without a cut is taken whole.
+    ends = {r["_class"]: (r["_bucket"], r["_last"]) for r in cuts.join(last, "_class", "left").collect()}
+    kept = F.lit(False)
+    for name in weights:
+        bucket, end = ends.get(name, (None, None))
+        taken = F.lit(True) if bucket is None else hash_buckets(order)[0] < bucket if end is None else order <= end
+        kept = kept | ((F.col(column) == name) & taken)
+    return df.filter(kept)
+
+
 def first_k(df: DataFrame, k: int | None, order: Sequence[str], buckets: Sequence[Column] | None = None) -> DataFrame:
     """The first ``min(k, n)`` rows in the given unique order; null keeps all.
 

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import exp
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusprep.functions.hashing import seeded_hash
 from corpusprep.functions.text import DEVANAGARI_CLASS, WHITESPACE_CLASS, has_latin_word, has_script, is_code_mixed
 from corpusprep.operators.sample import first_k_per_group
+from corpusprep.operators.split import DEFAULT_SEED
 
 # Prompt categories.
 HINDI = "hindi"
@@ -19,6 +22,7 @@ DEFAULT_NUM_TESTS = 3
 EVALUATION_ROWS = 20
 LEAST_GAIN = 0.05
 MOST_LOSS = 0.02
+REPLICATES = 200
 
 
 def script_flag(category: Column, response: Column, char_class: str = DEVANAGARI_CLASS) -> Column:
@@ -149,3 +153,61 @@ def compare_runs(base: DataFrame, tuned: DataFrame, column: str = "pass_rate", l
             "keeps": F.coalesce(F.col("gain") >= -most_loss, F.col("base") == 0),
         }
     )
+
+
+def _poisson_limits(bits: int = 32) -> list[int]:
+    """Numbers of ``bits`` bits below which a uniform draw stands for 0, 1, 2, ... of a Poisson variable of mean 1."""
+    limits, term, total, n = [], exp(-1), 0.0, 0
+    while (total + term) * 2**bits < 2**bits - 1 and n < 12:
+        total += term
+        limits.append(int(total * 2**bits))
+        n += 1
+        term /= n
+    return limits
+
+
+POISSON_LIMITS = _poisson_limits()
+
+
+def poisson_weight(draw: Column) -> Column:
+    """How often a row counts in a replicate, from 32 uniform bits."""
+    weight = F.lit(len(POISSON_LIMITS))
+    for n, limit in reversed(list(enumerate(POISSON_LIMITS))):
+        weight = F.when(draw < limit, n).otherwise(weight)
+    return weight
+
+
+def gain_interval(
+    paired: DataFrame,
+    group: Sequence[str],
+    ids: Sequence[str],
+    base: str,
+    tuned: str,
+    replicates: int = REPLICATES,
+    level: float = 0.95,
+    least_gain: float = LEAST_GAIN,
+    most_loss: float = MOST_LOSS,
+    seed: int = DEFAULT_SEED,
+) -> DataFrame:
+    """Per group: the gain of ``tuned`` over ``base``, relative to it, and an interval for it by a paired bootstrap.
+
+    Both scores of a row, flags or numbers such as F1, are drawn together: in each replicate a row counts as often
+    as a Poisson variable of mean 1 that its id and the replicate's number decide, so that reruns agree. All
+    replicates are sums of one aggregation, which combines before it is shuffled. The interval goes from one
+    order statistic of the replicates to another. ``improves`` and ``keeps`` ask of its lower end what
+    :func:`compare_runs` asks of the gain. Replicates in which the base has nothing have no gain and are left out.
+    """
+    scored = paired.select(*group, *ids, F.col(base).cast("double").alias("_base"), F.col(tuned).cast("double").alias("_tuned"))
+    drawn = scored.withColumn("_replicate", F.explode(F.sequence(F.lit(0), F.lit(replicates))))
+    draw = F.conv(F.substring(seeded_hash(seed, F.col("_replicate"), *[F.col(c) for c in (*group, *ids)]), 1, 8), 16, 10).cast("bigint")
+    # Replicate 0 is the sample itself.
+    weighted = drawn.withColumn("_weight", F.when(F.col("_replicate") == 0, 1).otherwise(poisson_weight(draw)))
+    sums = weighted.groupBy(*group, "_replicate").agg(*[F.sum(F.col(c) * F.col("_weight")).alias(c) for c in ("_base", "_tuned")])
+    gains = sums.withColumn("_gain", F.round(F.try_divide(F.col("_tuned") - F.col("_base"), F.col("_base")), 6))
+    found = gains.groupBy(*group).agg(
+        F.max(F.when(F.col("_replicate") == 0, F.col("_gain"))).alias("gain"),
+        F.sort_array(F.collect_list(F.when(F.col("_replicate") > 0, F.col("_gain")))).alias("_gains"),  # as many as replicates
+    )
+    cut = F.floor(F.size("_gains") * ((1 - level) / 2)).cast("int")
+    ends = found.select(*group, "gain", F.get("_gains", cut).alias("low"), F.get("_gains", F.size("_gains") - 1 - cut).alias("high"))
+    return ends.withColumns({"improves": F.coalesce(F.col("low") > least_gain, F.lit(False)), "keeps": F.coalesce(F.col("low") >= -most_loss, F.lit(False))})

@@ -127,12 +127,17 @@ def validation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = materialize(classified(spark, sf_dir).select("doc_id", "language", "status", "n_tokens"), "classified")
     parts = split.exact(validate.valid_records(judged), ["doc_id"])
     lcpt = validate.lcpt_lines(document_lines(spark, sf_dir))
-    built = report.build(judged, parts, lcpt)
+    return report_columns(report.build(judged, parts, lcpt))
+
+
+def report_columns(built: DataFrame, *more: str) -> DataFrame:
+    """The report as plain columns."""
     languages = F.transform(F.map_entries("language_distribution"), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string")))
     return built.select(
         *["total_rows_read", "malformed", "empty_fields", "duplicates_removed", "valid", "too_long", "lcpt_kept"],
         *[F.col("splits")[n].alias(f"split_{n}") for n in (*split.THREE_WAY, "total")],
         F.array_join(F.array_sort(languages), ",").alias("languages"),
+        *more,
     )
 
 
@@ -270,7 +275,10 @@ def train_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def to_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    converted = chat.to_messages(sft_view(spark, sf_dir), F.col("doc_id"))
+    return message_columns(chat.to_messages(sft_view(spark, sf_dir), F.col("doc_id")))
+
+
+def message_columns(converted: DataFrame) -> DataFrame:
     message = F.col("messages")
     return converted.select(
         "id",
@@ -346,7 +354,7 @@ def script_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _scored(spark: SparkSession, sf_dir: str, response: str = "output") -> DataFrame:
+def scored(spark: SparkSession, sf_dir: str, response: str = "output") -> DataFrame:
     known = F.create_map(*[F.lit(x) for kv in CATEGORY_OF_LANGUAGE.items() for x in kv])[F.col("language")]
     category = F.coalesce(known, F.lit(scoring.ENGLISH))
     view = sft_view(spark, sf_dir).withColumn("category", category).withColumn("pos", F.col("doc_id"))
@@ -357,11 +365,11 @@ def _scored(spark: SparkSession, sf_dir: str, response: str = "output") -> DataF
 
 
 def eval_results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scoring.results(_scored(spark, sf_dir)).withColumn("preview", tx.preview(F.col("response")))
+    return scoring.results(scored(spark, sf_dir)).withColumn("preview", tx.preview(F.col("response")))
 
 
 def script_pass_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scoring.pass_rates(_scored(spark, sf_dir), NUM_TESTS)
+    return scoring.pass_rates(scored(spark, sf_dir), NUM_TESTS)
 
 
 MIX = {"en": 50, "fr": 35, "de": 15}
@@ -372,6 +380,13 @@ def mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sample.mix(docs, MIX, "language", ["doc_id"])
 
 
+def mixed_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mix by share of tokens."""
+    count = NativeTokenizer().count(F.col("text")).cast("bigint").alias("n_tokens")
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("lang").alias("language"), count)
+    return sample.mix_tokens(materialize(docs, "tokens"), MIX, "language", "n_tokens", ["doc_id"])
+
+
 def fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.fertility(documents(spark, sf_dir), "text", "lang")
 
@@ -421,10 +436,16 @@ def contained(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def run_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Last lines as the responses of one run, first lines as those of the other."""
-    base, tuned = (scoring.pass_rates(_scored(spark, sf_dir, c), NUM_TESTS) for c in ("output", "instruction"))
+    base, tuned = (scoring.pass_rates(scored(spark, sf_dir, c), NUM_TESTS) for c in ("output", "instruction"))
     return scoring.compare_runs(base, tuned)
 
 
+def gate_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The runs of q_run_gate, prompt by prompt, with an interval for the gain."""
+    base, tuned = (scored(spark, sf_dir, c).select("category", "pos", F.col("flag").cast("int").alias(name)) for c, name in (("output", "base"), ("instruction", "tuned")))
+    return scoring.gain_interval(base.join(tuned, ["category", "pos"]), ["category"], ["pos"], "base", "tuned")
+
+
 def marker_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Turns written as marker lines, and read again."""
     tag = F.when(F.col("role") == "user", "EN: ").when(F.col("role") == "assistant", "HI: ").otherwise("")
@@ -612,6 +633,7 @@ QUERIES: dict[str, Query] = {
     "q_eval_results": eval_results,
     "q_script_pass_rates": script_pass_rates,
     "q_mix": mixed,
+    "q_mix_tokens": mixed_tokens,
     "q_fertility": fertility,
     "q_token_budget": token_budget,
     "q_short_answer": short_answer,
@@ -621,6 +643,7 @@ QUERIES: dict[str, Query] = {
     "q_bleu": bleu,
     "q_contained": contained,
     "q_run_gate": run_gate,
+    "q_gate_interval": gate_interval,
     "q_marker_lines": marker_lines,
     "q_synthesize": synthesized,
     "q_synth_counts": synth_counts,

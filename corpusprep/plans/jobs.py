@@ -6,7 +6,7 @@ import time
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from corpusprep.functions.hashing import pair_digest, seeded_hash
@@ -170,10 +170,11 @@ def convert_messages(spark: SparkSession, jsonl: Paths, out: str) -> DataFrame:
 
     A record without an id gets one with the number of its line in its file.
     """
-    text = chat.fields_as_text(ingest.jsonl(spark, jsonl))
-    placed = text.join(ingest.line_starts(spark, jsonl), ["src_file", "src_block"])
-    sinks.jsonl(chat.to_messages(placed, F.col("first_line") + F.col("src_row") - F.col("first_row")), out)
-    return chat.conversion_counts(text)
+    placed = ingest.with_line_number(chat.fields_as_text(ingest.jsonl(spark, jsonl)), ingest.line_starts(spark, jsonl))
+    # The writing pass counts what it sees.
+    seen = Observation()
+    sinks.jsonl(chat.to_messages(placed.observe(seen, *chat.conversion_metrics()), F.col("line_no")), out)
+    return spark.createDataFrame([seen.get], "kept bigint, dropped bigint")
 
 
 def lcpt_training(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from corpusprep.functions.text import WHITESPACE_CODES
 from corpusprep.functions.tokenizers import NativeTokenizer
-from corpusprep.operators import pairs
+from corpusprep.operators import pairs, scoring
 from corpusprep.plans import catalog
 from corpusprep.sources.templates import NO_RESPONSE
 
@@ -211,6 +211,11 @@ rates AS (
 gains AS (SELECT *, CASE WHEN base <> 0 THEN round((tuned - base) / base, 6) END AS gain FROM rates)
 SELECT *, coalesce(gain > 0.05, base = 0 AND tuned > 0) AS improves, coalesce(gain >= -0.02, base = 0) AS keeps FROM gains"""
 
+GATE_FLAGS = f"""{SCORED}, flags AS (
+  SELECT category, pos, flag::INT AS base, (CASE category WHEN 'hindi' THEN {PASSED_LINE['script']} WHEN 'hinglish' THEN {PASSED_LINE['mixed']}
+                                                          ELSE {PASSED_LINE['latin']} END)::INT AS tuned
+  FROM (SELECT category, pos, flag, prompt AS instruction FROM scored))"""
+
 ORACLE: dict[str, str] = {
     "q_sft_status": f"{JUDGED} SELECT doc_id, status, n_tokens FROM judged",
     "q_sft_status_exact": classified("'borderline'", strip("concat(instruction, ' ', input, ' ', output)"))
@@ -300,6 +305,11 @@ ORACLE: dict[str, str] = {
                CAST({catalog.NUM_TESTS} AS BIGINT) AS num_tests,
                round(count(*) FILTER (flag) / {catalog.NUM_TESTS}::DOUBLE, 6) AS pass_rate FROM scored GROUP BY category""",
     "q_mix": MIX,
+    "q_mix_tokens": f"""WITH weights(language, w) AS (VALUES {", ".join(f"('{k}', {w})" for k, w in catalog.MIX.items())}),
+        counted AS (SELECT doc_id, lang AS language, len({tokens('text')}) AS n_tokens FROM documents),
+        ranked AS (SELECT *, sum(n_tokens) OVER (PARTITION BY language ORDER BY {hash_of('doc_id')}) AS upto FROM counted),
+        total AS (SELECT min(coalesce(n, 0) * 100 // w) AS total FROM weights LEFT JOIN (SELECT language, sum(n_tokens) AS n FROM counted GROUP BY language) USING (language))
+        SELECT doc_id, language, n_tokens FROM ranked JOIN weights USING (language), total WHERE upto <= total * w // 100""",
     "q_fertility": f"""SELECT lang, CAST(sum(length(text)) AS BIGINT) AS n_chars, CAST(sum(len({tokens('text')})) AS BIGINT) AS n_tokens,
                CAST(sum(len({word_list('text')})) AS BIGINT) AS n_words,
                round(sum(length(text)) / sum(len({tokens('text')}))::DOUBLE, 6) AS chars_per_token,
@@ -322,6 +332,14 @@ ORACLE: dict[str, str] = {
         b AS (SELECT item_id, ' ' || array_to_string({word_list('text')}, ' ') || ' ' AS wanted FROM benchmark)
         SELECT DISTINCT item_id, doc_id FROM b JOIN d ON contains(said, wanted) WHERE wanted <> '  '""",
     "q_run_gate": GATE,
+    "q_gate_interval": f"""{GATE_FLAGS}, replicated AS (
+          SELECT category, base, tuned, rep, ('0x' || substr({hash_of('rep', 'category', 'pos')}, 1, 8))::BIGINT AS draw
+          FROM (SELECT *, unnest(range({scoring.REPLICATES + 1})) AS rep FROM flags)),
+        weighted AS (SELECT *, CASE WHEN rep = 0 THEN 1 {" ".join(f"WHEN draw < {limit} THEN {n}" for n, limit in enumerate(scoring.POISSON_LIMITS))} ELSE {len(scoring.POISSON_LIMITS)} END AS w FROM replicated),
+        gains AS (SELECT category, rep, CASE WHEN sum(w * base) <> 0 THEN round((sum(w * tuned) - sum(w * base)) / sum(w * base)::DOUBLE, 6) END AS gain FROM weighted GROUP BY category, rep),
+        listed AS (SELECT category, max(gain) FILTER (rep = 0) AS gain, coalesce(list_sort(list(gain) FILTER (rep > 0 AND gain IS NOT NULL)), []) AS g FROM gains GROUP BY category),
+        ends AS (SELECT category, gain, g[floor(len(g) * ((1 - 0.95::DOUBLE) / 2))::INT + 1] AS low, g[len(g) - floor(len(g) * ((1 - 0.95::DOUBLE) / 2))::INT] AS high FROM listed)
+        SELECT *, coalesce(low > 0.05, false) AS improves, coalesce(low >= -0.02, false) AS keeps FROM ends""",
     "q_marker_lines": f"""WITH l AS (SELECT conv_id, turn, {strip("concat(CASE role WHEN 'user' THEN 'EN: ' WHEN 'assistant' THEN 'HI: ' ELSE '' END, translate(text, chr(10), ' '))")} AS line
           FROM conversations)
         SELECT conv_id, turn, CASE WHEN line LIKE 'EN:%' THEN 'EN' ELSE 'HI' END AS kind, {strip('substr(line, 4)')} AS body
@@ -338,3 +356,15 @@ ORACLE: dict[str, str] = {
     "q_stream_bounded": f"""WITH {SFT} SELECT DISTINCT substr({DIGEST}, 1, 16) AS dedup_key FROM sft WHERE {EARLY} IS NULL""",
     "q_stream_early_counts": f"""WITH {SFT} SELECT coalesce({EARLY}, 'checked') AS status, count(*) AS n_rows FROM sft GROUP BY 1""",
 }
+
+ORACLE |= {
+    "q_roundtrip_jsonl": f"""WITH {SFT} SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS position, instruction, nullif(input, '') AS input, output, language,
+        doc_id * 1.5::DOUBLE AS weight, true AS has_input FROM sft""",
+    "q_roundtrip_text": f"""WITH l AS (SELECT doc_id, coalesce(lang = 'en', false) AS english, unnest(string_split(text, {NL})) AS line, generate_subscripts(string_split(text, {NL}), 1) AS n FROM documents),
+        t AS (SELECT doc_id, english, n, {strip("translate(line, chr(13), ' ')")} AS text FROM l)
+        SELECT row_number() OVER (ORDER BY english DESC, doc_id, n) - 1 AS position, text FROM t WHERE text <> ''""",
+    "q_roundtrip_splits": f"{SPLIT} SELECT doc_id, language, split FROM parts",
+    "q_roundtrip_messages": ORACLE["q_to_messages"],
+    "q_roundtrip_report": f"{ORACLE['q_report']}, round_even(12.25::DOUBLE, 1) AS wall_time_seconds",
+    "q_roundtrip_results": f"{SCORED} SELECT category, pos, prompt, output AS response, flag FROM scored",
+}

@@ -40,16 +40,23 @@ def ordered_text(spark: SparkSession, paths: str | Sequence[str], line_sep: str
     )
 
 
-def line_starts(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+def line_starts(spark: SparkSession, paths: str | Sequence[str], per_file: bool = True) -> DataFrame:
     """(src_file, src_block, first_row, first_line): of each file split, the row number of its first line, and
-    that line's number in its file, from 0 and counting blank lines."""
+    that line's number in its file, or in all files one after the other, from 0 and counting blank lines."""
     cuts = ordered_text(spark, paths).groupBy("src_file", "src_block").agg(
         F.min("src_row").alias("first_row"), F.count(F.lit(1)).alias("_lines")
     )
-    known = scan.before(cuts, ["src_file"], ["src_block"], {"_lines": scan.SUM})
+    segment, order = (["src_file"], ["src_block"]) if per_file else ([], ["src_file", "src_block"])
+    known = scan.before(cuts, segment, order, {"_lines": scan.SUM})
     return known.select("src_file", "src_block", "first_row", F.coalesce("_lines_before", F.lit(0)).alias("first_line"))
 
 
+def with_line_number(rows: DataFrame, starts: DataFrame, name: str = "line_no") -> DataFrame:
+    """``rows`` with the number of their line, by the ``line_starts`` of the files they were read from."""
+    number = F.col("first_line") + F.col("src_row") - F.col("first_row")
+    return rows.join(starts, ["src_file", "src_block"]).withColumn(name, number).drop("first_line", "first_row")
+
+
 def lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Stripped, non-empty text lines with their source order."""
     return ordered_text(spark, paths).withColumn("text", strip_long(F.col("text"))).filter(F.col("text") != "")

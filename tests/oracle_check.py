@@ -56,16 +56,18 @@ def compare(spark, con, sf_dir: str, query, sql: str) -> str | None:
 def main() -> None:
     from corpusprep.plans.catalog import QUERIES
     from corpusprep.plans.oracle import ORACLE
+    from corpusprep.plans.round_trips import QUERIES as ROUND_TRIPS
     from corpusprep.session import local_session
 
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    names = sys.argv[2:] or list(QUERIES)
+    queries = QUERIES | ROUND_TRIPS
+    names = sys.argv[2:] or list(queries)
     spark, con = local_session(8), connect(sf_dir)
     bad = 0
     for name in names:
         start = time.time()
         try:
-            problem = compare(spark, con, sf_dir, QUERIES[name], ORACLE[name])
+            problem = compare(spark, con, sf_dir, queries[name], ORACLE[name])
         except Exception as error:
             problem = f"{type(error).__name__}: {str(error)[:600]}"
         bad += problem is not None
