@@ -488,9 +488,76 @@ def test_language_is_the_same_in_any_company():
     words = langid.WordScores(model, entries=3)
     texts = ["the mat", "la table", "chat-sur(la) TABLE", "x" * 200 + " the", "the cat sat on the mat and more words than there is room for"]
     alone = [langid.WordScores(model).predict(t) for t in texts]
-    for (a, p), (b, q) in zip(alone, words.predict_all(texts)):
+    for (a, p, _), (b, q, _) in zip(alone, words.predict_all(texts)):
         assert a == b and p == pytest.approx(q, abs=1e-9)
-    assert [a for a, _ in alone[:3]] == ["en", "fr", "fr"]
+    assert [a for a, *_ in alone[:3]] == ["en", "fr", "fr"]
+
+
+@pytest.fixture(scope="module")
+def language_model(spark):
+    on_workers(spark)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    return langid.fit(docs, ~queries.held_out())
+
+
+def plain_subwords(text):
+    """Runs of letters and their n-grams, marks at both ends; what is no letter is a mark."""
+    out = []
+    for run in re.findall(r"[^\W\d_]+", text.lower()):
+        marked = f" {run} "
+        out += [marked[i : i + n] for n in langid.NGRAMS for i in range(len(marked) - n + 1)] + ["=" + run]
+    return out
+
+
+def test_language_score_is_average_and_softmax(language_model):
+    """The query's way, word by word and cached, against one average over all subwords of the text."""
+    texts = ["the re and of then the", "une de laou la et", "x", "éa ñé ß the", "der die und " * 300]
+    for text, (lang, score, _) in zip(texts, langid.WordScores(language_model).predict_all(texts)):
+        found, owner = langid.features(text.split())
+        assert len(found) == len(plain_subwords(text)) and len(set(owner)) == len(text.split())
+        z = (language_model.scores[found].mean(axis=0) + language_model.bias) / language_model.temperature
+        p = np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+        assert lang == language_model.languages[int(p.argmax())] and score == pytest.approx(float(p.max()), abs=1e-9)
+
+
+STRANGERS = {
+    "sv": "Det var en gång en liten flicka som bodde i ett rött hus vid skogen och hon tyckte mycket om att plocka blommor på ängen varje morgon innan solen gick upp.",
+    "pl": "Dawno temu w małej wiosce nad rzeką mieszkał stary rybak, który każdego dnia wypływał na jezioro, aby łowić ryby dla swojej rodziny i sąsiadów.",
+    "uk": "Колись давно у маленькому селі біля річки жив старий рибалка, який щодня виходив на озеро ловити рибу для своєї родини.",
+    "ja": "むかしむかし、あるところにおじいさんとおばあさんが住んでいました。おじいさんは山へ芝刈りに、おばあさんは川へ洗濯に行きました。",
+}
+
+
+def test_unlearned_languages_and_noise_are_rejected(spark, language_model):
+    rng = random.Random(6)
+    noise = [" ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(4, 9))) for _ in range(60)) for _ in range(20)]
+    words = langid.WordScores(language_model)
+    # Three times over, as texts of some length: a few words alone are no evidence.
+    assert all(words.predict(f"{t} {t} {t}")[2] for t in [*STRANGERS.values(), *noise])
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    held = [r.rejected for r in langid.predict(docs.filter(queries.held_out()), language_model).collect()]
+    assert len(held) > 200 and sum(held) <= 0.005 * len(held)
+
+
+def test_a_language_that_was_left_out_is_rejected(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = langid.fit(docs, F.col("lang") != "es")
+    found = langid.predict(docs.filter("lang = 'es' and n_chars > 400"), model).select("rejected").collect()
+    kept = langid.predict(docs.filter("lang <> 'es'"), model).select("rejected").collect()
+    assert sum(r.rejected for r in found) > 0.5 * len(found) and sum(r.rejected for r in kept) <= 0.005 * len(kept)
+
+
+@pytest.mark.parametrize("doc_id", ["CAST(NULL AS BIGINT)", "7L"])
+def test_languages_are_learned_without_ids(spark, doc_id):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").withColumn("doc_id", F.expr(doc_id))
+    rows = langid.sample(docs, F.lit(True), "doc_id", "text", "lang").groupBy("lang").count().collect()
+    assert {r.lang for r in rows} == {"de", "en", "es", "fr"} and all(150 < r["count"] <= 300 for r in rows)
+
+
+def test_many_rows_alike_leave_room_for_others(spark):
+    rows = [(1, "the same text", "en")] * 3000 + [(i, f"le texte {i}", "fr") for i in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert {r.lang for r in langid.sample(docs, F.lit(True), "doc_id", "text", "lang", 100).collect()} >= {"fr"}
 
 
 # Exact copies
