@@ -75,14 +75,14 @@ def validate_files(
     up to each file) and ``validation_report`` under ``out``; returns the report.
 
     Texts are read twice. The first time, one narrow row per record is written, with its place, digest
-    and what its length says; repeats, split and report come from those rows. The second time, lines
-    meet only the rows of records that are not plainly valid, and go to their splits in source order.
+    and what its length says; repeats, split and report come from those rows. The second time, lines are not
+    parsed again: they are moved once, with the narrow rows of valid records, and go to their splits in source order.
     """
     started = time.time()
     prepare(spark)
     work = f"{out}/_work"
     tokenizer = tokenizer or NativeTokenizer()
-    parsed = ingest.sft_records(ingest.jsonl(spark, jsonl, keep_line=True))
+    parsed = ingest.sft_records(ingest.jsonl(spark, jsonl))
     judged = materialize(_judged(parsed, tokenizer, work), "judged", work)
     valid = validate.valid_records(judged)
     # Digests are unique among valid records, and do not depend on how files were cut into splits.
@@ -90,15 +90,7 @@ def validate_files(
     ends = materialize(spark.range(1).select(split.cut_hashes(valid, order).alias("ends")), "ends", work).first()["ends"]
     parts = valid.withColumn("split", split.label(order, [F.lit(end) for end in ends]))
 
-    noted = judged.filter((F.col("status") != "valid") | F.col("n_tokens").isNotNull()).select("src_row", "status", "n_tokens")
-    digest = pair_digest(F.col("instruction"), F.col("output"))
-    lines_out = (
-        parsed.select(*ingest.ORDER, "text", "fields", digest.alias("digest"))
-        .join(noted, "src_row", "left")
-        .filter(F.col("status").isNull() | (F.col("status") == "valid"))
-        .withColumn("split", split.label(order, [F.lit(end) for end in ends]))
-    )
-    sinks.record_splits(lines_out, f"{out}/sft", ingest.ORDER)
+    sinks.record_splits(ingest.lines(spark, jsonl), parts, f"{out}/sft", ingest.ORDER, ingest.ORDER[:2])
     if text is None:
         lines = spark.createDataFrame([], "text string, status string")
     else:

@@ -3,6 +3,7 @@ import json
 from pyspark.sql import functions as F
 
 from corpusprep.operators import validate
+from corpusprep.session import materialize
 from corpusprep.sources import ingest, records, sinks, templates
 
 
@@ -66,14 +67,31 @@ def test_unknown_fields_survive_and_nulls_are_written(spark, tmp_path, lines_fil
         {"instruction": "हिंदी में", "output": "लिखें", "language": "hindi"},
     ]
     path = lines_file(tmp_path / "in.jsonl", [json.dumps(r, ensure_ascii=False) for r in rows])
-    judged = validate.classify(ingest.sft_records(ingest.jsonl(spark, path, keep_line=True)), ingest.ORDER)
+    judged = validate.classify(ingest.sft_records(ingest.jsonl(spark, path)), ingest.ORDER)
     out = str(tmp_path / "out")
-    sinks.record_splits(judged.withColumn("split", F.lit("train")), out, ingest.ORDER)
+    sinks.record_splits(ingest.lines(spark, path), judged.withColumn("split", F.lit("train")), out, ingest.ORDER, ingest.ORDER[:2])
     written = [r.value for r in spark.read.text(out + "/split=train").collect()]
     assert sorted(map(json.loads, written), key=str) == sorted([{**r, "n_tokens": None} for r in rows], key=str)
     assert any("हिंदी" in line for line in written)
 
 
+def test_lines_are_moved_once_and_meet_their_marks(spark, tmp_path, lines_file, small_splits):
+    for name in ("b", "a"):
+        lines_file(tmp_path / f"{name}.jsonl", [json.dumps({"file": name, "line": i, "n\u005ftokens": 1} if i % 50 == 0 else {"file": name, "line": i}) for i in range(400)])
+    lines = ingest.lines(spark, str(tmp_path))
+    # Marks as they are after a job of their own; every third line goes out.
+    number = F.get_json_object("text", "$.line").cast("int")
+    marks = lines.filter(number % 3 == 0).select(*ingest.ORDER, F.when(number % 2 == 0, "x").otherwise("y").alias("split"), number.alias("n_tokens"))
+    marks = materialize(marks, "marks", str(tmp_path / "_work"))
+    placed = sinks.record_lines(lines, marks, ingest.ORDER, ingest.ORDER[:2])
+    plan = placed._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "rangepartitioning" in plan
+    sinks.record_splits(lines, marks, str(tmp_path / "out"), ingest.ORDER, ingest.ORDER[:2])
+    for split, odd in (("x", 0), ("y", 1)):
+        back = [json.loads(r.text) for r in ingest.lines(spark, f"{tmp_path}/out/split={split}").orderBy(*ingest.ORDER).collect()]
+        assert back == [{"file": name, "line": i, "n_tokens": i} for name in "ab" for i in range(0, 400, 3) if i % 2 == odd]
+
+
 def test_typed_sinks(spark, tmp_path):
     df = spark.createDataFrame([("a", None, "train"), ("b", 5, "val"), ("c", 6, "train")], "text string, n_tokens int, split string")
     sinks.splits(df, str(tmp_path / "s"))
