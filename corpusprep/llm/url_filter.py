@@ -1,13 +1,13 @@
 """URL filter: rules by host and path, and logistic regression on hashed character n-grams.
 
 The model is trained in numpy from a small labelled table of URLs, given as a parameter; the package
-brings one of its own, made by a rule from invented hosts and paths. N-grams of host and path are hashed with different seeds, so that a word
-means one thing in a host and another in a path. Rules are applied first, the longest that fits; all
+brings one of its own (:mod:`corpusprep.llm.labelled_urls`). N-grams of host and path are hashed with different seeds,
+so that a word means one thing in a host and another in a path. Rules are applied first, the longest that fits; all
 other URLs get the model's verdict.
 
 Defined results: a URL that is null or has no ``://`` has an empty host and path, fits no rule, and is
-judged by the model's bias alone. Very long URLs are read whole. Equal URLs get equal verdicts;
-extra columns are dropped.
+judged by the model's bias alone. Very long URLs are read whole. Equal URLs get equal verdicts; null and
+repeated ids are rows like others; extra columns are dropped.
 """
 
 from __future__ import annotations
@@ -20,51 +20,14 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusprep.llm import labelled_urls
+
 BUCKETS = 1 << 14
 NGRAMS = (3, 4, 5)
-
-#: Words that hosts to be blocked are made of, and hosts that are fine; both invented, as are the labels.
-BLOCKED_WORDS = (
-    "casino poker slots roulette betting bets gambling jackpot lottery win porn xxx sex adult nude cams escort hookup viagra cialis pills "
-    "meds pharmacy cheap replica warez crack keygen torrent nulled pirate malware phishing spam ads adserver track tracker banner click "
-    "popup loans payday doubler prize backlinks farm essay miracle free bonus links"
-).split()
-FINE_HOSTS = (
-    "news daily-paper encyclopedia software gardening university cooking museum library bicycles travel recipes weather health science "
-    "history music stories school archive forum government council theatre therapy neighbours weather-north orchestra photos maps kitchen "
-    "mountains rivers teachers mathematics astronomy medicine parenthood furniture letters translation grammar writing painting "
-    "architecture tennis football hiking fishing farming adventure windows cheese freedom seasons additions"
-).split()
-#: Frequent pairs of English letters: names made of them, as many hosts are, say nothing by themselves.
-PAIRS = "th he in er an re on at en nd ti es or te of ed is it al ar st to nt ng se ha as ou io le ve co me de hi ri ro ic ne ea ra ce li ch ll be ma si om ur".split()
-BLOCKED_PATHS = (
-    "/porn/free-sex-clips /online-poker/free-spins /buy-cialis-online /keygen/serial-download /instant-cash-loan/apply /adserver/click "
-    "/prize/claim-now /rolex/buy-cheap /verify-account/password-login.php /live/nude-webcam /casino/bonus-code /diet-pills/free-trial"
-).split()
-FINE_PATHS = ("/en/30115.html", "/fr/2231", "/de/77/", "/es/8090", "/2024/03/article-17.html", "/wiki/History", "/products/books", "/")
-
-
-def labelled_urls() -> list[tuple[str, str, bool]]:
-    """A small table (host, path, block): blocked and fine hosts with the same paths, so that it is the host
-    that tells them apart, and paths that tell by themselves."""
-    before, after = ("", "www.", "m.", "blog."), ("example.com", "example.net", "example.org")
-    rows = []
-    for i, word in enumerate(BLOCKED_WORDS):
-        other = BLOCKED_WORDS[(7 * i + 3) % len(BLOCKED_WORDS)]
-        for k, name in enumerate((f"{word}-{other}", f"{other}{word}", f"{word}-x")):
-            rows.append((f"{before[(i + k) % 4]}{name}.{after[(i + k) % 3]}", FINE_PATHS[(i + 3 * k) % len(FINE_PATHS)], True))
-    for i, word in enumerate(FINE_HOSTS):
-        other = FINE_HOSTS[(11 * i + 5) % len(FINE_HOSTS)]
-        for k, name in enumerate((word, f"{word}-{other}", f"the{word}on", f"{other}er")):
-            rows.append((f"{before[(i + k) % 4]}{name}.{after[(i + k) % 3]}", FINE_PATHS[(i + 3 * k) % len(FINE_PATHS)], False))
-    for i in range(4 * len(PAIRS)):
-        name = "".join(PAIRS[(i * step + i // len(PAIRS)) % len(PAIRS)] for step in (1, 7, 13, 29)[: 2 + i % 3])
-        rows.append((f"{before[i % 4]}{name}.{after[i % 3]}", FINE_PATHS[i % len(FINE_PATHS)], False))
-    for i, path in enumerate(BLOCKED_PATHS):
-        for k in range(4):
-            rows.append((f"{before[k]}{FINE_HOSTS[(5 * i + 13 * k) % len(FINE_HOSTS)]}.{after[(i + k) % 3]}", path, True))
-    return rows
-
+PRIOR = -2.0
+#: Probability from which a URL is blocked: of names whose words were never seen, some 80 % of those to be blocked
+#: are, and fewer than 2 % of ordinary others.
+LIMIT = 0.58
 
 @dataclass(frozen=True)
 class Rule:
@@ -140,10 +103,11 @@ class Model:
 def train(
     labelled: Sequence[tuple[str, str, bool]] | None = None, buckets: int = BUCKETS, epochs: int = 40, rate: float = 0.5, decay: float = 1e-3, seed: int = 5
 ) -> Model:
-    """Logistic regression by stochastic gradient descent over a labelled table (host, path, block)."""
-    # Without evidence the verdict is that of the rarer mistake: allowed.
-    model = Model(np.zeros(buckets), -1.0)
-    rows = [(model.parts(host, path), float(block)) for host, path, block in (labelled_urls() if labelled is None else labelled)]
+    """Logistic regression by stochastic gradient descent over a labelled table (host, path, block, ...)."""
+    # The prior: URLs to be blocked are few. Without evidence a URL is allowed.
+    model = Model(np.zeros(buckets), PRIOR)
+    table = labelled_urls.labelled() if labelled is None else labelled
+    rows = [(model.parts(host, path), float(block)) for host, path, block, *_ in table]
     rng = np.random.default_rng(seed)
     for _ in range(epochs):
         for i in rng.permutation(len(rows)):
@@ -155,7 +119,7 @@ def train(
 
 
 def judge(
-    pages: DataFrame, rules: Sequence[Rule] = RULES, model: Model | None = None, limit: float = 0.5, id_col: str = "page_id", url_col: str = "url"
+    pages: DataFrame, rules: Sequence[Rule] = RULES, model: Model | None = None, limit: float = LIMIT, id_col: str = "page_id", url_col: str = "url"
 ) -> DataFrame:
     """(id, host, path, rule, verdict, score) for every row; ``score`` is the model's, rule or not."""
     model = model or train()
