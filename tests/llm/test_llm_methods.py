@@ -11,12 +11,14 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from oracle_check import compare, connect
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from corpusprep.llm import bpe_transducer, embed_dedup, exact_index, graph, hash_tree, html_main, labelled_urls, langid, minhash_forest, packing, queries, suffix, suffix_dedup, url_filter
 from corpusprep.llm.common import drop_rows, maybe_in, on_workers
 from corpusprep.llm.oracle import ORACLE
@@ -270,6 +272,37 @@ def test_best_fit_rules(lengths, open_bins):
         assert sorted(free.values()) == sorted(f for f, own in enumerate(bins.by_free) for _ in own) and len(free) <= open_bins
 
 
+# The hash tree
+
+
+def test_draws_of_the_hash_tree(spark, texts):
+    """Shards worked out draw by draw with another implementation of the hash."""
+
+    def drawn(doc_id, level, child, weight):
+        h = xxhash.xxh64_intdigest((doc_id or 0).to_bytes(8, "little", signed=True), 42) if doc_id is not None else 42
+        h = xxhash.xxh64_intdigest(level.encode(), h)
+        h = xxhash.xxh64_intdigest(child.encode() if isinstance(child, str) else child.to_bytes(4, "little"), h)
+        return -math.log(((h >> 11) + 0.5) / float(1 << 53)) / weight
+
+    def descended(doc_id, shards):
+        level_of = {"region": lambda s: s.region, "rack": lambda s: s.rack, "shard": lambda s: s.number}
+        for level, name in level_of.items():
+            weights = defaultdict(float)
+            for s in shards:
+                weights[name(s)] += s.weight
+            best = min((drawn(doc_id, level, child, w), child) for child, w in weights.items() if w)[1]
+            shards = [s for s in shards if name(s) == best]
+        return shards[0].number
+
+    shards = [hash_tree.Shard(f"r{i // 4}", f"k{i // 2}", i, 1 + i % 3) for i in range(8)] + [hash_tree.Shard("r9", "k9", 8, 0.0)]
+    docs = spark.createDataFrame([*texts.items(), (None, "x"), (-5, "y")], "doc_id long, text string")
+    for r in hash_tree.shard(docs, shards, hash_tree.joined(shards, 9, 2.0)).collect():
+        assert (r.shard, r.grown_shard) == (descended(r.id, shards), descended(r.id, hash_tree.joined(shards, 9, 2.0)))
+    query = queries.op2_hash_tree(spark, SF_DIR).collect()
+    even = hash_tree.balanced(8)
+    assert all((r.shard, r.grown_shard) == (descended(r.doc_id, even), descended(r.doc_id, hash_tree.joined(even, 8))) for r in query)
+
+
 # URLs
 
 
@@ -644,3 +677,71 @@ def test_drop_rows(spark, words):
     assert sorted(map(tuple, odd.collect()), key=str) == sorted((tuple(r) for r in rows.collect() if tuple(r) not in gone), key=str)
     maybe = {r.doc_id for r in maybe_in(rows, dropped.select(F.col("gone").alias("doc_id")), "doc_id", words).collect()}
     assert {i for i in ids if i % 50 and i < 500} <= maybe
+
+
+# The pipeline
+
+
+def plain_pipeline(rows):
+    """The pieces of the documents that all stages leave, worked out one after the other."""
+    # Language: what has letters stays (the clean documents of the table, as the other tests show, are all recognised).
+    kept = {i: t for i, t in rows if t and any(c.isalpha() for c in t)}
+    # Exact copies, white space aside.
+    first = {}
+    for i in sorted(kept):
+        first.setdefault(re.sub(r"[\x20\x09-\x0D]+", " ", kept[i]), i)
+    kept = {i: kept[i] for i in first.values()}
+    # Near copies: the least of each group.
+    sets = {i: shingles(t, 5) for i, t in kept.items()}
+    label = {i: i for i in kept}
+    links = [(a, b) for a in kept for b in kept if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    for _ in range(20):
+        for a, b in links:
+            label[a] = label[b] = min(label[a], label[b])
+    kept = {i: t for i, t in kept.items() if label[i] == i}
+    # Repeated passages; a character that loses a byte goes whole.
+    seen, pieces = set(), set()
+    tokenizer = Tokenizer.from_file(JSON)
+    tokenizer.encode_special_tokens = True
+    for i in sorted(kept):
+        data = kept[i].encode()
+        covered = np.zeros(len(data), bool)
+        for p in range(len(data) - 99):
+            if data[p : p + 100] in seen:
+                covered[p : p + 100] = True
+            seen.add(data[p : p + 100])
+        left = bytes(b for b, gone in zip(data, covered) if not gone).decode("utf-8", "ignore")
+        ids = [*tokenizer.encode(left, add_special_tokens=False).ids, 2]
+        start = 0
+        for piece, end in enumerate(range((len(ids) - 1) % 1024 + 1, len(ids) + 1, 1024)):
+            pieces.add((i, piece, start, end - start, zlib.crc32(np.array(ids[start:end], "<u4").tobytes())))
+            start = end
+    return pieces
+
+
+def test_pipeline_is_its_stages_one_after_the_other(spark, tmp_path):
+    on_workers(spark)
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").filter("lang is not null and n_chars < 6000").orderBy("doc_id").limit(200).collect()
+    rng = random.Random(8)
+    rows = [tuple(r) for r in table]
+    base = [r for r in rows if 60 < len(r[1].split()) < 400]
+    passage = " ".join(base[0][1].split()[:50])
+    for k in range(30):
+        _, text, lang, source, _ = rng.choice(base)
+        words = text.split(" ")
+        if k % 3 == 0:
+            text = text.replace(" ", "  ")  # an exact copy, white space aside
+        elif k % 3 == 1:
+            words[rng.randrange(len(words))] = "changed"  # a near copy
+            text = " ".join(words)
+        else:
+            text = " ".join(words[: len(words) // 3]) + " " + passage + " new " + " ".join(reversed(words))
+        rows.append((10_000 + k, text, lang, source, len(text)))
+    rows += [(20_000, None, None, "s", None), (20_001, "123 456 !!", "en", "s", 10), (20_002, "", "de", "s", 0)]
+    schema = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").schema
+    spark.createDataFrame(rows, schema).repartition(4).write.parquet(f"{tmp_path}/documents.parquet")
+    out = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert len(out) == len({(r.doc_id, r.piece) for r in out})
+    assert {(r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in out} == plain_pipeline([r[:2] for r in rows])
+    assert all(zlib.crc32(bytes(r.ids)) == r.ids_crc32 for r in out)
+    assert {10_000, 10_001, 20_000, 20_001, 20_002}.isdisjoint({r.doc_id for r in out}) and 10_002 in {r.doc_id for r in out}
