@@ -459,6 +459,28 @@ def test_main_text_of_the_table(spark):
             assert r.text == "\n\n".join(" ".join(c.split()) for c in cut if c.strip()) and r.n_chars == len(r.text)
 
 
+def plain_divs(page):
+    """The page without the tags and classes that name its parts."""
+    page = re.sub(r"<(/?)(?:article|main|nav|header|footer|aside|section|form|noscript)\b[^>]*>", r"<\1div>", page)
+    return re.sub(r"\s(?:class|id|role|style|hidden)=?(?:'[^']*'|\"[^\"]*\"|[^\s>]*)?", "", page)
+
+
+@pytest.mark.parametrize("chunk", [1 << 18, 4000])
+def test_main_text_without_telling_markup(spark, chunk):
+    """With all parts of the pages made plain, repeats alone find the article: precision and recall of its words."""
+    on_workers(spark)
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").filter("page_id < 1000")
+    want = {r.id: Counter(r.text.split()) for r in html_main.extract(pages).collect()}
+    plain = spark.createDataFrame([(r.page_id, r.url, plain_divs(r.html)) for r in pages.collect()], "page_id long, url string, html string").repartition(4)
+    right = found = wanted = 0
+    for r in html_main.extract(plain, chunk_bytes=chunk).collect():
+        own = Counter(r.text.split())
+        right += sum((own & want[r.id]).values())
+        found += sum(own.values())
+        wanted += sum(want[r.id].values())
+    assert right >= 0.9 * found and right >= 0.9 * wanted
+
+
 # Near duplicates
 
 
