@@ -335,7 +335,8 @@ def round_trip(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "do
     """(id, n_tokens, ids_sha256, decoded_sha256): every text encoded, and decoded from its ids.
 
     One pass, so that neither ids nor decoded texts leave their task. Defined results: a null text
-    is empty and has no tokens; repeated rows give repeated rows; extra columns are dropped.
+    is empty and has no tokens; repeated rows give repeated rows, and a null id is an id like others; extra
+    columns are dropped.
     """
     read = docs.select(docs[id_col].cast("long").alias("id"), text_or_empty(text_col).alias("text"))
 

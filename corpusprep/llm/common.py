@@ -19,8 +19,10 @@ _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-#: Words of the filters that keep rows from being moved for a join that they cannot match: 8 million bits.
+#: Least and most words of 64 bits in the filters that keep rows from being moved for a join that they cannot match:
+#: 8 and 134 million bits, as a table of (word, mask) 3 and 50 MB.
 FILTER_WORDS = 1 << 17
+MOST_FILTER_WORDS = 1 << 21
 
 
 def on_workers(spark: SparkSession) -> None:
@@ -48,12 +50,19 @@ def _hashed(column: Column, words: int) -> tuple[Column, Column]:
     return F.pmod(h, F.lit(words)), F.pmod(F.shiftrightunsigned(h, 32), F.lit(64)).cast("int")
 
 
-def _marked(rows: DataFrame, id_col: str, ids: DataFrame, of: str, words: int) -> DataFrame:
+def filter_words(ids: int) -> int:
+    """Words of a filter for so many ids: 256 bits an id, within the bounds."""
+    return min(MOST_FILTER_WORDS, max(FILTER_WORDS, 1 << (4 * ids).bit_length()))
+
+
+def _marked(rows: DataFrame, id_col: str, ids: DataFrame, of: str, words: int | None) -> DataFrame:
     """``rows`` with ``_maybe``: whether their id may be among ``ids``.
 
-    The ids are hashed into ``words`` words of 64 bits. That table has no more rows than that, whatever the
-    data, so it is broadcast. With more ids than bits all rows are marked, which costs time only.
+    The ids are hashed into ``words`` words of 64 bits, by default as many as their number asks for. That table has
+    no more rows than ``MOST_FILTER_WORDS``, whatever the data, so it is broadcast. Beyond some hundred million ids
+    more and more rows are marked, which costs time only.
     """
+    words = filter_words(ids.count()) if words is None else words
     word, bit = _hashed(F.col(of), words)
     bits = ids.groupBy(word.alias("_word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("_mask"))
     word, bit = _hashed(F.col(id_col), words)
@@ -61,13 +70,13 @@ def _marked(rows: DataFrame, id_col: str, ids: DataFrame, of: str, words: int) -
     return marked.withColumn("_maybe", F.coalesce(F.getbit("_mask", bit) == 1, F.lit(False))).drop("_word", "_mask")
 
 
-def maybe_in(rows: DataFrame, ids: DataFrame, name: str, words: int = FILTER_WORDS) -> DataFrame:
+def maybe_in(rows: DataFrame, ids: DataFrame, name: str, words: int | None = None) -> DataFrame:
     """The ``rows`` whose ``name`` may be among those of ``ids``: all that are, and few others."""
     return _marked(rows, name, ids, name, words).filter("_maybe").drop("_maybe")
 
 
 def drop_rows(
-    rows: DataFrame, dropped: DataFrame, id_col: str, of: str, also: Column | None = None, words: int = FILTER_WORDS, nulls: bool = False
+    rows: DataFrame, dropped: DataFrame, id_col: str, of: str, also: Column | None = None, words: int | None = None, nulls: bool = False
 ) -> DataFrame:
     """The ``rows`` without those whose ``id_col`` is among ``dropped``'s ``of`` (and for which ``also`` holds).
 

@@ -9,8 +9,8 @@ open bins, and a lost task is simply run again. The pieces of one batch are plac
 to the shortest, which wastes less than their order of arrival.
 
 Defined results: a null or empty text is a document of the end token alone. A document longer than a
-sequence is cut into whole sequences, the first piece taking what is left over. Rows with the same id
-are packed one by one. Strings of special tokens in a text are ordinary text. Extra columns are
+sequence is cut into whole sequences, the first piece taking what is left over. Rows with the same id,
+or with none, are packed one by one. Strings of special tokens in a text are ordinary text. Extra columns are
 dropped.
 """
 
