@@ -10,8 +10,8 @@ A softmax is as sure of texts in languages that it never saw as of others, so th
 What can is how familiar a text's subwords are in the language it is taken for: their mean log frequency there,
 as a deviation from that of kept-out texts, in units of what texts of that length deviate. The limit is
 calibrated by leaving out one label at a time: models of the other labels show how far texts of an unlearned
-language deviate, and the limit is put between them and the kept-out texts of learned ones, on the far side of
-half as much again as the latter ever deviate.
+language deviate, and the limit is put between them and the kept-out texts of learned ones, beyond two and a half
+times what the latter ever deviate, so that clean texts stay, those with passages in another language too.
 
 Since averages and softmax are linear up to the exponent, what a word adds is looked up once per word and task;
 prediction reads whole texts.
@@ -42,7 +42,7 @@ UNKNOWN = "und"
 #: Bound of the sample that is learned from: rows in all, shared evenly between the labels.
 SAMPLE_ROWS = 1200
 #: How much farther than any kept-out text a text must deviate to be rejected.
-MARGIN = 1.5
+MARGIN = 2.5
 #: Subwords of an average text's worth of evidence, in the mean familiarity of a language.
 _EVIDENCE = 50
 
