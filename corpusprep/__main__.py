@@ -19,6 +19,11 @@ def count(value: str) -> int | None:
     return None if value == "all" else int(value)
 
 
+def shares(value: str) -> dict[str, int]:
+    """``hindi=70,english=30``: percent by language."""
+    return {name: int(percent) for name, percent in (part.split("=") for part in value.split(","))}
+
+
 def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="corpusprep", description=__doc__)
     commands = parser.add_subparsers(dest="job", required=True)
@@ -77,6 +82,38 @@ def _parser() -> argparse.ArgumentParser:
     stream.add_argument("--input", required=True)
     stream.add_argument("--out", required=True)
     stream.add_argument("--checkpoint", required=True)
+
+    mix = commands.add_parser("mix", help="records with given shares of languages")
+    mix.add_argument("--jsonl", nargs="+", required=True)
+    mix.add_argument("--out", required=True)
+    mix.add_argument("--weights", type=shares, required=True)
+    mix.add_argument("--by-tokens", action="store_true")
+    mix.add_argument("--seed", type=int, default=split.DEFAULT_SEED)
+
+    corpus = commands.add_parser("corpus", help="size and fertility of text lines, and whether they are enough")
+    corpus.add_argument("--text", nargs="+", required=True)
+
+    lines = commands.add_parser("dedup-lines", help="the first of equal text lines")
+    lines.add_argument("--text", nargs="+", required=True)
+    lines.add_argument("--out", required=True)
+    lines.add_argument("--exact", action="store_true")
+
+    overlap = commands.add_parser("overlap", help="ROUGE-N and BLEU of candidates against references")
+    overlap.add_argument("--input", required=True)
+    overlap.add_argument("--candidate", default="candidate")
+    overlap.add_argument("--reference", default="reference")
+    overlap.add_argument("--out", required=True)
+    overlap.add_argument("--n", type=int, default=1)
+
+    gate = commands.add_parser("gate", help="the gain of one run over another, with an interval")
+    gate.add_argument("--base", required=True)
+    gate.add_argument("--tuned", required=True)
+    gate.add_argument("--score", default="flag")
+
+    contained = commands.add_parser("contained", help="which passages stand in which texts")
+    contained.add_argument("--texts", required=True)
+    contained.add_argument("--passages", required=True)
+    contained.add_argument("--out", required=True)
     return parser
 
 
@@ -120,6 +157,18 @@ def main(argv: list[str] | None = None) -> None:
         jobs.synthesize_files(spark, args.templates, args.responses, args.out, args.per_category, args.seed).show()
     elif args.job == "score":
         jobs.score_files(spark, args.prompts, args.responses, args.out, args.num_tests).show()
+    elif args.job == "mix":
+        jobs.mix_files(spark, args.jsonl, args.out, args.weights, args.by_tokens, args.seed).show()
+    elif args.job == "corpus":
+        jobs.corpus_report(spark, args.text).show()
+    elif args.job == "dedup-lines":
+        jobs.dedup_lines(spark, args.text, args.out, args.exact).show()
+    elif args.job == "overlap":
+        jobs.overlap_files(spark, args.input, args.candidate, args.reference, args.out, args.n).show()
+    elif args.job == "gate":
+        jobs.gate_files(spark, args.base, args.tuned, args.score).show()
+    elif args.job == "contained":
+        jobs.contained_files(spark, args.texts, args.passages, args.out).show()
     elif args.job == "stream":
         prepare(spark)
         arriving = validation.stream_jsonl(spark, args.input)

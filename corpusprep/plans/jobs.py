@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from corpusprep.functions.hashing import pair_digest, seeded_hash
 from corpusprep.functions.tokenizers import NativeTokenizer, Tokenizer
-from corpusprep.operators import chat, chunk, dedup, pairs, report, sample, scan, scoring, split, validate
+from corpusprep.operators import chat, chunk, containment, dedup, pairs, report, sample, scan, scoring, split, validate
 from corpusprep.session import materialize, prepare, remove
 from corpusprep.sources import ingest, records, sinks, templates
 
@@ -187,3 +187,67 @@ def sft_training(spark: SparkSession, jsonl: Paths, max_rows: int | None = sampl
     parsed = ingest.sft_records(ingest.jsonl(spark, jsonl, strict=True))
     first = sample.first_k(parsed, max_rows, ingest.ORDER, [ingest.split()])
     return chat.training_text(first).select("text")
+
+
+def mix_files(spark: SparkSession, jsonl: Paths, out: str, weights: dict[str, int], by_tokens: bool = False, seed: int = split.DEFAULT_SEED) -> DataFrame:
+    """Records sampled so that their languages have the given shares in percent, of rows or of tokens; returns rows per language.
+
+    Lines go out as they came, in source order within each file that is written.
+    """
+    prepare(spark)
+    work = f"{out}_work"
+    parsed = ingest.sft_records(ingest.jsonl(spark, jsonl, keep_line=True)).filter(~F.col("malformed"))
+    tokens = NativeTokenizer().count(validate.prompt_text(F.col("instruction"), F.col("input"), F.col("output"))).cast("bigint")
+    rows = materialize(parsed.select(*ingest.ORDER, "language", tokens.alias("n_tokens"), "text"), "rows", work)
+    mixed = sample.mix_tokens(rows, weights, "language", "n_tokens", ["src_row"], seed=seed) if by_tokens else sample.mix(rows, weights, "language", ["src_row"], seed=seed)
+    sinks.text(mixed.sortWithinPartitions(*ingest.ORDER), out)
+    counts = mixed.groupBy("language").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("n_tokens").alias("n_tokens")).collect()  # one per language
+    remove(spark, work)
+    return spark.createDataFrame(counts, "language string, n_rows long, n_tokens long")
+
+
+def corpus_report(spark: SparkSession, text: Paths, tokenizer: Tokenizer | None = None) -> DataFrame:
+    """One row: size and fertility of a text corpus, and whether its tokens are enough to train on."""
+    lines = ingest.lines(spark, text).withColumn("corpus", F.lit("all"))
+    counted = report.fertility(lines, "text", "corpus", tokenizer)
+    return counted.drop("corpus").withColumn("enough", F.col("n_tokens") >= report.LEAST_CORPUS_TOKENS)
+
+
+def dedup_lines(spark: SparkSession, text: Paths, out: str, exact: bool = False) -> DataFrame:
+    """The first of all lines that are equal, without regard to case and white space unless ``exact``, in source order;
+    returns the counts."""
+    lines = ingest.lines(spark, text)
+    key = F.sha2(F.col("text") if exact else dedup.normalized(F.col("text")), 256)
+    kept = dedup.first_wins(lines, key, ingest.ORDER)
+    sinks.text(kept.repartitionByRange(*ingest.ORDER).sortWithinPartitions(*ingest.ORDER), out)
+    seen, stayed = lines.count(), spark.read.text(out).count()
+    return spark.createDataFrame([(seen, stayed)], "seen long, kept long")
+
+
+def overlap_files(spark: SparkSession, pairs_in: str, candidate: str, reference: str, out: str, n: int = 1) -> DataFrame:
+    """ROUGE-N of each row of a JSONL file with an ``id``, written to ``out``; returns its means and the corpus BLEU."""
+    rows = spark.read.schema(f"id string, `{candidate}` string, `{reference}` string").json(pairs_in)
+    sinks.jsonl(scoring.ngram_overlap(rows, candidate, reference, ["id"], n), out)
+    scores = spark.read.schema("recall double, precision double, f1 double").json(out)
+    means = scores.agg(*[F.round(F.avg(c), 6).alias(c) for c in ("recall", "precision", "f1")])
+    return means.withColumn("bleu", scoring.corpus_bleu(rows, candidate, reference, ["id"]).scalar())
+
+
+def gate_files(spark: SparkSession, base: str, tuned: str, score: str = "flag") -> DataFrame:
+    """Per category: the gain of one run's results over another's, with an interval, and what it allows.
+
+    Both are result files with ``category``, ``pos`` and a score that is a flag or a number.
+    """
+    runs = [
+        spark.read.json(path).select("category", "pos", F.col(score).cast("double").alias(name)) for path, name in ((base, "base"), (tuned, "tuned"))
+    ]
+    return scoring.gain_interval(runs[0].join(runs[1], ["category", "pos"]), ["category"], ["pos"], "base", "tuned")
+
+
+def contained_files(spark: SparkSession, texts: str, passages: str, out: str) -> DataFrame:
+    """Which passages stand in which texts, both JSONL with ``id`` and ``text``; returns the counts."""
+    given = [spark.read.schema("id string, text string").json(path) for path in (texts, passages)]
+    found = containment.contained(given[0].withColumnRenamed("id", "text_id"), given[1].withColumnRenamed("id", "passage_id"), "text_id", "passage_id")
+    sinks.jsonl(found, out)
+    written = spark.read.schema(found.schema).json(out)
+    return written.agg(F.count(F.lit(1)).alias("pairs"), F.countDistinct("text_id").alias("texts"), F.countDistinct("passage_id").alias("passages"))

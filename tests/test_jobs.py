@@ -126,6 +126,34 @@ def test_command_lines_of_the_other_jobs(spark, tmp_path, lines_file):
     assert not list((tmp_path / "live" / "staged").glob("batch_id=*"))
 
 
+def test_command_lines_that_choose_and_compare(spark, tmp_path, lines_file):
+    records = lines_file(tmp_path / "r.jsonl", [json.dumps({"instruction": f"question {n}", "output": "answer", "language": "hi" if n % 4 else "en"}) for n in range(40)])
+    for flags in ([], ["--by-tokens"]):
+        main(["mix", "--jsonl", records, "--out", f"{tmp_path}/mix{len(flags)}", "--weights", "hi=50,en=50", *flags])
+        got = {x.language: x["count"] for x in spark.read.json(f"{tmp_path}/mix{len(flags)}").groupBy("language").count().collect()}
+        assert got["hi"] == 10 and 9 <= got["en"] <= 10
+    text = lines_file(tmp_path / "t.txt", ["One line", "one  LINE", "two", "One line", ""])
+    main(["dedup-lines", "--text", text, "--out", f"{tmp_path}/lines"])
+    main(["dedup-lines", "--text", text, "--out", f"{tmp_path}/exact", "--exact"])
+    assert [x.value for x in spark.read.text(f"{tmp_path}/lines").collect()] == ["One line", "two"]
+    assert [x.value for x in spark.read.text(f"{tmp_path}/exact").collect()] == ["One line", "one  LINE", "two"]
+    row = jobs.corpus_report(spark, text).first()
+    assert (row.n_chars, row.n_words, row.n_tokens, row.enough) == (8 + 9 + 3 + 8, 7, 13, False)
+
+    said = lines_file(tmp_path / "said.json", [json.dumps({"id": str(i), "candidate": "a b c d e", "reference": "a b c d" + " e" * i}) for i in range(3)])
+    row = jobs.overlap_files(spark, said, "candidate", "reference", f"{tmp_path}/rouge").first()
+    assert row.f1 == round((8 / 9 + 1 + 10 / 11) / 3, 6) and 0 < row.bleu < 1
+    main(["overlap", "--input", said, "--out", f"{tmp_path}/rouge2", "--n", "2"])
+    runs = [lines_file(tmp_path / f"{name}.json", [json.dumps({"category": "qa", "pos": i, "flag": i % 4 < good}) for i in range(80)]) for name, good in (("base", 2), ("tuned", 4))]
+    row = jobs.gate_files(spark, *runs).first()
+    assert (row.category, row.gain, row.improves, row.keeps) == ("qa", 1.0, True, True) and 0 < row.low < 1 < row.high
+    main(["gate", "--base", runs[0], "--tuned", runs[1]])
+    passages = lines_file(tmp_path / "p.json", [json.dumps({"id": "p", "text": "A  b C"}), json.dumps({"id": "q", "text": "nowhere"})])
+    texts = lines_file(tmp_path / "x.json", [json.dumps({"id": str(i), "text": "so a b c it is" if i else "ab c"}) for i in range(3)])
+    main(["contained", "--texts", texts, "--passages", passages, "--out", f"{tmp_path}/found"])
+    assert sorted((x.passage_id, x.text_id) for x in spark.read.json(f"{tmp_path}/found").collect()) == [("p", "1"), ("p", "2")]
+
+
 def test_all_rows_on_the_command_line(spark, tmp_path, lines_file):
     lines = [x for i in range(40) for x in (f"EN: story {i} " + "word " * 20, f"HI: कहानी {i} " + "शब्द " * 40)]
     path = lines_file(tmp_path / "p.txt", lines)
