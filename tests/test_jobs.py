@@ -138,7 +138,7 @@ def test_command_lines_that_choose_and_compare(spark, tmp_path, lines_file):
     assert [x.value for x in spark.read.text(f"{tmp_path}/lines").collect()] == ["One line", "two"]
     assert [x.value for x in spark.read.text(f"{tmp_path}/exact").collect()] == ["One line", "one  LINE", "two"]
     row = jobs.corpus_report(spark, text).first()
-    assert (row.n_chars, row.n_words, row.n_tokens, row.enough) == (8 + 9 + 3 + 8, 7, 13, False)
+    assert (row.n_chars, row.n_words, row.n_tokens, row.enough) == (8 + 9 + 3 + 8, 7, 10, False)
 
     said = lines_file(tmp_path / "said.json", [json.dumps({"id": str(i), "candidate": "a b c d e", "reference": "a b c d" + " e" * i}) for i in range(3)])
     row = jobs.overlap_files(spark, said, "candidate", "reference", f"{tmp_path}/rouge").first()
