@@ -46,6 +46,8 @@ HEADLINE = (
     "q_mix",
     "q_fertility",
     "q_rouge1",
+    "q_contained",
+    "q_mix_tokens",
 )
 
 
