@@ -63,8 +63,8 @@ def contained(
     index = materialize(wanted.select("passage", "size", F.posexplode(_grams(F.col("size"))).alias("place", "gram")), "index")
     sizes = sorted(r["size"] for r in index.select("size").distinct().collect())  # as many as words of an n-gram
 
-    own = texts.filter(F.col(text_id).isNotNull())
-    read = _cut(own, F.col(text_id).alias("text_id"), text=text)
+    own = texts.filter(F.col(text_id).isNotNull()).select(F.col(text_id).alias("text_id"), F.col(text).alias("text"))
+    read = _cut(own, F.col("text_id"), text="text")
     grams = F.array(*(_grams(F.lit(n)) for n in sizes)) if sizes else F.array().cast("array<array<bigint>>")
     keys = index.select("gram").distinct()
     seen = maybe_in(read.select("text_id", F.explode(F.flatten(grams)).alias("gram")), "gram", keys, "gram")
@@ -76,7 +76,9 @@ def contained(
     salted = hits.withColumn("salt", F.pmod(F.xxhash64("text_id"), F.lit(SALTS)).cast("int"))
     pairs = materialize(probes.join(salted, ["gram", "salt"]).select("passage", "text_id"), "pairs")
 
-    spaced = maybe_in(read, "text_id", pairs.select("text_id").distinct(), "text_id").select("text_id", _spaced().alias("said"))
+    # Only texts of pairs are cut again.
+    near = maybe_in(own, "text_id", pairs.select("text_id").distinct(), "text_id")
+    spaced = _cut(near, F.col("text_id"), text="text").select("text_id", _spaced().alias("said"))
     checked = pairs.join(wanted.select("passage", "spaced"), "passage").join(spaced, "text_id").filter(F.col("said").contains(F.col("spaced")))
     found = checked.select("passage", "text_id").join(ids, "passage").select("passage_id", "text_id").distinct()
     return found.select(F.col("passage_id").alias(passage_id), F.col("text_id").alias(text_id))
