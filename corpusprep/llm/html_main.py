@@ -9,12 +9,11 @@ equal stretches next to each other, and a stretch of several words that many dis
 boilerplate. Blocks that are mostly covered by it go, unless they stand in the page's article; unique
 runs stay, inside an article and beside it.
 
-Pages are cut into blocks once. Where markup decides about all pages of a host, as it does where all blocks stand in
-articles or aside, they stay where they are. Pages of other hosts are dealt into chunks of bounded size by a hash
-of the page, so that a host with a third of all pages is many tasks. For hosts of any size, each chunk's
-suffix array counts on how many pages of its own each stretch stands; the counts, by 64-bit digests of the
-stretches, are added up over the chunks of the host, the limits are applied to the sums, and the stretches that pass
-go to each chunk.
+Pages are cut into blocks once and dealt into chunks of bounded size by a hash, so that a host with a third of all
+pages is many tasks. All pages take the same way, whatever their markup and however large their host: each chunk's
+suffix array counts on how many pages of its own each stretch stands. A stretch that reaches the host's limit reaches
+its share of it in some chunk; those that do, and may reach the limit by what the other chunks can add, are counted
+in all chunks, by 64-bit digests. The limit is applied to the sums, and the stretches that pass go to each chunk.
 
 Defined results: a null or empty page, or one without main text, gives an empty text. A null URL counts
 as a host of its own. Pages are read whole; repeated rows give repeated rows, and pages that are
@@ -23,7 +22,6 @@ copies of each other keep their articles. Null and repeated ids are rows like ot
 
 from __future__ import annotations
 
-import hashlib
 import html
 import json
 import re
@@ -34,13 +32,13 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusprep.llm.common import BASES, drop_rows, maybe_in, slices
+from corpusprep.llm.common import BASES, slices
 from corpusprep.llm.suffix import common_prefixes, suffix_array
 from corpusprep.llm.url_filter import host_and_path
 from corpusprep.session import materialize
 
-#: Packed blocks of a host's pages in one chunk; some four times that as text.
-CHUNK_BYTES = 1 << 18
+#: HTML of a host's pages in one chunk.
+CHUNK_BYTES = 1 << 20
 RUN_WORDS = 5
 LEAST_PAGES = 3
 LEAST_SHARE = 0.05
@@ -277,27 +275,36 @@ def blocks(page: str) -> list[tuple[str, int]]:
     return out.blocks()
 
 
-def words_of(pages: list[list[tuple[str, int]]]) -> tuple[np.ndarray, np.ndarray, list[list[tuple[int, int]]], list[str]]:
+def words_of(pages: list[list[tuple[str, int]]]) -> tuple[np.ndarray, np.ndarray, list[list[tuple[int, int]]], np.ndarray]:
     """One stream of word numbers over all pages, the page of each place, the spans of the blocks, and the words by number.
 
     After each page stands a number that occurs nowhere else, so that no repeat crosses pages.
     """
-    number: dict[str, int] = {}
-    stream: list[int] = []
+    import pandas as pd
+
+    stream: list[str | None] = []
     ends: list[int] = []
     spans: list[list[tuple[int, int]]] = []
     for page in pages:
         own = []
         for text, _ in page:
             start = len(stream)
-            stream.extend([number.setdefault(w, len(number)) for w in text.split()])
+            stream.extend(text.split())
             own.append((start, len(stream)))
         spans.append(own)
-        stream.append(-len(spans))
+        stream.append(None)
         ends.append(len(stream))
-    codes = np.array(stream, np.int64)
+    codes, words = pd.factorize(np.array(stream, object))
+    codes = codes.astype(np.int64)
+    codes[codes < 0] = -1 - np.arange(len(pages))
     owner = np.repeat(np.arange(len(pages)), np.diff([0, *ends]))
-    return codes, owner, spans, list(number)
+    return codes, owner, spans, words
+
+
+def _pages_each(group: np.ndarray, owner: np.ndarray, groups: int) -> np.ndarray:
+    """Of how many distinct pages the places of each group are."""
+    pages = int(owner.max(initial=0)) + 1
+    return np.bincount(np.unique(group * pages + owner) // pages, minlength=groups)
 
 
 def shared_stretches(codes: np.ndarray, owner: np.ndarray, run: int) -> tuple[np.ndarray, np.ndarray]:
@@ -308,8 +315,7 @@ def shared_stretches(codes: np.ndarray, owner: np.ndarray, run: int) -> tuple[np
     order, _ = suffix_array(codes, len(codes) + 1)
     alike = common_prefixes(codes, order, run) >= run
     group = np.cumsum(~alike) - 1
-    pairs = np.unique(np.stack([group, owner[order]], 1), axis=0)
-    pages = np.bincount(pairs[:, 0], minlength=group[-1] + 1)
+    pages = _pages_each(group, owner[order], group[-1] + 1)
     place = order[~alike]
     # A stretch has no mark of a page's end inside.
     marks = np.concatenate([[0], np.cumsum(codes < 0)])
@@ -317,10 +323,13 @@ def shared_stretches(codes: np.ndarray, owner: np.ndarray, run: int) -> tuple[np
     return place[inside], pages[inside]
 
 
-def digests(codes: np.ndarray, words: list[str], run: int) -> np.ndarray:
+def digests(codes: np.ndarray, words: np.ndarray, run: int) -> np.ndarray:
     """A digest of the ``run`` words from each place of the stream on, the same in all streams; of no meaning where
     a page ends inside."""
-    own = np.array([int.from_bytes(hashlib.blake2b(w.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little") for w in words] or [0], np.uint64)
+    from pandas.util import hash_array
+
+    plain = np.array([w.encode("utf-8", "surrogatepass") for w in words] or [b""], object)
+    own = hash_array(plain, categorize=False)
     of_word = np.where(codes < 0, np.uint64(0), own[np.maximum(codes, 0)])
     size = max(0, len(codes) - run + 1)
     out = np.zeros(size, np.uint64)
@@ -329,12 +338,19 @@ def digests(codes: np.ndarray, words: list[str], run: int) -> np.ndarray:
     return (out ^ (out >> np.uint64(31))).view(np.int64)
 
 
-def covered_by(codes: np.ndarray, words: list[str], run: int, boilerplate: np.ndarray) -> np.ndarray:
-    """Whether each place of the stream is covered by a stretch of these digests."""
-    covered = np.zeros(len(codes) + 1, np.int64)
-    starts = np.flatnonzero(np.isin(digests(codes, words, run), boilerplate))
+def beginnings(codes: np.ndarray, words: np.ndarray, run: int, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place, digest) of the stretches of the stream that are among these digests."""
+    own = digests(codes, words, run)
+    starts = np.flatnonzero(np.isin(own, known))
     marks = np.concatenate([[0], np.cumsum(codes < 0)])
     starts = starts[marks[starts + run] == marks[starts]]
+    return starts, own[starts]
+
+
+def covered_by(codes: np.ndarray, words: np.ndarray, run: int, boilerplate: np.ndarray) -> np.ndarray:
+    """Whether each place of the stream is covered by a stretch of these digests."""
+    covered = np.zeros(len(codes) + 1, np.int64)
+    starts, _ = beginnings(codes, words, run, boilerplate)
     np.add.at(covered, starts, 1)
     np.add.at(covered, starts + run, -1)
     return np.cumsum(covered)[:-1] > 0
@@ -344,12 +360,6 @@ def best_place(page: list[tuple[str, int]]) -> int:
     return max((place for _, place in page), default=OTHER)
 
 
-def undecided(page: list[tuple[str, int]]) -> bool:
-    """Whether repeats decide about any block of the page."""
-    best = best_place(page)
-    return any(place != ASIDE and not place == best >= MAIN for _, place in page)
-
-
 def least(pages: int, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE) -> int:
     """How many of a host's ``pages`` share a stretch that is boilerplate."""
     return max(least_pages, int(least_share * pages))
@@ -362,6 +372,15 @@ def counted(read: list[list[tuple[str, int]]], run: int = RUN_WORDS) -> tuple[np
     return digests(codes, words, run)[place], pages
 
 
+def counted_of(read: list[list[tuple[str, int]]], known: np.ndarray, run: int = RUN_WORDS) -> tuple[np.ndarray, np.ndarray]:
+    """(digest, pages) of those stretches of these pages that are among the digests."""
+    codes, owner, _, words = words_of(read)
+    starts, digest = beginnings(codes, words, run, known)
+    # Digests that are equal count as one stretch, as they do in the sums.
+    found, group = np.unique(digest, return_inverse=True)
+    return found, _pages_each(group, owner[starts], len(found))
+
+
 def decided(read: list[list[tuple[str, int]]], boilerplate: np.ndarray, run: int = RUN_WORDS, most_covered: float = COVERED) -> list[str]:
     """The main text of each page, given the digests of its host's boilerplate."""
     codes, _, spans, words = words_of(read)
@@ -379,11 +398,6 @@ def decided(read: list[list[tuple[str, int]]], boilerplate: np.ndarray, run: int
     return out
 
 
-def by_markup(page: list[tuple[str, int]]) -> str:
-    """The main text of a page on which repeats decide nothing."""
-    return "\n\n".join(text for text, place in page if place != ASIDE)
-
-
 def main_texts(pages: list[str], run: int = RUN_WORDS, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE) -> list[str]:
     """The main text of each of the pages of one host."""
     read = [blocks(page or "") for page in pages]
@@ -399,17 +413,19 @@ def _unpacked(packed: bytes) -> list[tuple[str, int]]:
     return json.loads(zlib.decompress(packed).decode("utf-8", "surrogatepass"))
 
 
-_READ = "id long, url string, host string, undecided boolean, page binary"
+_READ = "id long, url string, host string, at long, page binary"
 
 
 def _read(batches):
-    """Each page cut into blocks, and packed."""
+    """Each page cut into blocks, and packed; ``at`` is its place in the task."""
     import pyarrow as pa
 
+    at = 0
     for batch in slices(batches, "html", 256):
-        read = [blocks(text) for text in batch.column("html").to_pylist()]
-        page, open_ = pa.array(map(_packed, read), pa.binary()), pa.array(map(undecided, read), pa.bool_())
-        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("id", "url", "host")), open_, page], names=["id", "url", "host", "undecided", "page"])
+        page = pa.array([_packed(blocks(text)) for text in batch.column("html").to_pylist()], pa.binary())
+        place = pa.array(np.arange(at, at + batch.num_rows))
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("id", "url", "host")), place, page], names=["id", "url", "host", "at", "page"])
+        at += batch.num_rows
 
 
 def _texts(ids, urls, texts: list[str]) -> dict:
@@ -422,33 +438,65 @@ def _texts(ids, urls, texts: list[str]) -> dict:
 _TEXTS = "id long, url string, text string, n_chars long"
 
 
-def _marked_up(batches):
+def _of_chunk(group, digest: np.ndarray, pages: np.ndarray, **more):
+    """Counts of a chunk's stretches, with its host."""
     import pyarrow as pa
 
-    for batch in slices(batches, "html", 256):
-        texts = [by_markup(_unpacked(page)) for page in batch.column("page").to_pylist()]
-        yield pa.RecordBatch.from_pydict(_texts(batch.column("id"), batch.column("url"), texts))
+    rows = np.zeros(len(digest), np.int64)
+    host = group.column("host").slice(0, 1).combine_chunks().take(pa.array(rows))
+    own = {name: pa.array(rows + value) for name, value in more.items()}
+    return pa.table({"host": host, "stretch": pa.array(digest), "pages": pa.array(pages.astype(np.int64)), **own})
 
 
-def boilerplate_of(dealt: DataFrame) -> DataFrame:
-    """(host, chunks, stretch): the digests of what so many distinct pages of a host share.
+def _pages_of(group) -> list[list[tuple[str, int]]]:
+    return [_unpacked(page) for page in group.column("page").to_pylist()]
+
 
-    Every chunk's suffix array counts its own stretches; the counts are added up over the host's chunks.
+def candidates(dealt: DataFrame) -> DataFrame:
+    """(host, stretch, chunks, least, exact): digests of what ``least`` distinct pages of a host may share, among them all
+    that do; ``exact`` marks those that are known to.
+
+    Every chunk's suffix array counts its own stretches, and those that reach the chunk's share of the limit are
+    added up over the host's chunks. A chunk that is not among them has less than that share.
     """
 
     def run(group):
-        import pyarrow as pa
-
-        digest, pages = counted([_unpacked(page) for page in group.column("page").to_pylist()])
-        # The only chunk of a host has all its pages: what falls short there, falls short.
+        digest, pages = counted(_pages_of(group))
         chunks, enough = group.column("chunks")[0].as_py(), group.column("least")[0].as_py()
-        chosen = pages >= (enough if chunks == 1 else 1)
-        host = group.column("host").slice(0, 1).combine_chunks().take(pa.array(np.zeros(int(chosen.sum()), np.int64)))
-        return pa.table({"host": host, "stretch": pa.array(digest[chosen]), "pages": pa.array(pages[chosen].astype(np.int64))})
+        # The only chunk of a host has all its pages.
+        enough = least(group.num_rows) if enough is None else enough
+        share = -(-enough // chunks)
+        chosen = pages >= share
+        return _of_chunk(group, digest[chosen], pages[chosen], chunks=chunks, least=enough, share=share)
+
+    counts = dealt.groupBy("host", "chunk").applyInArrow(run, "host string, stretch long, pages long, chunks long, least long, share long")
+    sums = counts.groupBy("host", "stretch", "chunks", "least", "share").agg(F.sum("pages").alias("pages"), F.count(F.lit(1)).alias("found"))
+    most = F.col("pages") + F.greatest(F.col("chunks") - F.col("found"), F.lit(0)) * (F.col("share") - 1)
+    return sums.filter(most >= F.col("least")).select("host", "stretch", "chunks", "least", (F.col("pages") >= F.col("least")).alias("exact"))
+
+
+def _to_chunks(stretches: DataFrame) -> DataFrame:
+    """The stretches of each host, for each of its chunks."""
+    chunk = F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk")
+    return stretches.select("host", chunk, "stretch", "chunks", "least").groupBy("host", "chunk")
+
+
+def boilerplate_of(dealt: DataFrame) -> DataFrame:
+    """(host, stretch, chunks, least): the digests of what so many distinct pages of a host share.
+
+    Candidates of which that is not known yet are counted in all chunks of their host.
+    """
+    found = candidates(dealt)
+
+    def run(group, sought):
+        if not group.num_rows or not sought.num_rows:
+            return _of_chunk(sought, np.zeros(0, np.int64), np.zeros(0, np.int64), chunks=0, least=0)
+        digest, pages = counted_of(_pages_of(group), sought.column("stretch").to_numpy())
+        return _of_chunk(group, digest, pages, chunks=sought.column("chunks")[0].as_py(), least=sought.column("least")[0].as_py())
 
-    counts = dealt.groupBy("host", "chunk").applyInArrow(run, "host string, stretch long, pages long")
-    # A digest of the host goes through the sums in its place.
-    return counts.groupBy("host", "stretch").agg(F.sum("pages").alias("pages"))
+    counts = dealt.groupBy("host", "chunk").cogroup(_to_chunks(found.filter(~F.col("exact")))).applyInArrow(run, "host string, stretch long, pages long, chunks long, least long")
+    sums = counts.groupBy("host", "stretch", "chunks", "least").agg(F.sum("pages").alias("pages"))
+    return found.filter("exact").drop("exact").union(sums.filter(F.col("pages") >= F.col("least")).drop("pages"))
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
@@ -456,26 +504,19 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     host, _ = host_and_path(F.col(url_col).cast("string"))
     html_text = F.coalesce(pages[html_col].cast("string"), F.lit("")).alias("html")
     named = pages.select(pages[id_col].cast("long").alias("id"), pages[url_col].cast("string").alias("url"), html_text, host.alias("host"))
-    read = materialize(named.mapInArrow(_read, _READ), "blocks")
-    # Hosts with a block that repeats decide about; pages of others stay where they are.
-    size = F.sum(F.octet_length("page"))
-    hosts = read.groupBy("host").agg(F.max("undecided").alias("open"), F.ceil(size / chunk_bytes).cast("long").alias("chunks"), F.count(F.lit(1)).alias("of_host"))
-    least_of = F.greatest(F.lit(LEAST_PAGES).cast("long"), F.floor(F.lit(LEAST_SHARE) * F.col("of_host")))
-    open_hosts = materialize(hosts.filter("open").select(F.col("host").alias("open_host"), F.greatest("chunks", F.lit(1)).alias("chunks"), least_of.alias("least")), "open-hosts")
-    if open_hosts.isEmpty():
-        return read.mapInArrow(_marked_up, _TEXTS)
-    closed = drop_rows(read, open_hosts, "host", "open_host").mapInArrow(_marked_up, _TEXTS)
-    found = maybe_in(read.withColumnRenamed("host", "open_host"), open_hosts, "open_host").join(open_hosts, "open_host").withColumnRenamed("open_host", "host")
-    chunk = F.pmod(F.xxhash64("id", "url", "page"), F.col("chunks")).alias("chunk")
-    dealt = found.select("host", chunk, "id", "url", "page", "chunks", "least")
-    shared = boilerplate_of(dealt).join(open_hosts.withColumnRenamed("open_host", "host"), "host").filter(F.col("pages") >= F.col("least"))
-    shared = shared.select("host", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"), "stretch")
+    # Hosts of several chunks; all others are one.
+    chunks = F.ceil(F.sum(F.octet_length("html")) / chunk_bytes).cast("long").alias("chunks")
+    least_of = F.greatest(F.lit(LEAST_PAGES).cast("long"), F.floor(F.lit(LEAST_SHARE) * F.count(F.lit(1)))).alias("least")
+    large = materialize(named.groupBy(F.col("host").alias("large_host")).agg(chunks, least_of).filter(F.col("chunks") > 1), "large-hosts")
+    read = named.mapInArrow(_read, _READ).join(large, F.col("host") == F.col("large_host"), "left")
+    of_host = F.coalesce("chunks", F.lit(1).cast("long"))
+    chunk = F.pmod(F.xxhash64("id", "url", "at"), of_host).alias("chunk")
+    dealt = read.select("host", chunk, "id", "url", "page", of_host.alias("chunks"), "least")
 
     def run(group, boilerplate):
         import pyarrow as pa
 
-        read = [_unpacked(page) for page in group.column("page").to_pylist()]
-        return pa.table(_texts(group.column("id"), group.column("url"), decided(read, boilerplate.column("stretch").to_numpy())))
+        return pa.table(_texts(group.column("id"), group.column("url"), decided(_pages_of(group), boilerplate.column("stretch").to_numpy())))
 
-    by_repeats = dealt.groupBy("host", "chunk").cogroup(shared.groupBy("host", "chunk")).applyInArrow(run, _TEXTS)
-    return closed.union(by_repeats)
+    # All three looks at the chunks read the same shuffle.
+    return dealt.groupBy("host", "chunk").cogroup(_to_chunks(boilerplate_of(dealt))).applyInArrow(run, _TEXTS)

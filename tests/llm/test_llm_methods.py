@@ -449,6 +449,32 @@ def test_main_text_counts_repeats_over_the_whole_host(spark, chunk):
         assert found[url] == expected
 
 
+@pytest.mark.parametrize("chunk", [1 << 20, 2000, 300])
+def test_all_pages_go_through_the_suffix_arrays(spark, chunk, monkeypatch):
+    """Pages on which markup decides all, too: their hosts' shared stretches are those of a plain count."""
+    on_workers(spark)
+    rng = random.Random(5)
+    lines = [" ".join(rng.choice("abcdefgh") * 3 + str(rng.randrange(40)) for _ in range(7)) for _ in range(30)]
+    rows = [(i, f"http://{'ab'[i % 2]}.org/{i}", f"<article><p>{'</p><p>'.join(rng.sample(lines, 1 + i % 4))}</article>") for i in range(120)]
+    rows += [(None, None, None), (7, "http://c.org/", "<article>one two three four five six</article>")] + [(8, "http://c.org/", "<article>one two three four five</article>")] * 3
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    shared = html_main.boilerplate_of
+    kept = []
+    monkeypatch.setattr(html_main, "boilerplate_of", lambda dealt: kept.append(shared(dealt)) or kept[-1])
+    found = html_main.extract(pages, chunk_bytes=chunk)
+    assert sorted(r.text for r in found.collect()) == sorted(re.sub("<[^>]*>", "", (h or "").replace("</p><p>", "\n\n")) for _, _, h in rows)
+    want = Counter()
+    for host in ("a.org", "b.org", "c.org"):
+        of_host = [h for _, u, h in rows if u and host in u]
+        on = Counter()
+        for h in of_host:
+            said = re.sub("<[^>]*>", " ", h).split()
+            on.update({tuple(said[i : i + 5]) for i in range(len(said) - 4)})
+        want[host] = sum(n >= html_main.least(len(of_host)) for n in on.values())
+    got = Counter(r.host for r in kept[0].select("host", "stretch").collect())
+    assert len(kept) == 1 and got == +want and set(got) == {"a.org", "b.org", "c.org"}
+
+
 def test_main_text_of_the_table(spark):
     on_workers(spark)
     rows = {r.page_id: r.html for r in spark.read.parquet(f"{SF_DIR}/pages.parquet").collect()}
