@@ -517,8 +517,7 @@ def stream_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     folder = scratch_path(spark, "lines")
     fields = ("doc_id", "instruction", "input", "output", "language")
-    placed = sft_view(spark, sf_dir).select(*fields).repartitionByRange(3, "doc_id").sortWithinPartitions("doc_id")
-    sinks.jsonl(placed, folder)
+    sinks.jsonl(sinks.in_order(sft_view(spark, sf_dir).select(*fields), "doc_id", least=3), folder)
     fields_of = validation.stream_jsonl(spark, folder.removeprefix("file://"), ".json")
     numbered = fields_of.withColumn("doc_id", F.try_variant_get(F.col("fields")["doc_id"], "$", "bigint"))
     out = _first_wins(numbered, list(PLACE), ("doc_id",))

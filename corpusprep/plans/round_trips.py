@@ -14,11 +14,8 @@ from corpusprep.session import materialize, prepare, scratch_path
 from corpusprep.sources import ingest, sinks
 
 WALL_TIME = 12.25
-
-
-def _in_order(df: DataFrame, *order: str) -> DataFrame:
-    """Several files, in the given order."""
-    return df.repartitionByRange(4, *order).sortWithinPartitions(*order)
+# Several files, however small the table.
+FILES = 4
 
 
 def jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,7 +25,7 @@ def jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sft_view(spark, sf_dir).select(
         "doc_id", "instruction", F.nullif("input", F.lit("")).alias("input"), "output", "language", (F.col("doc_id") * 1.5).alias("weight")
     )
-    sinks.jsonl(_in_order(rows, "doc_id"), folder)
+    sinks.jsonl(sinks.in_order(rows, "doc_id", least=FILES), folder)
     read = ingest.with_line_number(ingest.jsonl(spark, folder, strict=True), ingest.line_starts(spark, folder, per_file=False), "position")
 
     def value(name: str, kind: str) -> Column:
@@ -45,7 +42,7 @@ def text(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = document_lines(spark, sf_dir).withColumn("text", F.translate("text", "\r", " ")).filter(tx.strip(F.col("text")) != "")
     english = F.coalesce(F.col("lang") == "en", F.lit(False))
     for folder, chosen in zip(folders, (english, ~english)):
-        sinks.text(_in_order(lines.filter(chosen), "doc_id", "line_no"), folder)
+        sinks.text(sinks.in_order(lines.filter(chosen), "doc_id", "line_no", least=FILES), folder)
     return ingest.with_line_number(ingest.lines(spark, folders), ingest.line_starts(spark, folders, per_file=False), "position").select("position", "text")
 
 

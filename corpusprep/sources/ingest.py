@@ -54,7 +54,8 @@ def line_starts(spark: SparkSession, paths: str | Sequence[str], per_file: bool
 def with_line_number(rows: DataFrame, starts: DataFrame, name: str = "line_no") -> DataFrame:
     """``rows`` with the number of their line, by the ``line_starts`` of the files they were read from."""
     number = F.col("first_line") + F.col("src_row") - F.col("first_row")
-    return rows.join(starts, ["src_file", "src_block"]).withColumn(name, number).drop("first_line", "first_row")
+    # One row for each split of a file goes to all tasks; the lines stay where they are.
+    return rows.join(F.broadcast(starts), ["src_file", "src_block"]).withColumn(name, number).drop("first_line", "first_row")
 
 
 def lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:

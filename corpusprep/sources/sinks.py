@@ -10,6 +10,18 @@ from pyspark.sql import functions as F
 from corpusprep.sources.ingest import parse_records
 
 
+#: Text in one range of a table that is written in order.
+RANGE_BYTES = 64 << 20
+
+
+def in_order(df: DataFrame, *order: str, least: int = 1, range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """``df`` in the given order, in as many ranges as its texts ask for, ``least`` or more: one file each."""
+    texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in df.schema if f.dataType.simpleString() == "string"]
+    size = sum(texts, F.lit(0).cast("long"))
+    ranges = df.agg(F.ceil(F.sum(size) / range_bytes).cast("long")).first()[0] or 0
+    return df.repartitionByRange(max(least, ranges), *order).sortWithinPartitions(*order)
+
+
 def jsonl(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """One JSON object per row, as UTF-8; explicit nulls are kept."""
     df.write.mode(mode).option("ignoreNullFields", "false").json(path)

@@ -130,3 +130,31 @@ def test_jsonl_order_over_splits(spark, tmp_path, lines_file, small_splits):
     got = [r.n for r in df.orderBy(*ingest.ORDER).select(F.try_variant_get(F.col("fields")["n"], "$", "string").alias("n")).collect()]
     assert got == [f"{x}{i:04d}" for x in "ab" for i in range(200)]
     assert df.rdd.getNumPartitions() > 4
+
+
+def test_ranges_follow_the_size_of_the_texts(spark, tmp_path):
+    rows = [(i, None if i % 7 == 0 else f"{i} " * 50, "x" * (i % 3)) for i in range(400)]
+    df = spark.createDataFrame(rows, "id long, text string, more string").repartition(5)
+    held = sum(len(t or "") + len(m) for _, t, m in rows)
+    for limit, least, files in ((1 << 20, 1, 1), (1 << 20, 3, 3), (5000, 3, -(-held // 5000))):
+        placed = sinks.in_order(df, "id", least=least, range_bytes=limit)
+        assert placed.rdd.getNumPartitions() == files
+        sizes = [sum(len(r.text or "") for r in part) for part in placed.rdd.glom().collect()]
+        assert max(sizes) <= 2 * max(limit, held / least)
+        sinks.jsonl(placed, f"{tmp_path}/{limit}-{least}")
+        read = [json.loads(x)["id"] for f in sorted((tmp_path / f"{limit}-{least}").glob("part-*")) for x in f.read_text().splitlines()]
+        assert read == list(range(400))
+    assert sinks.in_order(df.limit(0), "id").count() == 0
+
+
+def test_lines_are_numbered_where_they_are(spark, tmp_path, lines_file, small_splits):
+    """No line is moved, whatever size the splits are taken for."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        path = lines_file(tmp_path / "a.txt", [f"line {i}" for i in range(900)])
+        numbered = ingest.with_line_number(ingest.ordered_text(spark, path), ingest.line_starts(spark, path))
+        assert sorted((r.line_no, r.text) for r in numbered.collect()) == [(i, f"line {i}") for i in range(900)]
+        assert "BroadcastHashJoin" in numbered._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
