@@ -532,11 +532,12 @@ def stream_expiry(spark: SparkSession, sf_dir: str) -> DataFrame:
     ends = events.agg(F.unix_millis(F.min("ts")).alias("low"), F.unix_millis(F.max("ts")).alias("high")).first()
     part = F.width_bucket(F.unix_millis("ts").cast("double"), F.lit(float(ends["low"] or 0)), F.lit(float((ends["high"] or 0) + 1)), F.lit(3))
     for number in (1, 2, 3):
-        events.filter(part == number).coalesce(1).write.mode("append").parquet(f"{base}/in")
-    arriving = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
-    marked = validation.mark_repeats(arriving, ["user_id", "event_type"], "ts", ["event_id"], timedelta(hours=6), "1 hour")
-    writer = marked.writeStream.format("parquet").option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True)
-    writer.start(f"{base}/out").awaitTermination()
+        # All files of a part are one batch; the next run goes on from the checkpoint.
+        events.filter(part == number).write.mode("append").parquet(f"{base}/in")
+        arriving = spark.readStream.schema(events.schema).parquet(f"{base}/in")
+        marked = validation.mark_repeats(arriving, ["user_id", "event_type"], "ts", ["event_id"], timedelta(hours=6), "1 hour")
+        writer = marked.writeStream.format("parquet").option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True)
+        writer.start(f"{base}/out").awaitTermination()
     return spark.read.schema("event_id bigint, repeat boolean").parquet(f"{base}/out")
 
 

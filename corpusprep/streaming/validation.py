@@ -73,33 +73,56 @@ def validate_stream(
     return _length_status(unique, max_tokens, tokenizer)
 
 
-def _repeats(place: Sequence[str], keep_ms: int):
+def _repeats(key_columns: Sequence[str], place: Sequence[str], kinds: str, keep_ms: int):
     """The processor of :func:`mark_repeats`; made here, so that workers get it by value."""
     from pyspark.sql import Row
     from pyspark.sql.streaming import StatefulProcessor
 
+    def in_order(row):
+        # Nulls first; they are never compared with values.
+        return [(v is not None, v) for v in (row["_ms"], *(row[c] for c in place))]
+
     class Repeats(StatefulProcessor):
         def init(self, handle) -> None:
             self.handle = handle
-            self.last = handle.getValueState("last", "ms long")
+            # The last times of a bucket's keys, key by key, and when the first of them may be forgotten.
+            self.held = handle.getValueState("held", f"due long, ms array<long>, {kinds}")
+
+        def known(self) -> tuple[int | None, dict]:
+            if not self.held.exists():
+                return None, {}
+            due, ms, *keys = self.held.get()
+            return due, dict(zip(zip(*keys), ms))
+
+        def hold(self, due: int | None, last: dict) -> None:
+            first = min(last.values()) + keep_ms if last else None
+            if first != due:
+                if due is not None:
+                    self.handle.deleteTimer(due)
+                if first is not None:
+                    self.handle.registerTimer(first)
+            if last:
+                self.held.update((first, list(last.values()), *(list(values) for values in zip(*last))))
+            else:
+                self.held.clear()
 
         def handleInputRows(self, key, rows, timerValues):
-            seen = self.last.get()[0] if self.last.exists() else None
-            before = seen
-            # A key's rows of one batch; they are few, or else one key is most of the stream.
-            for row in sorted(rows, key=lambda r: (r["_ms"], *(r[c] for c in place))):
-                repeat = seen is not None and row["_ms"] - seen < keep_ms
-                seen = row["_ms"] if seen is None else max(seen, row["_ms"])
-                yield Row(**{c: row[c] for c in place}, repeat=repeat)
-            if seen != before:
-                if before is not None:
-                    self.handle.deleteTimer(before + keep_ms)
-                self.handle.registerTimer(seen + keep_ms)
-                self.last.update((seen,))
+            due, last = self.known()
+            # A bucket's rows of one batch; they are few, or else one key is most of the stream.
+            for row in sorted(rows, key=in_order):
+                of, ms = tuple(row[c] for c in key_columns), row["_ms"]
+                seen = last.get(of)
+                yield Row(**{c: row[c] for c in place}, repeat=seen is not None and ms is not None and ms - seen < keep_ms)
+                if ms is not None:
+                    last[of] = ms if seen is None else max(seen, ms)
+            self.hold(due, last)
 
         def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-            if self.last.exists() and self.last.get()[0] + keep_ms <= expiredTimerInfo.getExpiryTimeInMs():
-                self.last.clear()
+            due, last = self.known()
+            now = expiredTimerInfo.getExpiryTimeInMs()
+            if due == now:
+                passed = max(now, timerValues.getCurrentWatermarkInMs())
+                self.hold(None, {of: ms for of, ms in last.items() if ms + keep_ms > passed})
             return iter(())
 
         def close(self) -> None:
@@ -108,19 +131,25 @@ def _repeats(place: Sequence[str], keep_ms: int):
     return Repeats()
 
 
-def mark_repeats(stream: DataFrame, key: Sequence[str], event_time: str, place: Sequence[str], keep_keys_for: timedelta, delay: str) -> DataFrame:
+def mark_repeats(
+    stream: DataFrame, key: Sequence[str], event_time: str, place: Sequence[str], keep_keys_for: timedelta, delay: str, buckets: int = SPREAD
+) -> DataFrame:
     """(place, repeat): whether the same key came less than ``keep_keys_for`` before, by the time in the data.
 
     A key is forgotten when the watermark, ``delay`` behind the latest time seen, has passed its last time by that
-    much: the state holds one number per key that may still matter. Rows that come behind the watermark are
+    much: the state holds the key and one number per key that may still matter. Keys are dealt into ``buckets``, whose
+    state is read and written once a batch; their number stays with a checkpoint. Rows that come behind the watermark are
     not judged; :func:`late_rows` counts them. ``place`` names columns that are unique per row and decide
     between equal times.
     """
     timed = stream.withWatermark(event_time, delay).withColumn("_ms", F.unix_millis(event_time))
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in stream.select(*place).schema)
-    narrow = timed.select(*dict.fromkeys([*key, *place]), event_time, "_ms")
-    processor = _repeats(list(place), int(keep_keys_for.total_seconds() * 1000))
-    return narrow.groupBy(*key).transformWithState(processor, f"{kinds}, repeat boolean", "append", "eventTime")
+    fields = stream.select(*place).schema
+    out = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in fields)
+    held = ", ".join(f"key{i} array<{f.dataType.simpleString()}>" for i, f in enumerate(stream.select(*key).schema))
+    bucket = F.pmod(F.xxhash64(*key), F.lit(buckets)).alias("_bucket")
+    narrow = timed.select(bucket, *dict.fromkeys([*key, *place]), event_time, "_ms")
+    processor = _repeats(list(key), list(place), held, int(keep_keys_for.total_seconds() * 1000))
+    return narrow.groupBy("_bucket").transformWithState(processor, f"{out}, repeat boolean", "append", "eventTime")
 
 
 def late_rows(query: StreamingQuery) -> int:

@@ -1,4 +1,5 @@
 import json
+import random
 from datetime import datetime, timedelta, timezone
 
 import pytest
@@ -144,6 +145,30 @@ def test_repeats_within_and_beyond_a_bound(spark, tmp_path):
     assert held[0] >= 52 and held[-1] <= 9
 
 
+def test_repeats_of_many_keys_in_few_buckets(spark, tmp_path):
+    """State follows the buckets, not the keys; marks are those of a plain walk through all events."""
+    schema = "event_id long, ts timestamp, user long, kind string"
+    start = datetime(2024, 1, 1, tzinfo=timezone.utc)
+    rng = random.Random(9)
+    rows = [(i, rng.choice([None, 2**53 + 1, 2**53 + 2, *range(120)]), rng.choice([None, "", "a"])) for i in range(3000)]
+    times = sorted(rng.randrange(0, 3000) for _ in rows)
+    events = [(i, start + timedelta(minutes=m), user, kind) for (i, user, kind), m in zip(rows, times)]
+    for part in range(3):
+        spark.createDataFrame(events[part * 1000 : part * 1000 + 1000], schema).repartition(3).write.mode("append").parquet(f"{tmp_path}/in")
+        arriving = spark.readStream.schema(schema).parquet(f"{tmp_path}/in")
+        marked = validation.mark_repeats(arriving, ["user", "kind"], "ts", ["event_id"], timedelta(hours=6), "1 hour", buckets=8)
+        query = marked.writeStream.format("parquet").option("checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True).start(f"{tmp_path}/out")
+        query.awaitTermination()
+        # A value and a timer for each bucket.
+        assert query.recentProgress[0]["stateOperators"][0]["numRowsTotal"] <= 2 * 2 * 8
+    want, last = {}, {}
+    for i, ts, *key in events:
+        seen = last.get(tuple(key))
+        want[i] = seen is not None and ts - seen < timedelta(hours=6)
+        last[tuple(key)] = ts
+    assert {r.event_id: r.repeat for r in spark.read.parquet(f"{tmp_path}/out").collect()} == want
+
+
 def drain(df, base, mode="append"):
     df.writeStream.format("parquet").outputMode(mode).option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start(f"{base}/out").awaitTermination()
     return df.sparkSession.read.parquet(f"{base}/out")
