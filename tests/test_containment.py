@@ -79,6 +79,24 @@ def test_gram_counts(spark):
             assert got[i, n] == (len(a), len(b), sum(min(a.count(g), b.count(g)) for g in set(a)))
 
 
+def test_gram_counts_move_no_grams(spark):
+    """Rows with ids of their own are counted where they are; ids that come twice, or not at all, are counted together."""
+    rng = random.Random(6)
+    text = lambda: rng.choice([None, " ", "a b", " ".join(rng.choice(["a", "É", "b", "中", "a\u3000c"]) for _ in range(rng.randint(1, 30)))])
+    rows = [(i, text(), text()) for i in range(150)]
+    for extra in ([], [(None, "a b a", "a b"), (None, "b", "a a b"), (7, "a b c", "c a b"), (7, "a b c", "c a b")]):
+        df = spark.createDataFrame(rows + extra, "id long, said string, wanted string").repartition(3)
+        counts = scoring.gram_counts(df, "said", "wanted", ["id"], [1, 3], slice_rows=16)
+        if not extra:
+            assert "Aggregate" not in counts._jdf.queryExecution().optimizedPlan().toString()
+        got = {(r.id, r.n): (r.n_candidate, r.n_reference, r.n_common) for r in counts.collect()}
+        assert counts.count() == len(got) == 2 * len({i for i, _, _ in rows + extra})
+        for i in {i for i, _, _ in rows + extra}:
+            for n in (1, 3):
+                a, b = ([g for r in rows + extra if r[0] == i for g in plain_grams(r[side], n)] for side in (1, 2))
+                assert got[i, n] == (len(a), len(b), sum(min(a.count(g), b.count(g)) for g in set(a)))
+
+
 def test_words_are_cut_once_for_all_lengths(spark):
     df = spark.createDataFrame([(1, "a b", "b a")], "id long, said string, wanted string")
     plan = scoring.gram_counts(df, "said", "wanted", ["id"], [1, 2, 3, 4])._jdf.queryExecution().optimizedPlan().toString()
