@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from corpusprep.llm import bpe_transducer, embed_dedup, exact_index, graph, hash_tree, html_main, labelled_urls, langid, minhash_forest, packing, queries, suffix, suffix_dedup, url_filter
+from corpusprep.llm import bpe_transducer, common, embed_dedup, exact_index, graph, hash_tree, html_main, labelled_urls, langid, minhash_forest, packing, queries, suffix, suffix_dedup, url_filter
 from corpusprep.llm.common import drop_rows, maybe_in, on_workers
 from corpusprep.llm.oracle import ORACLE
 
@@ -125,6 +126,46 @@ def test_suffix_dedup(spark, documents, texts, bounds):
         assert got == want[r.id], r.id
 
 
+def alike_windows(number):
+    """Windows of which parts are in others too, as at the ends of repeated passages."""
+    rng = np.random.default_rng(5)
+    passage = rng.integers(97, 123, 400, dtype=np.uint8).tobytes()
+    return [rng.integers(97, 123, 20, dtype=np.uint8).tobytes() + passage[a : a + 115] for a in rng.integers(0, 280, number).tolist()]
+
+
+def test_suffix_arrays_of_windows_take_little_memory():
+    windows = alike_windows(2000)
+    tracemalloc.start()
+    try:
+        suffix_dedup.repeated_starts(windows, np.full(len(windows), 36))
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert most < 64 * sum(map(len, windows))
+
+
+def test_digests_of_strings_are_made_in_blocks(monkeypatch):
+    windows = alike_windows(2000)
+    chosen = np.arange(0, 36 * len(windows), 7)
+    monkeypatch.setattr(common, "_POWERS", {})
+    got = suffix_dedup._strings(windows, np.full(len(windows), 36), chosen)
+    assert max(len(table[0]) for table in common._POWERS.values()) <= 2 * (suffix_dedup.BLOCK_BYTES + 100)
+    for k in range(0, len(chosen), 997):
+        window, start = divmod(int(chosen[k]), 36)
+        own = suffix_dedup._strings([windows[window][start : start + 100]], np.ones(1, np.int64), np.zeros(1, np.int64))
+        assert all(got[name][k] == own[name][0] for name in ("first", "second"))
+
+
+def test_rows_without_repeated_passages_come_from_one_python_stage(spark):
+    passage = "".join(random.Random(6).choices("abcdefgh", k=150))
+    rows = [(1, 5, "one " + passage + "\u00e9"), (2, 6, "two " + passage + "\u00e8 end"), (3, 7, None), (4, 8, "short"), (5, 9, "short"), (6, 0, "one " + passage + "\u00e9")]
+    kept = suffix_dedup.keep(spark.createDataFrame(rows, "doc_id long, n int, text string"))
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "MapInArrow" not in plan
+    # The characters differ in their second byte; what is left of one goes with the passage.
+    assert sorted(map(tuple, kept.collect())) == [(1, 5, rows[0][2]), (2, 6, "two end"), (3, 7, ""), (4, 8, "short"), (5, 9, "short"), (6, 0, "")]
+
+
 def test_merge_sorted():
     rng = np.random.default_rng(2)
     runs = []
