@@ -88,7 +88,8 @@ def shingle_sets(texts: list[str | None], width: int) -> tuple[np.ndarray, np.nd
     hashed = np.zeros(len(word), np.uint64)
     for k in range(width):
         ahead = np.zeros(len(word), np.uint64)
-        ahead[: len(word) - k] = word[k:]
+        rest = word[k:]  # none, where the whole block has no more words than that
+        ahead[: len(rest)] = rest
         if k:
             beyond = np.arange(len(word)) + k >= first[owner + 1]
             ahead[beyond] = 0

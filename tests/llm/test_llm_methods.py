@@ -585,6 +585,27 @@ def test_near_duplicates(spark, texts, width, bounds):
     assert got == {i: (len(sets[i]), label[i], label[i] == i) for i in sets}
 
 
+@pytest.mark.parametrize("width", [1, 2, 3, 5, 9])
+def test_shingle_sets_of_few_words(width):
+    """A block may hold a few words in all; the sets of its texts are those that they have among longer texts."""
+    long = " ".join(f"w{i}" for i in range(40))
+    for n in range(12):
+        whole = " ".join("abcdefghijkl"[:n])
+        for some in ([whole], [whole, None], ["", whole], whole.split() or [" "], [whole[:3], whole[3:]]):
+            alone, among = (minhash_forest.shingle_sets(texts, width) for texts in (some, [*some, long]))
+            assert np.diff(alone[1]).tolist() == [len(shingles(t, width)) for t in some]
+            assert alone[0].tolist() == among[0][: among[1][len(some)]].tolist()
+
+
+@pytest.mark.parametrize("text", ["Therti onor.", "Ly. Th heing."])
+def test_near_copies_of_few_words(spark, text):
+    """Texts of two and three words, each alone in its task and so in its block."""
+    on_workers(spark)
+    rows = [(1, text), (2, f"{text} "), (3, f"{text} more"), (4, "other words"), (5, None), (6, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartitionByRange(len(rows), "doc_id")
+    assert sorted(r.doc_id for r in corpus_pipeline.near_copies(spark, docs, SF_DIR).collect()) == [1, 3, 4, 5, 6]
+
+
 # Byte-level BPE
 
 
